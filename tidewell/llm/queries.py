@@ -4,7 +4,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jaccard import ngram_jaccard_join
+from .langid import fit_languages, identify_languages, sample_languages
+from .packing import pack_documents
+from .quality import classify_quality, held_out
 from .store import table
+from .tokenfile import read_token_table, write_token_table
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_languages(sample_languages(docs))
+    named = identify_languages(docs.select("doc_id", "text"), model)
+    return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,8 +56,22 @@ WITH RECURSIVE w AS (
 SELECT c.id AS doc_id, class_id, coalesce(n_links, 0) AS n_links, c.id = class_id AS kept FROM c LEFT JOIN n ON n.id = c.id
 """
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = classify_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = write_token_table(table(spark, sf_dir, "documents"), tokenizer_path())
+    return read_token_table(written).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_language_id": op2_language_id,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_quality_classifier": op8_quality_classifier,
+    "op10_token_id_output": op10_token_id_output,
 }
 
 ORACLE_SQL = {
