@@ -5,10 +5,13 @@ from pyspark.sql import functions as F
 
 from .jaccard import ngram_jaccard_join
 from .langid import fit_languages, identify_languages, sample_languages
+from .mixing import mix_sources
 from .packing import pack_documents
+from .pq import embedding_near_dedup
 from .quality import classify_quality, held_out
 from .store import table
 from .tokenfile import read_token_table, write_token_table
+from .topk import exact_top_k, quantised
 
 
 def tokenizer_path() -> str:
@@ -28,6 +31,55 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), "sampled")
+
+
+def _op5_sql(rounds: int = 8, cap_rounds: int = 8, keep: float = 0.7) -> str:
+    """Raking and capping written out step by step."""
+    steps = [f"""
+WITH d AS (SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '\\S+')) AS tokens FROM documents),
+t AS (SELECT *, CASE WHEN tokens < 100 THEN 'note' WHEN tokens < 1000 THEN 'article' ELSE 'longread' END AS topic FROM d),
+c AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM t GROUP BY ALL HAVING sum(tokens) > 0),
+g AS (SELECT sum(tokens) AS total FROM c)"""]
+    dims = {"source": 0.7, "lang": 0.7, "topic": 0.5}
+    for d, power in dims.items():
+        steps.append(f"s_{d} AS (SELECT {d}, pow(sum(tokens), {power}) AS raised FROM c GROUP BY 1), m_{d} AS (SELECT {d}, raised / sum(raised) OVER () AS share FROM s_{d})")
+    last = "(SELECT *, tokens AS w FROM c)"
+    for i in range(rounds):
+        for d in dims:
+            steps.append(f"r{i}_{d} AS MATERIALIZED (SELECT x.* EXCLUDE (w), w * share * total / sum(w) OVER (PARTITION BY x.{d}) AS w FROM {last} x JOIN m_{d} m ON m.{d} IS NOT DISTINCT FROM x.{d}, g)")
+            last = f"r{i}_{d}"
+    steps.append(f"p0 AS MATERIALIZED (SELECT * EXCLUDE (w), least(1.0, {keep} * w / tokens) AS p FROM {last})")
+    for i in range(cap_rounds):
+        steps.append(f"""p{i + 1} AS MATERIALIZED (SELECT * EXCLUDE (p), CASE WHEN p < 1 THEN least(1.0, p * ({keep} * sum(tokens) OVER () - sum(CASE WHEN p >= 1 THEN tokens ELSE 0 END) OVER ())
+  / sum(CASE WHEN p < 1 THEN p * tokens ELSE 0 END) OVER ()) ELSE p END AS p FROM p{i})""")
+    return ",\n".join(steps) + f"""
+SELECT doc_id, t.source, t.lang, t.topic, t.tokens, round(coalesce(p, 1), 6) AS probability,
+  coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 12))::BIGINT / 281474976710656.0, 0) < coalesce(p, 1) AS sampled
+FROM t LEFT JOIN p{cap_rounds} q ON q.source IS NOT DISTINCT FROM t.source AND q.lang IS NOT DISTINCT FROM t.lang AND q.topic = t.topic
+"""
+
+
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = quantised(table(spark, sf_dir, "embeddings"))
+    return exact_top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
+)
+SELECT * FROM r WHERE rank <= 5
+"""
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -61,6 +113,32 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_dedup(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+OP9_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), n AS (
+  SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS norm FROM v WHERE list_inner_product(e, e) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.98
+), r AS (
+  SELECT vec_id AS id, vec_id AS to_id FROM embeddings
+  UNION
+  SELECT r.id, l.b FROM r JOIN l ON l.a = r.to_id
+), c AS (
+  SELECT id, min(to_id) AS component_id FROM r GROUP BY 1
+), k AS (
+  SELECT a AS id, count(*) AS n_links FROM l GROUP BY 1
+)
+SELECT c.id AS vec_id, coalesce(n_links, 0) AS n_links, component_id, c.id = component_id AS kept FROM c LEFT JOIN k ON k.id = c.id
+"""
+
+
 def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = write_token_table(table(spark, sf_dir, "documents"), tokenizer_path())
     return read_token_table(written).withColumnRenamed("id", "doc_id")
@@ -69,11 +147,17 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
+    "op5_mix_sources": op5_mix_sources,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_token_id_output": op10_token_id_output,
 }
 
 ORACLE_SQL = {
+    "op5_mix_sources": _op5_sql(),
+    "op6_exact_top_k": OP6_SQL,
     "op7_ngram_jaccard_join": OP7_SQL,
+    "op9_embedding_near_dedup": OP9_SQL,
 }
