@@ -10,8 +10,10 @@ from .packing import pack_documents
 from .pq import embedding_near_dedup
 from .quality import classify_quality, held_out
 from .store import table
+from .substring import repeated_passages
 from .tokenfile import read_token_table, write_token_table
 from .topk import exact_top_k, quantised
+from .wordpiece import count_tokens
 
 
 def tokenizer_path() -> str:
@@ -31,6 +33,15 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), F.col("start").alias("span_start"), F.col("end").alias("span_end"), "n_words", F.col("first_doc").alias("first_doc_id"), "similarity")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path()).select("doc_id", "n_words", "n_tokens")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), "sampled")
@@ -147,6 +158,8 @@ def op10_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_token_counts": op4_token_counts,
     "op5_mix_sources": op5_mix_sources,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
