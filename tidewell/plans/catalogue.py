@@ -4,6 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from . import comparison_queries, corpus_queries, entity_queries, stream_queries
 
-ORACLE_SQL: dict[str, str] = {}
+_PARTS = (comparison_queries, corpus_queries, entity_queries, stream_queries)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
+
+ORACLE_SQL: dict[str, str] = {k: v for part in _PARTS for k, v in part.ORACLE_SQL.items()}
