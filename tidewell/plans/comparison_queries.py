@@ -52,7 +52,7 @@ def upsert_merge_first_seen(spark, sf_dir):
 
 
 QUERIES = {
-    "scan_features_by_category": lambda s, d: queues.where_equal(features(s, d), category="copper").select("id", "brand_name_en", "feature_name_en"),
+    "scan_features_by_category": lambda s, d: queues.where_equal(features(s, d), category="gear").select("id", "brand_name_en", "feature_name_en"),
     "scan_features_by_brand": lambda s, d: queues.where_equal(features(s, d), brand_name_en="Brand#23").select("id", "category", "feature_name_en"),
     "scan_vehicles_by_brand_segment": lambda s, d: queues.where_equal(vehicles(s, d), brand_name_en="Brand#23", segment=None).select("id", "model_name_en", "segment"),
     "feature_matrix": feature_matrix,
@@ -69,7 +69,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
-    "scan_features_by_category": "SELECT p_partkey::VARCHAR AS id, p_brand AS brand_name_en, p_name AS feature_name_en FROM part WHERE split_part(p_name, ' ', 2) = 'copper'",
+    "scan_features_by_category": "SELECT p_partkey::VARCHAR AS id, p_brand AS brand_name_en, p_name AS feature_name_en FROM part WHERE split_part(p_name, ' ', 2) = 'gear'",
     "scan_features_by_brand": "SELECT p_partkey::VARCHAR AS id, split_part(p_name, ' ', 2) AS category, p_name AS feature_name_en FROM part WHERE p_brand = 'Brand#23'",
     "scan_vehicles_by_brand_segment": "SELECT p_partkey::VARCHAR AS id, p_name AS model_name_en, p_type AS segment FROM part WHERE p_brand = 'Brand#23'",
     "feature_matrix": f"WITH {FEATURES} SELECT brand_name_en, category, count(*) AS n_features, list(id ORDER BY id) AS feature_ids FROM f GROUP BY 1, 2",
