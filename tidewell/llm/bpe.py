@@ -12,9 +12,8 @@ from functools import cache
 import numpy as np
 
 END_ID = 0
-#: Words kept by a worker; beyond that the memory is emptied and filled anew.
-KEPT_WORDS = 300_000
-_ASCII_MARKS = re.compile(r"[!-&(-/:-@\[-`{-~]*")
+#: Words kept by a worker. Beyond that they become the older half of its memory, of which only what is met again stays.
+KEPT_WORDS = 400_000
 _OTHER_SPACE = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]")
 _ONLY_PYTHON_SPACE = re.compile(r"[\x1c-\x1f]")
 
@@ -49,7 +48,11 @@ class Encoder:
         """Ids of a word without white space, with the space before it if it has one."""
         core = word.rstrip("!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
         if core.isalpha():
-            return self._cut(prefix + core) + (self._cut(word[len(core) :]) if len(core) < len(word) else b"")
+            if len(core) < len(word):
+                return (self.after_space if prefix else self.plain)[core] + self.plain[word[len(core) :]]
+            return self._cut(prefix + core)
+        if not core and word and not prefix:
+            return self._cut(word) if "'" not in word else self.slow(word)
         return self.slow(prefix + word)
 
     def slow(self, text: str) -> bytes:
@@ -61,8 +64,8 @@ class Encoder:
         if any(s in text for s in self.specials) or _ONLY_PYTHON_SPACE.search(text):
             return self.slow(text)
         if len(self.after_space) + len(self.plain) > KEPT_WORDS:
-            self.after_space.clear()
-            self.plain.clear()
+            self.after_space.grow_old()
+            self.plain.grow_old()
         out: list[bytes] = []
         if _OTHER_SPACE.search(text):
             self._any_space(text, out)
@@ -98,9 +101,16 @@ class Encoder:
 class _Words(dict):
     def __init__(self, encoder: Encoder, prefix: str) -> None:
         self.encoder, self.prefix = encoder, prefix
+        self.older: dict[str, bytes] = {}
+
+    def grow_old(self) -> None:
+        self.older = dict(self)
+        self.clear()
 
     def __missing__(self, word: str) -> bytes:
-        found = self.encoder._cut(word) if word.isspace() and not self.prefix else self.encoder.word(self.prefix, word)
+        found = self.older.get(word)
+        if found is None:
+            found = self.encoder._cut(word) if word.isspace() and not self.prefix else self.encoder.word(self.prefix, word)
         if len(word) <= 64:
             self[word] = found
         return found
