@@ -44,6 +44,10 @@ def _ratio(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
-#: Title similarity from 0 to 1; 0 if either is missing. It isn't symmetric: the earlier title comes first. No built-in
-#: function equals it. Marked as nondeterministic, so that a filter and a projection on it share one evaluation.
-title_similarity = F.arrow_udf(_ratio, "double").asNondeterministic()
+def title_similarity(first: Column, second: Column) -> Column:
+    """From 0 to 1; 0 if either is missing. It isn't symmetric: the earlier title comes first.
+
+    No built-in function equals it. It is marked as nondeterministic, so that a filter and a projection on it share one
+    evaluation.
+    """
+    return F.arrow_udf(_ratio, "double").asNondeterministic()(first, second)

@@ -69,10 +69,14 @@ def article_novelty(batch: DataFrame, recent: DataFrame) -> DataFrame:
     brand, content, kind = _set_similarity()
     left = met.join(floor, F.col("a.id") == F.col("id")).where(F.col("rest") + ARTICLE_TITLE >= F.col("floor") - 1e-9)
     score = F.lit(ARTICLE_TITLE) * title_similarity(F.col("a.title"), F.col("b.title")) + F.lit(ARTICLE_BRANDS) * brand + F.lit(ARTICLE_CONTENT) * content + F.lit(ARTICLE_TYPE) * kind
-    best = left.groupBy("id").agg(F.max(score).alias("greatest"))
+    best = left.withColumn("score", score).groupBy("id").agg(F.max("score").alias("greatest"))
     return batch.select("id").join(best, "id", "left").select("id", novelty(F.col("greatest")).alias("novelty"))
 
 
+def _tag(mark: str):
+    return lambda x: F.concat(F.lit(mark), x)
+
+
 def signal_novelty(signals: DataFrame, recent: DataFrame) -> DataFrame:
     """Novelty of every signal by type, brands, features and source articles.
 
@@ -82,7 +86,7 @@ def signal_novelty(signals: DataFrame, recent: DataFrame) -> DataFrame:
 
     def prepared(df: DataFrame) -> DataFrame:
         sets = df.select("id", F.nullif("signal_type", F.lit("")).alias("kind"), *(lower_set(F.col(c)).alias(n) for c, n in (("brands_mentioned", "brands"), ("features_mentioned", "features"), ("source_article_ids", "sources"))))
-        tagged = [F.transform(n, lambda x, t=n[0]: F.concat(F.lit(t), x)) for n in ("brands", "features", "sources")]
+        tagged = [F.transform(n, _tag(n[0])) for n in ("brands", "features", "sources")]
         return sets.withColumn("terms", F.array_union(F.array_union(tagged[0], tagged[1]), tagged[2]))
 
     a, b = prepared(signals), prepared(recent)

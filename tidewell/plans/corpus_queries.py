@@ -1,2 +1,213 @@
-QUERIES = {}
-ORACLE_SQL = {}
+"""Queries on articles: queues, duplicates, signals, novelty."""
+
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.sets import jaccard
+from ..operators import dedup, novelty, signals
+from ..operators.components import connected_components
+from ..sources import queues
+from .comparison_queries import FEATURES
+from .fixtures import articles, features
+
+AS_OF = datetime(2024, 1, 5)
+
+ARTICLES = r"""w AS (
+  SELECT *, list_filter(string_split_regex(lower(text), '[^a-zà-ÿ]+'), lambda x: length(x) >= 6) AS w FROM documents),
+a AS (
+  SELECT doc_id::VARCHAR AS id, doc_id AS ord, source AS source_name, lang AS language, 'https://example.org/' || source || '/' || (doc_id % 700)::VARCHAR AS source_url,
+    substr(split_part(text, chr(10), 1), 1, 120) AS title_en, substr(text, 1, 2000) AS body_en,
+    list_sort(list_distinct(w[1:3])) AS brands_mentioned, list_sort(list_distinct(w[4:6])) AS vehicles_mentioned,
+    timestamp '2024-01-01' + to_minutes((doc_id * 7)::INT) AS scrape_date,
+    CASE WHEN doc_id % 7 = 0 THEN NULL ELSE timestamp '2024-01-01' + to_minutes((doc_id * 7 - 60)::INT) END AS publish_date,
+    ['adas', 'ai_assistant', 'infotainment', 'connectivity', 'ota', 'battery_software', 'cockpit_ux'][(n_chars % 7)::INT + 1] AS category,
+    ['news', 'review', 'teardown', 'forum_post', 'opinion', 'regulatory', 'earnings'][(n_chars % 5)::INT + 1] AS content_type,
+    (1 + n_chars % 10)::INT AS relevance_score, n_chars % 3 = 0 AS is_new, doc_id % 4 <> 0 AS processed,
+    CASE WHEN doc_id % 6 = 0 THEN NULL ELSE doc_id % 5 = 0 END AS phase2_processed,
+    CASE WHEN n_chars % 2 = 0 THEN 'impact ' || lang ELSE NULL END AS competitive_signal,
+    coalesce(list_sort(list_distinct(w[4:6]))[1], '') AS feature_name
+  FROM w)"""
+JACCARD = "coalesce(len(list_intersect({0}, {1})) / nullif(len(list_distinct(list_concat({0}, {1}))), 0), 0)"
+PAIRS = f"""e AS (SELECT *, coalesce(publish_date, scrape_date) AS at FROM a),
+p AS (
+  SELECT x.id AS a, y.id AS b, x.ord AS a_ord, y.ord AS b_ord, x.title_en = y.title_en AND x.title_en <> '' AS same_title,
+    {JACCARD.format("x.brands_mentioned", "y.brands_mentioned")} AS brand, {JACCARD.format("x.vehicles_mentioned", "y.vehicles_mentioned")} AS vehicle, (x.category = y.category)::INT AS category
+  FROM e x JOIN e y ON x.ord < y.ord AND x.source_name IS DISTINCT FROM y.source_name AND y.at BETWEEN x.at - INTERVAL 72 HOUR AND x.at + INTERVAL 72 HOUR
+  WHERE list_has_any(x.brands_mentioned, y.brands_mentioned) OR list_has_any(x.vehicles_mentioned, y.vehicles_mentioned))"""
+
+
+def dedup_set_score_pairs(spark, sf_dir):
+    return dedup.set_score_pairs(articles(spark, sf_dir)).withColumn("score", F.round("score", 6))
+
+
+def exact_title_pairs(rows: DataFrame) -> DataFrame:
+    """Candidate pairs whose titles are equal, with the title's full weight: the part of the score that SQL can follow."""
+    brand, vehicle, category = dedup.set_scores()
+    pairs = dedup.candidate_pairs(dedup.prepare(rows)).where((F.col("a.title") == F.col("b.title")) & (F.col("a.title") != ""))
+    score = F.lit(dedup.TITLE) + brand * dedup.BRANDS + vehicle * dedup.VEHICLES + category * dedup.CATEGORIES + F.lit(dedup.CLOSE)
+    return pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.ord").alias("a_ord"), F.col("b.ord").alias("b_ord"), score.alias("score")).where(F.col("score") >= dedup.THRESHOLD - 1e-9)
+
+
+def dedup_components(spark, sf_dir):
+    return connected_components(exact_title_pairs(articles(spark, sf_dir)), "a_ord", "b_ord")
+
+
+def dedup_groups(spark, sf_dir):
+    rows = articles(spark, sf_dir)
+    groups = dedup.duplicate_groups(rows, exact_title_pairs(rows))
+    return groups.select("canonical_id", "duplicate_group_id", "member_ids", F.size("scores").cast("long").alias("n_links"))
+
+
+def dedup_full_pairs(spark, sf_dir):
+    return dedup.scored_pairs(articles(spark, sf_dir)).select("a", "b", F.round("score", 6).alias("score"))
+
+
+def dedup_full_groups(spark, sf_dir):
+    rows = articles(spark, sf_dir)
+    return dedup.duplicate_groups(rows, dedup.scored_pairs(rows))
+
+
+def dedup_marked(spark, sf_dir):
+    rows = articles(spark, sf_dir)
+    return dedup.mark_duplicates(rows, dedup_groups_of(rows)).select("id", "is_duplicate", "canonical_article_id", "duplicate_group_id")
+
+
+def dedup_groups_of(rows: DataFrame) -> DataFrame:
+    return dedup.duplicate_groups(rows, exact_title_pairs(rows))
+
+
+def _signal(rule, *more):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found = rule(articles(spark, sf_dir), *(m(spark, sf_dir) for m in more))
+        return found.select("signal_type", "article_id", "brands_mentioned", "features_mentioned")
+
+    return query
+
+
+def stored_signals(spark, sf_dir):
+    """Signals without the trickle-down rule, as rows with an id and sources."""
+    found = signals.signal_candidates(articles(spark, sf_dir), None)
+    return found.select(F.concat_ws("/", "signal_type", "article_id").alias("id"), "signal_type", "brands_mentioned", "features_mentioned", F.array("article_id").alias("source_article_ids"), F.col("article_id").cast("long").alias("ord"))
+
+
+def signal_novelty(spark, sf_dir):
+    """The signals of the later half of the articles against those of the earlier half."""
+    every = stored_signals(spark, sf_dir)
+    return novelty.signal_novelty(every.where("ord % 2 = 1"), every.where("ord % 2 = 0")).withColumn("novelty", F.round("novelty", 6))
+
+
+def article_novelty_sets(spark, sf_dir):
+    rows = articles(spark, sf_dir)
+    return novelty.article_set_novelty(rows, rows).withColumn("novelty", F.round("novelty", 6))
+
+
+def article_novelty(spark, sf_dir):
+    """The newest articles of the second-phase queue against the processed ones of the week before the newest."""
+    rows = articles(spark, sf_dir)
+    batch = queues.phase2_queue(rows)
+    newest = rows.agg(F.max("scrape_date")).first()[0]
+    return novelty.article_novelty(batch, queues.recent_processed(rows, newest, 24 * novelty.ARTICLE_DAYS)).withColumn("novelty", F.round("novelty", 6))
+
+
+def url_anti_join_cap(spark, sf_dir):
+    rows = articles(spark, sf_dir)
+    return queues.new_listings(rows.where("ord % 3 <> 0"), rows.where("ord % 3 = 0 AND ord % 2 = 0")).select("source_url", "source_name", "id", "turn")
+
+
+def _rule_sql(kind: str, where: str, mentions: str = "[feature_name]") -> str:
+    return f"SELECT '{kind}' AS signal_type, id AS article_id, brands_mentioned, {mentions} AS features_mentioned FROM a WHERE {where}"
+
+
+def _any(text: str, words) -> str:
+    return "(" + " OR ".join(f"contains({text}, '{w}')" for w in words) + ")"
+
+
+AI = f"""(category = 'ai_assistant' AND is_new OR content_type IN ('news', 'opinion') AND {_any("lower(title_en || ' ' || body_en)", signals.AI_KEYWORDS)})"""
+CHIP = f"""category = 'adas' AND {_any("lower(substr(body_en, 1, 200))", signals.CHIP_KEYWORDS)}"""
+RULES = {
+    "signal_new_feature": _rule_sql("new_feature_launch", "is_new"),
+    "signal_ai": _rule_sql("ai_integration", AI, "CASE WHEN category = 'ai_assistant' THEN [feature_name] ELSE [] END"),
+    "signal_ota": _rule_sql("ota_deployment", "is_new AND category = 'ota'"),
+    "signal_partnership": _rule_sql("partnership_change", "len(brands_mentioned) >= 2 AND competitive_signal <> ''", "[]::VARCHAR[]"),
+    "signal_chip": _rule_sql("chip_hardware_announcement", CHIP),
+}
+
+
+def with_part_category(rows: DataFrame) -> DataFrame:
+    """Articles whose features are in the categories that the parts have, so that the trickle-down rule finds company."""
+    of = F.element_at(F.array(*(F.lit(c) for c in ("gear", "ring", "bolt", "rod", "plate", "anvil", "widget", "gizmo"))), (F.col("ord") % 8 + 1).cast("int"))
+    brand = F.concat(F.lit("BRAND#"), (F.col("ord") % 55).cast("string"))
+    return rows.withColumns({"features_extracted": F.transform("features_extracted", lambda f: f.withField("category", of)), "brands_mentioned": F.array_append("brands_mentioned", brand)})
+
+
+def signal_trickle_down(spark, sf_dir):
+    """Counted by article, for its rows are as many as the features of other brands."""
+    found = signals.trickle_downs(with_part_category(articles(spark, sf_dir)), features(spark, sf_dir))
+    brand = F.get_json_object("trigger_data", "$.existing_brand")
+    return found.groupBy("article_id").agg(F.count("*").alias("n_matches"), F.countDistinct(brand).alias("n_brands"), F.min(brand).alias("first_brand"))
+
+
+QUERIES = {
+    "scan_unprocessed_topk": lambda s, d: queues.unprocessed(articles(s, d)).select("id", "scrape_date"),
+    "scan_recent_window": lambda s, d: queues.recent_processed(articles(s, d), AS_OF).select("id", "scrape_date"),
+    "scan_phase2_queue": lambda s, d: queues.phase2_queue(articles(s, d), None).select("id", "scrape_date"),
+    "scan_array_contains": lambda s, d: queues.signals_of_article(stored_signals(s, d), "33").select("id", "signal_type"),
+    "phase2_chunks": lambda s, d: queues.chunks(queues.phase2_queue(articles(s, d)), "ord", 40).select("id", "chunk"),
+    "url_anti_join_cap": url_anti_join_cap,
+    "corpus_union_batch": lambda s, d: queues.corpus_without_batch(queues.recent_processed(articles(s, d), AS_OF), queues.phase2_queue(articles(s, d))).select("id", "source_name"),
+    "jaccard_brands_vehicles": lambda s, d: articles(s, d).select("id", F.round(jaccard(F.col("brands_mentioned"), F.col("vehicles_mentioned")), 6).alias("similarity")),
+    "dedup_set_score_pairs": dedup_set_score_pairs,
+    "dedup_components": dedup_components,
+    "dedup_groups": dedup_groups,
+    "dedup_marked": dedup_marked,
+    "dedup_full_pairs": dedup_full_pairs,
+    "dedup_full_groups": dedup_full_groups,
+    "signal_new_feature": _signal(signals.new_feature_launches),
+    "signal_trickle_down": signal_trickle_down,
+    "signal_ai": _signal(signals.ai_integrations),
+    "signal_ota": _signal(signals.ota_deployments),
+    "signal_partnership": _signal(signals.partnership_changes),
+    "signal_chip": _signal(signals.chip_announcements),
+    "signal_counts_by_type": lambda s, d: signals.signals_by_type(signals.signal_candidates(articles(s, d), None)),
+    "signal_novelty": signal_novelty,
+    "article_novelty_sets": article_novelty_sets,
+    "article_novelty": article_novelty,
+}
+
+_EXACT = f"""{ARTICLES}, {PAIRS}, l AS (SELECT * FROM p WHERE same_title AND 0.3 + brand * 0.25 + vehicle * 0.2 + category * 0.15 + 0.1 >= 0.75 - 1e-9),
+u AS (SELECT a_ord AS a, b_ord AS b FROM l UNION SELECT b_ord, a_ord FROM l),
+r AS (SELECT a AS id, a AS other FROM u UNION SELECT r.id, u.b FROM r JOIN u ON u.a = r.other),
+c AS (SELECT id, min(other) AS component FROM r GROUP BY 1)"""
+_GROUPS = f"""WITH RECURSIVE {_EXACT}, k AS (
+  SELECT component, arg_min(a.id, (scrape_date, -relevance_score, ord)) AS canonical_id, min(a.id) AS duplicate_group_id, list(a.id ORDER BY ord) AS member_ids FROM c JOIN a ON a.ord = c.id GROUP BY 1)"""
+_STORED = "s AS (" + " UNION ALL ".join(f"SELECT *, article_id::BIGINT AS ord FROM ({q})" for q in RULES.values()) + ")"
+_NOVELTY_JACCARD = {n: JACCARD.format(f"x.{n}", f"y.{n}") for n in ("brands_mentioned", "features_mentioned")}
+
+ORACLE_SQL = {
+    "scan_unprocessed_topk": f"WITH {ARTICLES} SELECT id, scrape_date FROM a WHERE NOT processed ORDER BY scrape_date, id LIMIT 50",
+    "scan_recent_window": f"WITH {ARTICLES} SELECT id, scrape_date FROM a WHERE processed AND scrape_date >= timestamp '2024-01-02'",
+    "scan_phase2_queue": f"WITH {ARTICLES} SELECT id, scrape_date FROM a WHERE processed AND NOT coalesce(phase2_processed, false)",
+    "scan_array_contains": f"WITH {ARTICLES}, {_STORED} SELECT signal_type || '/' || article_id AS id, signal_type FROM s WHERE article_id = '33'",
+    "phase2_chunks": f"WITH {ARTICLES}, q AS (SELECT * FROM a WHERE processed AND NOT coalesce(phase2_processed, false) ORDER BY scrape_date DESC, id LIMIT 100) SELECT id, (row_number() OVER (ORDER BY ord) - 1) // 40 AS chunk FROM q",
+    "url_anti_join_cap": f"""WITH {ARTICLES}, n AS (SELECT * FROM a WHERE ord % 3 <> 0 AND source_url NOT IN (SELECT source_url FROM a WHERE ord % 3 = 0 AND ord % 2 = 0) QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY ord) = 1)
+SELECT source_url, source_name, id, (row_number() OVER (PARTITION BY source_name ORDER BY ord))::INT AS turn FROM n QUALIFY turn <= 25""",
+    "corpus_union_batch": f"""WITH {ARTICLES}, b AS (SELECT * FROM a WHERE processed AND NOT coalesce(phase2_processed, false) ORDER BY scrape_date DESC, id LIMIT 100)
+SELECT id, source_name FROM b UNION ALL SELECT id, source_name FROM a WHERE processed AND scrape_date >= timestamp '2024-01-02' AND id NOT IN (SELECT id FROM b)""",
+    "jaccard_brands_vehicles": f"WITH {ARTICLES} SELECT id, round({JACCARD.format('brands_mentioned', 'vehicles_mentioned')}, 6) AS similarity FROM a",
+    "dedup_set_score_pairs": f"WITH {ARTICLES}, {PAIRS} SELECT a, b, round(brand * 0.25 + vehicle * 0.2 + category * 0.15 + 0.1, 6) AS score FROM p",
+    "dedup_components": f"WITH RECURSIVE {_EXACT} SELECT id, component FROM c",
+    "dedup_groups": f"{_GROUPS} SELECT canonical_id, duplicate_group_id, member_ids, (SELECT count(*) FROM l JOIN c ON c.id = l.a_ord WHERE c.component = k.component) AS n_links FROM k",
+    "dedup_marked": f"""{_GROUPS} SELECT a.id, CASE WHEN canonical_id IS NOT NULL THEN a.id <> canonical_id END AS is_duplicate, CASE WHEN a.id <> canonical_id THEN canonical_id END AS canonical_article_id, duplicate_group_id
+FROM a LEFT JOIN c ON c.id = a.ord LEFT JOIN k ON k.component = c.component""",
+    **{k: f"WITH {ARTICLES} {v}" for k, v in RULES.items()},
+    "signal_trickle_down": f"""WITH {ARTICLES}, {FEATURES}, n AS (SELECT *, ['gear', 'ring', 'bolt', 'rod', 'plate', 'anvil', 'widget', 'gizmo'][(ord % 8)::INT + 1] AS kind, list_append(brands_mentioned, 'brand#' || (ord % 55)::VARCHAR) AS named FROM a WHERE is_new)
+SELECT n.id AS article_id, count(*) AS n_matches, count(DISTINCT brand_name_en) AS n_brands, min(brand_name_en) AS first_brand FROM n JOIN f ON f.category = n.kind AND NOT list_contains(named, lower(brand_name_en)) GROUP BY 1""",
+    "signal_counts_by_type": f"""WITH {ARTICLES}, {_STORED} SELECT signal_type, coalesce(n, 0) AS n_signals FROM (SELECT unnest({list(signals.SIGNAL_TYPES)}) AS signal_type) LEFT JOIN (SELECT signal_type, count(*) AS n FROM s GROUP BY 1) USING (signal_type)""",
+    "signal_novelty": f"""WITH {ARTICLES}, {_STORED} SELECT x.signal_type || '/' || x.article_id AS id, round(greatest(0, least(1, 1 - max((x.signal_type = y.signal_type)::INT * 0.3 + {_NOVELTY_JACCARD["brands_mentioned"]} * 0.35 + {_NOVELTY_JACCARD["features_mentioned"]} * 0.2
+  + (x.article_id = y.article_id)::INT * 0.15))), 6) AS novelty FROM s x JOIN s y ON x.ord % 2 = 1 AND y.ord % 2 = 0 GROUP BY 1""",
+    "article_novelty_sets": f"""WITH {ARTICLES}, n AS (SELECT *, list_distinct(list_append(vehicles_mentioned, category)) AS content FROM a)
+SELECT x.id, round(greatest(0, least(1, 1 - max({JACCARD.format("x.brands_mentioned", "y.brands_mentioned")} * 0.25 + {JACCARD.format("x.content", "y.content")} * 0.25
+  + (coalesce(x.content_type = y.content_type AND x.brands_mentioned[1] = y.brands_mentioned[1], false))::INT * 0.15))), 6) AS novelty FROM n x JOIN n y ON x.id <> y.id GROUP BY 1""",
+}
