@@ -14,8 +14,10 @@ import numpy as np
 END_ID = 0
 #: Words kept by a worker. Beyond that they become the older half of its memory, of which only what is met again stays.
 KEPT_WORDS = 400_000
-_OTHER_SPACE = re.compile(r"\s\s|\A\s|\s\Z|[^\S \n]")
-_ONLY_PYTHON_SPACE = re.compile(r"[\x1c-\x1f]")
+#: White space but for the space and the line feed, and what Python alone counts as white space.
+_OTHER_SPACE = "\t\r\x0b\x0c\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_ONLY_PYTHON_SPACE = "\x1c\x1d\x1e\x1f"
+_RUNS = ("  ", "\n\n", " \n", "\n ")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -61,13 +63,14 @@ class Encoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(s in text for s in self.specials) or _ONLY_PYTHON_SPACE.search(text):
+        has = text.__contains__
+        if any(map(has, self.specials)) or any(map(has, _ONLY_PYTHON_SPACE)):
             return self.slow(text)
         if len(self.after_space) + len(self.plain) > KEPT_WORDS:
             self.after_space.grow_old()
             self.plain.grow_old()
         out: list[bytes] = []
-        if _OTHER_SPACE.search(text):
+        if text[0].isspace() or text[-1].isspace() or any(map(has, _RUNS)) or any(map(has, _OTHER_SPACE)):
             self._any_space(text, out)
         else:
             spaced, line_end = self.after_space.__getitem__, self.plain["\n"]
