@@ -1,2 +1,63 @@
-QUERIES = {}
-ORACLE_SQL = {}
+"""Queries on runs and streams, over the events."""
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import runs
+from ..streaming import incremental
+from ..tables import shared_dir, table
+
+KIND = "CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'ingested' ELSE 'request' END"
+
+
+def log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "error", "error").when(F.col("event_type") == "purchase", "ingested").otherwise("request")
+    return table(spark, sf_dir, "events").select("event_id", "ts", F.concat(F.lit("source"), (F.col("user_id") % 7).cast("string")).alias("source_name"), kind.alias("kind"))
+
+
+def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of files."""
+    schema = table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _drained(spark: SparkSession, made: DataFrame, name: str) -> DataFrame:
+    root = f"{shared_dir(spark)}/tidewell-stream-{name}-{uuid.uuid4().hex}"
+    incremental.drain(made, f"{root}/table", f"{root}/checkpoint")
+    return spark.read.schema(made.schema).parquet(f"{root}/table")
+
+
+def stream_dedup_url(spark, sf_dir):
+    """Each user's first event of a type by the hour, as one address, seen once within the watermark."""
+    rows = stream(spark, sf_dir).select("ts", F.concat_ws("/", F.col("user_id").cast("string"), "event_type", F.date_format("ts", "yyyyMMddHH")).alias("source_url"))
+    return _drained(spark, incremental.distinct_urls(rows, delay="40 days"), "urls").select("source_url")
+
+
+def stream_interval_join(spark, sf_dir):
+    rows = lambda kind: stream(spark, sf_dir).where(F.col("event_type") == kind).select(F.col("event_id").alias("id"), "ts", "user_id")
+    return _drained(spark, incremental.lookback_join(rows("error"), rows("purchase"), "user_id"), "join").select("a_id", "b_id")
+
+
+QUERIES = {
+    "health_status_by_source": lambda s, d: runs.health_by_source(log(s, d)),
+    "health_tumbling": lambda s, d: runs.health_by_window(log(s, d)),
+    "run_totals": lambda s, d: runs.run_totals(runs.health_by_source(log(s, d))),
+    "run_summary_json": lambda s, d: runs.summary_json(runs.run_totals(runs.health_by_source(log(s, d)))),
+    "stream_dedup_url": stream_dedup_url,
+    "stream_interval_join": stream_interval_join,
+}
+
+_LOG = f"""l AS (SELECT ts, 'source' || (user_id % 7)::VARCHAR AS source_name, {KIND} AS kind FROM events),
+h AS (SELECT source_name, count(*) FILTER (kind = 'request') AS requests_made, count(*) FILTER (kind = 'ingested') AS articles_ingested, count(*) FILTER (kind = 'error') AS error_count FROM l GROUP BY 1),
+g AS (SELECT *, CASE WHEN error_count = 0 THEN 'success' WHEN articles_ingested > 0 THEN 'partial' ELSE 'failure' END AS status FROM h)"""
+
+ORACLE_SQL = {
+    "health_status_by_source": f"WITH {_LOG} SELECT * FROM g",
+    "health_tumbling": f"WITH {_LOG} SELECT source_name, time_bucket(INTERVAL 6 HOUR, ts, timestamp '2000-01-01') AS window_start, count(*) AS requests, count(*) FILTER (kind = 'error') AS errors FROM l GROUP BY 1, 2",
+    "run_totals": f"WITH {_LOG} SELECT count(*) AS sources, sum(articles_ingested)::BIGINT AS articles_ingested, sum(error_count)::BIGINT AS errors, count(*) FILTER (status = 'failure') AS failed_sources FROM g",
+    "stream_dedup_url": "SELECT DISTINCT user_id::VARCHAR || '/' || event_type || '/' || strftime(ts, '%Y%m%d%H') AS source_url FROM events",
+    "stream_interval_join": """SELECT a.event_id AS a_id, b.event_id AS b_id FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'error' AND b.event_type = 'purchase'
+  AND b.ts BETWEEN a.ts - INTERVAL 72 HOUR AND a.ts + INTERVAL 72 HOUR AND a.event_id < b.event_id""",
+}
