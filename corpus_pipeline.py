@@ -11,8 +11,8 @@ from tidewell.llm.mixing import mix_sources
 from tidewell.llm.packing import pack_documents
 from tidewell.llm.quality import classify_quality
 from tidewell.llm.queries import tokenizer_path
-from tidewell.llm.store import materialise, table
 from tidewell.llm.substring import cut_passages, repeated_passages
+from tidewell.tables import materialise, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
