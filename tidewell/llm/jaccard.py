@@ -160,7 +160,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     merged = connected_components(found.where("other is not null"), "rep", "other").withColumnRenamed("id", "rep")
     per_class = classes.select("fp", "rep", "copies").join(linked, "rep", "left").join(merged, "rep", "left")
     per_class = per_class.select("fp", F.coalesce("component", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = signed.select("id", "fp").join(per_class, "fp", "left").groupBy("id").agg(F.min("class_id").alias("class_id"), F.sum("n_links").alias("n_links"))
+    out = signed.select("id", "fp").distinct().join(per_class, "fp", "left").groupBy("id").agg(F.min("class_id").alias("class_id"), F.sum("n_links").alias("n_links"))
     out = out.select("id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return out.withColumn("kept", F.col("id") == F.col("class_id"))
 

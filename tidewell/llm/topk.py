@@ -38,7 +38,7 @@ def best_of_block(q: np.ndarray, x: np.ndarray, x_ids: np.ndarray, q_ids: np.nda
     product from above and is the inner product of the statistics. It bounds the distance from below alike, since the
     lengths of the vectors are known. Candidates under the k-th exact score of a first guess leave level by level.
     """
-    small = max(np.abs(q).max(), np.abs(x).max()) ** 2 * float(x.shape[1]) < 2.0**52
+    small = max(float(np.abs(q).max()), float(np.abs(x).max())) ** 2 * x.shape[1] < 2.0**52
     exact_x, exact_q = (x.astype(np.float64), q.astype(np.float64)) if small else (x, q)
     fx, fq = x.astype(np.float64), q.astype(np.float64)
     levels = []
