@@ -80,6 +80,22 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _groups(linked: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """For each row the first row it is connected with, and the edges of a spanning forest."""
+    group, forest = np.full(len(linked), -1), []
+    for root in range(len(linked)):
+        if group[root] >= 0:
+            continue
+        group[root], todo = root, [root]
+        while todo:
+            x = todo.pop()
+            for y in np.flatnonzero(linked[x] & (group < 0)).tolist():
+                group[y] = root
+                todo.append(y)
+                forest.append((x, y))
+    return group, forest
+
+
 def verify_blocks(n: int, threshold: float):
     """For a verification group: each member's links counted in copies, and a spanning forest of the links."""
 
@@ -96,25 +112,25 @@ def verify_blocks(n: int, threshold: float):
             both, sizes = _overlaps(sets), np.array([len(s) for s in sets], dtype=np.float64)
             linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
             np.fill_diagonal(linked, False)
-            if i != j:
-                linked &= block[:, None] != block[None, :]
-            total = linked @ copies
+            same_block = block[:, None] == block[None, :]
+            counted = linked & same_block if i == j else linked & ~same_block
+            total = counted @ copies
             rep += ids[total > 0].tolist()
             other += [None] * int((total > 0).sum())
             count += total[total > 0].tolist()
-            seen = np.zeros(len(ids), dtype=bool)
-            for root in range(len(ids)):
-                if seen[root]:
-                    continue
-                seen[root], todo = True, [root]
-                while todo:
-                    x = todo.pop()
-                    for y in np.flatnonzero(linked[x] & ~seen):
-                        seen[y] = True
-                        todo.append(y)
-                        rep.append(ids[x])
-                        other.append(ids[y])
-                        count.append(0)
+            group, forest = _groups(linked & same_block)
+            if i != j:  # what a block links by itself, the comparison with itself hands on
+                x, y = np.nonzero(counted)
+                pairs, at = np.unique(np.stack([group[x], group[y]]), axis=1, return_index=True)
+                across = np.zeros((len(ids), len(ids)), dtype=bool)
+                across[pairs[0], pairs[1]] = across[pairs[1], pairs[0]] = True
+                where = {(int(p), int(q)): (int(x[k]), int(y[k])) for p, q, k in zip(*pairs, at, strict=True)}
+                where |= {(q, p): v for (p, q), v in where.items()}
+                forest = [where[e] for e in _groups(across)[1]]
+            for x, y in forest:
+                rep.append(ids[x])
+                other.append(ids[y])
+                count.append(0)
         return pd.DataFrame({"rep": pd.array(rep, "Int64"), "other": pd.array(other, "Int64"), "links": pd.array(count, "Int64")})
 
     return links
