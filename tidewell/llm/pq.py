@@ -12,7 +12,9 @@ from ..tables import materialise
 
 #: Vectors that the codebooks are fitted on at most, those first by a hash of the id.
 SAMPLE = 4000
-LISTS, SUBSPACES, WORDS = 64, 8, 64
+SUBSPACES, WORDS = 8, 64
+#: Vectors of a list on average, and lists at most.
+LIST_SIZE, LISTS = 2000, 256
 #: Members and probes of one comparison block.
 BLOCK = 128
 SEED = 5
@@ -37,8 +39,8 @@ def k_means(x: np.ndarray, k: int, rounds: int = 8, seed: int = SEED) -> np.ndar
 class Codebook:
     """Coarse centres, and for each subspace the words of the residuals."""
 
-    def __init__(self, sample: np.ndarray) -> None:
-        self.centres = k_means(sample, LISTS)
+    def __init__(self, sample: np.ndarray, lists: int) -> None:
+        self.centres = k_means(sample, lists)
         residual = sample - self.centres[_nearest(sample, self.centres).argmin(1)]
         self.edges = np.linspace(0, sample.shape[1], min(SUBSPACES, sample.shape[1]) + 1).astype(int)
         self.words = [k_means(residual[:, a:b], WORDS, seed=SEED + a) for a, b in zip(self.edges, self.edges[1:], strict=False)]
@@ -75,7 +77,7 @@ class Codebook:
         return [_nearest(residual[:, a:b], w) for (a, b), w in zip(zip(self.edges, self.edges[1:], strict=False), self.words, strict=True)]
 
 
-def fit_codebook(vectors: DataFrame, sample: int = SAMPLE) -> Codebook | None:
+def fit_codebook(vectors: DataFrame, lists: int, sample: int = SAMPLE) -> Codebook | None:
     """Fitted in one task on the unit vectors of a bounded sample that have the most common length among it."""
 
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,7 +87,7 @@ def fit_codebook(vectors: DataFrame, sample: int = SAMPLE) -> Codebook | None:
         lengths = [len(r) for r in rows]
         dim = max(sorted(set(lengths)), key=lengths.count)
         x = np.stack([r for r in rows if len(r) == dim])
-        book = Codebook(x[np.lexsort(x.T[:4])])
+        book = Codebook(x[np.lexsort(x.T[:4])], lists)
         yield pd.DataFrame({"centres": [book.centres.ravel().tolist()], "words": [[w.ravel().tolist() for w in book.words]], "dim": [dim]})
 
     chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).select("u").repartition(1)
@@ -127,7 +129,7 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, id_col: st
     units = unit_vectors(vectors, id_col, vec_col, label_col)
     distinct = units.groupBy("label", "u").agg(F.min("id").alias("rep"), F.countDistinct("id").alias("copies"))
     distinct = materialise(distinct.select("label", "u", F.col("rep").alias("id"), "copies"), "units")
-    book = fit_codebook(distinct, sample)
+    book = fit_codebook(distinct, min(LISTS, max(4, distinct.count() // LIST_SIZE)), sample)
     radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
