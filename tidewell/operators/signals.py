@@ -42,12 +42,28 @@ def new_feature_launches(articles: DataFrame) -> DataFrame:
     return rows.select(*_candidate(SIGNAL_TYPES[0], F.array(_name(f)), F.struct(f["feature_name"].alias("feature_name"), f["category"].alias("category"), f["description"].alias("description"))))
 
 
+def trickle_down_matches(articles: DataFrame, features: DataFrame) -> DataFrame:
+    """New features of articles against features in the same category whose brand the article doesn't name."""
+    rows = _exploded(articles, lambda f: _new(f) & (F.coalesce(f["category"], F.lit("")) != "")).withColumn("named", lower_set(F.col("brands_mentioned")))
+    known = features.where(non_blank(F.col("brand_name_en")).isNotNull()).select(F.col("category").alias("at"), F.col("brand_name_en").alias("existing_brand"), F.col("feature_name_en").alias("existing_feature"))
+    return rows.join(known, F.col("f.category") == F.col("at")).where(~F.array_contains("named", F.lower("existing_brand")))
+
+
 def trickle_downs(articles: DataFrame, features: DataFrame) -> DataFrame:
     """A new feature in a category where a brand that the article doesn't name has one already; a row for each of those."""
-    rows, f = _exploded(articles, lambda f: _new(f) & (F.coalesce(f["category"], F.lit("")) != "")), F.col("f")
-    known = features.where(non_blank(F.col("brand_name_en")).isNotNull()).select(F.col("category").alias("at"), F.col("brand_name_en").alias("existing_brand"), F.col("feature_name_en").alias("existing_feature"))
-    met = rows.withColumn("named", lower_set(F.col("brands_mentioned"))).join(known, F.col("f.category") == F.col("at")).where(~F.array_contains("named", F.lower("existing_brand")))
-    return met.select(*_candidate(SIGNAL_TYPES[1], F.array(_name(f)), F.struct(f["feature_name"].alias("new_feature_name"), f["category"].alias("new_feature_category"), F.col("existing_feature").alias("existing_feature_name"), "existing_brand")))
+    f = F.col("f")
+    trigger = F.struct(f["feature_name"].alias("new_feature_name"), f["category"].alias("new_feature_category"), F.col("existing_feature").alias("existing_feature_name"), "existing_brand")
+    return trickle_down_matches(articles, features).select(*_candidate(SIGNAL_TYPES[1], F.array(_name(f)), trigger))
+
+
+def trickle_down_counts(articles: DataFrame, features: DataFrame) -> DataFrame:
+    """How many such rows each article gives, from how many brands, without making them: features meet as counts by brand."""
+    named = features.where(non_blank(F.col("brand_name_en")).isNotNull())
+    by_brand = named.groupBy("category", "brand_name_en").agg(F.count("*").alias("n"))
+    rows = _exploded(articles.select("id", "brands_mentioned", "features_extracted"), lambda f: _new(f) & (F.coalesce(f["category"], F.lit("")) != ""))
+    slim = rows.select("id", lower_set(F.col("brands_mentioned")).alias("named"), F.col("f.category").alias("category"))
+    met = slim.join(by_brand, "category").where(~F.array_contains("named", F.lower("brand_name_en")))
+    return met.groupBy(F.col("id").alias("article_id")).agg(F.sum("n").alias("n_matches"), F.countDistinct("brand_name_en").alias("n_brands"), F.min("brand_name_en").alias("first_brand"))
 
 
 def ai_integrations(articles: DataFrame) -> DataFrame:

@@ -42,13 +42,12 @@ def price_tier_category_avg(spark, sf_dir):
 
 
 def upsert_merge_first_seen(spark, sf_dir):
-    """The half of the features with even ids is stored; a later run brings those whose id divides by three, with a new supplier."""
+    """The dated features are stored; a later run brings all of them, with new suppliers (some missing) and later dates."""
     every = features(spark, sf_dir)
-    old = every.where("ord % 2 = 0").select("brand_name_en", "feature_name_en", "category", "supplier", "first_seen_date")
-    new = every.where("ord % 3 = 0").select("brand_name_en", "feature_name_en", "category", F.when(F.col("ord") % 5 != 0, F.concat(F.lit("s"), "supplier")).alias("supplier"), (F.col("first_seen_date") + F.expr("INTERVAL 9 DAYS")).alias("first_seen_date"))
+    new = every.withColumns({"supplier": F.when(F.col("ord") % 5 != 0, F.concat(F.lit("s"), "supplier")), "first_seen_date": F.col("first_seen_date") + F.expr("INTERVAL 9 DAYS")})
     key = ["brand_name_en", "feature_name_en", "category"]
     last = lambda df: df.groupBy(key).agg(F.max("supplier").alias("supplier"), F.min("first_seen_date").alias("first_seen_date"))
-    return store.upsert(last(old), last(new), key, create_only=["first_seen_date"])
+    return store.upsert(last(every.where("first_seen_date IS NOT NULL")), last(new), key, create_only=["first_seen_date"])
 
 
 QUERIES = {
@@ -86,8 +85,8 @@ SELECT g.category, g.name_en, coalesce(n, 0) AS n_features FROM (SELECT * FROM k
 SELECT tier, coalesce(vehicle_count, 0) AS vehicle_count, coalesce(total, 0) AS feature_total, round(coalesce(total / vehicle_count, 0), 6) AS avg_features FROM (SELECT unnest(['budget', 'mid', 'premium', 'luxury', 'unknown']) AS tier) LEFT JOIN s USING (tier)""",
     "price_tier_category_avg": f"""WITH {FEATURES}, {VEHICLES}, n AS (SELECT tier, count(*) AS vehicles FROM tiered GROUP BY 1)
 SELECT tiered.tier, category, round(count(*) / any_value(vehicles), 6) AS avg_features FROM tiered JOIN f USING (brand_name_en) JOIN n ON n.tier = tiered.tier GROUP BY 1, 2""",
-    "upsert_merge_first_seen": f"""WITH {FEATURES}, o AS (SELECT brand_name_en, feature_name_en, category, max(supplier) AS supplier, min(first_seen_date) AS first_seen_date FROM f WHERE ord % 2 = 0 GROUP BY ALL),
-n AS (SELECT brand_name_en, feature_name_en, category, max(CASE WHEN ord % 5 <> 0 THEN 's' || supplier END) AS supplier, min(first_seen_date + INTERVAL 9 DAY) AS first_seen_date FROM f WHERE ord % 3 = 0 GROUP BY ALL)
+    "upsert_merge_first_seen": f"""WITH {FEATURES}, o AS (SELECT brand_name_en, feature_name_en, category, max(supplier) AS supplier, min(first_seen_date) AS first_seen_date FROM f WHERE first_seen_date IS NOT NULL GROUP BY ALL),
+n AS (SELECT brand_name_en, feature_name_en, category, max(CASE WHEN ord % 5 <> 0 THEN 's' || supplier END) AS supplier, min(first_seen_date + INTERVAL 9 DAY) AS first_seen_date FROM f GROUP BY ALL)
 SELECT brand_name_en, feature_name_en, category, CASE WHEN n.brand_name_en IS NOT NULL THEN n.supplier ELSE o.supplier END AS supplier, coalesce(o.first_seen_date, n.first_seen_date) AS first_seen_date
 FROM o FULL JOIN n USING (brand_name_en, feature_name_en, category)""",
 }

@@ -18,7 +18,7 @@ ARTICLES = r"""w AS (
   SELECT *, list_filter(string_split_regex(lower(text), '[^a-zà-ÿ]+'), lambda x: length(x) >= 6) AS w FROM documents),
 a AS (
   SELECT doc_id::VARCHAR AS id, doc_id AS ord, source AS source_name, lang AS language, 'https://example.org/' || source || '/' || (doc_id % 700)::VARCHAR AS source_url,
-    substr(split_part(text, chr(10), 1), 1, 120) AS title_en, substr(text, 1, 2000) AS body_en,
+    substr(split_part(text, chr(10), 1), 1, 120) AS title_en, text AS body_en,
     list_sort(list_distinct(w[1:3])) AS brands_mentioned, list_sort(list_distinct(w[4:6])) AS vehicles_mentioned,
     timestamp '2024-01-01' + to_minutes((doc_id * 7)::INT) AS scrape_date,
     CASE WHEN doc_id % 7 = 0 THEN NULL ELSE timestamp '2024-01-01' + to_minutes((doc_id * 7 - 60)::INT) END AS publish_date,
@@ -93,9 +93,9 @@ def stored_signals(spark, sf_dir):
 
 
 def signal_novelty(spark, sf_dir):
-    """The signals of the later half of the articles against those of the earlier half."""
+    """Every signal against all others."""
     every = stored_signals(spark, sf_dir)
-    return novelty.signal_novelty(every.where("ord % 2 = 1"), every.where("ord % 2 = 0")).withColumn("novelty", F.round("novelty", 6))
+    return novelty.signal_novelty(every, every).withColumn("novelty", F.round("novelty", 6))
 
 
 def article_novelty_sets(spark, sf_dir):
@@ -113,7 +113,7 @@ def article_novelty(spark, sf_dir):
 
 def url_anti_join_cap(spark, sf_dir):
     rows = articles(spark, sf_dir)
-    return queues.new_listings(rows.where("ord % 3 <> 0"), rows.where("ord % 3 = 0 AND ord % 2 = 0")).select("source_url", "source_name", "id", "turn")
+    return queues.new_listings(rows.where("NOT processed"), rows.where("processed AND phase2_processed")).select("source_url", "source_name", "id", "turn")
 
 
 def _rule_sql(kind: str, where: str, mentions: str = "[feature_name]") -> str:
@@ -125,7 +125,7 @@ def _any(text: str, words) -> str:
 
 
 AI = f"""(category = 'ai_assistant' AND is_new OR content_type IN ('news', 'opinion') AND {_any("lower(title_en || ' ' || body_en)", signals.AI_KEYWORDS)})"""
-CHIP = f"""category = 'adas' AND {_any("lower(substr(body_en, 1, 200))", signals.CHIP_KEYWORDS)}"""
+CHIP = f"""category = 'adas' AND {_any("lower(body_en)", signals.CHIP_KEYWORDS)}"""
 RULES = {
     "signal_new_feature": _rule_sql("new_feature_launch", "is_new"),
     "signal_ai": _rule_sql("ai_integration", AI, "CASE WHEN category = 'ai_assistant' THEN [feature_name] ELSE [] END"),
@@ -144,9 +144,13 @@ def with_part_category(rows: DataFrame) -> DataFrame:
 
 def signal_trickle_down(spark, sf_dir):
     """Counted by article, for its rows are as many as the features of other brands."""
-    found = signals.trickle_downs(with_part_category(articles(spark, sf_dir)), features(spark, sf_dir))
-    brand = F.get_json_object("trigger_data", "$.existing_brand")
-    return found.groupBy("article_id").agg(F.count("*").alias("n_matches"), F.countDistinct(brand).alias("n_brands"), F.min(brand).alias("first_brand"))
+    return signals.trickle_down_counts(with_part_category(articles(spark, sf_dir)), features(spark, sf_dir))
+
+
+def signal_trickle_down_rows(spark, sf_dir):
+    """The matches themselves, one row for each article, brand and feature name."""
+    met = signals.trickle_down_matches(with_part_category(articles(spark, sf_dir)).select("id", "brands_mentioned", "features_extracted"), features(spark, sf_dir))
+    return met.groupBy(F.col("id").alias("article_id"), "existing_brand", "existing_feature").agg(F.count("*").alias("n"))
 
 
 QUERIES = {
@@ -166,6 +170,7 @@ QUERIES = {
     "dedup_full_groups": dedup_full_groups,
     "signal_new_feature": _signal(signals.new_feature_launches),
     "signal_trickle_down": signal_trickle_down,
+    "signal_trickle_down_rows": signal_trickle_down_rows,
     "signal_ai": _signal(signals.ai_integrations),
     "signal_ota": _signal(signals.ota_deployments),
     "signal_partnership": _signal(signals.partnership_changes),
@@ -191,7 +196,7 @@ ORACLE_SQL = {
     "scan_phase2_queue": f"WITH {ARTICLES} SELECT id, scrape_date FROM a WHERE processed AND NOT coalesce(phase2_processed, false)",
     "scan_array_contains": f"WITH {ARTICLES}, {_STORED} SELECT signal_type || '/' || article_id AS id, signal_type FROM s WHERE article_id = '33'",
     "phase2_chunks": f"WITH {ARTICLES}, q AS (SELECT * FROM a WHERE processed AND NOT coalesce(phase2_processed, false) ORDER BY scrape_date DESC, id LIMIT 100) SELECT id, (row_number() OVER (ORDER BY ord) - 1) // 40 AS chunk FROM q",
-    "url_anti_join_cap": f"""WITH {ARTICLES}, n AS (SELECT * FROM a WHERE ord % 3 <> 0 AND source_url NOT IN (SELECT source_url FROM a WHERE ord % 3 = 0 AND ord % 2 = 0) QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY ord) = 1)
+    "url_anti_join_cap": f"""WITH {ARTICLES}, n AS (SELECT * FROM a WHERE NOT processed AND source_url NOT IN (SELECT source_url FROM a WHERE processed AND phase2_processed) QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY ord) = 1)
 SELECT source_url, source_name, id, (row_number() OVER (PARTITION BY source_name ORDER BY ord))::INT AS turn FROM n QUALIFY turn <= 25""",
     "corpus_union_batch": f"""WITH {ARTICLES}, b AS (SELECT * FROM a WHERE processed AND NOT coalesce(phase2_processed, false) ORDER BY scrape_date DESC, id LIMIT 100)
 SELECT id, source_name FROM b UNION ALL SELECT id, source_name FROM a WHERE processed AND scrape_date >= timestamp '2024-01-02' AND id NOT IN (SELECT id FROM b)""",
@@ -204,9 +209,11 @@ FROM a LEFT JOIN c ON c.id = a.ord LEFT JOIN k ON k.component = c.component""",
     **{k: f"WITH {ARTICLES} {v}" for k, v in RULES.items()},
     "signal_trickle_down": f"""WITH {ARTICLES}, {FEATURES}, n AS (SELECT *, ['gear', 'ring', 'bolt', 'rod', 'plate', 'anvil', 'widget', 'gizmo'][(ord % 8)::INT + 1] AS kind, list_append(brands_mentioned, 'brand#' || (ord % 55)::VARCHAR) AS named FROM a WHERE is_new)
 SELECT n.id AS article_id, count(*) AS n_matches, count(DISTINCT brand_name_en) AS n_brands, min(brand_name_en) AS first_brand FROM n JOIN f ON f.category = n.kind AND NOT list_contains(named, lower(brand_name_en)) GROUP BY 1""",
+    "signal_trickle_down_rows": f"""WITH {ARTICLES}, {FEATURES}, n AS (SELECT *, ['gear', 'ring', 'bolt', 'rod', 'plate', 'anvil', 'widget', 'gizmo'][(ord % 8)::INT + 1] AS kind, list_append(brands_mentioned, 'brand#' || (ord % 55)::VARCHAR) AS named FROM a WHERE is_new)
+SELECT n.id AS article_id, brand_name_en AS existing_brand, feature_name_en AS existing_feature, count(*) AS n FROM n JOIN f ON f.category = n.kind AND NOT list_contains(named, lower(brand_name_en)) GROUP BY 1, 2, 3""",
     "signal_counts_by_type": f"""WITH {ARTICLES}, {_STORED} SELECT signal_type, coalesce(n, 0) AS n_signals FROM (SELECT unnest({list(signals.SIGNAL_TYPES)}) AS signal_type) LEFT JOIN (SELECT signal_type, count(*) AS n FROM s GROUP BY 1) USING (signal_type)""",
     "signal_novelty": f"""WITH {ARTICLES}, {_STORED} SELECT x.signal_type || '/' || x.article_id AS id, round(greatest(0, least(1, 1 - max((x.signal_type = y.signal_type)::INT * 0.3 + {_NOVELTY_JACCARD["brands_mentioned"]} * 0.35 + {_NOVELTY_JACCARD["features_mentioned"]} * 0.2
-  + (x.article_id = y.article_id)::INT * 0.15))), 6) AS novelty FROM s x JOIN s y ON x.ord % 2 = 1 AND y.ord % 2 = 0 GROUP BY 1""",
+  + (x.article_id = y.article_id)::INT * 0.15))), 6) AS novelty FROM s x JOIN s y ON x.signal_type <> y.signal_type OR x.article_id <> y.article_id GROUP BY 1""",
     "article_novelty_sets": f"""WITH {ARTICLES}, n AS (SELECT *, list_distinct(list_append(vehicles_mentioned, category)) AS content FROM a)
 SELECT x.id, round(greatest(0, least(1, 1 - max({JACCARD.format("x.brands_mentioned", "y.brands_mentioned")} * 0.25 + {JACCARD.format("x.content", "y.content")} * 0.25
   + (coalesce(x.content_type = y.content_type AND x.brands_mentioned[1] = y.brands_mentioned[1], false))::INT * 0.15))), 6) AS novelty FROM n x JOIN n y ON x.id <> y.id GROUP BY 1""",

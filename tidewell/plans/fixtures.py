@@ -11,7 +11,7 @@ CONTENT_TYPES = ("news", "review", "teardown", "forum_post", "opinion", "regulat
 ARTICLES = """
 SELECT cast(doc_id AS string) AS id, doc_id AS ord, source AS source_name, lang AS language,
   'https://example.org/' || source || '/' || cast(doc_id % 700 AS string) AS source_url,
-  substr(split_part(text, '\\n', 1), 1, 120) AS title_en, substr(text, 1, 2000) AS body_en,
+  substr(split_part(text, '\\n', 1), 1, 120) AS title_en, text AS body_en,
   array_sort(array_distinct(slice(w, 1, 3))) AS brands_mentioned, array_sort(array_distinct(slice(w, 4, 3))) AS vehicles_mentioned,
   timestamp'2024-01-01' + make_dt_interval(0, 0, cast(doc_id * 7 AS int), 0) AS scrape_date,
   CASE WHEN doc_id % 7 = 0 THEN NULL ELSE timestamp'2024-01-01' + make_dt_interval(0, 0, cast(doc_id * 7 - 60 AS int), 0) END AS publish_date,
@@ -28,7 +28,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = spark.sql(ARTICLES, documents=docs)
     feature = F.struct(
-        F.try_element_at("vehicles_mentioned", F.lit(1)).alias("feature_name"), "category", F.substring("body_en", 1, 200).alias("description"), F.lit(None).cast("string").alias("supplier"), "is_new"
+        F.try_element_at("vehicles_mentioned", F.lit(1)).alias("feature_name"), "category", F.col("body_en").alias("description"), F.lit(None).cast("string").alias("supplier"), "is_new"
     )
     return out.withColumns({"features_extracted": F.array(feature), "is_duplicate": F.lit(None).cast("boolean"), "duplicate_group_id": F.lit(None).cast("string")})
 
