@@ -11,12 +11,12 @@ from ..operators.components import connected_components
 from ..tables import materialise
 
 #: Vectors that the codebooks are fitted on at most, those first by a hash of the id.
-SAMPLE = 4000
+SAMPLE = 20_000
 SUBSPACES, WORDS = 8, 64
 #: Vectors of a list on average, and lists at most.
-LIST_SIZE, LISTS = 2000, 256
+LIST_SIZE, LISTS = 8000, 1024
 #: Members and probes of one comparison block.
-BLOCK = 128
+BLOCK = 1024
 SEED = 5
 
 
