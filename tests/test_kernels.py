@@ -359,3 +359,60 @@ def test_feeds_links_and_urls(spark):
     assert one(spark, web.is_ev_related(F.lit("My new Model Y"))) and not one(spark, web.is_ev_related(F.lit("Cake")))
     page = spark.createDataFrame([('<script><a href="no">n</a></script><a class=x href="/p/1"> One <b>x</b></a>',)], "html string")
     assert [(r.href, r.title) for r in web.links(page).collect()] == [("/p/1", "One x")]
+
+
+def found(spark, source, html, url="https://l.org/"):
+    from tidewell.operators import listings
+
+    rows = listings.discover(spark.createDataFrame([(url, html)], "url string, html string"), source, F.lit(NOON)).orderBy("ord").collect()
+    return [(r.source_url, r.title, r.publish_date) for r in rows]
+
+
+def test_listings(spark):
+    page = '<div class="result"><h3><a href="https://a.org/1">One</a></h3><p class="c-author">Paper 3小时前</p></div><div class="result-op" tpl="news-normal"><h3><a href="http://a.org/2">Two</a></h3><span class="c-color-gray2">2026年7月9日</span></div><div class="result"><h3><a href="//in/3">No</a></h3></div><div class="result"><h3><a href="https://a.org/1">Again</a></h3></div>'
+    assert found(spark, "baidu_news", page) == [("https://a.org/1", "One", datetime(2026, 7, 10, 9)), ("http://a.org/2", "Two", datetime(2026, 7, 8, 16))]
+    page = '<ul class="article"><li data-artidanchor="1"><a href="//www.autohome.com.cn/news/1.html#pv"><h3>A</h3></a><span class="fn-left">昨天</span></li><li><a href="/ad"><h3>Ad</h3></a></li><li data-artidanchor="2"><a href="/news/2.html"></a></li></ul>'
+    assert found(spark, "autohome", page) == [("https://www.autohome.com.cn/news/1.html", "A", datetime(2026, 7, 9, 12))]
+    page = '<script>window.initialState={"information": {"informationList": {"itemList": [{"route": "detail_article?x", "itemId": 7, "templateMaterial": {"widgetTitle": "K", "publishTime": 1783684800123}}, {"route": "detail_video", "itemId": 8}, {"route": "detail_article", "itemId": "9"}]}}}</script><a class="article-item-title" href="/p/5">DOM</a>'
+    assert found(spark, "36kr", page) == [("https://36kr.com/p/7", "K", EPOCH)]
+    assert found(spark, "36kr", page.replace("{", "(", 1)) == [("https://36kr.com/p/5", "DOM", None)]
+    page = '<script id="__NEXT_DATA__">{"props": {"pageProps": {"todayNews": {"head_article": [{"gid_str": "1", "title": " T "}, {"gid_str": "2", "title": "V", "is_video": true}]}, "focusPic": [{"pic_list": [{"group_id": "3", "title": "P"}]}]}}}</script><a href="/article/1?x">dup</a><a href="https://m.x/article/4?t">D</a><a href="/article/5"><img></a>'
+    assert [x[:2] for x in found(spark, "dongchedi", page)] == [("https://www.dongchedi.com/article/1", "T"), ("https://www.dongchedi.com/article/3", "P"), ("https://www.dongchedi.com/article/4", "D")]
+    page = '<script>window.__INITIAL_STATE__={"feed": {"feeds": [{"id": "0123456789abcdef", "modelType": "note", "noteCard": {"displayTitle": "蔚来提车"}, "x": undefined}, {"id": "0123456789abcde0", "noteCard": {"displayTitle": "cake"}}]}}</script><section class="note-item"><a class="title" href="/explore/0123456789abcde1?xsec_token=z">Tesla road trip</a></section>'
+    assert [x[:2] for x in found(spark, "xiaohongshu", page)] == [("https://www.xiaohongshu.com/explore/0123456789abcdef", "蔚来提车"), ("https://www.xiaohongshu.com/explore/0123456789abcde1", "Tesla road trip")]
+    assert found(spark, "dongchedi", None) == []
+
+
+def test_feed_listings_and_aliases(spark, tmp_path):
+    from tidewell.operators import listings
+    from tidewell.sources import config
+
+    item = "<item><title>{0}</title><link>https://x.org/{0}</link></item>"
+    feeds = spark.createDataFrame([(0, f"<rss><channel>{item.format('a')}{item.format('b')}</channel></rss>"), (1, f"<rss><channel>{item.format('b')}{item.format('c')}</channel></rss>"), (2, None)], "ord int, xml string")
+    assert [r.title for r in listings.discover_feeds(feeds, "gasgoo").orderBy("ord").collect()] == ["a", "b", "c"]
+    (tmp_path / "a.json").write_text('{"aliases": {"byd": "BYD"}, "brands": {"BYD": {"nameZh": "比亚迪", "parentGroup": "g", "evFocus": true}}}')
+    aliases, meta = config.load_aliases(spark, str(tmp_path / "a.json"))
+    assert [tuple(r) for r in aliases.collect()] == [("byd", "BYD")] and meta.first().ev_focus
+
+
+def test_streams(spark, tmp_path):
+    from tidewell.streaming import incremental
+
+    schema = "ts timestamp, source_name string, kind string, source_url string"
+    rows = [(NOON + timedelta(minutes=k), "a", "error" if k % 3 == 0 else "request", f"u{k % 4}") for k in range(12)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    incremental.drain(incremental.distinct_urls(stream()), str(tmp_path / "urls"), str(tmp_path / "c1"))
+    assert sorted(r.source_url for r in spark.read.parquet(str(tmp_path / "urls")).collect()) == ["u0", "u1", "u2", "u3"]
+    seen = []
+
+    def fails_first(batch, n):
+        seen.append(batch.count())
+        if len(seen) == 1:
+            raise RuntimeError("no")
+
+    with pytest.raises(Exception, match="no"):
+        incremental.drain_batches(stream(), fails_first, str(tmp_path / "c2"))
+    incremental.drain_batches(stream(), fails_first, str(tmp_path / "c2"))
+    incremental.drain_batches(stream(), fails_first, str(tmp_path / "c2"))
+    assert seen == [12, 12]

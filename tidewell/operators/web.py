@@ -2,8 +2,8 @@
 
 import json
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -17,7 +17,7 @@ _VOID = frozenset("area base br col embed hr img input link meta source track wb
 _HIDDEN = frozenset(("script", "style", "noscript", "template"))
 
 
-class _Page(HTMLParser):
+class Page(HTMLParser):
     """The elements of a page in order: (tag, attributes, parent, last descendant), and text runs by element."""
 
     def __init__(self, html: str) -> None:
@@ -60,6 +60,9 @@ class _Page(HTMLParser):
             if _is(self.nodes[i], last) and self._under(i, outer, within):
                 yield i
 
+    def matches(self, i: int, simple: str) -> bool:
+        return _is(self.nodes[i], simple)
+
     def _under(self, i: int, outer: list[str], within: int) -> bool:
         if not outer:
             return True
@@ -112,7 +115,8 @@ class Source:
     body: tuple[str, ...]
     joiner: str = "\n"
     without: tuple[str, ...] = ()
-    paragraphs: bool = False
+    paragraphs: str = ""
+    text_without_paragraphs: bool = False
     state: str = ""
     state_path: tuple[str, ...] = ()
     state_fields: tuple[str, str, str] = ("", "", "")
@@ -123,8 +127,6 @@ class Source:
     largest_block: bool = False
     title_trim: tuple[str, str] = ("", "")
     first_line_title: bool = False
-    listing: str = ""
-    keywords: tuple[str, ...] = field(default=())
 
 
 # Words by which a note counts as being about electric vehicles.
@@ -143,9 +145,9 @@ SOURCES = {
         Source("gasgoo", "en", ("h1",), ("div.article-content",), date_meta=_PUBLISHED[:1]),
         Source("cnevpost", "en", ("h1.entry-title", "h1"), ("div.entry-content",), without=("div.subscription-container", "div.danpian-xiangguan-post"), date_meta=_PUBLISHED[:1]),
         Source("baidu_news", "zh", ("h1", "meta:og:title", "title"), ("article", "div.article-content", "div.post-content", "#content", "div.content"), date_meta=_PUBLISHED, date_zone="+08:00", date_kind="text", largest_block=True),
-        Source("autohome", "zh", ("title",), ("#parent-container",), paragraphs=True, state="#__NEXT_DATA__", state_path=("props", "pageProps", "articleContent"), state_fields=("title", "content", "publishDate"), date_zone="+08:00", date_kind="seconds"),
+        Source("autohome", "zh", ("title",), ("#parent-container",), paragraphs="p.editor-paragraph", title_trim=("【图】", "_汽车之家"), state="#__NEXT_DATA__", state_path=("props", "pageProps", "articleContent"), state_fields=("title", "content", "publishDate"), date_zone="+08:00", date_kind="seconds"),
         Source("36kr", "zh", ("h1.article-title", "h1"), ("div.articleDetailContent",), state="window.initialState=", state_path=("articleDetail", "articleDetailData", "data"), state_fields=("widgetTitle", "widgetContent", "publishTime"), date_meta=_PUBLISHED[:1], date_zone="+08:00", date_kind="millis"),
-        Source("dongchedi", "zh", ("h1",), ("#article",), paragraphs=True, state="#__NEXT_DATA__", state_path=("props", "pageProps", "article"), state_fields=("title", "content", "publish_time"), date_element="span.time", date_zone="+08:00", date_kind="epoch"),
+        Source("dongchedi", "zh", ("h1",), ("#article",), paragraphs="p", text_without_paragraphs=True, state="#__NEXT_DATA__", state_path=("props", "pageProps", "article"), state_fields=("title", "content", "publish_time"), date_element="span.time", date_zone="+08:00", date_kind="epoch"),
         Source("xiaohongshu", "zh", ("#detail-title",), ("#detail-desc span.note-text", "#detail-desc"), joiner=" ", state="window.__INITIAL_STATE__", state_path=("note", "noteDetailMap", "*", "note"), state_fields=("title", "desc", "time"), date_element="span.date", date_zone="+08:00", date_kind="note", first_line_title=True),
     )
 }
@@ -153,20 +155,24 @@ SOURCES = {
 SOURCE_RANK = {name: i for i, name in enumerate(SOURCES)}
 
 
-def _state(page: _Page, html: str, spec: Source, url: str) -> dict:
-    """The JSON object that holds the article, or nothing."""
-    if spec.state.startswith("#"):
-        found = next((page.raw(i) for i in page.select("script" + spec.state)), "")
+def embedded_state(page: Page, html: str, where: str) -> dict:
+    """The JSON object that a script holds: by the script's id, or after an assignment; nothing if it doesn't parse."""
+    if where.startswith("#"):
+        found = next((page.raw(i) for i in page.select("script" + where)), "")
     else:
-        at = html.find(spec.state)
-        found = html[at + len(spec.state) :].lstrip(" =\n") if spec.state and at >= 0 else ""
-        found = re.sub(r"\bundefined\b", "null", found) if "__" in spec.state else found
-    if not found:
-        return {}
+        at = html.find(where)
+        found = html[at + len(where) :].lstrip(" =\n") if where and at >= 0 else ""
+        found = re.sub(r"\bundefined\b", "null", found) if "__" in where else found
     try:
         value = json.JSONDecoder().raw_decode(found.strip())[0]
     except ValueError:
         return {}
+    return value if isinstance(value, dict) else {}
+
+
+def _state(page: Page, html: str, spec: Source, url: str) -> dict:
+    """The JSON object that holds the article, or nothing."""
+    value = embedded_state(page, html, spec.state) if spec.state else {}
     for step in spec.state_path:
         if step == "*" and isinstance(value, dict):
             own = re.search(r"/(?:explore|discovery/item)/([0-9a-f]{16,32})", url or "")
@@ -176,18 +182,18 @@ def _state(page: _Page, html: str, spec: Source, url: str) -> dict:
     return value if isinstance(value, dict) else {}
 
 
-def _body_of(page: _Page, i: int, spec: Source) -> str:
-    if spec.paragraphs:
-        joined = "\n".join(t for t in (page.text(p) for p in page.select("p", i)) if t)
-        return joined or page.text(i)
-    return page.text(i, spec.joiner, spec.without)
+def _body_of(page: Page, i: int, spec: Source, paragraphs: str) -> str:
+    if not paragraphs:
+        return page.text(i, spec.joiner, spec.without)
+    joined = "\n".join(t for t in (page.text(p) for p in page.select(paragraphs, i)) if t)
+    return joined or (page.text(i) if spec.text_without_paragraphs else "")
 
 
 def extract(html: str | None, url: str, spec: Source) -> tuple[str, str, str, str, str]:
     """Title, body, the state's date, the meta or element's date, and all text if the date may stand anywhere."""
     if not html:
         return "", "", "", "", ""
-    page = _Page(html)
+    page = Page(html)
     meta = {page.nodes[i][1].get("property", ""): page.nodes[i][1].get("content", "") for i in page.select("meta") if page.nodes[i][1].get("content")}
     state = _state(page, html, spec, url)
     t, b, d = (state.get(k) if k else None for k in spec.state_fields)
@@ -199,10 +205,10 @@ def extract(html: str | None, url: str, spec: Source) -> tuple[str, str, str, st
             break
     body = ""
     if isinstance(b, str) and b.strip():
-        inner = _Page(b)
-        body = _body_of(inner, 0, spec) if "<" in b else b.strip()
+        inner = Page(b)
+        body = _body_of(inner, 0, spec, spec.paragraphs and "p") if "<" in b else b.strip()
     for s in () if body else spec.body:
-        body = next((x for x in (_body_of(page, i, spec) for i in page.select(s)) if x), "")
+        body = next((x for x in (_body_of(page, i, spec, spec.paragraphs) for i in page.select(s)) if x), "")
         if body:
             break
     if not body and spec.largest_block:
@@ -247,14 +253,14 @@ def scrape_articles(pages: DataFrame, source: str, as_of: Column, url_col: str =
     return found.select(F.lit(spec.name).alias("source_name"), "source_url", "title", "body", publish_date(spec, as_of).alias("publish_date"), as_of.alias("scrape_date"), F.lit(spec.language).alias("language"), "raw_html")
 
 
-def feed_entries(feeds: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """Entries of RSS feeds, one XML text each: ``url``, ``title``, ``publish_date``; a feed that doesn't parse has none."""
+def feed_entries(feeds: DataFrame, xml_col: str = "xml", keep: Sequence[str] = ()) -> DataFrame:
+    """Entries of RSS feeds, one XML text each: ``url``, ``title``, ``publish_date``, ``pos``; a feed that doesn't parse has none."""
     item = "array<struct<title: string, link: string, pubDate: string>>"
     parsed = F.from_xml(F.col(xml_col), f"channel struct<item: {item}>", {"mode": "PERMISSIVE"})
-    rows = feeds.select(F.explode(parsed["channel"]["item"]).alias("i"))
+    rows = feeds.select(*keep, F.posexplode(parsed["channel"]["item"]).alias("pos", "i"))
     day = F.regexp_replace(F.col("i.pubDate"), r"^[A-Za-z]+,\s*", "")
     stamp = F.coalesce(F.try_to_timestamp(day, F.lit("d MMM yyyy HH:mm:ss z")), F.try_to_timestamp(day, F.lit("d MMM yyyy HH:mm:ss Z")))
-    return rows.select(F.trim("i.link").alias("url"), F.trim("i.title").alias("title"), stamp.alias("publish_date"))
+    return rows.select(F.trim("i.link").alias("url"), F.trim("i.title").alias("title"), stamp.alias("publish_date"), "pos", *keep)
 
 
 def same_site_url(href: Column, base: str, host: str) -> Column:
