@@ -4,6 +4,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -102,13 +104,24 @@ def fit_codebook(vectors: DataFrame, lists: int, sample: int = SAMPLE) -> Codebo
 
 
 def unit_vectors(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
-    """``id``, ``label``, ``u`` (the vector at length 1, in doubles); rows that can link with nothing are left out."""
-    x = F.transform(F.col(vec_col), lambda v: v.cast("double"))
-    finite = ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    out = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), x.alias("x")).where(F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("x").isNotNull() & finite)
-    largest = out.withColumn("top", F.array_max(F.transform("x", F.abs))).where("top > 0").withColumn("x", F.transform("x", lambda v: v / F.col("top")))
-    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
-    return largest.withColumn("norm", norm).select("id", "label", F.transform("x", lambda v: v / F.col("norm")).alias("u"))
+    """``id``, ``label``, ``u`` (the vector at length 1, in doubles) and ``fp``, its fingerprint; rows that can link with nothing are left out."""
+
+    def normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept, units, prints = [], [], []
+            for i, v in enumerate(batch.column(2)):
+                x = np.array(v.as_py(), dtype=np.float64) if v.is_valid else np.empty(0)  # a null component becomes NaN
+                if len(x) and np.isfinite(x).all() and x.any():
+                    x /= np.abs(x).max()
+                    x /= np.sqrt((x * x).sum())
+                    kept.append(i)
+                    units.append(x)
+                    prints.append(xxhash.xxh3_128_digest((x + 0.0).tobytes()))
+            some = batch.take(pa.array(kept, pa.int64()))
+            yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(units, pa.list_(pa.float64())), pa.array(prints, pa.binary())], ["id", "label", "u", "fp"])
+
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vec_col).cast("array<double>").alias("x"))
+    return rows.where("id IS NOT NULL AND label IS NOT NULL AND x IS NOT NULL").mapInArrow(normalise, "id long, label string, u array<double>, fp binary")
 
 
 def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", sample: int = SAMPLE) -> DataFrame:
@@ -126,9 +139,9 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, id_col: st
     links. Vectors of another length than the codebook's are compared in one list of their length. Rows that share an id
     count as one vertex with the links of all of them; a null id has null results. Other columns are ignored.
     """
-    units = unit_vectors(vectors, id_col, vec_col, label_col)
-    distinct = units.groupBy("label", "u").agg(F.min("id").alias("rep"), F.countDistinct("id").alias("copies"))
-    distinct = materialise(distinct.select("label", "u", F.col("rep").alias("id"), "copies"), "units")
+    units = materialise(unit_vectors(vectors, id_col, vec_col, label_col), "units")
+    distinct = units.groupBy("label", "fp").agg(F.min("id").alias("rep"), F.countDistinct("id").alias("copies"), F.first("u").alias("u"))
+    distinct = materialise(distinct.select("label", "fp", "u", F.col("rep").alias("id"), "copies"), "distinct-units")
     book = fit_codebook(distinct, min(LISTS, max(4, distinct.count() // LIST_SIZE)), sample)
     radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
 
@@ -199,8 +212,8 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, id_col: st
     found = materialise(found, "vector-links")
     linked = found.where("other is null").groupBy(F.col("rep").alias("id")).agg(F.sum("links").alias("links"))
     merged = connected_components(found.where("other is not null"), "rep", "other")
-    per = distinct.join(linked, "id", "left").join(merged, "id", "left").select("label", "u", F.coalesce("component", "id").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    each = units.join(per, ["label", "u"]).groupBy("id").agg(F.min("component").alias("component"), F.sum("links").alias("links"))
+    per = distinct.join(linked, "id", "left").join(merged, "id", "left").select("label", "fp", F.coalesce("component", "id").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    each = units.select("id", "label", "fp").join(per, ["label", "fp"]).groupBy("id").agg(F.min("component").alias("component"), F.sum("links").alias("links"))
     out = vectors.select(F.col(id_col).cast("long").alias("id")).distinct().join(each, "id", "left")
     out = out.select("id", F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     return out.withColumn("kept", F.col("id") == F.col("component_id"))
