@@ -13,8 +13,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     doubling. The labels of a round are a table in the shared folder, and the driver sees only whether any changed.
     Nulls, loops and repeated edges add nothing; an empty edge table gives an empty result.
     """
-    one = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
-    both = materialise(one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    one = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct()
+    ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = materialise(one.select(ways.alias("w")).select("w.a", "w.b"), "edges")
     labels = materialise(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("near")).select("id", F.least("id", "near").alias("component")), "labels")
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
