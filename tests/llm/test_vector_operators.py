@@ -46,7 +46,8 @@ def test_top_k_with_ties_few_rows_and_large_values(spark):
 
 
 def test_near_dedup_equals_brute_force(spark, rows):
-    got = {r.id: r for r in pq.embedding_near_dedup(spark.createDataFrame(rows, SCHEMA)).collect()}
+    again = [*rows, rows[5], rows[900]]  # repeated rows count once
+    got = {r.id: r for r in pq.embedding_near_dedup(spark.createDataFrame(again, SCHEMA)).collect()}
     assert set(got) == {r[0] for r in rows}
     unit = {i: (np.asarray(v, dtype=np.float32).astype(float), label) for i, v, label, _ in rows if label is not None and _fits(v) and np.any(np.asarray(v, dtype=np.float32))}
     unit = {i: (v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max()), label) for i, (v, label) in unit.items()}

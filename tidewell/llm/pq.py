@@ -213,7 +213,7 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, id_col: st
     linked = found.where("other is null").groupBy(F.col("rep").alias("id")).agg(F.sum("links").alias("links"))
     merged = connected_components(found.where("other is not null"), "rep", "other")
     per = distinct.join(linked, "id", "left").join(merged, "id", "left").select("label", "fp", F.coalesce("component", "id").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    each = units.select("id", "label", "fp").join(per, ["label", "fp"]).groupBy("id").agg(F.min("component").alias("component"), F.sum("links").alias("links"))
+    each = units.select("id", "label", "fp").distinct().join(per, ["label", "fp"]).groupBy("id").agg(F.min("component").alias("component"), F.sum("links").alias("links"))
     out = vectors.select(F.col(id_col).cast("long").alias("id")).distinct().join(each, "id", "left")
     out = out.select("id", F.coalesce("links", F.lit(0)).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     return out.withColumn("kept", F.col("id") == F.col("component_id"))

@@ -15,7 +15,10 @@ LEVELS = (1, 4, 16)
 
 
 def quantised(vectors: DataFrame, vec_col: str = "embedding", scale: float = 256.0) -> DataFrame:
-    """``q``: floor(scale * component) of every vector; vectors that are null or empty or hold null or non-finite components are left out."""
+    """``q``: floor(scale * component) of every vector, at most what 64 bits hold.
+
+    Vectors that are null or empty or hold null or non-finite components are left out.
+    """
     x = F.col(vec_col)
     finite = ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v.cast("double")) == float("inf")))
     return vectors.where(x.isNotNull() & (F.size(x) > 0) & finite).withColumn("q", F.transform(x, lambda v: F.floor(v.cast("double") * F.lit(scale)).cast("long"))).drop(vec_col)
