@@ -262,3 +262,30 @@ def test_mixing_meets_its_targets(spark, docs, empty):
     odd = {r.doc_id: r for r in mixing.mix_sources(docs).collect()}
     assert len(odd) == 15 and odd[4].tokens == 0 and odd[4].probability <= 1
     assert mixing.mix_sources(empty).count() == 0
+
+
+def _edited(words_, kind, n, at):
+    put = prose(900 + n, n).split()
+    return [*words_[:at], *put, *words_[at + n * (kind == "replace") :]] if kind != "delete" else [*words_[:at], *words_[at + n :]]
+
+
+@pytest.mark.parametrize("kind", ["insert", "delete", "replace"])
+def test_edited_passages_equal_brute_force(kind):
+    grams = lambda t: substring.shingles(words(t)[0])
+    for n in range(1, 13):
+        for size, at in ((90, 45), (95, 47), (140, 40), (300, 150)):
+            passage = prose(40 + n, size).split()
+            copy = _edited(passage, kind, n, at)
+            one = " ".join([prose(50 + n, 70), *passage, prose(60 + n, 40)])
+            two = " ".join([prose(70 + n, 30), *copy, prose(80 + n, 80)])
+            for earlier, later in ((one, two), (two, one)):
+                x, y = grams(later), grams(earlier)
+                shared = np.flatnonzero(np.isin(x, y))
+                a, b = int(shared[0]), int(shared[-1])
+                c, d = np.flatnonzero(np.isin(y, x))[[0, -1]].tolist()
+                s, t = set(x[a : b + 1].tolist()), set(y[c : d + 1].tolist())
+                got = substring._passages(x, y, 46, 0.8)
+                if len(s & t) / len(s | t) >= 0.8:
+                    assert [g[:4] for g in got] == [(a, b, c, d)] and got[0][4] == pytest.approx(len(s & t) / len(s | t)), (n, size)
+                else:
+                    assert all(g[4] >= 0.8 and g[1] - g[0] >= 45 for g in got), (n, size)

@@ -100,47 +100,82 @@ def windows_of(docs: DataFrame, id_col: str, text_col: str, least: int, hashes:
     return some.mapInArrow(make, WINDOW)
 
 
-def _passages(x: np.ndarray, y: np.ndarray, reach: list[tuple[int, int]], least: int, threshold: float) -> list[tuple[int, int, int, int, float]]:
-    """Passages of ``x`` (as runs of grams) within ``reach`` that have a similar one in ``y``: begin, end, begin and end in y, similarity."""
-    inside = np.zeros(len(x) + 1, dtype=np.int64)
-    for a, b in reach:
-        inside[a] += 1
-        inside[min(b, len(x) - 1) + 1] -= 1
+def _places(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the grams of ``x`` that ``y`` has too, and for each its place in ``y``; of several, the one that goes on
+    from the gram before it or towards the next gram that ``y`` has once."""
     order = np.argsort(y, kind="stable")
     ranked = y[order]
     lo, hi = np.searchsorted(ranked, x, "left"), np.searchsorted(ranked, x, "right")
-    hit = np.flatnonzero((hi > lo) & (np.cumsum(inside[:-1]) > 0))
-    out = []
-    todo = np.split(hit, np.flatnonzero(np.diff(hit) > 2 * SHINGLE) + 1) if len(hit) else []
-    while todo:
-        p = todo.pop()
-        if not len(p) or p[-1] - p[0] + 1 < least:
-            continue
-        single = hi[p] - lo[p] == 1
-        shift = np.median((order[lo[p]] - p)[single] if single.any() else order[lo[p]] - p)
-        nearest = order[lo[p]].copy()  # where y has a gram more than once, the place nearest to the others' shift
+    p = np.flatnonzero(hi > lo)
+    if not len(p):
+        return p, p
+    q = order[lo[p]]
+    single = hi[p] - lo[p] == 1
+    if not single.all():
+        after = np.where(single, np.arange(len(p)), len(p))
+        after = np.minimum.accumulate(after[::-1])[::-1]
         for k in np.flatnonzero(~single).tolist():
             places = order[lo[p[k]] : hi[p[k]]]  # in ascending order, for the sort is stable
-            m = int(np.searchsorted(places, p[k] + shift))
-            nearest[k] = min(places[max(0, m - 1) : m + 1].tolist(), key=lambda q, at=p[k] + shift: abs(q - at))
-        close = np.abs(nearest - p - shift) <= max(2 * SHINGLE, (p[-1] - p[0]) // 4)
-        if close.sum() * 2 < len(p):  # two places of y under one run: split between the most distant neighbours
-            jump = np.abs(np.diff(nearest - p)).argmax() + 1
-            todo += [p[:jump], p[jump:]]
+            wanted = [q[k - 1] - p[k - 1] + p[k]] if k else []
+            if after[k] < len(p):
+                wanted.append(q[after[k]] - p[after[k]] + p[k])
+            best = (len(x) + len(y), int(q[k]))
+            for w in wanted:
+                m = int(np.searchsorted(places, w))
+                best = min([best, *((abs(v - int(w)), v) for v in places[max(0, m - 1) : m + 1].tolist())])
+            q[k] = best[1]
+    return p, q
+
+
+def _first_times(x: np.ndarray) -> np.ndarray:
+    """How many grams before each place stand there for the first time: a span has at least so many distinct ones."""
+    new = np.zeros(len(x) + 1, dtype=np.int64)
+    new[np.unique(x, return_index=True)[1] + 1] = 1
+    return np.cumsum(new)
+
+
+def _passages(x: np.ndarray, y: np.ndarray, least: int, threshold: float) -> list[tuple[int, int, int, int, float]]:
+    """Passages of ``x`` (as runs of grams) that have a similar one in ``y``: begin, end, begin and end in y, similarity.
+
+    The common grams are cut into runs without a gap or a change of shift. From each run the furthest later one is taken
+    whose joined span is long and similar enough, unless an earlier span holds it. A bound of the similarity by counts,
+    which is never below it, spares most sets.
+    """
+    p, q = _places(x, y)
+    if not len(p):
+        return []
+    begins = np.flatnonzero(np.r_[True, (np.diff(p) != 1) | (np.diff(q) != 1)])
+    ends = np.r_[begins[1:], len(p)] - 1
+    at, to, y_at, y_to = p[begins], p[ends], q[begins], q[ends]
+    new_x, new_y, shift = _first_times(x), _first_times(y), y_at - at
+    out, reached = [], -1
+    for i in range(len(at)):
+        low = max(i, reached + 1)
+        if low >= len(at) or to[-1] - at[i] + 1 < least:
+            break
+        # the bound by x alone: common grams against distinct ones
+        js = np.arange(low, len(at))
+        some = (to[low:] - at[i] + 1 >= least) & (ends[low:] - begins[i] + 1 >= threshold * (new_x[to[low:] + 1] - new_x[at[i]]))
+        js = js[some]
+        if not len(js):
             continue
-        a, b, c, d = int(p[0]), int(p[-1]), int(nearest[close].min()), int(nearest[close].max())
-        mine, other = np.unique(x[a : b + 1]), np.unique(y[c : d + 1])
-        both = len(np.intersect1d(mine, other, assume_unique=True))
-        similar = both / (len(mine) + len(other) - both)
-        if similar >= threshold and d - c + 1 >= threshold * least:
-            out.append((a, b, c, d, similar))
-        else:
-            gap = np.diff(p)
-            if not close.all():  # what lies elsewhere in y goes first
-                todo += np.split(p, np.flatnonzero(np.diff(close.astype(np.int8))) + 1)
-            elif gap.max(initial=1) > 1:
-                cut = int(gap.argmax()) + 1
-                todo += [p[:cut], p[cut:]]
+        stop = js[-1] + 1
+        close = np.abs(shift[i:stop] - shift[i]) <= np.maximum(least // 2, (to[i:stop] - at[i]) // 4)
+        c = np.minimum.accumulate(np.where(close, y_at[i:stop], len(y)))
+        d = np.maximum.accumulate(np.where(close, y_to[i:stop], -1))
+        js = js[close[js - i]]
+        c, d, common = c[js - i], d[js - i], ends[js] - begins[i] + 1
+        distinct = new_x[to[js] + 1] - new_x[at[i]] + new_y[d + 1] - new_y[c]
+        may = (d - c + 1 >= threshold * least) & (common * (1 + threshold) >= threshold * distinct - 1e-9)
+        for j, yc, yd in zip(js[may][::-1].tolist(), c[may][::-1].tolist(), d[may][::-1].tolist(), strict=True):
+            a, b = int(at[i]), int(to[j])
+            mine, other = np.unique(x[a : b + 1]), np.unique(y[yc : yd + 1])
+            both = len(np.intersect1d(mine, other, assume_unique=True))
+            similar = both / (len(mine) + len(other) - both)
+            if similar >= threshold:
+                out.append((a, b, yc, yd, similar))
+                reached = j
+                break
     return out
 
 
@@ -151,12 +186,11 @@ def _verify(least: int, threshold: float):
         rows = []
         for (y_doc, _), part in pdf.groupby(["y_doc", "chunk"], sort=False):
             originals = [shingles(words(t)[0]) for t in part.loc[part["reach"].isna(), "text"].drop_duplicates()]
-            for doc, text, reach in part.loc[part["reach"].notna(), ["doc", "text", "reach"]].itertuples(index=False):
+            for doc, text in part.loc[part["reach"].notna(), ["doc", "text"]].itertuples(index=False):
                 hashes, start, end = words(text)
                 x = shingles(hashes)
                 for y in originals:
-                    near = [(int(a), int(b)) for a, b in reach if int(a) < len(x)]
-                    for a, b, _c, _d, similar in _passages(x, y, near, least, threshold):
+                    for a, b, _c, _d, similar in _passages(x, y, least, threshold):
                         last = min(b + SHINGLE, len(start)) - 1
                         rows.append((doc, int(start[a]), int(end[last]), last - a + 1, y_doc, similar))
         return pd.DataFrame(rows, columns=list(columns)).astype(columns).drop_duplicates()
