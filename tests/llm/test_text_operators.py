@@ -289,3 +289,27 @@ def test_edited_passages_equal_brute_force(kind):
                     assert [g[:4] for g in got] == [(a, b, c, d)] and got[0][4] == pytest.approx(len(s & t) / len(s | t)), (n, size)
                 else:
                     assert all(g[4] >= 0.8 and g[1] - g[0] >= 45 for g in got), (n, size)
+
+
+def test_an_earlier_document_without_the_passage_hides_nothing(spark):
+    texts, pairs = {}, set()
+    for k in range(40):  # the first of three has a line of the passage or a far variant of it, the others the passage
+        passage = prose(2000 + k, 54).split()
+        other = list(passage)
+        if k % 2:
+            other = [*prose(2100 + k, 30).split(), *passage[12:34], *prose(2200 + k, 30).split()]
+        else:
+            other[27] = other[9] = "changed"
+        for j, w in enumerate((other, passage, passage)):
+            texts[10 * k + j] = " ".join([prose(2300 + 10 * k + j, 20), *w, prose(2800 + 10 * k + j, 20)])
+        pairs.add((10 * k + 2, 10 * k + 1))
+    rows = substring.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {(r.doc, r.first_doc) for r in rows} == pairs
+
+
+def test_a_line_of_many_documents_takes_several_rounds(spark):
+    line, passage = prose(31, 20), prose(32, 40)
+    texts = {i: " ".join([prose(3000 + i, 40), line, prose(3200 + i, 40)]) for i in range(60)}
+    texts |= {i: " ".join([prose(3400 + i, 10), line, passage, prose(3500 + i, 10)]) for i in range(60, 66)}
+    rows = substring.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc for r in rows} == set(range(61, 66)) and {r.first_doc for r in rows} == {60}

@@ -1,9 +1,9 @@
-"""Substring dedup: passages that repeat across documents, found by compact windows and verified on full sets of shingles.
+"""Substring dedup: passages that repeat across documents, found by smallest hashes of runs and verified on full sets of shingles.
 
-A text is the sequence of its five-word shingles. For one hash function, all subsequences of at least the least length
-whose smallest hash is at the same place form a compact window: they begin within (left, place) and end within (place,
-right). The windows are the nodes of the Cartesian tree over the hashes. Two documents that share a passage have windows
-with the same smallest hash, under each hash function with a probability equal to the passages' Jaccard similarity.
+A text is the sequence of its five-word shingles. Every run of the least length has a smallest hash under each hash
+function, and two of them make its key in a band. Runs of two passages have the same key in a band with a probability of
+the square of their Jaccard similarity. Documents with a key in common are verified, earlier ones first, until the place
+of the key lies in a passage that is found or no earlier document is left.
 """
 
 from collections.abc import Iterator
@@ -21,9 +21,9 @@ from .words import SHINGLE, mix, shingles, words
 #: Words of the shortest passage.
 LEAST_WORDS = 50
 THRESHOLD = 0.8
-#: Hash functions, and how many must meet in the same pair of passages.
-HASHES, NEEDED = 4, 2
-#: Windows that a task combines before it hands them on.
+#: Bands, and the hash functions of each, all of which must meet in the same run.
+BANDS, ROWS = 4, 2
+#: Keys that a task hands on at once.
 COMBINED = 400_000
 #: Documents compared with one earlier document in a verification group, and pairs that small groups share.
 FAN, BIN = 64, 128
@@ -58,38 +58,54 @@ def compact_windows(grams: np.ndarray, least: int, turn: int) -> tuple[np.ndarra
     return x[places], places, np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
 
 
-WINDOW = "key long, turn int, doc long, c int, l int, r int, y_doc long, y_c int, y_l int, y_r int"
-
-
-def windows_of(docs: DataFrame, id_col: str, text_col: str, least: int, hashes: int) -> DataFrame:
-    """Windows of all documents. In each chunk of documents, only the first window with a hash goes on to the shuffle; the
-    others are paired with it at once, so that a passage that a third of all documents share stays small for every task."""
+def run_keys(grams: np.ndarray, least: int, turns: range) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key of the smallest hashes under all ``turns`` for every run of ``least`` grams, and the first and last of their
+    places; once where neighbouring runs have the same places. Equal hashes count from the left."""
+    n = len(grams)
+    if n < least:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    low = np.uint64((1 << n.bit_length()) - 1)
+    here, places = np.arange(n, dtype=np.uint64), []
+    for turn in turns:
+        x = grams * np.uint64(2 * turn + 0x9E3779B97F4A7C15)  # grams are mixed, so that one more multiplication is enough
+        x ^= x >> np.uint64(32)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        run, width = (x & ~low) | here, 1
+        while width < least:
+            step = min(width, least - width)
+            run, width = np.minimum(run[:-step], run[step:]), width + step
+        places.append((run & low).astype(np.int64))
+    new = np.zeros(len(places[0]), dtype=bool)
+    new[0] = True
+    for at in places:
+        new[1:] |= at[1:] != at[:-1]
+    places = [at[new] for at in places]
+    key = np.full(len(places[0]), mix(np.array([turns.start + 1], dtype=np.uint64))[0])
+    for at in places:
+        key = mix(key ^ grams[at])
+    return key, np.minimum.reduce(places), np.maximum.reduce(places)
+
+
+KEYS = "key long, doc long, at int, to int"
+
+
+def keys_of(docs: DataFrame, id_col: str, text_col: str, least: int, bands: int) -> DataFrame:
+    """Keys of all documents in all bands, with the places of their hashes."""
 
     def combine(parts: list[tuple]) -> pa.RecordBatch:
-        key, turn, doc, c, left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((c, doc, key))
-        key, turn, doc, c, left, right = (x[order] for x in (key, turn, doc, c, left, right))
-        head = np.r_[True, key[1:] != key[:-1]]
-        first = np.flatnonzero(head)[np.cumsum(head) - 1]
-        own = doc == doc[first]  # of the same document as the first: left out but for the first
-        keep = head | ~own
-        paired = keep & ~head
-        key = np.where(paired, mix(key ^ mix(doc.view(np.uint64)) ^ c.astype(np.uint64)), key)  # these need no partner
-        null = ~paired[keep]
-        y = [pa.array(x[first][keep], kind, mask=null) for x, kind in ((doc, pa.int64()), (c, pa.int32()), (left, pa.int32()), (right, pa.int32()))]
-        mine = [pa.array(x[keep], kind) for x, kind in ((key.view(np.int64), pa.int64()), (turn, pa.int32()), (doc, pa.int64()), (c, pa.int32()), (left, pa.int32()), (right, pa.int32()))]
-        return pa.RecordBatch.from_arrays([*mine, *y], [x.split()[0] for x in WINDOW.split(", ")])
+        key, doc, at, to = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc), pa.array(at, pa.int32()), pa.array(to, pa.int32())], [x.split()[0] for x in KEYS.split(", ")])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             for name, text in zip(batch.column(0), batch.column(1), strict=True):
-                grams = shingles(words(text.as_py())[0])
-                for turn in range(hashes):
-                    x, c, left, right = compact_windows(grams, least, turn)
-                    if len(x):
-                        held.append((x, np.full(len(x), turn), np.full(len(x), name.as_py(), dtype=np.int64), c, left, right))
-                        size += len(x)
+                grams, doc = shingles(words(text.as_py())[0]), name.as_py()
+                for band in range(bands):
+                    key, at, to = run_keys(grams, least, range(band * ROWS, (band + 1) * ROWS))
+                    if len(key):
+                        held.append((key, np.full(len(key), doc, dtype=np.int64), at, to))
+                        size += len(key)
                 if size >= COMBINED:
                     yield combine(held)
                     held, size = [], 0
@@ -97,7 +113,7 @@ def windows_of(docs: DataFrame, id_col: str, text_col: str, least: int, hashes:
             yield combine(held)
 
     some = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    return some.mapInArrow(make, WINDOW)
+    return some.mapInArrow(make, KEYS)
 
 
 def _places(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,62 +196,86 @@ def _passages(x: np.ndarray, y: np.ndarray, least: int, threshold: float) -> lis
 
 
 def _verify(least: int, threshold: float):
-    columns = {"doc": "int64", "start": "int64", "end": "int64", "n_words": "int64", "first_doc": "int64", "similarity": "float64"}
+    columns = {"doc": "int64", "start": "int64", "end": "int64", "n_words": "int64", "first_doc": "int64", "similarity": "float64", "at": "int64", "to": "int64"}
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for (y_doc, _), part in pdf.groupby(["y_doc", "chunk"], sort=False):
-            originals = [shingles(words(t)[0]) for t in part.loc[part["reach"].isna(), "text"].drop_duplicates()]
-            for doc, text in part.loc[part["reach"].notna(), ["doc", "text"]].itertuples(index=False):
+            originals = [shingles(words(t)[0]) for t in part.loc[part["original"], "text"].drop_duplicates()]
+            for doc, text in part.loc[~part["original"], ["doc", "text"]].itertuples(index=False):
                 hashes, start, end = words(text)
                 x = shingles(hashes)
                 for y in originals:
                     for a, b, _c, _d, similar in _passages(x, y, least, threshold):
                         last = min(b + SHINGLE, len(start)) - 1
-                        rows.append((doc, int(start[a]), int(end[last]), last - a + 1, y_doc, similar))
+                        rows.append((doc, int(start[a]), int(end[last]), last - a + 1, y_doc, similar, a, b))
         return pd.DataFrame(rows, columns=list(columns)).astype(columns).drop_duplicates()
 
-    return verify, "doc long, start long, end long, n_words long, first_doc long, similarity double"
+    return verify, "doc long, start long, end long, n_words long, first_doc long, similarity double, at long, to long"
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, least: int, threshold: float) -> DataFrame:
+    """Passages of each ``doc`` of the pairs in its ``y_doc``, with the places of their shingles."""
+    fan = pairs.groupBy("y_doc").agg(F.ceil(F.count("*") / FAN).alias("chunks"))
+    bins = max(1, pairs.count() // BIN)
+    dealt = pairs.join(fan, "y_doc").withColumn("chunk", F.pmod(F.xxhash64("doc"), "chunks")).withColumn("bin", F.pmod(F.xxhash64("y_doc", "chunk"), F.lit(bins)))
+    dealt = dealt.select("doc", "y_doc", "chunk", "bin", F.lit(False).alias("original"))
+    originals = dealt.select(F.col("y_doc").alias("doc"), "y_doc", "chunk", "bin").distinct().withColumn("original", F.lit(True))
+    verify, schema = _verify(least, threshold)
+    return materialise(dealt.unionByName(originals).join(texts, "doc").groupBy("bin").applyInPandas(verify, schema), "passages")
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS, threshold: float = THRESHOLD, hashes: int = HASHES, needed: int = NEEDED) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS, threshold: float = THRESHOLD, bands: int = BANDS) -> DataFrame:
     """Passages of at least ``least_words`` words that an earlier document (smaller id) has too, exactly or nearly.
 
     One row for each passage and earlier document: ``doc``, ``start`` and ``end`` (characters), ``n_words``,
     ``first_doc`` and ``similarity`` (Jaccard of the passages' five-word shingles, at least ``threshold``).
 
-    The windows with one hash are compared with the first of them only, so a passage shared by m documents makes m
-    pairs, not m squared. A pair of documents goes on if ``needed`` hash functions have windows that overlap in both by
-    the least length; then both whole texts are fetched and the passages verified.
+    The documents with one key are compared with the first of them; where that gives no passage that holds the places of
+    the key, with the next ones, four times as many in each round, until none is left. A passage shared by m documents
+    makes m pairs, not m squared, and an earlier document without the passage hides it from nobody. Two documents are
+    verified once, on both whole texts.
 
     Null, empty and short texts have no passages, rows with a null id take no part, and passages that repeat within one
     document only are left alone. Rows that share an id are one document with several texts. Other columns are ignored.
     An empty table gives an empty result.
     """
     least = max(1, least_words - SHINGLE + 1)
-    made = windows_of(docs, id_col, text_col, least, hashes)
-    first = F.first(F.struct("doc", "c", "l", "r")).over(W.partitionBy("key").orderBy("doc", "c").rowsBetween(W.unboundedPreceding, W.currentRow))
-    met = made.withColumn("first", first).withColumns({f"y_{n}": F.coalesce(f"y_{n}", F.col(f"first.{n}")) for n in ("doc", "c", "l", "r")}).where("y_doc < doc")
-    hit = F.struct("turn", "l", "r", F.col("y_l").alias("yl"), F.col("y_r").alias("yr"))
-    pairs = met.groupBy("doc", "y_doc").agg(F.collect_list(hit).alias("hits"))
-
-    def overlap(a, b):
-        return (F.least(a.r, b.r) - F.greatest(a.l, b.l) + 1 >= least) & (F.least(a.yr, b.yr) - F.greatest(a.yl, b.yl) + 1 >= least)
-
-    met_by = lambda a: F.size(F.array_distinct(F.transform(F.filter("hits", lambda b: overlap(a, b)), lambda b: b.turn)))
-    enough = F.exists("hits", lambda a: F.exists("hits", lambda b: (a.turn != b.turn) & overlap(a, b))) if needed == 2 else F.exists("hits", lambda a: met_by(a) >= needed)
-    pairs = materialise(pairs.where(enough).select("doc", "y_doc", F.transform("hits", lambda h: F.array(h.l, h.r)).alias("reach")), "pairs")
-
-    fan = pairs.groupBy("y_doc").agg(F.ceil(F.count("*") / FAN).alias("chunks"))
-    bins = max(1, pairs.count() // BIN)
-    dealt = pairs.join(fan, "y_doc").withColumn("chunk", F.pmod(F.xxhash64("doc"), "chunks")).withColumn("bin", F.pmod(F.xxhash64("y_doc", "chunk"), F.lit(bins)))
-    dealt = dealt.select("doc", "y_doc", "chunk", "bin", "reach")
-    originals = dealt.select(F.col("y_doc").alias("doc"), "y_doc", "chunk", "bin").distinct().withColumn("reach", F.lit(None).cast("array<array<int>>"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where("text is not null")
-    verify, schema = _verify(least, threshold)
-    found = materialise(dealt.unionByName(originals).join(texts, "doc").groupBy("bin").applyInPandas(verify, schema), "passages")
-    discard(pairs)
-    return found
+    group = W.partitionBy("key")
+    ranked = keys_of(docs, id_col, text_col, least, bands).withColumn("rank", F.dense_rank().over(group.orderBy("doc"))).withColumn("size", F.max("rank").over(group))
+    members = materialise(ranked.where("size > 1").drop("size"), "members")
+    left, low, tables, found, tried = members.where("rank > 1"), 1, [members], None, None
+    total = None
+    while True:
+        rows, rest = left.agg(F.count("*"), F.sum(F.col("rank") - low)).first()
+        if not rows:
+            break
+        total = total or rows
+        high = 4 * low + 1 if low > 1 else 2
+        centres = members.where(F.col("rank") >= low)
+        if rest > total:  # else all that is left at once
+            centres = centres.where(F.col("rank") < high)
+        centres = centres.select("key", F.col("doc").alias("y_doc"), F.col("rank").alias("y_rank")).distinct()
+        met = left.join(centres, "key").where("y_rank < rank")
+        pairs = met.select("doc", "y_doc").distinct()
+        pairs = materialise(pairs if tried is None else pairs.join(tried, ["doc", "y_doc"], "left_anti"), "pairs")
+        new = _verified(pairs, texts, least, threshold)
+        found, tried = (new, pairs) if found is None else (found.unionByName(new), tried.unionByName(pairs))
+        tables.append(pairs)
+        if rest <= total:
+            break
+        spans = found.groupBy("doc", F.col("first_doc").alias("y_doc")).agg(F.collect_list(F.struct(F.col("at").alias("a"), F.col("to").alias("b"))).alias("spans"))
+        held = met.join(spans, ["doc", "y_doc"]).where(F.exists("spans", lambda s: (s.a <= F.col("at")) & (s.b >= F.col("to"))))
+        left = materialise(left.where(F.col("rank") > high).join(held.select("key", "doc", "at", "to").distinct(), ["key", "doc", "at", "to"], "left_anti"), "left")
+        tables.append(left)
+        low = high
+    for t in tables:
+        discard(t)
+    columns = ["doc", "start", "end", "n_words", "first_doc", "similarity"]
+    if found is None:
+        return docs.sparkSession.createDataFrame([], "doc long, start long, end long, n_words long, first_doc long, similarity double")
+    return found.select(*columns)
 
 
 def cut_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
