@@ -312,4 +312,33 @@ def test_a_line_of_many_documents_takes_several_rounds(spark):
     texts = {i: " ".join([prose(3000 + i, 40), line, prose(3200 + i, 40)]) for i in range(60)}
     texts |= {i: " ".join([prose(3400 + i, 10), line, passage, prose(3500 + i, 10)]) for i in range(60, 66)}
     rows = substring.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
-    assert {r.doc for r in rows} == set(range(61, 66)) and {r.first_doc for r in rows} == {60}
+    assert {r.doc for r in rows} == set(range(61, 66)) and {r.doc for r in rows if r.first_doc == 60} == set(range(61, 66))
+
+
+def _near_passages(n):
+    for k in range(n):
+        passage = prose(5000 + k, 50).split()
+        copy = list(passage)
+        copy[4 + k % 42] = "changed"  # 41 of 51 shingles stay, 0.804
+        yield " ".join([prose(6000 + k, k % 30), *passage, prose(7000 + k, 30)]), " ".join([prose(8000 + k, 40), *copy, prose(9000 + k, k % 20)])
+
+
+def test_bands_of_passages_reach_the_recall():
+    bands, met = substring.bands_for(0.8, 0.9995), 0
+    assert 1 - (1 - 0.8**substring.ROWS) ** bands >= 0.9995
+    keys = lambda t: {int(k) for b in range(bands) for k in substring.run_keys(substring.shingles(words(t)[0]), 46, range(b * substring.ROWS, (b + 1) * substring.ROWS))[0]}
+    for one, two in _near_passages(1000):
+        met += bool(keys(one) & keys(two))
+    assert met >= 997
+
+
+def test_near_passages_equal_brute_force(spark):
+    texts = dict(enumerate(t for pair in _near_passages(1000) for t in pair))
+    want, grams = set(), {i: substring.shingles(words(t)[0]) for i, t in texts.items()}
+    for i in range(1, 2000, 2):
+        p, q = (np.flatnonzero(np.isin(grams[a], grams[b])) for a, b in ((i, i - 1), (i - 1, i)))
+        s, t = (set(g[r[0] : r[-1] + 1].tolist()) for g, r in ((grams[i], p), (grams[i - 1], q)))
+        if len(p) and len(s & t) / len(s | t) >= 0.8 and p[-1] - p[0] >= 45:
+            want.add((i, i - 1))
+    rows = substring.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert len(want) > 900 and len(want - {(r.doc, r.first_doc) for r in rows}) <= 1

@@ -6,6 +6,7 @@ the square of their Jaccard similarity. Documents with a key in common are verif
 of the key lies in a passage that is found or no earlier document is left.
 """
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,8 @@ from .words import SHINGLE, mix, shingles, words
 #: Words of the shortest passage.
 LEAST_WORDS = 50
 THRESHOLD = 0.8
-#: Bands, and the hash functions of each, all of which must meet in the same run.
-BANDS, ROWS = 4, 2
+#: Probability that a passage at the threshold is verified, and hash functions of a band, all of which must meet in a run.
+RECALL, ROWS = 0.9995, 2
 #: Keys that a task hands on at once.
 COMBINED = 400_000
 #: Documents compared with one earlier document in a verification group, and pairs that small groups share.
@@ -86,6 +87,11 @@ def run_keys(grams: np.ndarray, least: int, turns: range) -> tuple[np.ndarray, n
     return key, np.minimum.reduce(places), np.maximum.reduce(places)
 
 
+def bands_for(threshold: float, recall: float) -> int:
+    """Bands with which a passage at ``threshold`` has a key in common with probability ``recall``."""
+    return max(1, math.ceil(math.log(1 - recall) / math.log1p(-min(threshold, 0.999999) ** ROWS)))
+
+
 KEYS = "key long, doc long, at int, to int"
 
 
@@ -225,7 +231,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: int, threshold: float)
     return materialise(dealt.unionByName(originals).join(texts, "doc").groupBy("bin").applyInPandas(verify, schema), "passages")
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS, threshold: float = THRESHOLD, bands: int = BANDS) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """Passages of at least ``least_words`` words that an earlier document (smaller id) has too, exactly or nearly.
 
     One row for each passage and earlier document: ``doc``, ``start`` and ``end`` (characters), ``n_words``,
@@ -236,6 +242,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     makes m pairs, not m squared, and an earlier document without the passage hides it from nobody. Two documents are
     verified once, on both whole texts.
 
+    A near passage at the threshold is verified with probability ``recall`` (0.9997 with the 8 bands of two hashes that the
+    default takes), an exact one always.
+
     Null, empty and short texts have no passages, rows with a null id take no part, and passages that repeat within one
     document only are left alone. Rows that share an id are one document with several texts. Other columns are ignored.
     An empty table gives an empty result.
@@ -243,7 +252,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     least = max(1, least_words - SHINGLE + 1)
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).where("text is not null")
     group = W.partitionBy("key")
-    ranked = keys_of(docs, id_col, text_col, least, bands).withColumn("rank", F.dense_rank().over(group.orderBy("doc"))).withColumn("size", F.max("rank").over(group))
+    ranked = keys_of(docs, id_col, text_col, least, bands_for(threshold, recall)).withColumn("rank", F.dense_rank().over(group.orderBy("doc"))).withColumn("size", F.max("rank").over(group))
     members = materialise(ranked.where("size > 1").drop("size"), "members")
     left, low, tables, found, tried = members.where("rank > 1"), 1, [members], None, None
     total = None
