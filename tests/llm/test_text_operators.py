@@ -342,3 +342,14 @@ def test_near_passages_equal_brute_force(spark):
             want.add((i, i - 1))
     rows = substring.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
     assert len(want) > 900 and len(want - {(r.doc, r.first_doc) for r in rows}) <= 1
+
+
+def test_jaccard_join_of_two_texts_under_one_id(spark):
+    rows = []
+    for k in range(12):  # the first of three ids has two texts, each of which links to one of the others
+        for j in (1, 2):
+            base = prose(400 + 10 * k + j, 100).split()
+            near = [*base[:50], "changed", *base[51:]]
+            rows += [(10 * k, " ".join(base)), (10 * k + j, " ".join(near))]
+    got = {r.id: (r.n_links, r.class_id) for r in jaccard.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {10 * k + j: (2 if j == 0 else 1, 10 * k) for k in range(12) for j in range(3)}

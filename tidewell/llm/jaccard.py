@@ -100,22 +100,25 @@ def verify_blocks(n: int, threshold: float):
     """For a verification group: each member's links counted in copies, and a spanning forest of the links."""
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        rep, other, count = [], [], []
+        rep, print_, other, count = [], [], [], []
         for (_, i, j), part in pdf.groupby(["component", "i", "j"], sort=False):
-            part = part.drop_duplicates("rep")
+            part = part.drop_duplicates(["rep", "fp", "text"])
             sets = [shingle_set(t, n) for t in part["text"]]
             same = [xxhash.xxh3_128_digest(s.tobytes()) == f for s, f in zip(sets, part["fp"], strict=True)]  # else another text under this id
             part, sets = part[same], [s for s, ok in zip(sets, same, strict=True) if ok]
+            once = (~part.duplicated(["rep", "fp"])).tolist()
+            part, sets = part[once], [s for s, ok in zip(sets, once, strict=True) if ok]
             if len(sets) < 2:
                 continue
             ids, copies, block = part["rep"].to_numpy(), part["copies"].to_numpy(), part["block"].to_numpy()
             both, sizes = _overlaps(sets), np.array([len(s) for s in sets], dtype=np.float64)
             linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
-            np.fill_diagonal(linked, False)
+            linked[ids[:, None] == ids[None, :]] = False  # itself, and other texts under its id
             same_block = block[:, None] == block[None, :]
             counted = linked & same_block if i == j else linked & ~same_block
             total = counted @ copies
             rep += ids[total > 0].tolist()
+            print_ += part["fp"][total > 0].tolist()
             other += [None] * int((total > 0).sum())
             count += total[total > 0].tolist()
             group, forest = _groups(linked & same_block)
@@ -129,9 +132,10 @@ def verify_blocks(n: int, threshold: float):
                 forest = [where[e] for e in _groups(across)[1]]
             for x, y in forest:
                 rep.append(ids[x])
+                print_.append(None)
                 other.append(ids[y])
                 count.append(0)
-        return pd.DataFrame({"rep": pd.array(rep, "Int64"), "other": pd.array(other, "Int64"), "links": pd.array(count, "Int64")})
+        return pd.DataFrame({"rep": pd.array(rep, "Int64"), "fp": pd.Series(print_, dtype=object), "other": pd.array(other, "Int64"), "links": pd.array(count, "Int64")})
 
     return links
 
@@ -169,12 +173,12 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     dealt = dealt.withColumn("bin", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(bins))).otherwise(F.xxhash64("component", "i", "j")))
     wanted = dealt.join(classes.select("rep", "fp", "copies"), "rep")
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).where("text is not null")
-    found = wanted.join(texts, "rep").groupBy("bin").applyInPandas(verify_blocks(n, threshold), "rep long, other long, links long")
+    found = wanted.join(texts, "rep").groupBy("bin").applyInPandas(verify_blocks(n, threshold), "rep long, fp binary, other long, links long")
     found = materialise(found, "links")
 
-    linked = found.where("other is null").groupBy("rep").agg(F.sum("links").alias("links"))
+    linked = found.where("other is null").groupBy("rep", "fp").agg(F.sum("links").alias("links"))
     merged = connected_components(found.where("other is not null"), "rep", "other").withColumnRenamed("id", "rep")
-    per_class = classes.select("fp", "rep", "copies").join(linked, "rep", "left").join(merged, "rep", "left")
+    per_class = classes.select("fp", "rep", "copies").join(linked, ["rep", "fp"], "left").join(merged, "rep", "left")
     per_class = per_class.select("fp", F.coalesce("component", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = signed.select("id", "fp").distinct().join(per_class, "fp", "left").groupBy("id").agg(F.min("class_id").alias("class_id"), F.sum("n_links").alias("n_links"))
     out = out.select("id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
