@@ -95,16 +95,40 @@ def test_bands_reach_the_recall():
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9995 and bands * rows <= 100
 
 
-def test_compact_windows_hold_every_sequence_once():
+def test_compact_windows_hold_every_run_once():
     rng = np.random.default_rng(3)
-    for n in (5, 6, 30, 61):
-        grams = rng.integers(0, 20, n).astype(np.uint64)
-        x, c, left, right = substring.compact_windows(grams, 5, 0)
-        full = substring.mix(grams ^ substring.mix(np.array([1], dtype=np.uint64)))
-        for i in range(n):
-            for j in range(i + 4, n):
-                holds = [k for k in range(len(c)) if left[k] <= i <= c[k] <= j <= right[k]]
-                assert len(holds) == 1 and x[holds[0]] == full[i : j + 1].min()
+    for sizes in ((5,), (6, 30), (61, 3, 0, 17)):
+        texts = [substring.mix(rng.integers(1, 20, n).astype(np.uint64)) for n in sizes]
+        ends = np.cumsum([n + 1 for n in sizes]) - 1
+        grams = np.concatenate([x for t in texts for x in (t, np.zeros(1, np.uint64))])
+        at, left, right = substring.compact_windows(grams, ends, 5, 0)
+        order = {g: k for k, g in enumerate(sorted(set(grams.tolist()), key=lambda g: int(_turned(g))))}
+        for low, high in zip([0, *(ends[:-1] + 1)], ends, strict=True):
+            for i in range(low, high):
+                for j in range(i + 4, high):
+                    holds = [k for k in range(len(at)) if left[k] <= i <= at[k] <= j <= right[k]]
+                    assert len(holds) == 1 and order[grams[at[holds[0]]]] == min(order[g] for g in grams[i : j + 1].tolist())
+        assert all(high < ends[np.searchsorted(ends, low)] for low, high in zip(left, right, strict=True))
+
+
+def _turned(gram, turn=0):
+    x = np.array([gram], dtype=np.uint64) * np.uint64(2 * turn + 0x9E3779B97F4A7C15)
+    return ((x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9))[0]
+
+
+def test_signatures_are_those_of_all_runs():
+    rng = np.random.default_rng(4)
+    texts = [substring.mix(rng.integers(1, 60, n).astype(np.uint64)) for n in (4, 70, 0, 12, 55)]
+    key, owner = substring.signatures(texts, (5, 20))
+    for k, t in enumerate(texts):
+        want = set()
+        for length in (5, 20):
+            for i in range(len(t) - length + 1):
+                sign = np.full(1, length, dtype=np.uint64)
+                for turn in range(substring.TURNS):
+                    sign = substring.mix(sign + min(t[i : i + length], key=lambda g, turn=turn: int(_turned(g, turn))))
+                want.add(int(sign[0]))
+        assert sorted(want) == sorted(key[owner == k].tolist())
 
 
 def test_repeated_passages_are_found_and_cut(docs, texts):
@@ -284,7 +308,7 @@ def test_edited_passages_equal_brute_force(kind):
                 a, b = int(shared[0]), int(shared[-1])
                 c, d = np.flatnonzero(np.isin(y, x))[[0, -1]].tolist()
                 s, t = set(x[a : b + 1].tolist()), set(y[c : d + 1].tolist())
-                got = substring._passages(x, y, 46, 0.8)
+                got = substring.passages(x, y, 46, 0.8)
                 if len(s & t) / len(s | t) >= 0.8:
                     assert [g[:4] for g in got] == [(a, b, c, d)] and got[0][4] == pytest.approx(len(s & t) / len(s | t)), (n, size)
                 else:
@@ -307,7 +331,7 @@ def test_an_earlier_document_without_the_passage_hides_nothing(spark):
     assert {(r.doc, r.first_doc) for r in rows} == pairs
 
 
-def test_a_line_of_many_documents_takes_several_rounds(spark):
+def test_a_line_of_many_documents_hides_no_passage(spark):
     line, passage = prose(31, 20), prose(32, 40)
     texts = {i: " ".join([prose(3000 + i, 40), line, prose(3200 + i, 40)]) for i in range(60)}
     texts |= {i: " ".join([prose(3400 + i, 10), line, passage, prose(3500 + i, 10)]) for i in range(60, 66)}
@@ -323,13 +347,62 @@ def _near_passages(n):
         yield " ".join([prose(6000 + k, k % 30), *passage, prose(7000 + k, 30)]), " ".join([prose(8000 + k, 40), *copy, prose(9000 + k, k % 20)])
 
 
-def test_bands_of_passages_reach_the_recall():
-    bands, met = substring.bands_for(0.8, 0.9995), 0
-    assert 1 - (1 - 0.8**substring.ROWS) ** bands >= 0.9995
-    keys = lambda t: {int(k) for b in range(bands) for k in substring.run_keys(substring.shingles(words(t)[0]), 46, range(b * substring.ROWS, (b + 1) * substring.ROWS))[0]}
-    for one, two in _near_passages(1000):
-        met += bool(keys(one) & keys(two))
-    assert met >= 997
+def test_every_near_passage_has_a_seed():
+    seed = substring.seed_grams(46, 0.8)
+    assert seed == 19 and substring.seed_grams(46, 1.0) == 46
+    for one, two in _near_passages(300):
+        x, y = (substring.shingles(words(t)[0]) for t in (one, two))
+        if substring.passages(y, x, 46, 0.8):
+            key, owner = substring.signatures([x, y], (seed,))
+            assert np.isin(key[owner == 0], key[owner == 1]).any()
+
+
+def test_passages_do_not_depend_on_partitions_or_batches(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    results = []
+    for n in (1, 3, 16):
+        monkeypatch.setattr(substring, "BATCH", 1000 * n)
+        results.append(sorted(map(tuple, substring.repeated_passages(docs.repartition(n)).collect())))
+    assert results[0] and results[0] == results[1] == results[2]
+
+
+def test_common_signatures_are_dealt_into_parts(spark, monkeypatch):
+    passage = prose(33, 60)
+    texts = {i: " ".join([prose(4000 + i, 20), *([passage] if i % 2 else []), prose(4200 + i, 20)]) for i in range(100)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(substring, "COMMON", 1.0)
+    plain = substring.repeated_passages(docs).collect()
+    monkeypatch.setattr(substring, "COMMON", 0.005)
+    monkeypatch.setattr(substring, "PARTS", 5)
+    assert len(substring.common_signatures(docs.selectExpr("doc_id AS doc", "text"), (19, 46))) > 0
+    dealt = substring.repeated_passages(docs).collect()
+    assert {r.doc for r in plain} == {r.doc for r in dealt} == set(range(3, 100, 2))
+    assert sum(r.first_doc == 1 for r in plain) == 49 > sum(r.first_doc == 1 for r in dealt) and len(dealt) < 2 * len(plain)
+
+
+def _covered(rows):
+    out = defaultdict(set)
+    for doc, start, end in rows:
+        out[doc] |= set(range(start, end))
+    return out
+
+
+def test_recall_on_the_tables_against_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: words(r.text) for r in docs.collect()}
+    grams = {d: substring.shingles(w[0]) for d, w in texts.items()}
+    by_key = defaultdict(list)
+    for d, g in sorted(grams.items()):
+        for k in substring.signatures([g], (19,))[0].tolist():  # what every passage has
+            by_key[k].append(d)
+    pairs = {(x, y) for ds in by_key.values() for i, x in enumerate(ds) for y in ds[:i]}
+    want = []
+    for x, y in pairs:
+        for a, b, *_ in substring.passages(grams[x], grams[y], 46, 0.8):
+            want.append((x, int(texts[x][1][a]), int(texts[x][2][min(b + 5, len(texts[x][2])) - 1])))
+    want, got = _covered(want), _covered((r.doc, r.start, r.end) for r in substring.repeated_passages(docs).collect())
+    assert all(got[d] <= want[d] for d in got)
+    assert sum(len(got[d]) for d in want) >= 0.98 * sum(map(len, want.values())) and len(set(want) - set(got)) <= 0.02 * len(want)
 
 
 def test_near_passages_equal_brute_force(spark):
