@@ -1,6 +1,5 @@
 """Language of whole texts by a byte convolutional network: filters of several widths, max pooling and softmax, in numpy."""
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +18,11 @@ LENGTH = 256
 WIDTHS, FILTERS, CODE = (2, 3, 4), 12, 8
 WIDEST = max(WIDTHS)
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Is there a character of Unicode's letter category."""
+    return text is not None and any(map(str.isalpha, text))
 
 
 def windows(text: str) -> np.ndarray:
@@ -105,23 +108,25 @@ class ByteNet:
         return p / p.sum(axis=1, keepdims=True)
 
 
-def fit_languages(sample: DataFrame) -> tuple[list[str], ByteNet] | None:
-    """Learned values and network from a bounded sample (``text``, ``lang``), fitted in one task."""
+def fit_languages(sample: DataFrame, windows_each: int = WINDOWS) -> tuple[list[str], ByteNet] | None:
+    """Learned values and network from a bounded sample (``text``, ``lang``), fitted in one task.
+
+    Of each text that has a letter, ``windows_each`` windows are learned from, evenly spaced; predictions take all. Rows are
+    learned in the order of their texts and values, so the model is the same however they are partitioned.
+    """
 
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        x, names = [], []
-        for frame in frames:
-            for text, lang in zip(frame["text"], frame["lang"], strict=True):
-                own = windows(text)
-                own = own[np.unique(np.linspace(0, len(own) - 1, WINDOWS).astype(int))]
-                x.append(own)
-                names += [lang] * len(own)
-        if not names:
+        rows = sorted((text, lang) for f in frames for text, lang in zip(f["text"], f["lang"], strict=True) if has_letter(text))
+        if not rows:
             return
+        x, names = [], []
+        for text, lang in rows:
+            own = windows(text)
+            own = own[np.unique(np.linspace(0, len(own) - 1, windows_each).astype(int))]
+            x.append(own)
+            names += [lang] * len(own)
         known = sorted(set(names))
-        x, y = np.concatenate(x), np.searchsorted(known, names)
-        order = np.lexsort(x.T[:16])  # the same order whatever order the rows came in
-        net = ByteNet(len(known)).fit(x[order], y[order])
+        net = ByteNet(len(known)).fit(np.concatenate(x), np.searchsorted(known, names))
         yield pd.DataFrame({"known": [known], "net": [np.concatenate([p.ravel() for p in net.parameters()]).tolist()]})
 
     row = sample.repartition(1).mapInPandas(learn, "known array<string>, net array<double>").first()
@@ -135,10 +140,10 @@ def fit_languages(sample: DataFrame) -> tuple[list[str], ByteNet] | None:
 
 
 def sample_languages(docs: DataFrame, limit: int = SAMPLE) -> DataFrame:
-    """At most ``limit`` documents with a language and a letter outside the held-out quarter: ``text`` and ``lang``."""
+    """At most ``limit`` documents with a language outside the held-out quarter: ``text`` and ``lang``."""
     known = docs.where("lang is not null and text is not null and doc_id is not null").where(~held_out())
     chosen = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return known.join(F.broadcast(chosen), "doc_id").where(F.col("text").rlike(r"\p{L}")).select("text", "lang")
+    return known.join(F.broadcast(chosen), "doc_id").select("text", "lang")
 
 
 def identify_languages(docs: DataFrame, model: tuple[list[str], ByteNet] | None, text_col: str = "text") -> DataFrame:
@@ -152,7 +157,7 @@ def identify_languages(docs: DataFrame, model: tuple[list[str], ByteNet] | None,
         for batch in batches:
             texts = [t.as_py() for t in batch.column("__text")]
             langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            some = [i for i, t in enumerate(texts) if model and t and _LETTER.search(t)]
+            some = [i for i, t in enumerate(texts) if model and has_letter(t)]
             for low in range(0, len(some), 64):
                 part = some[low : low + 64]
                 p = model[1].of_texts([texts[i] for i in part])
