@@ -1,6 +1,7 @@
 """Quality classifier: hashed word n-grams, logistic regression by follow-the-regularised-leader, sparse dot products."""
 
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -101,11 +102,11 @@ def sigmoid(x: float) -> float:
 
 
 def fit(labelled: DataFrame, text_col: str, label_col: str, bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights from a bounded sample, learned in one task in the order of the rows' text hashes."""
+    """Weights from a bounded sample, learned in one task in the order of the texts and labels, so however the rows are partitioned."""
 
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [(*features(t, bits), int(y)) for f in frames for t, y in zip(f["text"], f["label"], strict=True)]
-        rows.sort(key=lambda r: (len(r[0]) * 2654435761 % 4093, r[0][:1].sum(), r[2]))
+        texts = [(zlib.crc32((t or "").encode("utf-8", "replace")), t or "", int(y)) for f in frames for t, y in zip(f["text"], f["label"], strict=True)]
+        rows = [(*features(t, bits), y) for _, t, y in sorted(texts)]  # by a hash first, for order must not follow content
         model = FollowTheLeader(bits)
         for _ in range(epochs):
             for index, value, label in rows:
