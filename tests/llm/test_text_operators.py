@@ -230,10 +230,27 @@ def test_bounds_hold_and_are_met_by_small_optima():
         items = [rng.randint(1, 20) for _ in range(7)]
         lengths = np.array(items)
         bins, places, n = packing.best_fit_decreasing(lengths, 20)
-        assert packing.bin_bound(lengths, 20) <= best(items, 20) <= n
+        assert packing.bin_bound(np.bincount(lengths, minlength=21), 20) <= best(items, 20) <= n
         assert all(sum(lengths[bins == b]) <= 20 for b in range(n))
 
 
+def test_partitions_exchange_documents(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    odd = docs.unionByName(docs.limit(20)).unionByName(docs.limit(5).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text"))
+    monkeypatch.setattr(packing, "PIECES", 100)
+    rows = packing.pack_documents(odd.repartition(7), PATH).collect()
+    lengths = np.array([r.length for r in rows])
+    least, used = packing.bin_bound(np.bincount(lengths, minlength=2049), 2048), len({r.sequence_id for r in rows})
+    assert {r.gap for r in rows} == {used - least} and used <= least + 2 and len(rows) == len(set((r.sequence_id, r.offset) for r in rows))
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for own in bins.values():
+        edges = sorted(own)
+        assert edges[0][0] == 0 and sum(n for _, n in own) <= 2048 and all(a + n == b for (a, n), (b, _) in zip(edges, edges[1:], strict=False))
+    assert sum(r.id is None for r in rows) >= 5 and sum(r.piece == 0 for r in rows) == docs.count() + 25
+
+
 def test_word_pieces_equal_greedy_matching(docs, texts, empty):
     first, later = wordpiece.pieces_of_byte_vocabulary(PATH)
     a, b = set(first), set(later)
@@ -267,6 +284,38 @@ def test_language_and_quality_on_odd_rows(spark, docs, empty):
     assert {r.score for r in quality.classify_quality(docs, labels.limit(0)).collect()} == {0.5} and quality.classify_quality(empty, labels).count() == 0
 
 
+def test_scores_do_not_depend_on_partitions(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{n}.parquet") for n in ("documents", "labels"))
+    lang, good = [], []
+    for n in (1, 5):
+        part = docs.repartition(n)
+        named = langid.identify_languages(part.select("doc_id", "text"), langid.fit_languages(langid.sample_languages(part)))
+        lang.append(sorted((r.doc_id, r.lang_pred, r.score) for r in named.collect()))
+        good.append(sorted((r.doc_id, r.score) for r in quality.classify_quality(part.select("doc_id", "text"), labels.repartition(n)).collect()))
+    assert good[0] == good[1] and [r[:2] for r in lang[0]] == [r[:2] for r in lang[1]]
+    assert max(abs(a[2] - b[2]) for a, b in zip(*lang, strict=True)) < 1e-6  # products of float32, in other batches
+
+
+def test_a_text_without_a_letter_has_no_language(spark):
+    rows = spark.createDataFrame([(1, "½ ² ½"), (2, "123 !?"), (3, "à la mode"), (None, "x"), (5, None)], "doc_id long, text string")
+    sample = spark.createDataFrame([("le la les un", "fr"), ("the of and", "en"), ("½ ½", "zz")], "text string, lang string")
+    model = langid.fit_languages(sample)
+    assert model[0] == ["en", "fr"]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify_languages(rows, model).collect()}
+    assert all(got[i] == ("und", 0.0) for i in (1, 2, 5)) and got[3][0] in ("en", "fr") and got[None][0] in ("en", "fr")
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    lang = {r.doc_id: r.lang for r in docs.collect()}
+    named = langid.identify_languages(docs.select("doc_id", "text"), langid.fit_languages(langid.sample_languages(docs))).withColumn("held", quality.held_out()).where("held AND lang_pred <> 'und'").collect()
+    told = [r for r in named if lang[r.doc_id] is not None]
+    assert len(told) > 150 and sum(r.lang_pred == lang[r.doc_id] for r in told) >= 0.96 * len(told)
+    good = {r.doc_id: r.quality for r in labels.where("quality IS NOT NULL").collect()}
+    scored = [r for r in quality.classify_quality(docs.select("doc_id", "text"), labels).withColumn("held", quality.held_out()).where("held").collect() if r.doc_id in good]
+    assert len(scored) > 80 and sum(r.predicted == good[r.doc_id] for r in scored) >= 0.95 * len(scored)
+
+
 def test_models_learn_from_data(spark):
     junk = lambda i: " ".join(w.upper() + "!!" for w in prose(i, 40).split())
     rows = [(i, junk(i) if i % 3 == 0 else prose(i, 40) + ".", "x" if i % 2 else "y") for i in range(400)]
@@ -288,6 +337,27 @@ def test_mixing_meets_its_targets(spark, docs, empty):
     assert mixing.mix_sources(empty).count() == 0
 
 
+def test_marginals_are_met(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("source IS NOT NULL")
+    share = lambda df, d, weight: (lambda t: (t / t.sum()).to_dict())(df.assign(w=weight(df)).groupby(d, dropna=False)["w"].sum())
+    plain = mixing.mix_sources(docs).select("source", "lang", "topic", "tokens", "probability").toPandas()
+    for d, power in mixing.POWERS.items():
+        now, got = share(plain, d, lambda df: df.tokens), share(plain, d, lambda df: df.tokens * df.probability)
+        raised = {v: x**power for v, x in now.items()}
+        aim = {v: x / sum(raised.values()) for v, x in raised.items()}
+        way = min(1, (mixing.LIFT - 1) / max(aim[v] / now[v] - 1 for v in now))
+        assert all(got[v] == pytest.approx(now[v] + way * (aim[v] - now[v]), abs=1e-6) for v in now)
+    names = sorted(n for n in plain.source.unique())
+    wanted = spark.createDataFrame([(names[0], 2.0), (names[1], 6.0)], "source string, share double")
+    given = mixing.mix_sources(docs, targets={"source": wanted}).select("source", "lang", "topic", "tokens", "probability", "sampled").toPandas()
+    got = share(given, "source", lambda df: df.tokens * df.probability)
+    assert got[names[0]] == pytest.approx(0.25, abs=1e-6) and got[names[1]] == pytest.approx(0.75, abs=1e-6)
+    assert not given[~given.source.isin(names[:2])].sampled.any() and given.probability.max() <= 1
+    nothing = spark.createDataFrame([(names[0], 1.0), ("no such source", 1.0)], "source string, share double")
+    with pytest.raises(ValueError):
+        mixing.mix_sources(docs, targets={"source": nothing})
+
+
 def _edited(words_, kind, n, at):
     put = prose(900 + n, n).split()
     return [*words_[:at], *put, *words_[at + n * (kind == "replace") :]] if kind != "delete" else [*words_[:at], *words_[at + n :]]

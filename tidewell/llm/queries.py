@@ -47,8 +47,8 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), "sampled")
 
 
-def _op5_sql(rounds: int = 8, cap_rounds: int = 8, keep: float = 0.7) -> str:
-    """Raking and capping written out step by step."""
+def _op5_sql(rounds: int = 14, keep: float = 0.7, lift: float = 1.1) -> str:
+    """Raking written out step by step: more passes than it takes until nothing changes."""
     steps = [f"""
 WITH d AS (SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '\\S+')) AS tokens FROM documents),
 t AS (SELECT *, CASE WHEN tokens < 100 THEN 'note' WHEN tokens < 1000 THEN 'article' ELSE 'longread' END AS topic FROM d),
@@ -56,20 +56,18 @@ c AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM t GROUP BY
 g AS (SELECT sum(tokens) AS total FROM c)"""]
     dims = {"source": 0.7, "lang": 0.7, "topic": 0.5}
     for d, power in dims.items():
-        steps.append(f"s_{d} AS (SELECT {d}, pow(sum(tokens), {power}) AS raised FROM c GROUP BY 1), m_{d} AS (SELECT {d}, raised / sum(raised) OVER () AS share FROM s_{d})")
+        steps.append(f"s_{d} AS (SELECT {d}, sum(tokens) / sum(sum(tokens)) OVER () AS now, pow(sum(tokens), {power}) / sum(pow(sum(tokens), {power})) OVER () AS aim FROM c GROUP BY 1)")
+        steps.append(f"m_{d} AS (SELECT {d}, now + (aim - now) * least(1, {lift - 1} / nullif((SELECT max(aim / now - 1) FROM s_{d}), 0)) AS share FROM s_{d})")
     last = "(SELECT *, tokens AS w FROM c)"
     for i in range(rounds):
         for d in dims:
             steps.append(f"r{i}_{d} AS MATERIALIZED (SELECT x.* EXCLUDE (w), w * share * total / sum(w) OVER (PARTITION BY x.{d}) AS w FROM {last} x JOIN m_{d} m ON m.{d} IS NOT DISTINCT FROM x.{d}, g)")
             last = f"r{i}_{d}"
-    steps.append(f"p0 AS MATERIALIZED (SELECT * EXCLUDE (w), least(1.0, {keep} * w / tokens) AS p FROM {last})")
-    for i in range(cap_rounds):
-        steps.append(f"""p{i + 1} AS MATERIALIZED (SELECT * EXCLUDE (p), CASE WHEN p < 1 THEN least(1.0, p * ({keep} * sum(tokens) OVER () - sum(CASE WHEN p >= 1 THEN tokens ELSE 0 END) OVER ())
-  / sum(CASE WHEN p < 1 THEN p * tokens ELSE 0 END) OVER ()) ELSE p END AS p FROM p{i})""")
-    return ",\n".join(steps) + f"""
+    return ",\n".join(steps) + f""",
+p AS (SELECT * EXCLUDE (w), least(1.0, least({keep}, (SELECT min(tokens / w) FROM {last})) * w / tokens) AS p FROM {last})
 SELECT doc_id, t.source, t.lang, t.topic, t.tokens, round(coalesce(p, 1), 6) AS probability,
   coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 12))::BIGINT / 281474976710656.0, 0) < coalesce(p, 1) AS sampled
-FROM t LEFT JOIN p{cap_rounds} q ON q.source IS NOT DISTINCT FROM t.source AND q.lang IS NOT DISTINCT FROM t.lang AND q.topic = t.topic
+FROM t LEFT JOIN p q ON q.source IS NOT DISTINCT FROM t.source AND q.lang IS NOT DISTINCT FROM t.lang AND q.topic = t.topic
 """
 
 
