@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..tables import materialise
+from ..tables import discard, materialise
 
 #: Vectors that the codebooks are fitted on at most, those first by a hash of the id.
 SAMPLE = 20_000
@@ -67,10 +67,12 @@ class Codebook:
         d = _nearest(x, self.centres)
         apart = np.sqrt(_nearest(self.centres, self.centres))
         np.fill_diagonal(apart, 1.0)
-        out = np.ones(d.shape, dtype=bool)
+        own = d.argmin(1)
+        out = (d - d.min(1)[:, None]) / (2 * apart[own]) <= radius + 1e-9  # by the plane to the own centre first
         for j in range(len(self.centres)):
-            gap = (d[:, [j]] - d) / (2 * apart[j])  # how far x is on the side of each other centre
-            out[:, j] = (gap <= radius + 1e-9).all(axis=1)
+            some = np.flatnonzero(out[:, j])
+            gap = (d[some][:, [j]] - d[some]) / (2 * apart[j])  # how far x is on the side of each other centre
+            out[some, j] = (gap <= radius + 1e-9).all(axis=1)
         return out
 
     def table(self, x: np.ndarray, j: int) -> list[np.ndarray]:
@@ -130,13 +132,14 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, id_col: st
     One row for each id: ``id``, ``n_links``, ``component_id`` (smallest id reachable, itself included), ``kept``.
 
     Vectors that point the same way exactly collapse into one, with a count. Each distinct vector is a member of one
-    list and probes every list that can hold a partner, which the geometry of the centres tells, so no link is lost.
+    list, with its codes and how far they are off, and probes every list that can hold a partner, which the geometry of
+    the centres tells, so no link is lost.
     Inside a list, table look-ups give the distance from the probe to the decoded member; members further than the
     radius plus their own decoding error leave, and exact cosines decide on the rest. Large lists are dealt into blocks
     of members and blocks of probes; a block hands on counts and a spanning forest.
 
     Vectors that are null, empty or zero or hold null or non-finite components, and rows with a null label, have no
-    links. Vectors of another length than the codebook's are compared in one list of their length. Rows that share an id
+    links; an empty table gives an empty result. Vectors of another length than the codebook's are compared in one list of their length. Rows that share an id
     count as one vertex with the links of all of them; a null id has null results. Other columns are ignored.
     """
     units = materialise(unit_vectors(vectors, id_col, vec_col, label_col), "units")
@@ -147,25 +150,26 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, id_col: st
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            lists, probes = [None] * len(frame), [None] * len(frame)
+            lists, probes, codes, errors = ([None] * len(frame) for _ in range(4))
             fits = np.array([book is not None and len(u) == book.centres.shape[1] for u in frame["u"]], dtype=bool)
             if fits.any():
                 x = np.stack(frame["u"][fits].to_numpy())
-                own = book.encode(x)[0]
+                own, code, error = book.encode(x)
                 near = book.probes(x, radius)
-                for i, j, row in zip(np.flatnonzero(fits), own, near, strict=True):
+                for i, j, row, c, e in zip(np.flatnonzero(fits), own, near, code.astype(np.uint8), error, strict=True):
                     lists[i], probes[i] = int(j), np.flatnonzero(row | (np.arange(len(row)) == j)).tolist()
+                    codes[i], errors[i] = c.tobytes(), float(e)
             for i in np.flatnonzero(~fits):
                 lists[i] = -len(frame["u"].iloc[i])
                 probes[i] = [lists[i]]
-            yield frame[["id", "label", "u", "copies"]].assign(list=lists, probes=probes)
+            yield frame[["id", "label", "u", "copies"]].assign(list=lists, probes=probes, codes=codes, error=errors)
 
-    listed = materialise(distinct.mapInPandas(assign, "id long, label string, u array<double>, copies long, list int, probes array<int>"), "lists")
+    listed = materialise(distinct.mapInPandas(assign, "id long, label string, u array<double>, copies long, list int, probes array<int>, codes binary, error double"), "lists")
     sizes = listed.groupBy("label", "list").agg(F.count("*").alias("members"))
     asked = listed.select("label", F.explode("probes").alias("list")).groupBy("label", "list").agg(F.count("*").alias("asking"))
     blocks = sizes.join(asked, ["label", "list"]).select("label", "list", F.ceil(F.col("members") / BLOCK).alias("mb"), F.ceil(F.col("asking") / BLOCK).alias("pb"))
     blocks = F.broadcast(blocks) if blocks.count() <= 100_000 else blocks
-    members = listed.select("id", "label", "u", "copies", "list").join(blocks, ["label", "list"]).withColumn("m", F.pmod(F.xxhash64("id"), "mb")).withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pb") - 1)))
+    members = listed.select("id", "label", "u", "copies", "list", "codes", "error").join(blocks, ["label", "list"]).withColumn("m", F.pmod(F.xxhash64("id"), "mb")).withColumn("p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pb") - 1)))
     probing = listed.select("id", "label", "u", F.explode("probes").alias("list")).join(blocks, ["label", "list"]).withColumn("p", F.pmod(F.xxhash64("id", F.lit(1)), "pb")).withColumn("m", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -175,7 +179,8 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, id_col: st
             x, y = np.stack(left["u"].to_numpy()), np.stack(right["u"].to_numpy())
             x_ids, y_ids, copies, j = left["id"].to_numpy(), right["id"].to_numpy(), right["copies"].to_numpy(), int(right["list"].iloc[0])
             if j >= 0 and book is not None:
-                _, codes, error = book.encode(y)
+                codes = np.frombuffer(b"".join(right["codes"]), dtype=np.uint8).reshape(len(y), -1)
+                error = right["error"].to_numpy()
                 near = np.zeros((len(x), len(y)))
                 for s, t in enumerate(book.table(x, j)):
                     near += t[:, codes[:, s]]
@@ -208,8 +213,9 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, id_col: st
 
     keys = ["label", "list", "m", "p"]
     renamed = lambda df, *more: df.select(*(F.col(c).alias(c) for c in (*keys, "id", "u", *more)))  # noqa: E731  both come from the same tables
-    found = renamed(probing).groupBy(keys).cogroup(renamed(members, "copies").groupBy(keys)).applyInPandas(compare, "rep long, other long, links long")
+    found = renamed(probing).groupBy(keys).cogroup(renamed(members, "copies", "codes", "error").groupBy(keys)).applyInPandas(compare, "rep long, other long, links long")
     found = materialise(found, "vector-links")
+    discard(listed)
     linked = found.where("other is null").groupBy(F.col("rep").alias("id")).agg(F.sum("links").alias("links"))
     merged = connected_components(found.where("other is not null"), "rep", "other")
     per = distinct.join(linked, "id", "left").join(merged, "id", "left").select("label", "fp", F.coalesce("component", "id").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
