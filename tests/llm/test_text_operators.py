@@ -487,6 +487,25 @@ def test_near_passages_equal_brute_force(spark):
     assert len(want) > 900 and len(want - {(r.doc, r.first_doc) for r in rows}) <= 1
 
 
+def test_large_components_are_compared_by_bucket(spark, monkeypatch):
+    texts = {}
+    for k in range(6):  # chains of copies, each further from the first
+        w = prose(700 + k, 90).split()
+        for j in range(12):
+            w = [*w]
+            w[(7 * j) % 90] = f"changed{k}x{j}"
+            texts[20 * k + j] = " ".join(w)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    run = lambda: sorted(map(tuple, jaccard.ngram_jaccard_join(docs).collect()))
+    plain = run()
+    links = {i: sum(_jaccard(texts[i], texts[j]) >= 0.8 for j in texts if j != i) for i in texts}
+    assert {r[0]: r[2] for r in plain} == links and sum(links.values()) > 100
+    monkeypatch.setattr(jaccard, "LARGE", 3)
+    assert run() == plain
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    assert run() == plain
+
+
 def test_jaccard_join_of_two_texts_under_one_id(spark):
     rows = []
     for k in range(12):  # the first of three ids has two texts, each of which links to one of the others

@@ -36,6 +36,33 @@ def test_top_k_equals_brute_force(spark, rows):
     assert sorted(got) == sorted(want)
 
 
+def test_top_k_over_many_blocks(spark, rows, monkeypatch):
+    rows = [r for r in rows if r[0] != 911]
+    one = topk.quantised(spark.createDataFrame(rows, SCHEMA))
+    want = sorted(map(tuple, topk.exact_top_k(one, one.where("vec_id % 50 = 0")).collect()))
+    monkeypatch.setattr(topk, "BLOCK", 90)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    monkeypatch.setattr(topk, "SAMPLE", 60)
+    assert sorted(map(tuple, topk.exact_top_k(one.repartition(5), one.where("vec_id % 50 = 0")).collect())) == want
+    twice = one.unionByName(one.where("vec_id IN (3, 50)")).withColumn("xb", one["label"])  # rows are candidates each
+    got = topk.exact_top_k(twice, twice.where("vec_id = 50")).collect()
+    plain = topk.exact_top_k(one, one.where("vec_id = 50"), k=900).collect()
+    every = sorted([(-r.score, r.vec_id) for r in plain] + [(-r.score, r.vec_id) for r in plain if r.vec_id == 3])
+    assert [(r.rank, -r.score, r.vec_id) for r in sorted(got, key=lambda r: r.rank)] == [(i + 1, *e) for i, e in enumerate(every[:5])]
+
+
+def test_bounds_leave_few_where_vectors_have_a_shape():
+    rng = np.random.default_rng(8)
+    axes = np.linalg.qr(rng.normal(size=(64, 64)))[0]
+    x = np.floor(256 * (rng.normal(size=(3000, 64)) * 0.8 ** np.arange(64)) @ axes).astype(int)
+    left: list = []
+    turned = np.linalg.eigh(x.T.astype(float) @ x)[1][:, ::-1]
+    for i, ids, scores in topk.best_of_block(x[:20], x, np.arange(3000), np.arange(20), 5, turned, None, left):
+        want = sorted((-int(x[i] @ x[j]), j) for j in range(3000) if j != i)[:5]
+        assert [(-s, j) for s, j in zip(scores.tolist(), ids.tolist(), strict=True)] == want
+    assert np.mean([c[1] for c in left]) < 0.2 * 3000 and np.mean([c[2] for c in left]) < 0.02 * 3000
+
+
 def test_top_k_with_ties_few_rows_and_large_values(spark):
     tied = spark.createDataFrame([(i, [1.0, 0.0], 0, 0) for i in range(8)] + [(50, [3e12, 1.0], 0, 0)], SCHEMA)
     vectors = topk.quantised(tied)
@@ -63,6 +90,14 @@ def test_near_dedup_equals_brute_force(spark, rows):
         assert got[i].component_id == min(seen) and got[i].kept == (i == min(seen))
 
 
+def test_near_dedup_over_many_lists_and_blocks(spark, rows, monkeypatch):
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(map(tuple, pq.embedding_near_dedup(df).collect()))
+    monkeypatch.setattr(pq, "LIST_SIZE", 40)
+    monkeypatch.setattr(pq, "BLOCK", 32)
+    assert sorted(map(tuple, pq.embedding_near_dedup(df.repartition(5)).collect())) == want
+
+
 def test_near_dedup_of_nothing(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert pq.embedding_near_dedup(none).count() == 0
