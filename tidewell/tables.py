@@ -13,10 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: what the session names in ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests on one machine, a temporary folder is made and set.
+    Only where that is unset and all tasks run in the driver's process, as in tests, a temporary folder is made and set; a
+    cluster without a shared folder is an error, for its machines would not see each other's files.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tidewell-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
