@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..functions.text import non_blank
 from ..sources.queues import keep_first
-from .web import Page, embedded_state, feed_entries, is_ev_related, same_site_url
+from .web import Page, _safely, embedded_state, feed_entries, is_ev_related, same_site_url
 
 _NOTE = re.compile(r"/(?:explore|discovery/item)/([0-9a-f]{16,32})")
 #: (link, title, date text, milliseconds, from the feed of everything: only titles on electric vehicles count)
@@ -57,7 +57,7 @@ def _channel(page: Page, html: str, url: str) -> Iterator[Entry]:
         if isinstance(route, str) and route.startswith("detail_article") and isinstance(key, int):
             title, at = _at(material, "widgetTitle"), _at(material, "publishTime")
             found = True
-            yield f"/p/{key}", title if isinstance(title, str) else "", "", int(at) if isinstance(at, int | float) and not isinstance(at, bool) else None, False
+            yield f"/p/{key}", title if isinstance(title, str) else "", "", int(at) if isinstance(at, int | float) and not isinstance(at, bool) and abs(at) < 1e15 else None, False
     for i in () if found else page.select("a.article-item-title[href]"):
         if page.text(i) and "/p/" in page.nodes[i][1]["href"]:
             yield page.nodes[i][1]["href"], page.text(i), "", None, False
@@ -103,10 +103,15 @@ LISTINGS = {
 }
 
 
-def discover(pages: DataFrame, source: str, as_of: Column, url_col: str = "url", html_col: str = "html") -> DataFrame:
+# The words that the news search is asked for, one page of results each.
+NEWS_WORDS = ("新能源汽车", "智能驾驶", "智能座舱", "自动驾驶", "电动汽车 软件")
+
+
+def discover(pages: DataFrame, source: str, as_of: Column, url_col: str = "url", html_col: str = "html", word_col: str | None = None) -> DataFrame:
     """``source_name``, ``source_url``, ``title``, ``publish_date`` and ``ord`` of the listings of one source, each URL once.
 
-    Pages count in the order of their addresses. Unparseable state leaves the elements; null pages list nothing.
+    Pages count in the order of their addresses; those of a search in the order of their words in ``NEWS_WORDS`` first
+    (``word_col``), so a story that several words find counts under the first of them. Unparseable state leaves the elements; null pages list nothing.
     """
     find, base, host = LISTINGS[source]
 
@@ -115,16 +120,20 @@ def discover(pages: DataFrame, source: str, as_of: Column, url_col: str = "url",
             rows = []
             for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if html:
-                    rows += [(url, k, *entry) for k, entry in enumerate(find(Page(html), html, url))]
+                    entries, _ = _safely(lambda html=html, url=url: tuple(find(Page(html), html, url)))
+                    rows += [(url, k, *entry) for k, entry in enumerate(e for e in entries if e)]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
             kinds = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["page_url", "pos", "href", "title", "date_text", "millis", "mixed"])
 
+    turn = F.lit(0) if word_col is None else F.array_position(F.array(*(F.lit(w) for w in NEWS_WORDS)), F.col(word_col))
+    turns = pages.select(F.col(url_col).alias("page_url"), turn.alias("turn")).groupBy("page_url").agg(F.min("turn").alias("turn"))
     rows = pages.select(F.col(url_col).alias("page_url"), F.col(html_col).alias("html")).mapInArrow(parse, "page_url string, pos int, href string, title string, date_text string, millis long, mixed boolean")
+    rows = rows.withColumn("turn", F.lit(0)) if word_col is None else rows.join(turns, "page_url")
     url = same_site_url(F.col("href"), base, host) if host else F.when(F.col("href").rlike("^https?://"), F.col("href"))
     text = non_blank(F.col("date_text"))
     stamp = F.coalesce(dates.epoch_millis(F.col("millis")), dates.result_date(text, as_of))
-    named = rows.where(~F.col("mixed") | is_ev_related(F.col("title"))).select(F.lit(source).alias("source_name"), url.alias("source_url"), "title", stamp.alias("publish_date"), F.struct("page_url", "pos").alias("ord"))
+    named = rows.where(~F.col("mixed") | is_ev_related(F.col("title"))).select(F.lit(source).alias("source_name"), url.alias("source_url"), "title", stamp.alias("publish_date"), F.struct("turn", "page_url", "pos").alias("ord"))
     return keep_first(named, "source_url", "ord")
 
 

@@ -2,7 +2,7 @@
 
 import json
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -165,7 +165,7 @@ def embedded_state(page: Page, html: str, where: str) -> dict:
         found = re.sub(r"\bundefined\b", "null", found) if "__" in where else found
     try:
         value = json.JSONDecoder().raw_decode(found.strip())[0]
-    except ValueError:
+    except (ValueError, RecursionError):
         return {}
     return value if isinstance(value, dict) else {}
 
@@ -238,18 +238,32 @@ def publish_date(spec: Source, as_of: Column) -> Column:
     return meta
 
 
-def scrape_articles(pages: DataFrame, source: str, as_of: Column, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Article rows of landed pages of one source; pages without a title or a body are left out."""
+def _safely(extracted: Callable[[], tuple]) -> tuple[tuple, str | None]:
+    """What a page gives, or five blanks and the error's name: one bad page costs its own row only."""
+    try:
+        return extracted(), None
+    except (ArithmeticError, AttributeError, LookupError, RecursionError, TypeError, ValueError) as e:
+        return ("",) * 5, type(e).__name__
+
+
+def parsed_pages(pages: DataFrame, source: str, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """What ``extract`` finds on each landed page of one source, and ``parse_error``, the error that a page raised."""
     spec = SOURCES[source]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [extract(h.as_py(), u.as_py(), spec) for u, h in zip(batch.column(0), batch.column(1), strict=True)]
-            fields = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(f, pa.string()) for f in fields)], ["source_url", "raw_html", "title", "body", "state_date", "stamp", "page_text"])
+            rows = [(*found, error) for found, error in (_safely(lambda h=h, u=u: extract(h.as_py(), u.as_py(), spec)) for u, h in zip(batch.column(0), batch.column(1), strict=True))]
+            fields = list(zip(*rows, strict=True)) if rows else [[]] * 6
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(f, pa.string()) for f in fields)], ["source_url", "raw_html", "title", "body", "state_date", "stamp", "page_text", "parse_error"])
 
     landed = pages.select(F.col(url_col).alias("source_url"), F.col(html_col).alias("raw_html"))
-    found = landed.mapInArrow(parse, "source_url string, raw_html string, title string, body string, state_date string, stamp string, page_text string").where("title <> '' AND body <> ''")
+    return landed.mapInArrow(parse, "source_url string, raw_html string, title string, body string, state_date string, stamp string, page_text string, parse_error string")
+
+
+def scrape_articles(pages: DataFrame, source: str, as_of: Column, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Article rows of landed pages of one source; pages without a title or a body, or that can't be parsed, are left out."""
+    spec = SOURCES[source]
+    found = parsed_pages(pages, source, url_col, html_col).where("title <> '' AND body <> ''")
     return found.select(F.lit(spec.name).alias("source_name"), "source_url", "title", "body", publish_date(spec, as_of).alias("publish_date"), as_of.alias("scrape_date"), F.lit(spec.language).alias("language"), "raw_html")
 
 
