@@ -51,8 +51,15 @@ def feature_timeline(features: DataFrame, category: str | None = None, brand: st
         chosen = chosen.where(F.col("category") == category)
     if brand is not None:
         chosen = chosen.where(F.col("brand_name_en") == brand)
-    order = W.partitionBy("category").orderBy(F.col("first_seen_date").asc_nulls_last(), "ord")
-    return chosen.withColumn("position", F.row_number().over(order))
+    day, group = [F.col("first_seen_date").asc_nulls_last(), F.col("ord").asc()], F.coalesce("category", F.lit(""))
+    undated = F.concat(F.lit("x"), F.lpad(F.floor(F.col("ord") / F.lit(100_000)).cast("string"), 15, "0"))
+    dealt = chosen.withColumns({"__group": group, "__day": F.coalesce(F.date_format("first_seen_date", "yyyyMMdd"), undated)})
+    # Days are ranked in their category by counts, and features in their day: no task holds a whole category.
+    days = dealt.groupBy("__group", "__day").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(W.partitionBy("__group").orderBy("__day").rowsBetween(W.unboundedPreceding, -1))
+    starts = days.select("__group", "__day", F.coalesce(before, F.lit(0)).alias("__before"))
+    placed = dealt.withColumn("__at", F.row_number().over(W.partitionBy("__group", "__day").orderBy(*day))).join(starts, ["__group", "__day"])
+    return placed.withColumn("position", (F.col("__before") + F.col("__at")).cast("int")).drop("__group", "__day", "__before", "__at")
 
 
 def first_movers(features: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 QUEUE, PHASE2, PER_SOURCE, CHUNK = 50, 100, 25, 100
+MOST = 100_000
 
 
 def unprocessed(articles: DataFrame, limit: int = QUEUE) -> DataFrame:
@@ -58,7 +59,9 @@ def new_listings(listings: DataFrame, known: DataFrame, per_source: int = PER_SO
 
 
 def chunks(rows: DataFrame, order: str, size: int = CHUNK) -> DataFrame:
-    """``chunk`` from 0, of ``size`` rows in order. Meant for a run's queue, which is limited."""
+    """``chunk`` from 0, of ``size`` rows in order. For a run's queue, which is limited; ``MOST`` rows at most, checked."""
+    if rows.count() > MOST:
+        raise ValueError(f"more than {MOST} rows: a run takes a limited queue")
     return rows.withColumn("chunk", F.floor((F.row_number().over(W.orderBy(order)) - 1) / F.lit(size)))
 
 
