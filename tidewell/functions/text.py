@@ -29,25 +29,31 @@ def any_keyword(text: Column, keywords: Sequence[str]) -> Column:
     return F.exists(F.array(*(F.lit(k) for k in keywords)), lambda k: F.contains(low, k))
 
 
-def _ratio(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Lower-cased matching-blocks ratio; the second title's index is built once for a run of equal ones."""
+def _ratio(a: pa.Array, b: pa.Array, least: pa.Array) -> pa.Array:
+    """Lower-cased matching-blocks ratio, or 0 where a quick upper bound of it is under ``least``; the second title's index is built once for a run of equal ones."""
     matcher, out, last = SequenceMatcher(), [], None
-    for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True):
+    for x, y, need in zip(a.to_pylist(), b.to_pylist(), least.to_pylist(), strict=True):
         if not x or not y:
             out.append(0.0)
             continue
+        x, z = x.lower(), y.lower()
+        if x == z:
+            out.append(1.0)
+            continue
         if y != last:
-            matcher.set_seq2(y.lower())
+            matcher.set_seq2(z)
             last = y
-        matcher.set_seq1(x.lower())
-        out.append(matcher.ratio())
+        matcher.set_seq1(x)
+        hopeless = need > 0 and (matcher.real_quick_ratio() < need or matcher.quick_ratio() < need)
+        out.append(0.0 if hopeless else matcher.ratio())
     return pa.array(out, pa.float64())
 
 
-def title_similarity(first: Column, second: Column) -> Column:
+def title_similarity(first: Column, second: Column, least: Column | None = None) -> Column:
     """From 0 to 1; 0 if either is missing. It isn't symmetric: the earlier title comes first.
 
-    No built-in function equals it. It is marked as nondeterministic, so that a filter and a projection on it share one
-    evaluation.
+    Similarities under ``least`` may come out as 0, for most of them need no exact ratio. No built-in function equals it.
+    It is marked as nondeterministic, so that a filter and a projection on it share one evaluation.
     """
-    return F.arrow_udf(_ratio, "double").asNondeterministic()(first, second)
+    need = F.lit(0.0) if least is None else F.coalesce(least - F.lit(1e-9), F.lit(0.0))
+    return F.arrow_udf(_ratio, "double").asNondeterministic()(first, second, need)

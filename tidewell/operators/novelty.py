@@ -1,16 +1,22 @@
 """Novelty: one minus the greatest similarity to anything recent."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.sets import feature_categories, jaccard_of_sets, lower_set, present
 from ..functions.text import title_similarity
+from ..tables import materialise
 
 # Weights of title, brands, content and type for articles; of type, brands, features and sources for signals.
 ARTICLE_TITLE, ARTICLE_BRANDS, ARTICLE_CONTENT, ARTICLE_TYPE = 0.35, 0.25, 0.25, 0.15
 SIGNAL_TYPE, SIGNAL_BRANDS, SIGNAL_FEATURES, SIGNAL_SOURCES = 0.3, 0.35, 0.2, 0.15
 ARTICLE_DAYS, SIGNAL_DAYS = 7, 14
-#: Rows of a batch that may be compared with everything recent; larger batches are refused.
+# The categories that features have.
+CATEGORIES = ("adas", "ai_assistant", "infotainment", "connectivity", "ota", "battery_software", "cockpit_ux")
+#: Rows of a batch that go to every partition of the recent ones; larger batches are dealt into blocks.
 BATCH = 1000
 
 
@@ -37,38 +43,86 @@ def _others() -> Column:
     return ~F.col("a.id").eqNullSafe(F.col("b.id")) & ~F.coalesce(F.col("a.group_id") == F.col("b.group_id"), F.lit(False))
 
 
+def _who(group: Column, own: Column) -> Column:
+    """What an article isn't compared with itself as: its duplicate group, or itself."""
+    return F.coalesce(F.concat(F.lit("g"), group), F.concat(F.lit("i"), own))
+
+
+def best_other(rows: DataFrame, key: Sequence[str], score: str, low: str, high: str) -> DataFrame:
+    """For each ``key`` the best score, ``who`` has it, and the best that another has: what anyone needs to find the best of the others.
+
+    Rows are groups of identities, given by the smallest and the largest of each group.
+    """
+    each = rows.select(*key, score, F.explode(F.array_distinct(F.array(low, high))).alias("who")).groupBy(*key, "who").agg(F.max(score).alias("score"))
+    turn = F.row_number().over(W.partitionBy(*key).orderBy(F.desc("score"), "who"))
+    two = each.withColumn("turn", turn).where("turn <= 2")
+    of = lambda n, c: F.max(F.when(F.col("turn") == n, F.col(c)))
+    return two.groupBy(*key).agg(of(1, "who").alias("who"), of(1, "score").alias("best"), of(2, "score").alias("second"))
+
+
+def _by_category(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``id`` and ``greatest``: for each article the most that categories in common alone can give.
+
+    Articles count by their categories and the size of their content only, and there are few of such forms: at most one
+    for each set of the fixed categories and each size.
+    """
+    forms = lambda df: df.withColumn("kinds", F.array_sort(F.array_intersect("content", F.array(*(F.lit(c) for c in CATEGORIES))))).where(F.size("kinds") > 0).withColumn("n", F.size("content"))
+    mine, theirs = forms(a), forms(b).groupBy("kinds", "n").agg(F.min("who").alias("low"), F.max("who").alias("high"))
+    asked = mine.select("kinds", "n").distinct()
+    met = asked.select("kinds", "n", F.explode("kinds").alias("kind")).join(theirs.select(F.col("kinds").alias("other"), F.col("n").alias("m"), "low", "high", F.explode("kinds").alias("kind")), "kind")
+    both = F.size(F.array_intersect("kinds", "other"))
+    scored = met.withColumn("score", both / (F.col("n") + F.col("m") - both) * F.lit(ARTICLE_CONTENT))
+    best = best_other(scored, ["kinds", "n"], "score", "low", "high").withColumnRenamed("who", "of")
+    return mine.join(best, ["kinds", "n"]).select("id", F.when(F.col("of") == F.col("who"), F.col("second")).otherwise(F.col("best")).alias("greatest"))
+
+
 def article_set_novelty(articles: DataFrame, recent: DataFrame) -> DataFrame:
     """Novelty of every article by brands, content and type alone.
 
-    A pair without a common brand or content term has similarity 0 (a common primary brand is a common brand), so
-    articles meet on those terms only, and each pair counts under its first common term.
+    Articles with equal sets and type count as one, with the smallest and the largest identity. These meet on brands and
+    on content that is no category, each pair under its first common term; a pair that has only categories in common has
+    what ``_by_category`` gives, so that no join is on the few categories that all articles share.
     """
-    terms = F.array_union(F.transform("brands", lambda b: F.concat(F.lit("b"), b)), F.transform("content", lambda c: F.concat(F.lit("c"), c)))
-    a, b = prepare_articles(articles).withColumn("terms", terms), prepare_articles(recent).withColumn("terms", terms)
-    met = a.select(F.explode("terms").alias("term"), F.struct("*").alias("a")).join(b.select(F.explode("terms").alias("term"), F.struct("*").alias("b")), "term")
-    met = met.where(_others() & (F.array_min(F.array_intersect("a.terms", "b.terms")) == F.col("term")))
+    terms = F.array_union(F.transform("brands", lambda b: F.concat(F.lit("b"), b)), F.transform(F.array_except("content", F.array(*(F.lit(c) for c in CATEGORIES))), lambda c: F.concat(F.lit("c"), c)))
+    sets = ["brands", "content", "kind", "primary"]
+    form = F.md5(F.to_json(F.struct(F.array_sort("brands").alias("x"), F.array_sort("content").alias("y"), "kind", "primary")))
+    prepared = lambda df: prepare_articles(df).withColumn("who", _who(F.col("group_id"), F.col("id"))).withColumn("form", form)
+    a = materialise(prepared(articles).drop("title"), "article-sets")  # read several times
+    b = a if recent is articles else materialise(prepared(recent).drop("title"), "article-sets")
+    mine = a.groupBy("form").agg(*(F.first(c).alias(c) for c in sets)).withColumn("terms", terms)
+    theirs = b.groupBy("form").agg(*(F.first(c).alias(c) for c in sets), F.min("who").alias("low"), F.max("who").alias("high")).withColumn("terms", terms)
+    met = mine.select(F.explode("terms").alias("term"), F.struct("*").alias("a")).join(theirs.select(F.explode("terms").alias("term"), F.struct("*").alias("b")), "term")
+    met = met.where(F.array_min(F.array_intersect("a.terms", "b.terms")) == F.col("term"))
     brand, content, kind = _set_similarity()
-    best = met.groupBy(F.col("a.id").alias("id")).agg(F.max(brand * ARTICLE_BRANDS + content * ARTICLE_CONTENT + kind * ARTICLE_TYPE).alias("greatest"))
-    return articles.select("id").join(best, "id", "left").select("id", novelty(F.col("greatest")).alias("novelty"))
+    scored = met.select(F.col("a.form").alias("form"), F.col("b.low").alias("low"), F.col("b.high").alias("high"), (brand * ARTICLE_BRANDS + content * ARTICLE_CONTENT + kind * ARTICLE_TYPE).alias("score"))
+    best = best_other(scored, ["form"], "score", "low", "high").withColumnRenamed("who", "of")
+    by_terms = a.select("id", "form", "who").join(best, "form").select("id", F.when(F.col("of") == F.col("who"), F.col("second")).otherwise(F.col("best")).alias("greatest"))
+    every = by_terms.unionByName(_by_category(a, b)).groupBy("id").agg(F.max("greatest").alias("greatest"))
+    return articles.select("id").join(every, "id", "left").select("id", novelty(F.col("greatest")).alias("novelty"))
 
 
 def article_novelty(batch: DataFrame, recent: DataFrame) -> DataFrame:
     """Novelty of a batch against all recent articles, titles included.
 
-    The batch is what one run takes (``BATCH`` rows at most, checked) and goes to every partition of the recent articles.
-    Titles are compared only where they can still beat the article's best similarity without them.
+    A batch of at most ``BATCH`` rows goes to every partition of the recent articles. A larger one is dealt into blocks of
+    that size, and each block meets all recent articles. Titles are compared only where they can still beat the article's
+    best similarity without them.
     """
     size = batch.count()
-    if size > BATCH:
-        raise ValueError(f"{size} articles in a batch of at most {BATCH}")
-    a = F.broadcast(prepare_articles(batch).select(F.struct("*").alias("a")))
-    met = prepare_articles(recent).select(F.struct("*").alias("b")).join(a, _others())
-    brand, content, kind = _set_similarity()
-    met = met.withColumn("rest", brand * ARTICLE_BRANDS + content * ARTICLE_CONTENT + kind * ARTICLE_TYPE)
-    floor = F.broadcast(met.groupBy(F.col("a.id").alias("id")).agg(F.max("rest").alias("floor")))  # a row for each article of the batch
+    a = prepare_articles(batch).select(F.struct("*").alias("a"))
+    b = prepare_articles(recent).select(F.struct("*").alias("b"))
+    if size <= BATCH:
+        met = b.join(F.broadcast(a), _others())
+    else:
+        blocks = -(-size // BATCH)
+        dealt = a.withColumn("block", F.pmod(F.xxhash64("a.id"), F.lit(blocks)).cast("int"))
+        met = b.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(dealt, "block").where(_others()).drop("block")
     brand, content, kind = _set_similarity()
-    left = met.join(floor, F.col("a.id") == F.col("id")).where(F.col("rest") + ARTICLE_TITLE >= F.col("floor") - 1e-9)
-    score = F.lit(ARTICLE_TITLE) * title_similarity(F.col("a.title"), F.col("b.title")) + F.lit(ARTICLE_BRANDS) * brand + F.lit(ARTICLE_CONTENT) * content + F.lit(ARTICLE_TYPE) * kind
+    rest = met.select(F.col("a.id").alias("id"), F.col("a.title").alias("a_title"), F.col("b.title").alias("b_title"), (brand * ARTICLE_BRANDS + content * ARTICLE_CONTENT + kind * ARTICLE_TYPE).alias("rest"))
+    floor = materialise(rest.groupBy("id").agg(F.max("rest").alias("floor")), "floor")  # a row for each article of the batch
+    left = rest.join(floor, "id").where(F.col("rest") + ARTICLE_TITLE >= F.col("floor") - 1e-9)
+    need = (F.col("floor") - F.col("rest")) / ARTICLE_TITLE
+    score = F.lit(ARTICLE_TITLE) * title_similarity(F.col("a_title"), F.col("b_title"), need) + F.col("rest")
     best = left.withColumn("score", score).groupBy("id").agg(F.max("score").alias("greatest"))
     return batch.select("id").join(best, "id", "left").select("id", novelty(F.col("greatest")).alias("novelty"))
 
@@ -80,22 +134,38 @@ def _tag(mark: str):
 def signal_novelty(signals: DataFrame, recent: DataFrame) -> DataFrame:
     """Novelty of every signal by type, brands, features and source articles.
 
-    A pair that shares none of these has similarity 0. The type alone gives 0.3 and is checked by its presence among
-    the recent ones; only pairs that share a brand, feature or source are compared one by one.
+    A pair that shares none of these has similarity 0. Signals with equal brands and features count as one form. Forms
+    meet on brands and features, and a form's types say whether the type is in common too. Pairs with a source in common
+    are compared one by one, and the type alone gives 0.3 if another recent signal has it.
     """
 
     def prepared(df: DataFrame) -> DataFrame:
         sets = df.select("id", F.nullif("signal_type", F.lit("")).alias("kind"), *(lower_set(F.col(c)).alias(n) for c, n in (("brands_mentioned", "brands"), ("features_mentioned", "features"), ("source_article_ids", "sources"))))
-        tagged = [F.transform(n, _tag(n[0])) for n in ("brands", "features", "sources")]
-        return sets.withColumn("terms", F.array_union(F.array_union(tagged[0], tagged[1]), tagged[2]))
-
-    a, b = prepared(signals), prepared(recent)
-    met = a.select(F.explode("terms").alias("term"), F.struct("*").alias("a")).join(b.select(F.explode("terms").alias("term"), F.struct("*").alias("b")), "term")
-    met = met.where(~F.col("a.id").eqNullSafe(F.col("b.id")) & (F.array_min(F.array_intersect("a.terms", "b.terms")) == F.col("term")))
-    same = F.when(F.coalesce(F.col("a.kind") == F.col("b.kind"), F.lit(False)), 1.0).otherwise(0.0)
-    score = same * SIGNAL_TYPE + jaccard_of_sets(F.col("a.brands"), F.col("b.brands")) * SIGNAL_BRANDS + jaccard_of_sets(F.col("a.features"), F.col("b.features")) * SIGNAL_FEATURES + jaccard_of_sets(F.col("a.sources"), F.col("b.sources")) * SIGNAL_SOURCES
-    best = met.groupBy(F.col("a.id").alias("id")).agg(F.max(score).alias("greatest"))
+        return sets.withColumns({"brands": F.array_sort("brands"), "features": F.array_sort("features")}).withColumn("form", F.md5(F.to_json(F.struct("brands", "features"))))
+
+    a = materialise(prepared(signals), "signal-sets")  # read several times
+    b = a if recent is signals else materialise(prepared(recent), "signal-sets")
+    terms = F.array_union(F.transform("brands", _tag("b")), F.transform("features", _tag("f")))
+    forms = lambda df: df.groupBy("form").agg(F.first("brands").alias("brands"), F.first("features").alias("features")).withColumn("terms", terms)
+    met = forms(a).select(F.explode("terms").alias("term"), F.struct("*").alias("a")).join(forms(b).select(F.explode("terms").alias("term"), F.struct("*").alias("b")), "term")
+    met = met.where(F.array_min(F.array_intersect("a.terms", "b.terms")) == F.col("term"))
+    brands, features = (jaccard_of_sets(F.col(f"a.{n}"), F.col(f"b.{n}")) for n in ("brands", "features"))
+    pairs = met.select(F.col("a.form").alias("form"), F.col("b.form").alias("other"), (brands * SIGNAL_BRANDS + features * SIGNAL_FEATURES).alias("score"))
+    held = b.groupBy("form", "kind").agg(F.min("id").alias("low"), F.max("id").alias("high")).withColumnRenamed("form", "other")
+    asked = a.select("form", "kind").distinct()
+    scored = asked.join(pairs, "form").join(held.withColumnRenamed("kind", "their"), "other")
+    same = F.when(F.coalesce(F.col("kind") == F.col("their"), F.lit(False)), SIGNAL_TYPE).otherwise(0.0)
+    scored = scored.select("form", F.coalesce("kind", F.lit("")).alias("kind"), "low", "high", (F.col("score") + same).alias("score"))
+    best = best_other(scored, ["form", "kind"], "score", "low", "high")
+    by_form = a.select("id", "form", F.coalesce("kind", F.lit("")).alias("kind")).join(best, ["form", "kind"]).select("id", F.when(F.col("who") == F.col("id"), F.col("second")).otherwise(F.col("best")).alias("greatest"))
+
+    shared = a.select(F.explode("sources").alias("source"), F.struct("*").alias("a")).join(b.select(F.explode("sources").alias("source"), F.struct("*").alias("b")), "source")
+    shared = shared.where(~F.col("a.id").eqNullSafe(F.col("b.id")) & (F.array_min(F.array_intersect("a.sources", "b.sources")) == F.col("source")))
+    alike = F.when(F.coalesce(F.col("a.kind") == F.col("b.kind"), F.lit(False)), 1.0).otherwise(0.0)
+    score = alike * SIGNAL_TYPE + brands * SIGNAL_BRANDS + features * SIGNAL_FEATURES + jaccard_of_sets(F.col("a.sources"), F.col("b.sources")) * SIGNAL_SOURCES
+    by_source = shared.select(F.col("a.id").alias("id"), score.alias("greatest"))
+
     kinds = b.where("kind IS NOT NULL").groupBy("kind").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    other_of_kind = a.join(kinds, "kind").where(~F.col("id").eqNullSafe(F.col("low")) | ~F.col("id").eqNullSafe(F.col("high"))).select("id", F.lit(SIGNAL_TYPE).alias("by_kind"))
-    out = signals.select("id").join(best, "id", "left").join(other_of_kind, "id", "left")
-    return out.select("id", novelty(F.greatest("greatest", "by_kind")).alias("novelty"))
+    by_kind = a.join(kinds, "kind").where(~F.col("id").eqNullSafe(F.col("low")) | ~F.col("id").eqNullSafe(F.col("high"))).select("id", F.lit(SIGNAL_TYPE).alias("greatest"))
+    every = by_form.unionByName(by_source).unionByName(by_kind).groupBy("id").agg(F.max("greatest").alias("greatest"))
+    return signals.select("id").join(every, "id", "left").select("id", novelty(F.col("greatest")).alias("novelty"))

@@ -118,6 +118,14 @@ def signals_by_type(candidates: DataFrame) -> DataFrame:
     return kinds.join(candidates.groupBy("signal_type").agg(F.count("*").alias("n")), "signal_type", "left").select("signal_type", F.coalesce("n", F.lit(0)).alias("n_signals"))
 
 
+def signal_counts(articles: DataFrame, features: DataFrame) -> DataFrame:
+    """``signals_by_type`` of all six rules, without making the trickle-down rule's rows."""
+    own = articles.where(~F.coalesce("is_duplicate", F.lit(False)))
+    rows = trickle_down_counts(own, features).agg(F.coalesce(F.sum("n_matches"), F.lit(0)).alias("rows"))
+    counted = signals_by_type(signal_candidates(own, None)).join(F.broadcast(rows))  # one row
+    return counted.select("signal_type", F.when(F.col("signal_type") == SIGNAL_TYPES[1], F.col("rows")).otherwise(F.col("n_signals")).alias("n_signals"))
+
+
 def narrative_prompts(candidates: DataFrame, articles: DataFrame) -> DataFrame:
     """Prompt text of each candidate: its data and an excerpt of the article."""
     summary = F.coalesce(non_blank(F.col("body_en")), F.lit(""))
