@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import resolve_date, within_hours
 from ..functions.sets import feature_categories, jaccard_of_sets, lower_set
 from ..functions.text import title_similarity
+from ..tables import materialise
 from .components import connected_components
 
 THRESHOLD, WINDOW_HOURS = 0.75, 72
@@ -31,34 +32,63 @@ def candidate_pairs(prepared: DataFrame, hours: int = WINDOW_HOURS) -> DataFrame
 
     Articles meet on a token and a span of time as long as the window; one side also stands in the spans before and
     after, so a token in a third of all articles still falls apart by time. A pair counts under its first common token.
+    Titles stay behind; ``with_titles`` adds them to the pairs that need them.
     """
-    span = F.floor(F.unix_seconds("at") / F.lit(3600 * hours))
-    rows = prepared.withColumn("span", span).where(F.size("tokens") > 0)
-    left = rows.select(F.explode("tokens").alias("token"), "span", F.struct("*").alias("a"))
-    right = rows.select(F.explode("tokens").alias("token"), F.explode(F.array(F.col("span") - 1, F.col("span"), F.col("span") + 1)).alias("span"), F.struct("*").alias("b"))
-    met = left.join(right, ["token", "span"])
+    return _met(prepared, hours, F.col("tokens"), F.array_min(F.array_intersect("a.tokens", "b.tokens")))
+
+
+def _met(prepared: DataFrame, hours: int, keys: Column, first: Column) -> DataFrame:
+    rows = prepared.drop("title").withColumn("span", F.floor(F.unix_seconds("at") / F.lit(3600 * hours))).withColumn("keys", keys).where(F.size("keys") > 0)
+    row = F.struct(*(c for c in rows.columns if c not in ("span", "keys")))
+    left = rows.select(F.explode("keys").alias("key"), "span", row.alias("a"))
+    right = rows.select(F.explode("keys").alias("key"), F.explode(F.array(F.col("span") - 1, F.col("span"), F.col("span") + 1)).alias("span"), row.alias("b"))
+    met = left.join(right, ["key", "span"])
     return met.where(
-        (F.col("a.ord") < F.col("b.ord")) & ~F.col("a.source").eqNullSafe(F.col("b.source")) & within_hours(F.col("a.at"), F.col("b.at"), hours)
-        & (F.array_min(F.array_intersect("a.tokens", "b.tokens")) == F.col("token"))
+        (F.col("a.ord") < F.col("b.ord")) & ~F.col("a.source").eqNullSafe(F.col("b.source")) & within_hours(F.col("a.at"), F.col("b.at"), hours) & (first == F.col("key"))
     ).select("a", "b")
 
 
+def hopeful_pairs(prepared: DataFrame, threshold: float = THRESHOLD, hours: int = WINDOW_HOURS) -> DataFrame:
+    """Candidate pairs that can reach ``threshold`` with equal titles, found by keys that fewer articles share than a token.
+
+    Title and closeness give 0.4 at most, so brands, vehicles and categories must give the rest, ``need``. Two pairs of
+    keys hold every such pair. Either the vehicles give something: such articles share a vehicle. Or they give nothing:
+    then the brands must have a similarity of at least (need - categories) / brands. Two sets that similar share one of
+    the first brands of each, in any fixed order of all brands, and a brand's place in that order is that of its hash.
+    """
+    need = threshold - TITLE - CLOSE - 1e-9
+    least = min(1.0, max(0.0, (need - CATEGORIES) / BRANDS))
+    prefix = F.slice(F.array_sort(F.transform("brands", lambda b: F.struct(F.xxhash64(b).alias("h"), b.alias("b")))), F.lit(1), F.size("brands") - F.greatest(F.lit(1), F.ceil(F.size("brands") * F.lit(least) - 1e-9)).cast("int") + 1)
+    keys = F.array_union(F.transform("vehicles", lambda v: F.concat(F.lit("v"), v)), F.transform(prefix, lambda b: F.concat(F.lit("b"), b["b"])))
+    rows = prepared.drop("tokens").withColumn("met_by", F.when(F.size("brands") > 0, keys).otherwise(F.transform("vehicles", lambda v: F.concat(F.lit("v"), v))))
+    return _met(rows, hours, F.col("met_by"), F.array_min(F.array_intersect("a.met_by", "b.met_by")))
+
+
+def with_titles(pairs: DataFrame, prepared: DataFrame) -> DataFrame:
+    """``pairs`` with ``a_title`` and ``b_title``."""
+    named = prepared.select("ord", "title")
+    out = pairs.join(named.select(F.col("ord").alias("__a"), F.col("title").alias("a_title")), F.col("a.ord") == F.col("__a"))
+    return out.join(named.select(F.col("ord").alias("__b"), F.col("title").alias("b_title")), F.col("b.ord") == F.col("__b")).drop("__a", "__b")
+
+
 def set_scores() -> tuple[Column, Column, Column]:
     return tuple(jaccard_of_sets(F.col(f"a.{n}"), F.col(f"b.{n}")) for n in ("brands", "vehicles", "categories"))
 
 
 def scored_pairs(articles: DataFrame, threshold: float = THRESHOLD, hours: int = WINDOW_HOURS) -> DataFrame:
-    """All pairs that score at least ``threshold``: ``a``, ``b`` (ids), ``a_ord``, ``b_ord``, ``score``.
+    """All pairs that score at least ``threshold``: ``a``, ``b`` (ids), ``a_ord``, ``b_ord``, ``score``, ``title`` (the ratio).
 
     Everything but the title is scored first; the title ratio runs only where it can still lift a pair to the threshold.
     The terms are added in a fixed order, so sums at the threshold come out alike.
     """
     brand, vehicle, category = set_scores()
-    pairs = candidate_pairs(prepare(articles), hours).withColumns({"brand": brand, "vehicle": vehicle, "category": category})
+    prepared = prepare(articles)
+    pairs = hopeful_pairs(prepared, threshold, hours).withColumns({"brand": brand, "vehicle": vehicle, "category": category})
     rest = F.col("brand") * BRANDS + F.col("vehicle") * VEHICLES + F.col("category") * CATEGORIES + CLOSE
-    hopeful = pairs.where(rest >= threshold - TITLE - 1e-9).withColumn("title", title_similarity(F.col("a.title"), F.col("b.title")))
+    needed = with_titles(pairs.where(rest >= threshold - TITLE - 1e-9), prepared).withColumn("least", (F.lit(threshold) - rest) / TITLE)
+    hopeful = needed.withColumn("title", title_similarity(F.col("a_title"), F.col("b_title"), F.col("least")))
     score = F.lit(TITLE) * F.col("title") + F.lit(BRANDS) * F.col("brand") + F.lit(VEHICLES) * F.col("vehicle") + F.lit(CATEGORIES) * F.col("category") + F.lit(CLOSE)
-    return hopeful.withColumn("score", score).where(F.col("score") >= threshold).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.ord").alias("a_ord"), F.col("b.ord").alias("b_ord"), "score")
+    return hopeful.withColumn("score", score).where(F.col("score") >= threshold).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.ord").alias("a_ord"), F.col("b.ord").alias("b_ord"), "score", "title")
 
 
 def set_score_pairs(articles: DataFrame, hours: int = WINDOW_HOURS) -> DataFrame:
@@ -83,7 +113,8 @@ def duplicate_groups(articles: DataFrame, pairs: DataFrame) -> DataFrame:
     relevant, then the earlier in the list. A group keeps the first group id that a member has, or takes its canonical
     member's smallest id.
     """
-    components = connected_components(pairs.select("a_ord", "b_ord"), "a_ord", "b_ord").withColumnRenamed("id", "ord")
+    pairs = materialise(pairs.select("a_ord", "b_ord", "score"), "pairs")  # read twice
+    components = connected_components(pairs, "a_ord", "b_ord").withColumnRenamed("id", "ord")
     members = articles.select("id", "ord", "scrape_date", "relevance_score", "is_duplicate", "duplicate_group_id").join(components, "ord")
     in_group = F.coalesce(F.col("duplicate_group_id"), F.lit("")) != ""
     prior = in_group & F.coalesce(~F.col("is_duplicate"), F.lit(False))
@@ -100,11 +131,16 @@ def duplicate_groups(articles: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def mark_duplicates(articles: DataFrame, groups: DataFrame) -> DataFrame:
-    """``articles`` with the three duplicate columns of their group; the canonical article is no duplicate and names none."""
+    """``articles`` with the three duplicate columns of their group; the canonical article is no duplicate and names none.
+
+    Articles of no group keep what an earlier run marked.
+    """
     marks = groups.select("duplicate_group_id", "canonical_id", F.explode("member_ids").alias("id")).select(
         "id", F.col("duplicate_group_id").alias("new_group"), (F.col("id") != F.col("canonical_id")).alias("new_duplicate"),
-        F.when(F.col("id") != F.col("canonical_id"), F.col("canonical_id")).alias("canonical_article_id"),
+        F.when(F.col("id") != F.col("canonical_id"), F.col("canonical_id")).alias("new_canonical"),
     )
     kept = [c for c in articles.columns if c not in ("is_duplicate", "duplicate_group_id", "canonical_article_id")]
+    before = F.col("canonical_article_id") if "canonical_article_id" in articles.columns else F.lit(None).cast("string")
     joined = articles.join(marks, "id", "left")
-    return joined.select(*kept, F.coalesce("new_duplicate", "is_duplicate").alias("is_duplicate"), "canonical_article_id", F.coalesce("new_group", "duplicate_group_id").alias("duplicate_group_id"))
+    canonical = F.when(F.col("new_group").isNotNull(), F.col("new_canonical")).otherwise(before)
+    return joined.select(*kept, F.coalesce("new_duplicate", "is_duplicate").alias("is_duplicate"), canonical.alias("canonical_article_id"), F.coalesce("new_group", "duplicate_group_id").alias("duplicate_group_id"))
