@@ -1,10 +1,15 @@
 """Entities: brands by alias, vehicles by the longest brand prefix, features by the first resolved brand."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.jsonx import valid_resolution
 from ..functions.text import non_blank, strip
+from ..tables import materialise
+from .models import TextModel, ask, offline_model
 
 # Names that extraction returns as brands and that aren't; words a brand has at most before a model.
 NOT_BRANDS = ("iQIYI", "爱奇艺", "Honor", "荣耀", "Flyme", "元镜", "Yuan Mirror", "国家大剧院", "National Centre for the Performing Arts")
@@ -36,7 +41,7 @@ def resolve_brands(named: DataFrame, aliases: DataFrame, answers: DataFrame | No
     """``named`` with ``canonical``: by alias, else by what a text model answered for the key; null if neither knows it."""
     out = named.withColumn("key", name_key(F.col("name"))).join(alias_table(aliases).withColumnRenamed("alias", "key"), "key", "left")
     if answers is not None:
-        known = answers.groupBy("key").agg(F.min("name_en").alias("answered"))
+        known = answers.where("name_en IS NOT NULL").groupBy("key").agg(F.min("name_en").alias("answered"))
         out = out.join(known, "key", "left").withColumn("canonical", F.coalesce("canonical", "answered")).drop("answered")
     return out
 
@@ -68,16 +73,94 @@ def split_vehicles(named: DataFrame, aliases: DataFrame) -> DataFrame:
     return named.join(best, "row").select(named["*"], F.col("best.canonical").alias("brand"), F.col("best.model").alias("model"))
 
 
-def promote_features(articles: DataFrame, aliases: DataFrame, answers: DataFrame | None = None) -> DataFrame:
+def entity_id(*key: Column) -> Column:
+    """The id of an entity is made from its key, so a run done again writes the same ids."""
+    return F.md5(F.concat_ws("/", *key))
+
+
+def with_brand_ids(promoted: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """``promoted`` brands with ``brand_id``: the stored one, or one made from the name."""
+    if stored is None:
+        return promoted.withColumn("brand_id", entity_id(F.col("name_en")))
+    known = stored.groupBy("name_en").agg(F.min("brand_id").alias("known_id"))
+    return promoted.join(known, "name_en", "left").withColumn("brand_id", F.coalesce("known_id", entity_id(F.col("name_en")))).drop("known_id")
+
+
+def mentioned_vehicles(articles: DataFrame, aliases: DataFrame, brands: DataFrame) -> DataFrame:
+    """One row for each vehicle that an article names: ``id``, ``pos``, ``name``, ``brand_id``, ``brand_name_en``, ``model_name_en``, ``vehicle_id``.
+
+    The brand is the longest prefix that is an alias; its id comes from ``brands`` (``name_en``, ``brand_id``: those of the
+    run and those that are stored). Vehicles without such a brand are left out.
+    """
+    rows = articles.select("id", F.posexplode(F.array_distinct("vehicles_mentioned")).alias("pos", "name")).where("name IS NOT NULL").withColumn("row", F.struct("id", "pos"))
+    ids = brands.groupBy(F.col("name_en").alias("brand")).agg(F.min("brand_id").alias("brand_id"))
+    met = split_vehicles(rows, aliases).join(ids, "brand")
+    return met.select("id", "pos", "name", "brand_id", F.col("brand").alias("brand_name_en"), F.col("model").alias("model_name_en"), entity_id(F.col("brand_id"), F.col("model")).alias("vehicle_id"))
+
+
+def promote_vehicles(articles: DataFrame, aliases: DataFrame, brands: DataFrame) -> DataFrame:
+    """Each vehicle of a known brand once: what a run upserts on brand and model."""
+    named = mentioned_vehicles(articles, aliases, brands)
+    return named.groupBy("brand_id", "model_name_en").agg(F.min("brand_name_en").alias("brand_name_en"), F.min("vehicle_id").alias("vehicle_id"), F.countDistinct("id").alias("n_articles"))
+
+
+def promote_features(articles: DataFrame, aliases: DataFrame, answers: DataFrame | None = None, brands: DataFrame | None = None) -> DataFrame:
     """New features of each article, linked to its first resolved brand; articles without one give none.
 
-    A brand that only the text model knew keeps the name the article uses.
+    A brand that only the text model knew keeps the name the article uses. With ``brands`` (``name_en``, ``brand_id``) the
+    features have ``brand_id`` and, of the first vehicle that resolves, ``vehicle_id`` and ``vehicle_model_name``.
     """
     resolved = resolve_brands(mentioned_brands(articles), aliases, answers).where("canonical IS NOT NULL")
     by_alias = resolved.join(alias_table(aliases).select(F.col("alias").alias("key"), F.lit(True).alias("listed")), "key", "left")
-    first = by_alias.groupBy("id").agg(F.min_by(F.when(F.col("listed"), F.col("canonical")).otherwise(F.col("name")), "pos").alias("brand_name_en"))
-    fresh = articles.select("id", "scrape_date", F.explode(F.filter("features_extracted", lambda f: F.coalesce(f["is_new"], F.lit(False)))).alias("f"))
-    return fresh.join(first, "id").select(
+    shown = F.when(F.col("listed"), F.col("canonical")).otherwise(F.col("name"))
+    first = by_alias.groupBy("id").agg(F.min_by(F.struct(shown.alias("shown"), "canonical"), "pos").alias("b")).select("id", F.col("b.shown").alias("brand_name_en"), F.col("b.canonical").alias("canonical"))
+    fresh = articles.select("id", "scrape_date", F.explode(F.filter("features_extracted", lambda f: F.coalesce(f["is_new"], F.lit(False)))).alias("f")).join(first, "id")
+    linked: list[Column] = []
+    if brands is not None:
+        ids = brands.groupBy(F.col("name_en").alias("canonical")).agg(F.min("brand_id").alias("brand_id"))
+        vehicle = mentioned_vehicles(articles, aliases, brands).groupBy("id").agg(F.min_by(F.struct("vehicle_id", "model_name_en"), "pos").alias("v"))
+        fresh = fresh.join(ids, "canonical", "left").join(vehicle, "id", "left")
+        linked = [F.col("brand_id"), F.col("v.vehicle_id").alias("vehicle_id"), F.col("v.model_name_en").alias("vehicle_model_name")]
+    return fresh.select(
         F.col("id").alias("article_id"), "brand_name_en", F.col("f.feature_name").alias("feature_name_en"), F.col("f.category").alias("category"), F.coalesce("f.description", F.lit("")).alias("description"),
-        F.col("f.supplier").alias("supplier"), F.lit("new").alias("launch_type"), F.col("scrape_date").alias("first_seen_date"),
+        F.col("f.supplier").alias("supplier"), F.lit("new").alias("launch_type"), F.col("scrape_date").alias("first_seen_date"), *linked,
     )
+
+
+@dataclass
+class Promoted:
+    brands: DataFrame
+    vehicles: DataFrame
+    features: DataFrame
+    counts: DataFrame
+
+
+def promote_entities(articles: DataFrame, aliases: DataFrame, meta: DataFrame, stored: DataFrame | None = None, answers: DataFrame | None = None) -> Promoted:
+    """Brands, then vehicles, then features of a run, as rows to upsert (once for each key), and each article's counts.
+
+    An article's counts are of distinct names of brands and of vehicles that resolve, and of new features if a brand does.
+    Of features with one key, the one of the earliest article counts.
+    """
+    brands = materialise(with_brand_ids(promote_brands(articles, aliases, meta, answers), stored), "brands")
+    known = brands.select("name_en", "brand_id") if stored is None else brands.select("name_en", "brand_id").unionByName(stored.select("name_en", "brand_id"))
+    features = materialise(promote_features(articles, aliases, answers, known), "features")
+    once = features.groupBy("brand_id", "feature_name_en").agg(F.min_by(F.struct(*(c for c in features.columns if c not in ("brand_id", "feature_name_en"))), F.struct("first_seen_date", "article_id")).alias("f")).select("brand_id", "feature_name_en", "f.*")
+    named = resolve_brands(mentioned_brands(articles), aliases, answers).where("canonical IS NOT NULL").groupBy("id").agg(F.countDistinct("name").alias("brands"))
+    moved = mentioned_vehicles(articles, aliases, known).groupBy("id").agg(F.countDistinct("name").alias("vehicles"))
+    fresh = features.groupBy(F.col("article_id").alias("id")).agg(F.count("*").alias("features"))
+    counts = articles.select("id").join(named, "id", "left").join(moved, "id", "left").join(fresh, "id", "left")
+    return Promoted(brands, promote_vehicles(articles, aliases, known), once, counts.select("id", *(F.coalesce(n, F.lit(0)).alias(f"{n}_promoted") for n in ("brands", "vehicles", "features"))))
+
+
+def resolver_run(articles: DataFrame, aliases: DataFrame, memo: DataFrame | None = None, model: TextModel = offline_model, calls: int = MODEL_CALLS) -> DataFrame:
+    """``memo`` (``key``, ``name_en``) after a run: what the text model said of the names that neither alias nor memo knows.
+
+    The first ``calls`` names in order of appearance are asked for, each once; a name without a valid answer is kept with a
+    null, so that it costs no second call. The rows with a ``name_en`` are the ``answers`` that promotion takes.
+    """
+    named = mentioned_brands(articles)
+    if memo is not None:
+        named = named.withColumn("key", name_key(F.col("name"))).join(memo.select("key"), "key", "left_anti").drop("key")
+    wanted = names_for_the_model(named, aliases, calls).withColumn("prompt", F.concat(F.lit("Which car brand is this? Answer with name_en. Name: "), "key"))
+    asked = ask(wanted, model).withColumn("name_en", F.get_json_object(valid_resolution(F.col("answer")), "$.name_en")).select("key", "name_en")
+    return asked if memo is None else memo.select("key", "name_en").unionByName(asked)

@@ -9,17 +9,18 @@ from ..functions.sets import jaccard
 from ..operators import dedup, novelty, signals
 from ..operators.components import connected_components
 from ..sources import queues
+from ..tables import materialise
 from .comparison_queries import FEATURES
 from .fixtures import articles, features
 
 AS_OF = datetime(2024, 1, 5)
 
 ARTICLES = r"""w AS (
-  SELECT *, list_filter(string_split_regex(lower(text), '[^a-zà-ÿ]+'), lambda x: length(x) >= 6) AS w FROM documents),
+  SELECT *, list_filter(string_split_regex(lower(text), '[^a-zà-ÿ]+'), lambda x: length(x) >= 12) AS w FROM documents),
 a AS (
   SELECT doc_id::VARCHAR AS id, doc_id AS ord, source AS source_name, lang AS language, 'https://example.org/' || source || '/' || (doc_id % 700)::VARCHAR AS source_url,
-    substr(split_part(text, chr(10), 1), 1, 120) AS title_en, text AS body_en,
-    list_sort(list_distinct(w[1:3])) AS brands_mentioned, list_sort(list_distinct(w[4:6])) AS vehicles_mentioned,
+    split_part(text, chr(10), 1) AS title_en, text AS body_en,
+    list_sort(list_distinct(list_filter(w, lambda x: length(x) = 12))) AS brands_mentioned, list_sort(list_distinct(list_filter(w, lambda x: length(x) > 12))) AS vehicles_mentioned,
     timestamp '2024-01-01' + to_minutes((doc_id * 7)::INT) AS scrape_date,
     CASE WHEN doc_id % 7 = 0 THEN NULL ELSE timestamp '2024-01-01' + to_minutes((doc_id * 7 - 60)::INT) END AS publish_date,
     ['adas', 'ai_assistant', 'infotainment', 'connectivity', 'ota', 'battery_software', 'cockpit_ux'][(n_chars % 7)::INT + 1] AS category,
@@ -27,7 +28,7 @@ a AS (
     (1 + n_chars % 10)::INT AS relevance_score, n_chars % 3 = 0 AS is_new, doc_id % 4 <> 0 AS processed,
     CASE WHEN doc_id % 6 = 0 THEN NULL ELSE doc_id % 5 = 0 END AS phase2_processed,
     CASE WHEN n_chars % 2 = 0 THEN 'impact ' || lang ELSE NULL END AS competitive_signal,
-    coalesce(list_sort(list_distinct(w[4:6]))[1], '') AS feature_name
+    coalesce(list_sort(list_distinct(list_filter(w, lambda x: length(x) > 12)))[1], '') AS feature_name
   FROM w)"""
 JACCARD = "coalesce(len(list_intersect({0}, {1})) / nullif(len(list_distinct(list_concat({0}, {1}))), 0), 0)"
 PAIRS = f"""e AS (SELECT *, coalesce(publish_date, scrape_date) AS at FROM a),
@@ -45,9 +46,11 @@ def dedup_set_score_pairs(spark, sf_dir):
 def exact_title_pairs(rows: DataFrame) -> DataFrame:
     """Candidate pairs whose titles are equal, with the title's full weight: the part of the score that SQL can follow."""
     brand, vehicle, category = dedup.set_scores()
-    pairs = dedup.candidate_pairs(dedup.prepare(rows)).where((F.col("a.title") == F.col("b.title")) & (F.col("a.title") != ""))
+    prepared = dedup.prepare(rows)
     score = F.lit(dedup.TITLE) + brand * dedup.BRANDS + vehicle * dedup.VEHICLES + category * dedup.CATEGORIES + F.lit(dedup.CLOSE)
-    return pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.ord").alias("a_ord"), F.col("b.ord").alias("b_ord"), score.alias("score")).where(F.col("score") >= dedup.THRESHOLD - 1e-9)
+    pairs = dedup.hopeful_pairs(prepared).withColumn("score", score).where(F.col("score") >= dedup.THRESHOLD - 1e-9)
+    same = dedup.with_titles(pairs, prepared).where((F.col("a_title") == F.col("b_title")) & (F.col("a_title") != ""))
+    return same.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.ord").alias("a_ord"), F.col("b.ord").alias("b_ord"), "score")
 
 
 def dedup_components(spark, sf_dir):
@@ -78,10 +81,23 @@ def dedup_groups_of(rows: DataFrame) -> DataFrame:
     return dedup.duplicate_groups(rows, exact_title_pairs(rows))
 
 
-def _signal(rule, *more):
+def dedup_two_runs(spark, sf_dir):
+    """The older four fifths are marked; when the rest has come, all are grouped again and late members join."""
+    rows = articles(spark, sf_dir)
+    early = rows.where("ord % 5 <> 0")
+    first = materialise(dedup.mark_duplicates(early, dedup_groups_of(early)), "first-run")
+    late = rows.where("ord % 5 = 0").withColumn("canonical_article_id", F.lit(None).cast("string"))
+    every = materialise(first.unionByName(late), "second-run")
+    return dedup.mark_duplicates(every, dedup_groups_of(every)).select("id", "is_duplicate", "canonical_article_id", "duplicate_group_id")
+
+
+def _signal(rule, *fields):
+    """The candidates of a rule; of what set it off the named fields, long ones as their MD5."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        found = rule(articles(spark, sf_dir), *(m(spark, sf_dir) for m in more))
-        return found.select("signal_type", "article_id", "brands_mentioned", "features_mentioned")
+        found = rule(articles(spark, sf_dir))
+        of = lambda f: F.get_json_object("trigger_data", f"$.{f}")
+        return found.select("signal_type", "article_id", "brands_mentioned", "features_mentioned", *((F.md5(of(f)) if f == "description" else of(f)).alias(f"trigger_{f}") for f in fields))
 
     return query
 
@@ -116,23 +132,35 @@ def url_anti_join_cap(spark, sf_dir):
     return queues.new_listings(rows.where("NOT processed"), rows.where("processed AND phase2_processed")).select("source_url", "source_name", "id", "turn")
 
 
-def _rule_sql(kind: str, where: str, mentions: str = "[feature_name]") -> str:
-    return f"SELECT '{kind}' AS signal_type, id AS article_id, brands_mentioned, {mentions} AS features_mentioned FROM a WHERE {where}"
+def _rule_sql(kind: str, where: str, mentions: str = "[feature_name]", **trigger: str) -> str:
+    more = "".join(f", {sql} AS trigger_{name}" for name, sql in trigger.items())
+    return f"SELECT '{kind}' AS signal_type, id AS article_id, brands_mentioned, {mentions} AS features_mentioned{more} FROM a WHERE {where}"
 
 
 def _any(text: str, words) -> str:
     return "(" + " OR ".join(f"contains({text}, '{w}')" for w in words) + ")"
 
 
-AI = f"""(category = 'ai_assistant' AND is_new OR content_type IN ('news', 'opinion') AND {_any("lower(title_en || ' ' || body_en)", signals.AI_KEYWORDS)})"""
+def _found(text: str, words) -> str:
+    return f"to_json(list_filter({list(words)}, lambda k: contains({text}, k)))::VARCHAR"
+
+
+_TEXT = "lower(title_en || ' ' || body_en)"
+AI = f"""(category = 'ai_assistant' AND is_new OR content_type IN ('news', 'opinion') AND {_any(_TEXT, signals.AI_KEYWORDS)})"""
 CHIP = f"""category = 'adas' AND {_any("lower(body_en)", signals.CHIP_KEYWORDS)}"""
+_NAME = "vehicles_mentioned[1]"
+_FRESH = "category = 'ai_assistant' AND is_new"
 RULES = {
-    "signal_new_feature": _rule_sql("new_feature_launch", "is_new"),
-    "signal_ai": _rule_sql("ai_integration", AI, "CASE WHEN category = 'ai_assistant' THEN [feature_name] ELSE [] END"),
-    "signal_ota": _rule_sql("ota_deployment", "is_new AND category = 'ota'"),
-    "signal_partnership": _rule_sql("partnership_change", "len(brands_mentioned) >= 2 AND competitive_signal <> ''", "[]::VARCHAR[]"),
-    "signal_chip": _rule_sql("chip_hardware_announcement", CHIP),
-}
+    "signal_new_feature": ("new_feature_launch", "is_new", "[feature_name]", {"feature_name": _NAME, "category": "category", "description": "md5(body_en)"}),
+    "signal_ai": (
+        "ai_integration", AI, "CASE WHEN category = 'ai_assistant' THEN [feature_name] ELSE [] END",
+        {"trigger_reason": f"CASE WHEN {_FRESH} THEN 'new_ai_feature' ELSE 'ai_keyword_match' END", "matched_keywords": f"CASE WHEN {_FRESH} THEN '[]' ELSE {_found(_TEXT, signals.AI_KEYWORDS)} END", "feature_name": f"CASE WHEN {_FRESH} THEN {_NAME} END"},
+    ),
+    "signal_ota": ("ota_deployment", "is_new AND category = 'ota'", "[feature_name]", {"feature_name": _NAME, "description": "md5(body_en)"}),
+    "signal_partnership": ("partnership_change", "len(brands_mentioned) >= 2 AND competitive_signal <> ''", "[]::VARCHAR[]", {"competitive_signal": "competitive_signal", "brand_count": "len(brands_mentioned)::VARCHAR"}),
+    "signal_chip": ("chip_hardware_announcement", CHIP, "[feature_name]", {"feature_name": _NAME, "matched_keywords": _found("lower(body_en)", signals.CHIP_KEYWORDS), "description": "md5(body_en)"}),
+}
+_RULE_OF = {"signal_new_feature": signals.new_feature_launches, "signal_ai": signals.ai_integrations, "signal_ota": signals.ota_deployments, "signal_partnership": signals.partnership_changes, "signal_chip": signals.chip_announcements}
 
 
 def with_part_category(rows: DataFrame) -> DataFrame:
@@ -142,6 +170,14 @@ def with_part_category(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"features_extracted": F.transform("features_extracted", lambda f: f.withField("category", of)), "brands_mentioned": F.array_append("brands_mentioned", brand)})
 
 
+def with_second_feature(rows: DataFrame) -> DataFrame:
+    """Articles with another feature, in a category that the parts have, and a brand of them: all six rules find something."""
+    second = with_part_category(rows)
+    return rows.join(second.select("id", F.col("features_extracted").alias("more"), F.col("brands_mentioned").alias("named")), "id").select(
+        *(c for c in rows.columns if c not in ("features_extracted", "brands_mentioned")), F.concat("features_extracted", "more").alias("features_extracted"), F.col("named").alias("brands_mentioned")
+    )
+
+
 def signal_trickle_down(spark, sf_dir):
     """Counted by article, for its rows are as many as the features of other brands."""
     return signals.trickle_down_counts(with_part_category(articles(spark, sf_dir)), features(spark, sf_dir))
@@ -168,14 +204,11 @@ QUERIES = {
     "dedup_marked": dedup_marked,
     "dedup_full_pairs": dedup_full_pairs,
     "dedup_full_groups": dedup_full_groups,
-    "signal_new_feature": _signal(signals.new_feature_launches),
+    "dedup_two_runs": dedup_two_runs,
     "signal_trickle_down": signal_trickle_down,
     "signal_trickle_down_rows": signal_trickle_down_rows,
-    "signal_ai": _signal(signals.ai_integrations),
-    "signal_ota": _signal(signals.ota_deployments),
-    "signal_partnership": _signal(signals.partnership_changes),
-    "signal_chip": _signal(signals.chip_announcements),
-    "signal_counts_by_type": lambda s, d: signals.signals_by_type(signals.signal_candidates(articles(s, d), None)),
+    **{name: _signal(rule, *RULES[name][3]) for name, rule in _RULE_OF.items()},
+    "signal_counts_by_type": lambda s, d: signals.signal_counts(with_second_feature(articles(s, d)), features(s, d)),
     "signal_novelty": signal_novelty,
     "article_novelty_sets": article_novelty_sets,
     "article_novelty": article_novelty,
@@ -187,7 +220,11 @@ r AS (SELECT a AS id, a AS other FROM u UNION SELECT r.id, u.b FROM r JOIN u ON
 c AS (SELECT id, min(other) AS component FROM r GROUP BY 1)"""
 _GROUPS = f"""WITH RECURSIVE {_EXACT}, k AS (
   SELECT component, arg_min(a.id, (scrape_date, -relevance_score, ord)) AS canonical_id, min(a.id) AS duplicate_group_id, list(a.id ORDER BY ord) AS member_ids FROM c JOIN a ON a.ord = c.id GROUP BY 1)"""
-_STORED = "s AS (" + " UNION ALL ".join(f"SELECT *, article_id::BIGINT AS ord FROM ({q})" for q in RULES.values()) + ")"
+_STORED = "s AS (" + " UNION ALL ".join(f"SELECT *, article_id::BIGINT AS ord FROM ({_rule_sql(*rule[:3])})" for rule in RULES.values()) + ")"
+_PARTS = f"""{ARTICLES}, {FEATURES}, n AS (SELECT *, ['gear', 'ring', 'bolt', 'rod', 'plate', 'anvil', 'widget', 'gizmo'][(ord % 8)::INT + 1] AS kind, list_append(brands_mentioned, 'brand#' || (ord % 55)::VARCHAR) AS named FROM a)"""
+_LINKED = """u AS (SELECT a_ord AS a, b_ord AS b FROM {l} UNION SELECT b_ord, a_ord FROM {l}),
+r AS (SELECT a AS id, a AS other FROM u UNION SELECT r.id, u.b FROM r JOIN u ON u.a = r.other),
+c AS (SELECT id, min(other) AS component FROM r GROUP BY 1)"""
 _NOVELTY_JACCARD = {n: JACCARD.format(f"x.{n}", f"y.{n}") for n in ("brands_mentioned", "features_mentioned")}
 
 ORACLE_SQL = {
@@ -206,12 +243,28 @@ SELECT id, source_name FROM b UNION ALL SELECT id, source_name FROM a WHERE proc
     "dedup_groups": f"{_GROUPS} SELECT canonical_id, duplicate_group_id, member_ids, (SELECT count(*) FROM l JOIN c ON c.id = l.a_ord WHERE c.component = k.component) AS n_links FROM k",
     "dedup_marked": f"""{_GROUPS} SELECT a.id, CASE WHEN canonical_id IS NOT NULL THEN a.id <> canonical_id END AS is_duplicate, CASE WHEN a.id <> canonical_id THEN canonical_id END AS canonical_article_id, duplicate_group_id
 FROM a LEFT JOIN c ON c.id = a.ord LEFT JOIN k ON k.component = c.component""",
-    **{k: f"WITH {ARTICLES} {v}" for k, v in RULES.items()},
+    "dedup_two_runs": f"""WITH RECURSIVE {ARTICLES}, {PAIRS}, l AS (SELECT * FROM p WHERE same_title AND 0.3 + brand * 0.25 + vehicle * 0.2 + category * 0.15 + 0.1 >= 0.75 - 1e-9),
+l1 AS (SELECT * FROM l WHERE a_ord % 5 <> 0 AND b_ord % 5 <> 0), {_LINKED.format(l="l1").replace("u AS", "u1 AS").replace("r AS", "r1 AS").replace("c AS", "c1 AS").replace("FROM u ", "FROM u1 ").replace("FROM r ", "FROM r1 ").replace("SELECT r.id, u.b FROM r1 JOIN u ON u.a = r.other", "SELECT r1.id, u1.b FROM r1 JOIN u1 ON u1.a = r1.other")},
+k1 AS (SELECT component, arg_min(a.id, (scrape_date, -relevance_score, ord)) AS canonical_id, min(a.id) AS group_id FROM c1 JOIN a ON a.ord = c1.id GROUP BY 1),
+m AS (SELECT a.*, k1.group_id, a.id = k1.canonical_id AS prior FROM a LEFT JOIN c1 ON c1.id = a.ord LEFT JOIN k1 ON k1.component = c1.component),
+{_LINKED.format(l="l")},
+k AS (SELECT component, coalesce(arg_min(m.id, ord) FILTER (prior), arg_min(m.id, (scrape_date, -relevance_score, ord))) AS canonical_id, coalesce(arg_min(group_id, ord) FILTER (group_id IS NOT NULL), min(m.id)) AS duplicate_group_id
+  FROM c JOIN m ON m.ord = c.id GROUP BY 1)
+SELECT a.id, CASE WHEN canonical_id IS NOT NULL THEN a.id <> canonical_id END AS is_duplicate, CASE WHEN a.id <> canonical_id THEN canonical_id END AS canonical_article_id, duplicate_group_id
+FROM a LEFT JOIN c ON c.id = a.ord LEFT JOIN k ON k.component = c.component""",
+    **{k: f"WITH {ARTICLES} {_rule_sql(*rule[:3], **rule[3])}" for k, rule in RULES.items()},
     "signal_trickle_down": f"""WITH {ARTICLES}, {FEATURES}, n AS (SELECT *, ['gear', 'ring', 'bolt', 'rod', 'plate', 'anvil', 'widget', 'gizmo'][(ord % 8)::INT + 1] AS kind, list_append(brands_mentioned, 'brand#' || (ord % 55)::VARCHAR) AS named FROM a WHERE is_new)
 SELECT n.id AS article_id, count(*) AS n_matches, count(DISTINCT brand_name_en) AS n_brands, min(brand_name_en) AS first_brand FROM n JOIN f ON f.category = n.kind AND NOT list_contains(named, lower(brand_name_en)) GROUP BY 1""",
     "signal_trickle_down_rows": f"""WITH {ARTICLES}, {FEATURES}, n AS (SELECT *, ['gear', 'ring', 'bolt', 'rod', 'plate', 'anvil', 'widget', 'gizmo'][(ord % 8)::INT + 1] AS kind, list_append(brands_mentioned, 'brand#' || (ord % 55)::VARCHAR) AS named FROM a WHERE is_new)
 SELECT n.id AS article_id, brand_name_en AS existing_brand, feature_name_en AS existing_feature, count(*) AS n FROM n JOIN f ON f.category = n.kind AND NOT list_contains(named, lower(brand_name_en)) GROUP BY 1, 2, 3""",
-    "signal_counts_by_type": f"""WITH {ARTICLES}, {_STORED} SELECT signal_type, coalesce(n, 0) AS n_signals FROM (SELECT unnest({list(signals.SIGNAL_TYPES)}) AS signal_type) LEFT JOIN (SELECT signal_type, count(*) AS n FROM s GROUP BY 1) USING (signal_type)""",
+    "signal_counts_by_type": f"""WITH {_PARTS}, s AS (
+  SELECT 'new_feature_launch' AS signal_type, 2 * count(*) AS n FROM n WHERE is_new
+  UNION ALL SELECT 'feature_trickle_down', count(*) FROM n JOIN f ON f.category = n.kind AND NOT list_contains(named, lower(brand_name_en)) WHERE is_new
+  UNION ALL SELECT 'ai_integration', count(*) FROM n WHERE {AI}
+  UNION ALL SELECT 'ota_deployment', count(*) FROM n WHERE is_new AND category = 'ota'
+  UNION ALL SELECT 'partnership_change', count(*) FROM n WHERE len(named) >= 2 AND competitive_signal <> ''
+  UNION ALL SELECT 'chip_hardware_announcement', count(*) FROM n WHERE {CHIP})
+SELECT signal_type, n AS n_signals FROM s""",
     "signal_novelty": f"""WITH {ARTICLES}, {_STORED} SELECT x.signal_type || '/' || x.article_id AS id, round(greatest(0, least(1, 1 - max((x.signal_type = y.signal_type)::INT * 0.3 + {_NOVELTY_JACCARD["brands_mentioned"]} * 0.35 + {_NOVELTY_JACCARD["features_mentioned"]} * 0.2
   + (x.article_id = y.article_id)::INT * 0.15))), 6) AS novelty FROM s x JOIN s y ON x.signal_type <> y.signal_type OR x.article_id <> y.article_id GROUP BY 1""",
     "article_novelty_sets": f"""WITH {ARTICLES}, n AS (SELECT *, list_distinct(list_append(vehicles_mentioned, category)) AS content FROM a)

@@ -1,13 +1,14 @@
 """Whole runs: ingest, extraction, and the second phase, as one DataFrame plan each."""
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jsonx
 from ..functions.text import non_blank
-from ..operators import dedup, entities, models, novelty, signals
+from ..operators import dedup, entities, models, novelty, runs, signals
 from ..sources import queues, store
 from ..tables import materialise
 
@@ -33,20 +34,35 @@ def extraction_outcomes(articles: DataFrame, model: models.TextModel = models.of
     return asked.withColumns({"outcome": outcome, "result": F.when(F.col("passes"), F.col("extraction")).otherwise(F.col("triage"))}).drop("triage", "extraction", "passes")
 
 
+EXTRACTED = "array<struct<feature_name: string, category: string, description: string, supplier: string, is_new: boolean>>"
+
+
 def article_update(outcomes: DataFrame) -> DataFrame:
-    """What is written back of each outcome that isn't an error."""
+    """What is written back of each outcome that isn't an error.
+
+    An article that didn't get beyond triage has no names, features or signal: those columns are null here, with
+    ``triage_only`` set, and ``write_back`` leaves what is stored of them.
+    """
     text = lambda key: F.get_json_object("result", f"$.{key}")
-    names = lambda key: F.coalesce(F.from_json(text(key), "array<string>"), F.array().cast("array<string>"))
+    full = F.col("outcome") == "extracted"
+    listed = lambda key, kind: F.when(full, F.coalesce(F.from_json(text(key), kind), F.from_json(F.lit("[]"), kind))).alias(key)
     return outcomes.where("outcome <> 'error'").select(
         "id", text("headline").alias("title_en"), jsonx.whole_number(F.col("result"), "relevance_score").cast("int").alias("relevance_score"), text("content_type").alias("content_type"),
-        names("brands_mentioned").alias("brands_mentioned"), names("vehicles_mentioned").alias("vehicles_mentioned"), text("competitive_signal").alias("competitive_signal"), (F.col("outcome") == "triage_only").alias("triage_only"),
+        listed("brands_mentioned", "array<string>"), listed("vehicles_mentioned", "array<string>"), listed("features_extracted", EXTRACTED), F.when(full, text("competitive_signal")).alias("competitive_signal"), (~full).alias("triage_only"),
     )
 
 
+def write_back(articles: DataFrame, updates: DataFrame) -> DataFrame:
+    """``articles`` after ``article_update``; the error of a former run goes."""
+    alone = ("brands_mentioned", "vehicles_mentioned", "features_extracted", "competitive_signal")
+    short = updates.where("triage_only").drop(*alone)
+    return store.processed(store.processed(articles, updates.where("NOT triage_only")), short)
+
+
 def extraction_run(articles: DataFrame, model: models.TextModel = models.offline_model, limit: int = queues.QUEUE) -> tuple[DataFrame, DataFrame]:
     """The table after a run over the queue, and its summary. Errors stay queued with a message."""
     outcomes = materialise(extraction_outcomes(queues.unprocessed(articles, limit), model), "outcomes")
-    done = store.processed(articles, article_update(outcomes))
+    done = write_back(articles, article_update(outcomes))
     errors = outcomes.where("outcome = 'error'").select("id", F.lit("no valid answer").alias("error"))
     return store.failed(done, errors), run_summary(outcomes)
 
@@ -71,36 +87,86 @@ def narratives(candidates: DataFrame, articles: DataFrame, model: models.TextMod
 class Phase2:
     articles: DataFrame
     brands: DataFrame
+    vehicles: DataFrame
     features: DataFrame
+    promoted: DataFrame
     signals: DataFrame
     article_novelty: DataFrame
     signal_novelty: DataFrame
 
 
-def second_phase(articles: DataFrame, features: DataFrame, aliases: DataFrame, meta: DataFrame, old_signals: DataFrame, as_of: Column, model: models.TextModel = models.offline_model, limit: int = queues.PHASE2) -> Phase2:
+def second_phase(
+    articles: DataFrame, features: DataFrame, aliases: DataFrame, meta: DataFrame, old_signals: DataFrame, as_of: Column, model: models.TextModel = models.offline_model, limit: int | None = queues.PHASE2,
+    stored_brands: DataFrame | None = None, answers: DataFrame | None = None, newest: datetime | None = None,
+) -> Phase2:
     """Entities, duplicates, signals and novelty of the queue's articles.
 
     Duplicates are looked for in the batch and the recent articles, and only groups that touch the batch are marked. The
-    batch is flagged as done in the result; a run that fails before it is written leaves all as it was.
+    batch is flagged as done in ``articles``; a run that fails before it is written leaves all as it was. ``answers`` are
+    those of a ``resolver_run``. Signals count as recent for 14 days; a new signal is compared with the old ones and with
+    the others of its run.
     """
     batch = materialise(queues.phase2_queue(articles, limit), "batch")
-    newest = articles.agg(F.max("scrape_date")).first()[0]
+    newest = newest or articles.agg(F.max("scrape_date")).first()[0]
     corpus = queues.corpus_without_batch(queues.recent_processed(articles, newest), batch) if newest is not None else batch
     groups = dedup.duplicate_groups(corpus, dedup.scored_pairs(corpus))
     touched = groups.withColumn("id", F.explode("member_ids")).join(batch.select("id"), "id", "left_semi").select("duplicate_group_id").distinct()
     own = materialise(groups.join(touched, "duplicate_group_id", "left_semi"), "groups")
     marked = dedup.mark_duplicates(articles, own)
     fresh = materialise(dedup.mark_duplicates(batch, own), "marked-batch")
+    known = store.recent_signals(old_signals, as_of, novelty.SIGNAL_DAYS) if "created_date" in old_signals.columns else old_signals
     candidates = signals.signal_candidates(fresh, features)
     found = materialise(store.new_signals(narratives(candidates, fresh, model), as_of), "signals")
     recent = queues.recent_processed(marked, newest, 24 * novelty.ARTICLE_DAYS) if newest is not None else marked
+    promoted = entities.promote_entities(batch, aliases, meta, stored_brands, answers)
     return Phase2(
-        store.phase2_done(marked, batch), entities.promote_brands(batch, aliases, meta), entities.promote_features(batch, aliases), found,
-        novelty.article_novelty(fresh, recent), novelty.signal_novelty(found, old_signals.unionByName(found, allowMissingColumns=True)),
+        store.phase2_done(marked, batch), promoted.brands, promoted.vehicles, promoted.features, promoted.counts, found,
+        novelty.article_novelty(fresh, recent), novelty.signal_novelty(found, known.unionByName(found, allowMissingColumns=True)),
     )
 
 
+#: Tables of a store that the second phase writes, each before the flags of its articles.
+TABLES = ("brands", "vehicles", "features", "signals", "articles")
+
+
+def commit_phase2(done: Phase2, store_tables: dict[str, DataFrame], root: str, version: int) -> dict[str, str]:
+    """Write new versions of all tables of a run; the articles with their flags last. Returns their paths.
+
+    Entities are merged by their keys and signals by id, so a run that failed half-way and is done again writes the same
+    rows. Readers learn of a version only from the returned paths: a run counts once, when its last table is there.
+    """
+    merged = {
+        "brands": store.upsert(store_tables["brands"], done.brands, ["name_en"]),
+        "vehicles": store.upsert(store_tables["vehicles"], done.vehicles, ["brand_id", "model_name_en"]),
+        "features": store.upsert(store_tables["features"], done.features, ["brand_id", "feature_name_en"], create_only=["first_seen_date"]),
+        "signals": store.upsert(store_tables["signals"], done.signals, ["id"], create_only=["created_date"]),
+        "articles": done.articles,
+    }
+    return {name: store.write_version(merged[name], f"{root}/{name}", version) for name in TABLES}
+
+
 def ingest(listings: DataFrame, scraped: DataFrame, articles: DataFrame, per_source: int = queues.PER_SOURCE) -> DataFrame:
     """New articles of a run: listings not stored yet, up to the cap of each source, with what their pages gave."""
     wanted = queues.new_listings(listings, articles, per_source)
     return store.new_articles(scraped.join(wanted.select("source_url"), "source_url", "left_semi").where(non_blank(F.col("title")).isNotNull()))
+
+
+@dataclass
+class Ingested:
+    articles: DataFrame
+    health: DataFrame
+    totals: DataFrame
+
+
+def ingest_run(listings: DataFrame, scraped: DataFrame, articles: DataFrame, requests: DataFrame, sources: DataFrame, as_of: Column, per_source: int = queues.PER_SOURCE) -> Ingested:
+    """A run over all sources: the articles to append, a health row for each source, and the run's totals.
+
+    ``requests`` has a row for each page that was asked for: ``source_name``, ``ts``, ``url``, and ``message`` if that
+    failed. A source without requests never started and gets zeros.
+    """
+    fresh = materialise(ingest(listings, scraped, articles, per_source), "ingested")
+    asked = requests.select("source_name", "ts", "url", "message", F.lit("request").alias("kind"))
+    failed = asked.where("message IS NOT NULL").withColumn("kind", F.lit("error"))
+    taken = fresh.select("source_name", F.col("scrape_date").alias("ts"), F.col("source_url").alias("url"), F.lit(None).cast("string").alias("message"), F.lit("ingested").alias("kind"))
+    health = runs.health_rows(asked.unionByName(failed).unionByName(taken), sources, as_of)
+    return Ingested(fresh, health, runs.run_totals(health))

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..operators import runs
 from ..streaming import incremental
 from ..tables import shared_dir, table
+from . import pipelines
+from .corpus_queries import ARTICLES, AS_OF
+from .fixtures import articles
 
 KIND = "CASE event_type WHEN 'error' THEN 'error' WHEN 'purchase' THEN 'ingested' ELSE 'request' END"
 
@@ -40,7 +43,31 @@ def stream_interval_join(spark, sf_dir):
     return _drained(spark, incremental.lookback_join(rows("error"), rows("purchase"), "user_id"), "join").select("a_id", "b_id")
 
 
+def ingest_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as requests for pages; errors have their properties as a message."""
+    rows = table(spark, sf_dir, "events")
+    source = F.concat(F.lit("source"), (F.col("user_id") % 7).cast("string"))
+    return rows.select(source.alias("source_name"), "ts", F.concat(F.lit("https://example.org/e/"), F.lpad(F.col("event_id").cast("string"), 9, "0")).alias("url"), F.when(F.col("event_type") == "error", F.col("props")).alias("message"))
+
+
+def ingest_run(spark, sf_dir):
+    """Listings are the articles that aren't processed yet; sources are those of the events and two that never started."""
+    rows = articles(spark, sf_dir).withColumns({"source_name": F.concat(F.lit("source"), (F.col("ord") % 9).cast("string")), "title": F.col("title_en")})
+    known = rows.where("processed AND phase2_processed")
+    sources = spark.range(10).select(F.concat(F.lit("source"), F.col("id").cast("string")).alias("source_name"))
+    return pipelines.ingest_run(rows.where("NOT processed"), rows.where("NOT processed"), known, ingest_requests(spark, sf_dir), sources, F.lit(AS_OF))
+
+
+def batch_progress(spark, sf_dir):
+    """Each user's events as a batch of requests."""
+    state = F.when(F.col("event_type") == "purchase", "succeeded").when(F.col("event_type") == "error", "errored").when(F.col("event_type") == "click", "processing").when(F.col("event_type") == "signup", "expired").otherwise("canceled")
+    return runs.batch_progress(table(spark, sf_dir, "events").select(F.col("user_id").alias("batch_id"), state.alias("state")))
+
+
 QUERIES = {
+    "ingest_articles": lambda s, d: ingest_run(s, d).articles.select("id", "source_name", "source_url", "processed"),
+    "ingest_health": lambda s, d: ingest_run(s, d).health.select("source_name", "status", "requests_made", "articles_ingested", "error_count", F.get(F.col("errors"), F.lit(0))["url"].alias("first_error"), F.size("errors").alias("n_listed")),
+    "batch_progress": batch_progress,
     "health_status_by_source": lambda s, d: runs.health_by_source(log(s, d)),
     "health_tumbling": lambda s, d: runs.health_by_window(log(s, d)),
     "run_totals": lambda s, d: runs.run_totals(runs.health_by_source(log(s, d))),
@@ -53,7 +80,19 @@ _LOG = f"""l AS (SELECT ts, 'source' || (user_id % 7)::VARCHAR AS source_name, {
 h AS (SELECT source_name, count(*) FILTER (kind = 'request') AS requests_made, count(*) FILTER (kind = 'ingested') AS articles_ingested, count(*) FILTER (kind = 'error') AS error_count FROM l GROUP BY 1),
 g AS (SELECT *, CASE WHEN error_count = 0 THEN 'success' WHEN articles_ingested > 0 THEN 'partial' ELSE 'failure' END AS status FROM h)"""
 
+_SOURCES = f"""{ARTICLES}, u AS (SELECT *, 'source' || (ord % 9)::VARCHAR AS src FROM a WHERE NOT processed AND source_url NOT IN (SELECT source_url FROM a WHERE processed AND phase2_processed)),
+x AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY source_url ORDER BY ord) = 1), y AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY ord) AS turn FROM x),
+i AS (SELECT u.* FROM u WHERE source_url IN (SELECT source_url FROM y WHERE turn <= 25) AND title_en <> '')"""
+
 ORACLE_SQL = {
+    "ingest_articles": f"WITH {_SOURCES} SELECT id, src AS source_name, source_url, false AS processed FROM i",
+    "ingest_health": f"""WITH {_SOURCES}, e AS (SELECT 'source' || (user_id % 7)::VARCHAR AS src, count(*) AS asked, count(*) FILTER (event_type = 'error') AS failed,
+  arg_min('https://example.org/e/' || lpad(event_id::VARCHAR, 9, '0'), (ts, event_id)) FILTER (event_type = 'error') AS first_error FROM events GROUP BY 1), n AS (SELECT src, count(*) AS n FROM i GROUP BY 1),
+s AS (SELECT 'source' || k::VARCHAR AS src FROM range(10) t(k)), h AS (SELECT s.src, coalesce(asked, 0) AS asked, coalesce(failed, 0) AS failed, coalesce(n, 0) AS n, first_error FROM s LEFT JOIN e ON e.src = s.src LEFT JOIN n ON n.src = s.src)
+SELECT src AS source_name, CASE WHEN failed = 0 THEN 'success' WHEN n > 0 THEN 'partial' ELSE 'failure' END AS status, asked AS requests_made, n AS articles_ingested, failed AS error_count, first_error, least(failed, 100)::INT AS n_listed FROM h""",
+    "batch_progress": """SELECT user_id AS batch_id, count(*) FILTER (event_type = 'click') AS processing, count(*) FILTER (event_type = 'purchase') AS succeeded, count(*) FILTER (event_type NOT IN ('click', 'purchase', 'error', 'signup')) AS canceled,
+  count(*) FILTER (event_type = 'signup') AS expired, count(*) FILTER (event_type = 'error') AS errored, count(*) AS total FROM events GROUP BY 1""",
+    "run_summary_json": f"WITH {_LOG}, t AS (SELECT count(*) AS sources, sum(articles_ingested)::BIGINT AS articles_ingested, sum(error_count)::BIGINT AS errors, count(*) FILTER (status = 'failure') AS failed_sources FROM g) SELECT to_json(t)::VARCHAR AS summary FROM t",
     "health_status_by_source": f"WITH {_LOG} SELECT * FROM g",
     "health_tumbling": f"WITH {_LOG} SELECT source_name, time_bucket(INTERVAL 6 HOUR, ts, timestamp '2000-01-01') AS window_start, count(*) AS requests, count(*) FILTER (kind = 'error') AS errors FROM l GROUP BY 1, 2",
     "run_totals": f"WITH {_LOG} SELECT count(*) AS sources, sum(articles_ingested)::BIGINT AS articles_ingested, sum(error_count)::BIGINT AS errors, count(*) FILTER (status = 'failure') AS failed_sources FROM g",

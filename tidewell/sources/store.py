@@ -17,6 +17,11 @@ def new_signals(signals: DataFrame, as_of: Column) -> DataFrame:
     return signals.withColumns({"created_date": as_of, "status": status})
 
 
+def recent_signals(signals: DataFrame, as_of: Column, days: int) -> DataFrame:
+    """Signals dated within ``days`` before ``as_of``, that moment included."""
+    return signals.where(F.col("created_date") >= as_of - F.make_interval(days=F.lit(days)))
+
+
 def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], create_only: Sequence[str] = (), as_of: Column | None = None) -> DataFrame:
     """The table after ``new`` is merged into ``old`` on ``key``.
 
