@@ -25,18 +25,37 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Tables that ``materialise`` wrote for this process and nobody deleted yet.
+_made: list[str] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back, so that a lost executor costs no recomputation."""
+    """Write ``df`` as a Parquet table in the shared folder and read it back, so that a lost executor costs no recomputation.
+
+    Results that are returned lazily read such tables: ``clear`` deletes them once the results are written.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidewell-{name}-{uuid.uuid4().hex}"
+    _made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, place: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(df: DataFrame) -> None:
-    """Delete the files of a table that ``materialise`` wrote and nothing reads any more."""
-    spark = df.sparkSession
+    """Delete the files of a table that ``materialise`` wrote and nothing reads any more; other tables stay."""
     for file in df.inputFiles()[:1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        if path.getName().startswith("tidewell-"):
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        name = file.rsplit("/", 2)[-2]
+        for path in [p for p in _made if p.rsplit("/", 1)[-1] == name]:
+            _delete(df.sparkSession, path)
+            _made.remove(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables that ``materialise`` wrote in this process: results not written elsewhere are lost."""
+    while _made:
+        _delete(spark, _made.pop())
