@@ -12,7 +12,7 @@ from tidewell.llm.packing import pack_documents
 from tidewell.llm.quality import classify_quality
 from tidewell.llm.queries import tokenizer_path
 from tidewell.llm.substring import cut_passages, repeated_passages
-from tidewell.tables import materialise, table
+from tidewell.tables import discard, materialise, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,5 +56,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        done = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(docs)  # the table of the stage before; the documents themselves stay
+        docs = done
     return docs
