@@ -8,7 +8,7 @@ import pytest
 pytest.importorskip("tidewell.llm")
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
-from tidewell.llm import mixing, quality  # noqa: E402
+from tidewell.llm import mixing, quality, substring, words  # noqa: E402
 from tidewell.llm.bpe import encoder  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -63,14 +63,17 @@ def test_one_of_each_class_stays(stages):
 def test_repeated_passages_go_and_the_first_stays(stages):
     before, after = rows(stages[2]), rows(stages[3])
     assert set(before) == set(after) and all(r.n_chars == len(r.text) for r in after.values())
-    seen, cut = {}, set()
+    seen, exact = {}, set()
     for d in sorted(before):
         w = re.findall(r"[^\W_]+", before[d].text.lower())
         for i in range(len(w) - 49):
             if seen.setdefault(tuple(w[i : i + 50]), d) != d:
-                cut.add(d)
-    assert all(len(after[d].text) < len(before[d].text) for d in cut)
-    assert sum(before[d].text != after[d].text for d in before) <= len(cut) + 3  # near passages besides exact ones
+                exact.add(d)
+    assert exact and all(len(after[d].text) < len(before[d].text) for d in exact)
+    grams = {d: substring.shingles(words.words(r.text)[0]) for d, r in before.items()}
+    near = {d for d in before for e in before if e < d and substring.passages(grams[d], grams[e], 46, 0.8)}  # every pair
+    cut = {d for d in before if before[d].text != after[d].text}
+    assert exact <= cut <= near and len(near - cut) <= 0.02 * len(near)
 
 
 def test_sampling_follows_the_probabilities(stages):
@@ -93,6 +96,11 @@ def test_packing_holds_every_token(stages):
     assert max(r["sum(length)"] for r in used) <= 2048
 
 
+def test_the_whole_run_is_its_stages(spark, stages):
+    of = lambda df: sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in df.collect())
+    assert of(corpus_pipeline.run(spark, SF)) == of(stages[5])
+
+
 def test_an_empty_table_passes_through(spark):
     none = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
