@@ -316,6 +316,46 @@ def test_held_out_accuracy(spark):
     assert len(scored) > 80 and sum(r.predicted == good[r.doc_id] for r in scored) >= 0.95 * len(scored)
 
 
+def test_null_ids_repeated_rows_and_clashing_columns(spark):
+    schema = "doc_id long, text string, lang string, source string, topic string, lang_pred string, score string, predicted string, tokens string, probability string, sampled string, n_tokens string, id string, piece string"
+    filled = ("x",) * 9
+    rows = [(i, prose(600 + i, 40), "en" if i % 2 else "fr", "s", "t", *filled) for i in range(30)] + [(None, prose(1, 30), "en", None, None, *filled)] * 3 + [(5, prose(605, 40), None, "s", "t", *filled)] * 2
+    df = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(i, i % 2, 0, "x") for i in range(30)] + [(None, 1, 0, "x")], "doc_id long, quality int, toxic int, text string")
+    n = len(rows)
+    named = langid.identify_languages(df, langid.fit_languages(langid.sample_languages(df)))
+    assert named.count() == n and named.columns[-2:] == ["lang_pred", "score"] and {r.lang_pred for r in named.collect()} <= {"en", "fr"}
+    scored = quality.classify_quality(df, labels)
+    assert scored.count() == n and all(0 <= r.score <= 1 and r.predicted in (0, 1) for r in scored.collect())
+    counted = wordpiece.count_tokens(df, PATH).collect()
+    assert len(counted) == n and all(isinstance(r.n_tokens, int) for r in counted)
+    mixed = mixing.mix_sources(df)
+    assert mixed.count() == n and all(0 <= r.probability <= 1 and r.topic in ("t", None) for r in mixed.collect())
+    packed = packing.pack_documents(df, PATH).collect()
+    assert sum(r.piece == 0 for r in packed) == n and sum(r.id is None for r in packed) == 3 and len({(r.sequence_id, r.offset) for r in packed}) == len(packed)
+    read = tokenfile.read_token_table(tokenfile.write_token_table(df, PATH)).collect()
+    assert len(read) == n and sum(r.id is None for r in read) == 3 and sorted(r.start for r in read) == [0, *np.cumsum([r.n_tokens for r in sorted(read, key=lambda r: r.start)])[:-1].tolist()]
+    found = substring.repeated_passages(df)
+    assert found.count() == 0 and jaccard.ngram_jaccard_join(df).where("id = 5").first().n_links == 0
+
+
+def test_very_long_texts(spark):
+    common = prose(77, 3000)
+    texts = {1: " ".join([prose(78, 40_000), common]), 2: " ".join([common, prose(79, 40_000)]), 3: "of " * 60_000, 4: "of " * 50_000}
+    rows = substring.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert max(r.n_words for r in rows if (r.doc, r.first_doc) == (2, 1)) >= 3000 and any((r.doc, r.first_doc) == (4, 3) for r in rows)
+
+
+def test_tokens_in_several_shards(docs, texts, monkeypatch):
+    monkeypatch.setattr(tokenfile, "SHARD_IDS", 500)
+    written = tokenfile.write_token_table(docs, PATH)
+    assert written.count() > 5
+    got, at = {r.id: r for r in tokenfile.read_token_table(written).collect()}, 0
+    for i, ids in sorted(_ids(texts).items()):
+        assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+
 def test_models_learn_from_data(spark):
     junk = lambda i: " ".join(w.upper() + "!!" for w in prose(i, 40).split())
     rows = [(i, junk(i) if i % 3 == 0 else prose(i, 40) + ".", "x" if i % 2 else "y") for i in range(400)]
