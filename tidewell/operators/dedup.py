@@ -106,36 +106,45 @@ def duplicates_of(articles: DataFrame, article_id: str, threshold: float = THRES
     return scored_pairs(one.unionByName(rest), threshold, hours).where(F.col("a") == article_id).select(F.col("b").alias("id"), "score", F.col("b_ord").alias("ord")).orderBy(F.desc("score"), "ord")
 
 
-def duplicate_groups(articles: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Groups of linked articles: ``duplicate_group_id``, ``canonical_id``, ``member_ids`` and ``scores`` (best first).
+def group_members(articles: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One row for each article that is linked: ``id``, ``ord``, ``duplicate_group_id``, ``canonical_id``, ``component``.
 
     An article that already is the canonical one of a group stays it; else the earliest scraped wins, then the more
     relevant, then the earlier in the list. A group keeps the first group id that a member has, or takes its canonical
-    member's smallest id.
+    member's smallest id. Groups are aggregated before the shuffle and joined back, so one of any size is no row.
     """
-    pairs = materialise(pairs.select("a_ord", "b_ord", "score"), "pairs")  # read twice
     components = connected_components(pairs, "a_ord", "b_ord").withColumnRenamed("id", "ord")
-    members = articles.select("id", "ord", "scrape_date", "relevance_score", "is_duplicate", "duplicate_group_id").join(components, "ord")
+    members = materialise(articles.select("id", "ord", "scrape_date", "relevance_score", "is_duplicate", "duplicate_group_id").join(components, "ord"), "members")
     in_group = F.coalesce(F.col("duplicate_group_id"), F.lit("")) != ""
     prior = in_group & F.coalesce(~F.col("is_duplicate"), F.lit(False))
     rank = F.struct(
         F.when(prior, 0).otherwise(1), F.when(prior, F.lit(None).cast("timestamp")).otherwise(F.coalesce("scrape_date", F.lit("9999-12-31").cast("timestamp"))),
         F.when(prior, 0).otherwise(-F.coalesce("relevance_score", F.lit(0))), "ord",
     )
-    groups = members.groupBy("component").agg(
-        F.coalesce(F.min_by("duplicate_group_id", F.when(in_group, F.col("ord"))), F.min("id")).alias("duplicate_group_id"), F.min_by("id", rank).alias("canonical_id"),
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "id"))), lambda m: m["id"]).alias("member_ids"),
-    )
-    scores = pairs.join(components.withColumnRenamed("ord", "a_ord"), "a_ord").groupBy("component").agg(F.sort_array(F.collect_list("score"), False).alias("scores"))
+    groups = members.groupBy("component").agg(F.coalesce(F.min_by("duplicate_group_id", F.when(in_group, F.col("ord"))), F.min("id")).alias("duplicate_group_id"), F.min_by("id", rank).alias("canonical_id"))
+    return members.select("id", "ord", "component").join(groups, "component")
+
+
+def duplicate_groups(articles: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Groups of linked articles as a report: ``duplicate_group_id``, ``canonical_id``, ``member_ids`` and ``scores`` (best first).
+
+    A row holds a whole group with the scores of its pairs: meant for the articles of a run, whose groups are those of one
+    story within the window. ``group_members`` has them as rows.
+    """
+    pairs = materialise(pairs.select("a_ord", "b_ord", "score"), "pairs")  # read twice
+    members = group_members(articles, pairs)
+    groups = members.groupBy("component").agg(F.min("duplicate_group_id").alias("duplicate_group_id"), F.min("canonical_id").alias("canonical_id"), F.transform(F.array_sort(F.collect_list(F.struct("ord", "id"))), lambda m: m["id"]).alias("member_ids"))
+    scores = pairs.join(members.select(F.col("ord").alias("a_ord"), "component"), "a_ord").groupBy("component").agg(F.sort_array(F.collect_list("score"), False).alias("scores"))
     return groups.join(scores, "component").drop("component")
 
 
 def mark_duplicates(articles: DataFrame, groups: DataFrame) -> DataFrame:
-    """``articles`` with the three duplicate columns of their group; the canonical article is no duplicate and names none.
+    """``articles`` with the three duplicate columns of their group (``group_members`` or ``duplicate_groups``); the canonical article is no duplicate and names none.
 
     Articles of no group keep what an earlier run marked.
     """
-    marks = groups.select("duplicate_group_id", "canonical_id", F.explode("member_ids").alias("id")).select(
+    rows = groups.withColumn("id", F.explode("member_ids")) if "member_ids" in groups.columns else groups
+    marks = rows.select("duplicate_group_id", "canonical_id", "id").select(
         "id", F.col("duplicate_group_id").alias("new_group"), (F.col("id") != F.col("canonical_id")).alias("new_duplicate"),
         F.when(F.col("id") != F.col("canonical_id"), F.col("canonical_id")).alias("new_canonical"),
     )

@@ -78,7 +78,7 @@ def dedup_marked(spark, sf_dir):
 
 
 def dedup_groups_of(rows: DataFrame) -> DataFrame:
-    return dedup.duplicate_groups(rows, exact_title_pairs(rows))
+    return dedup.group_members(rows, exact_title_pairs(rows))
 
 
 def dedup_two_runs(spark, sf_dir):

@@ -109,9 +109,9 @@ def second_phase(
     batch = materialise(queues.phase2_queue(articles, limit), "batch")
     newest = newest or articles.agg(F.max("scrape_date")).first()[0]
     corpus = queues.corpus_without_batch(queues.recent_processed(articles, newest), batch) if newest is not None else batch
-    groups = dedup.duplicate_groups(corpus, dedup.scored_pairs(corpus))
-    touched = groups.withColumn("id", F.explode("member_ids")).join(batch.select("id"), "id", "left_semi").select("duplicate_group_id").distinct()
-    own = materialise(groups.join(touched, "duplicate_group_id", "left_semi"), "groups")
+    members = materialise(dedup.group_members(corpus, dedup.scored_pairs(corpus)), "members")
+    touched = members.join(batch.select("id"), "id", "left_semi").select("component").distinct()
+    own = materialise(members.join(touched, "component", "left_semi"), "groups")
     marked = dedup.mark_duplicates(articles, own)
     fresh = materialise(dedup.mark_duplicates(batch, own), "marked-batch")
     known = store.recent_signals(old_signals, as_of, novelty.SIGNAL_DAYS) if "created_date" in old_signals.columns else old_signals
