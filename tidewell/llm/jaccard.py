@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..tables import discard, materialise
-from .words import SHINGLE, mix, shingle_set
+from .words import SHINGLE, frugal, mix, shingle_set
 
 #: Members of one verification block. A larger candidate component is dealt into blocks and compared block by block.
 BLOCK = 128
@@ -49,6 +49,7 @@ def band_hashes(grams: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows: int) -> DataFrame:
     """Columns ``id``, ``fp`` (fingerprint of the whole n-gram set, null if it is empty) and ``bands``."""
 
+    @frugal
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints, keys = [], []

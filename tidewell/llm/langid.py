@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality import held_out
+from .words import frugal
 
 #: Documents that the model is fitted on at most, those first by a hash of the id, and windows of each, evenly spaced.
 SAMPLE = 6000
@@ -115,6 +116,7 @@ def fit_languages(sample: DataFrame, windows_each: int = WINDOWS) -> tuple[list[
     learned in the order of their texts and values, so the model is the same however they are partitioned.
     """
 
+    @frugal
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = sorted((text, lang) for f in frames for text, lang in zip(f["text"], f["lang"], strict=True) if has_letter(text))
         if not rows:
@@ -153,6 +155,7 @@ def identify_languages(docs: DataFrame, model: tuple[list[str], ByteNet] | None,
     Rows keep their columns (one named ``lang_pred`` or ``score`` is replaced) and repeated rows stay.
     """
 
+    @frugal
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() for t in batch.column("__text")]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..tables import discard, materialise
 from .bpe import document_ids, encoder
+from .words import frugal
 
 CAPACITY = 2048
 #: Pieces of a partition in the first round, and at most; each later round has groups of twice as many.
@@ -30,6 +31,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_
     ``row`` numbers the rows, so that those with equal or null ids are dealt apart.
     """
 
+    @frugal
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, row = encoder(tokenizer), TaskContext.get().partitionId() << 40
         for batch in batches:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import _alphabet, _power_tables, mix
+from .words import _alphabet, _power_tables, frugal, mix
 
 #: Labelled rows that the model is fitted on at most, those first by a hash of the id.
 SAMPLE = 6000
@@ -104,6 +104,7 @@ def sigmoid(x: float) -> float:
 def fit(labelled: DataFrame, text_col: str, label_col: str, bits: int = BITS, epochs: int = EPOCHS) -> np.ndarray:
     """Weights from a bounded sample, learned in one task in the order of the texts and labels, so however the rows are partitioned."""
 
+    @frugal
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts = [(zlib.crc32((t or "").encode("utf-8", "replace")), t or "", int(y)) for f in frames for t, y in zip(f["text"], f["label"], strict=True)]
         rows = [(*features(t, bits), y) for _, t, y in sorted(texts)]  # by a hash first, for order must not follow content
@@ -125,6 +126,7 @@ def fit(labelled: DataFrame, text_col: str, label_col: str, bits: int = BITS, ep
 def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, text_col: str = "text") -> DataFrame:
     """``docs`` with ``score``, from the whole text alone; a text without words scores what the bias gives."""
 
+    @frugal
     def dot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..tables import discard, materialise
-from .words import SHINGLE, mix, shingles, words
+from .words import SHINGLE, frugal, mix, shingles, words
 
 #: Words of the shortest passage.
 LEAST_WORDS = 50
@@ -140,6 +140,7 @@ def _keys(texts: DataFrame, lengths: tuple[int, ...], common: np.ndarray) -> Dat
         dealt = np.where(often, mix(key + part), key)
         return pa.RecordBatch.from_arrays([pa.array(dealt.view(np.int64)), pa.array(doc), pa.array(key.view(np.int64), mask=~often)], [x.split()[0] for x in KEYS.split(", ")])
 
+    @frugal
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, grams, size = [], [], 0
         for batch in batches:
@@ -290,6 +291,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: int, threshold: float) -
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sent = rows.join(texts, "doc").repartition(parts, "y_doc", "turn").sortWithinPartitions("y_doc", "turn", "later")
 
+    @frugal
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, earlier = None, []
         for batch in batches:
@@ -341,6 +343,7 @@ def cut_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", t
 
     names = docs.columns
 
+    @frugal
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []

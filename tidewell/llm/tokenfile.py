@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..tables import materialise
 from .bpe import document_ids, encoder
+from .words import frugal
 
 MAGIC = b"TWTOKEN1"
 BLOCK_IDS = 1 << 16
@@ -96,6 +97,7 @@ def write_token_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", t
     other. Other columns are ignored. The rows are dealt by ranges of the id, so no task sees more than its range.
     """
 
+    @frugal
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, first = encoder(tokenizer), TaskContext.get().partitionId(), 0
         names, lengths, ids, held = [], [], [], 0
@@ -126,6 +128,7 @@ def write_token_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", t
 def read_token_table(shards: DataFrame) -> DataFrame:
     """One row for each document of a written table: ``id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids_crc32``."""
 
+    @frugal
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, first, data in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _byte_letters
+from .words import frugal
 
 _WORD = re.compile(r"\w+|[^\w\s]")
 #: Words kept by a worker; beyond that the memory is emptied and filled anew.
@@ -110,6 +111,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, text_col: str = "text") -> Da
     have no words. Rows keep their columns (those named like the results are replaced) and repeated rows stay.
     """
 
+    @frugal
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _counts(vocabulary)
         for batch in batches:

@@ -3,15 +3,35 @@
 A word is a maximal run of letters and digits, compared in lower case (code point by code point).
 """
 
-from functools import cache
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import cache, wraps
 
 import numpy as np
+import pyarrow as pa
 
 SHINGLE = 5
 _U = np.uint64
 _BASE, _STEP = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
+def frugal(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` on the batches of a task, which gives back what it freed when it ends.
+
+    Workers go on to other stages; what their allocators keep for later would count as the executor's memory until then.
+    """
+
+    @wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit over all others."""
     x = x ^ (x >> _U(30))
