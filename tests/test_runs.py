@@ -97,6 +97,18 @@ def test_late_members_join_the_group_of_an_earlier_run(spark, make, tmp_path):
     assert {k: r.canonical_article_id for k, r in once_more.items()} == {k: r.canonical_article_id for k, r in again.items()}
 
 
+def test_novelty_with_or_without_the_groups_of_the_run(spark, make):  # noqa: F811
+    articles = make(article(0), article(1))
+    both = {}
+    for known in (True, False):
+        out = pipelines.second_phase(
+            articles, spark.createDataFrame([], "brand_name_en string, category string, feature_name_en string"), spark.createDataFrame(ALIASES, "alias string, canonical string"), spark.createDataFrame([("BYD", "g")], "name_en string, parent_group string"),
+            spark.createDataFrame([], "id string, signal_type string, brands_mentioned array<string>, features_mentioned array<string>, source_article_ids array<string>"), F.lit(NOON), groups_in_novelty=known,
+        )
+        both[known] = {r.id: r.novelty for r in out.article_novelty.collect()}
+    assert both == {True: {"a0": 1.0, "a1": 1.0}, False: {"a0": pytest.approx(0.0), "a1": pytest.approx(0.0)}}
+
+
 def test_a_commit_that_fails_half_way_can_be_done_again(spark, make, tmp_path, monkeypatch):  # noqa: F811
     articles = make(article(0, vehicles_mentioned=["BYD Seal", "Nobody X"], features_extracted=[("City pilot", "adas", "Orin chip", None, True)]), other(5, vehicles_mentioned=["NIO ET5"]))
     done = _second_phase(spark, articles, NOON)

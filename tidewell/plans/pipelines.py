@@ -97,14 +97,15 @@ class Phase2:
 
 def second_phase(
     articles: DataFrame, features: DataFrame, aliases: DataFrame, meta: DataFrame, old_signals: DataFrame, as_of: Column, model: models.TextModel = models.offline_model, limit: int | None = queues.PHASE2,
-    stored_brands: DataFrame | None = None, answers: DataFrame | None = None, newest: datetime | None = None,
+    stored_brands: DataFrame | None = None, answers: DataFrame | None = None, newest: datetime | None = None, groups_in_novelty: bool = True,
 ) -> Phase2:
     """Entities, duplicates, signals and novelty of the queue's articles.
 
     Duplicates are looked for in the batch and the recent articles, and only groups that touch the batch are marked. The
     batch is flagged as done in ``articles``; a run that fails before it is written leaves all as it was. ``answers`` are
     those of a ``resolver_run``. Signals count as recent for 14 days; a new signal is compared with the old ones and with
-    the others of its run.
+    the others of its run. Without ``groups_in_novelty`` an article of the batch is compared with its own duplicates too,
+    unless an earlier run grouped them.
     """
     batch = materialise(queues.phase2_queue(articles, limit), "batch")
     newest = newest or articles.agg(F.max("scrape_date")).first()[0]
@@ -121,7 +122,7 @@ def second_phase(
     promoted = entities.promote_entities(batch, aliases, meta, stored_brands, answers)
     return Phase2(
         store.phase2_done(marked, batch), promoted.brands, promoted.vehicles, promoted.features, promoted.counts, found,
-        novelty.article_novelty(fresh, recent), novelty.signal_novelty(found, known.unionByName(found, allowMissingColumns=True)),
+        novelty.article_novelty(fresh if groups_in_novelty else batch, recent), novelty.signal_novelty(found, known.unionByName(found, allowMissingColumns=True)),
     )
 
 
