@@ -289,7 +289,8 @@ def verified(pairs: DataFrame, texts: DataFrame, least: int, threshold: float) -
     originals = dealt.select("y_doc", "turn").distinct().withColumn("doc", F.col("y_doc"))
     rows = dealt.withColumn("later", F.lit(1)).unionByName(originals.withColumn("later", F.lit(0)))
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = rows.join(texts, "doc").repartition(parts, "y_doc", "turn").sortWithinPartitions("y_doc", "turn", "later")
+    # a merge join at every size: the pairs grow with the texts, and a plan that broadcasts them holds for small inputs only
+    sent = rows.hint("merge").join(texts, "doc").repartition(parts, "y_doc", "turn").sortWithinPartitions("y_doc", "turn", "later")
 
     @frugal
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +356,7 @@ def cut_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays(columns, names)
 
     spans = passages.groupBy(F.col("doc").alias("__id")).agg(F.collect_set(F.array("start", "end")).alias("__spans"))
-    joined = docs.join(spans, F.col(id_col) == F.col("__id"), "left")
+    joined = docs.join(spans.hint("merge"), F.col(id_col) == F.col("__id"), "left")
     return joined.select(*docs.columns, F.col(text_col).alias("__text"), "__spans").mapInArrow(cut, docs.schema)
 
 
