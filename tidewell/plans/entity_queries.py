@@ -89,7 +89,12 @@ QUERIES = {
     "html_links": lambda s, d: web.links(table(s, d, "pages").select("page_id", "html")).select("page_id", "ord", "href", "title"),
 }
 
+_ANCHOR = r"""(?is)<a\s[^>]*?href\s*=\s*["''][^"'']*["''][^>]*>.*?</a>"""
+
 ORACLE_SQL = {
+    "html_links": f"""WITH c AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\\b.*?</script>', ' ', 'g'), '(?is)<style\\b.*?</style>', ' ', 'g'), '(?is)<noscript\\b.*?</noscript>', ' ', 'g') AS h FROM pages),
+l AS (SELECT page_id, regexp_extract_all(h, '{_ANCHOR}') AS l FROM c), r AS (SELECT page_id, unnest(range(len(l))) AS ord, unnest(l) AS anchor FROM l)
+SELECT page_id, ord::INT AS ord, regexp_extract(anchor, '(?is)href\\s*=\\s*["'']([^"'']*)["'']', 1) AS href, trim(regexp_replace(regexp_replace(anchor, '(?s)<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS title FROM r""",
     "alias_resolution": f"WITH {MENTIONS} SELECT id, canonical FROM m LEFT JOIN al ON alias = lower(trim(name)) WHERE name <> 'Honor'",
     "resolution_budget": f"""WITH {MENTIONS}, u AS (SELECT lower(trim(name)) AS key, min(ord) AS first FROM m WHERE name <> 'Honor' AND lower(trim(name)) NOT IN (SELECT alias FROM al) GROUP BY 1)
 SELECT key, (row_number() OVER (ORDER BY first, key))::INT AS turn FROM u QUALIFY turn <= 20""",
