@@ -11,6 +11,7 @@ from .mixing import mix_sources
 from .packing import pack_documents
 from .pq import embedding_near_dedup
 from .quality import classify_quality, held_out
+from .spelling import LOWER, UPPER, spelling_variants
 from .substring import repeated_passages
 from .tokenfile import read_token_table, write_token_table
 from .topk import exact_top_k, quantised
@@ -194,6 +195,39 @@ FROM j JOIN u ON u.path = j.path LEFT JOIN n m ON j.depth > 0 AND m.path = j.pat
 """
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+_UTF8 = "flatten(list_transform(string_split({text}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + (unicode(x)::BIGINT >> 6), 128 + (unicode(x)::BIGINT & 63)] END))"
+
+#: Near words by what is left of them without one place: the same rest at the same place, or another word.
+OP12_SQL = f"""
+WITH RECURSIVE {_CRC_TABLE}, r AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS said, run, count(*) AS k
+  FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{UPPER}', '{LOWER}') AS run FROM documents) WHERE length(run) >= 7 GROUP BY ALL
+), h AS (
+  SELECT run, k, {_CRC.format(bytes=_UTF8.format(text="said"))} AS h FROM r, crc_table
+), w AS MATERIALIZED (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, sum(k)::BIGINT AS n FROM h GROUP BY 1 HAVING length(word) >= 7 AND sum(k) >= 2
+), d AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(0, length(word)))::INT AS i FROM w)
+), p AS (
+  SELECT a.word AS x, b.word AS y FROM d a JOIN d b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT d.word, w.word FROM d JOIN w ON w.word = d.rest
+  UNION SELECT w.word, d.word FROM d JOIN w ON w.word = d.rest
+), b AS (
+  SELECT x AS word, count(*) AS n_near, arg_min(w.word, (-w.n, w.word)) AS best, max(w.n) AS best_n FROM p JOIN w ON w.word = p.y GROUP BY 1
+), f AS MATERIALIZED (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form, CASE WHEN best_n >= 10 * n THEN best_n END AS form_n FROM w LEFT JOIN b ON b.word = w.word
+), s AS (
+  SELECT word, word AS at, form AS after FROM f
+  UNION ALL SELECT s.word, f.word, f.form FROM s JOIN f ON f.word = s.after
+)
+SELECT f.word, f.form, s.at AS root, f.n, f.n_near, f.form_n FROM f JOIN s ON s.word = f.word AND s.after IS NULL
+"""
+
+
 def mixed_records(turns: DataFrame) -> DataFrame:
     """``id``, ``turns`` -> ``id``, ``record`` in the layouts in which such data comes: pairs of prompt and completion, instructions, lists of messages."""
     roles = F.transform("turns", lambda t: t["role"])
@@ -253,6 +287,7 @@ QUERIES = {
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_token_id_output": op10_token_id_output,
     "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_chat_formatting": op13_chat_formatting,
 }
 
@@ -262,5 +297,6 @@ ORACLE_SQL = {
     "op7_ngram_jaccard_join": OP7_SQL,
     "op9_embedding_near_dedup": OP9_SQL,
     "op11_conversation_prefix_trie": OP11_SQL,
+    "op12_spelling_variants": OP12_SQL,
     "op13_chat_formatting": OP13_SQL,
 }
