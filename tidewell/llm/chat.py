@@ -108,12 +108,13 @@ def field_paths(record: Column) -> Column:
     """The distinct paths of the leaves of a variant, sorted: ``messages[].role`` for the roles in a list of objects.
 
     Values don't matter: a null is a leaf, and so is the missing element of an empty list (``messages[]``). An object
-    without fields and a null record have no leaves. Names that aren't plain words stand in backquotes.
+    without fields and a null record have no leaves; a record that is no object is ``$``. Names that aren't plain words
+    stand in backquotes.
     """
     name = r"(?:`(?:[^`]|``)*`|[^\s`<>:,]+): "
     tokens = F.regexp_extract_all(F.schema_of_variant(record), F.lit(rf"({name}|OBJECT<|ARRAY<|>|[A-Z_]+(?:\([0-9, ]*\))?)"), 1)
     strings = "array<string>"
-    begin = F.struct(F.array(F.lit("")).alias("open"), F.lit("").alias("at"), F.array().cast(strings).alias("found"))
+    begin = F.struct(F.array(F.lit("$")).alias("open"), F.lit("$").alias("at"), F.array().cast(strings).alias("found"))
 
     def read(state: Column, token: Column) -> Column:
         opened, at, found = state["open"], state["at"], state["found"]
@@ -122,7 +123,7 @@ def field_paths(record: Column) -> Column:
         key = F.substring(token, F.lit(1), F.length(token) - 2)
         return F.struct(
             F.when(token == "OBJECT<", F.array_append(opened, at)).when(token == "ARRAY<", F.array_append(opened, inside)).when(token == ">", F.slice(opened, F.lit(1), F.size(opened) - 1)).otherwise(opened).alias("open"),
-            F.when(is_name, F.when(top == "", key).otherwise(F.concat(top, F.lit("."), key))).when(token == "ARRAY<", inside).otherwise(at).alias("at"),
+            F.when(is_name, F.when(top == "$", key).otherwise(F.concat(top, F.lit("."), key))).when(token == "ARRAY<", inside).otherwise(at).alias("at"),
             F.when(is_name | token.isin("OBJECT<", "ARRAY<", ">"), found).otherwise(F.array_append(found, at)).alias("found"),
         )
 
