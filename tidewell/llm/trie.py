@@ -12,7 +12,7 @@ from ..tables import discard, materialise
 from .words import frugal
 
 #: Distinct sequences of a container above which it bursts.
-CONTAINER = 1024
+CONTAINER = 256
 #: Bytes of a turn in a sequence: the MD5 of role and text, then the text's code points, so that a turn's length is at hand.
 TURN = 20
 #: Members of a sequence are carried in rows of one such range of ids each, which bounds a row.
