@@ -1,5 +1,7 @@
 """Dates: ISO strings, windows, and the stamps of Chinese publishers (Beijing time)."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -7,23 +9,8 @@ BEIJING = "+08:00"
 # The characters that stand for year, month and day, and the words for spans of time before now.
 YEAR, MONTH, DAY = "年", "月", "日"
 AGO = {"minutes": "分钟前", "hours": "小时前", "days": "天前"}
-
-
-def _number(digits: str) -> str:
-    return rf"(\d{{{digits}}})"
-
-
-def _clock(before: str, seconds: bool = False) -> str:
-    """An optional time of day after ``before``."""
-    return rf"(?:{before}{_number('1,2')}:{_number('2')}" + (rf"(?::{_number('2')})?" if seconds else "") + ")?"
-
-
-_FULL = _number("4") + YEAR + _number("1,2") + MONTH + _number("1,2") + DAY + _clock(r"\s*")
-_DASHES = "-".join(map(_number, ("4", "1,2", "1,2")))
-_NUMERIC, _SECONDS = _DASHES + _clock("[ T]"), _DASHES + _clock("[ T]", seconds=True)
-_MONTH_DAY = _number("1,2") + MONTH + _number("1,2") + DAY + _clock(r"\s*")
-_DASHED_MONTH_DAY = r"(?<!\d)" + _number("1,2") + "-" + _number("1,2") + r"(?!\d)"
-_AGO = tuple((unit, rf"(\d+)\s*{word}") for unit, word in AGO.items())
+#: What stands between the numbers of a date, and after the last one.
+SIGNS, DASHES, SHORT_SIGNS = (YEAR, MONTH, DAY), ("-", "-", ""), (MONTH, DAY)
 
 
 def parse_iso(text: Column, naive: str = "UTC") -> Column:
@@ -49,56 +36,136 @@ def within_hours(a: Column, b: Column, hours: int) -> Column:
     return F.coalesce(b.between(a - span, a + span), F.lit(False))
 
 
-def _part(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(text, pattern, group).try_cast("int")
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _tokens(text: Column) -> Column:
+    """The text as runs of digits and what stands between them."""
+    return F.regexp_extract_all(text, F.lit(r"([0-9]+|[^0-9]+)"), 1)
+
+
+def _is_number(token: Column, least: int = 1, most: int | None = None) -> Column:
+    n = F.length(token)
+    return (F.substring(token, 1, 1).between("0", "9")) & (n >= least) & (n <= most if most else F.lit(True))
+
+
+def _is_date(t: Column, i: Column, marks: tuple[str, ...], first: int) -> Column:
+    """Do numbers and ``marks`` follow each other from token ``i`` on? The first has so many digits or more, the others one or two."""
+    ok = _is_number(F.get(t, i), first)
+    for k, mark in enumerate(marks):
+        last = k == len(marks) - 1
+        if k:
+            ok &= _is_number(F.get(t, i + 2 * k), 1, None if last and not mark else 2)
+        if mark:
+            after = F.get(t, i + 2 * k + 1)
+            ok &= F.startswith(after, F.lit(mark)) if last else after == mark
+    return ok
+
+
+def _clock(t: Column, i: Column, seconds: bool) -> Column:
+    """Hour, minute and second at token ``i``; null if no time of day stands there."""
+    colon = lambda k: F.get(t, i + k) == ":"
+    is_time = _is_number(F.get(t, i), 1, 2) & colon(1) & _is_number(F.get(t, i + 2), 2)
+    second = F.when(_is_number(F.get(t, i + 2), 2, 2) & colon(3) & _is_number(F.get(t, i + 4), 2), F.left(F.get(t, i + 4), F.lit(2))) if seconds else F.lit(None).cast("string")
+    return F.when(F.coalesce(is_time, F.lit(False)), F.array(F.get(t, i), F.left(F.get(t, i + 2), F.lit(2)), second))
+
+
+def _stamp(text: Column, marks: tuple[str, ...], seconds: bool = False) -> Column:
+    """The first date of such a form in the text: year (if the form has one), month, day, hour, minute, second as strings; null without one."""
+    first = 4 if len(marks) == 3 else 1
+
+    def read(t: Column, i: Column) -> Column:
+        end = i + 2 * len(marks) - 1
+        head = F.right(F.get(t, i), F.lit(4 if first == 4 else 2))
+        rest = [F.get(t, i + 2 * k) for k in range(1, len(marks))]
+        gap = F.get(t, end)
+        if marks[-1]:
+            joined = F.regexp_replace(gap, r"\s+$", "") == marks[-1]
+        else:
+            joined = gap.isin(" ", "T") & (F.length(rest[-1]) <= 2)
+        clock = F.coalesce(F.when(joined, _clock(t, end + 1, seconds)), F.array(*[F.lit(None).cast("string")] * 3))
+        return F.concat(F.array(head, *rest[:-1], F.left(rest[-1], F.lit(2))), clock)
 
+    def find(t: Column) -> Column:
+        places = F.filter(F.transform(t, lambda _, i: i), lambda i: _is_date(t, i, marks, first))
+        return _let(F.get(places, 0), lambda i: F.when(i.isNotNull(), read(t, i)))
 
-def _beijing(year: Column, month: Column, day: Column, hour: Column, minute: Column, second: Column) -> Column:
-    zero = F.lit(0)
-    return F.to_utc_timestamp(F.try_make_timestamp(year, month, day, F.coalesce(hour, zero), F.coalesce(minute, zero), F.coalesce(second, zero)), BEIJING)
+    return _let(_tokens(text), find)
+
+
+def _beijing(year: Column, parts: list[Column]) -> Column:
+    month, day, *clock = (p.try_cast("int") for p in parts)
+    return F.to_utc_timestamp(F.try_make_timestamp(year, month, day, *(F.coalesce(c, F.lit(0)) for c in clock)), BEIJING)
+
+
+def _moment(stamp: Column) -> Column:
+    return _let(stamp, lambda s: _beijing(F.get(s, 0).try_cast("int"), [F.get(s, k) for k in range(1, 6)]))
 
 
 def absolute_date(text: Column, seconds: bool = False) -> Column:
-    """First full date in the text, as a timestamp. ``seconds``: dashes only, with seconds if given."""
-    none = F.lit(None).cast("int")
+    """First full date in the text, as a timestamp: with signs, else with dashes. ``seconds``: dashes only, with seconds if given.
+
+    A clock follows the date after white space (signs) or one space or T (dashes). A form that is there but names no day
+    of the calendar gives null.
+    """
+    dashed = _stamp(text, DASHES, seconds)
     if seconds:
-        p = [_part(text, _SECONDS, i) for i in range(1, 7)]
-        return F.when(text.rlike(_SECONDS), _beijing(*p))
-    of = lambda pattern: _beijing(*(_part(text, pattern, i) for i in range(1, 6)), none)
-    return F.when(text.rlike(_FULL), of(_FULL)).when(text.rlike(_NUMERIC), of(_NUMERIC))
+        return _moment(dashed)
+    return _moment(F.coalesce(_stamp(text, SIGNS), dashed))
 
 
 def relative_date(text: Column, as_of: Column) -> Column:
-    """So many minutes, hours or days ago, or yesterday, before ``as_of``."""
-    out = None
-    for unit, pattern in _AGO:
-        n = F.coalesce(_part(text, pattern, 1), F.lit(0))
-        span = {"minutes": F.make_interval(mins=n), "hours": F.make_interval(hours=n), "days": F.make_interval(days=n)}[unit]
-        out = F.when(text.rlike(pattern), as_of - span) if out is None else out.when(text.rlike(pattern), as_of - span)
-    return out.when(F.contains(text, F.lit("昨天")), as_of - F.make_interval(days=F.lit(1)))
+    """So many minutes, hours or days ago, or yesterday, before ``as_of``. Counts of over six digits are no span of time."""
+
+    def count(t: Column, word: str) -> Column:
+        places = F.filter(F.transform(t, lambda _, i: i), lambda i: _is_number(F.get(t, i), 1, 6) & F.startswith(F.regexp_replace(F.get(t, i + 1), r"^\s+", ""), F.lit(word)))
+        return F.get(t, F.get(places, 0))
+
+    def before(t: Column) -> Column:
+        out = F.lit(None).cast("timestamp")
+        for unit, word in reversed(AGO.items()):
+            n = F.coalesce(count(t, word).try_cast("int"), F.lit(0))
+            span = {"minutes": F.make_interval(mins=n), "hours": F.make_interval(hours=n), "days": F.make_interval(days=n)}[unit]
+            out = F.when(count(t, word).isNotNull(), as_of - span).otherwise(out)
+        return out
+
+    return F.coalesce(_let(_tokens(text), before), F.when(F.contains(text, F.lit("昨天")), as_of - F.make_interval(days=F.lit(1))))
+
+
+def _without_year(stamp: Column, as_of: Column, ahead: int) -> Column:
+    """In the current Beijing year, or in the one before if that is more than so many days ahead."""
+    year = F.year(F.from_utc_timestamp(as_of, BEIJING))
+
+    def of(s: Column) -> Column:
+        parts = [F.get(s, k) for k in range(5)]
+        this = _beijing(year, parts)
+        return F.when(this > as_of + F.make_interval(days=F.lit(ahead)), _beijing(year - 1, parts)).otherwise(this)
+
+    return _let(stamp, of)
 
 
 def month_day(text: Column, as_of: Column) -> Column:
     """A date without a year: the current Beijing year, or the one before if that lies in the future."""
-    year = F.year(F.from_utc_timestamp(as_of, BEIJING))
-    p = [_part(text, _MONTH_DAY, i) for i in range(1, 5)]
-    none = F.lit(None).cast("int")
-    this, last = _beijing(year, *p, none), _beijing(year - 1, *p, none)
-    return F.when(text.rlike(_MONTH_DAY), F.when(this > as_of, last).otherwise(this))
+    return _without_year(_stamp(text, SHORT_SIGNS), as_of, 0)
 
 
 def dashed_month_day(text: Column, as_of: Column) -> Column:
-    """``MM-DD`` in the current Beijing year, or the one before if that is more than a day ahead."""
-    year = F.year(F.from_utc_timestamp(as_of, BEIJING))
-    month, day, none = _part(text, _DASHED_MONTH_DAY, 1), _part(text, _DASHED_MONTH_DAY, 2), F.lit(None).cast("int")
-    this, last = _beijing(year, month, day, none, none, none), _beijing(year - 1, month, day, none, none, none)
-    return F.when(text.rlike(_DASHED_MONTH_DAY), F.when(this > as_of + F.make_interval(days=F.lit(1)), last).otherwise(this))
+    """``MM-DD``, one or two digits each, in the current Beijing year, or the one before if that is more than a day ahead."""
+
+    def find(t: Column) -> Column:
+        two = lambda i: _is_number(F.get(t, i), 1, 2)
+        at = F.get(F.filter(F.transform(t, lambda _, i: i), lambda i: two(i) & (F.get(t, i + 1) == "-") & two(i + 2)), 0)
+        return F.when(at.isNotNull(), F.array(F.get(t, at), F.get(t, at + 2)))
+
+    return _without_year(_let(_tokens(text), find), as_of, 1)
 
 
 def result_date(text: Column, as_of: Column) -> Column:
     """Listing date: relative, else absolute, else without a year."""
-    full = text.rlike(_FULL) | text.rlike(_NUMERIC)
-    return F.coalesce(relative_date(text, as_of), F.when(full, absolute_date(text)).otherwise(month_day(text, as_of)))
+    full = F.coalesce(_stamp(text, SIGNS), _stamp(text, DASHES))
+    return F.coalesce(relative_date(text, as_of), F.when(full.isNotNull(), _moment(full)).otherwise(month_day(text, as_of)))
 
 
 def note_date(text: Column, as_of: Column) -> Column:
