@@ -11,7 +11,7 @@ from tidewell import tables
 from tidewell.operators import dedup, entities, listings, novelty, web
 from tidewell.plans import fixtures, pipelines
 from tidewell.plans.store_queries import maker_model
-from tidewell.sources import store
+from tidewell.sources import snapshots
 
 from .test_kernels import NOON, article, make, other  # noqa: F401
 
@@ -109,30 +109,92 @@ def test_novelty_with_or_without_the_groups_of_the_run(spark, make):  # noqa: F8
     assert both == {True: {"a0": 1.0, "a1": 1.0}, False: {"a0": pytest.approx(0.0), "a1": pytest.approx(0.0)}}
 
 
-def test_a_commit_that_fails_half_way_can_be_done_again(spark, make, tmp_path, monkeypatch):  # noqa: F811
-    articles = make(article(0, vehicles_mentioned=["BYD Seal", "Nobody X"], features_extracted=[("City pilot", "adas", "Orin chip", None, True)]), other(5, vehicles_mentioned=["NIO ET5"]))
+def _two_articles(make):  # noqa: F811
+    return make(article(0, vehicles_mentioned=["BYD Seal", "Nobody X"], features_extracted=[("City pilot", "adas", "Orin chip", None, True)]), other(5, vehicles_mentioned=["NIO ET5"]))
+
+
+def test_a_commit_that_dies_anywhere_counts_once_when_done_again(spark, make, tmp_path, monkeypatch):  # noqa: F811
+    articles = _two_articles(make)
     done = _second_phase(spark, articles, NOON)
     assert {r.model_name_en: r.brand_name_en for r in done.vehicles.collect()} == {"Seal": "BYD", "ET5": "NIO"}
     assert {(r.id, r.brands_promoted, r.vehicles_promoted, r.features_promoted) for r in done.promoted.collect()} == {("a0", 1, 1, 1), ("a5", 1, 1, 1)}
     assert {(r.feature_name_en, r.vehicle_model_name) for r in done.features.collect()} == {("City pilot", "Seal"), ("Swap", "ET5")}
-    empty = {"brands": done.brands.limit(0), "vehicles": done.vehicles.limit(0), "features": done.features.limit(0), "signals": done.signals.limit(0)}
-    written, write = [], store.write_version
+    into = snapshots.RunStore(spark, f"file://{tmp_path}")
+    commit = lambda base: pipelines.commit_phase2(done, articles, into, base, "run", F.lit(NOON), buckets=4)
+    write, calls = snapshots.RunStore.upsert, []
 
-    def fails(df, root, version):
-        if root.endswith("signals") and not written:
-            written.append(root)
+    def dies(self, base, name, *args, **rules):
+        if len(calls) == fatal:
             raise OSError("no space")
-        return write(df, root, version)
-
-    monkeypatch.setattr(store, "write_version", fails)
-    with pytest.raises(OSError, match="no space"):
-        pipelines.commit_phase2(done, empty, str(tmp_path), 1)
-    assert not (tmp_path / "articles").exists()  # the queue is as it was
-    paths = pipelines.commit_phase2(done, empty, str(tmp_path), 1)
-    stored = {n: spark.read.parquet(p) for n, p in paths.items()}
-    assert list(paths)[-1] == "articles" and stored["articles"].where("phase2_processed").count() == 2
-    again = pipelines.commit_phase2(done, stored, str(tmp_path), 2)
-    assert {n: spark.read.parquet(p).count() for n, p in again.items()} == {n: df.count() for n, df in stored.items()}
+        calls.append(name)
+        return write(self, base, name, *args, **rules)
+
+    monkeypatch.setattr(snapshots.RunStore, "upsert", dies)
+    for fatal in range(5):
+        calls.clear()
+        with pytest.raises(OSError, match="no space"):
+            commit(into.snapshot())
+        assert into.snapshot().version == 0
+    fatal = 99
+    with monkeypatch.context() as patch:  # all is written, but the manifest
+        patch.setattr(snapshots.RunStore, "_publish", lambda self, made: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError, match="gone"):
+            commit(into.snapshot())
+    assert into.snapshot().version == 0 and into.versions() == []
+    made = commit(into.snapshot())
+    assert made.version == 1 and commit(made).version == 1 and commit(snapshots.Snapshot(0, None, {})).version == 1
+    counts = {n: into.read(n).count() for n in made.tables}
+    assert counts == {"brands": 2, "vehicles": 2, "features": 2, "signals": done.signals.count(), "articles": 2}
+    assert into.read("articles").where("phase2_processed").count() == 2 and {r.last_updated for r in into.read("features").collect()} == {NOON}
+    folders = len([p for p in (tmp_path / "data").glob("*/*") if p.is_dir()])
+    assert into.remove_orphans(older_than=0.0) == folders - sum(bool(t.files) for t in made.tables.values())
+    assert {n: into.read(n).count() for n in made.tables} == counts
+
+
+def test_two_runs_at_once(spark, tmp_path):
+    into = snapshots.RunStore(spark, f"file://{tmp_path}")
+    rows = lambda *pairs: spark.createDataFrame(pairs, "k string, v int")
+    first = into.commit(into.snapshot(), "first", {"t": into.upsert(into.snapshot(), "t", rows(*((f"k{i}", i) for i in range(40))), ["k"], buckets=8)})
+    a, b, c = (into.upsert(first, "t", rows((k, v)), ["k"]) for k, v in (("k1", 100), ("k1", 200), ("k2", 300)))
+    bucket = {r.k: r.b for r in rows(("k1", 0), ("k2", 0)).select("k", snapshots._bucket(["k"], 8).alias("b")).collect()}
+    assert bucket["k1"] != bucket["k2"] and {x for x in a.files if a.files[x] != first.tables["t"].files[x]} == {bucket["k1"]}
+    assert into.commit(first, "a", {"t": a}).version == 2
+    with pytest.raises(snapshots.Conflict):
+        into.commit(first, "b", {"t": b})
+    assert into.commit(first, "c", {"t": c}).version == 3  # another bucket: on top of the other run
+    again = into.snapshot()
+    into.commit(again, "b", {"t": into.upsert(again, "t", rows(("k1", 200), (None, 1)), ["k"])})
+    got = {r.k: r.v for r in into.read("t").collect()}
+    assert got == {f"k{i}": i for i in range(40)} | {"k1": 200, "k2": 300, None: 1} and {r.k: r.v for r in into.read("t", first).collect()} == {f"k{i}": i for i in range(40)}
+    last = into.snapshot()
+    made = snapshots.Snapshot(last.version + 1, "x", last.tables)
+    assert into._publish(made) and not into._publish(made)  # a version comes into place once
+
+
+def test_columns_of_later_runs_and_tables_without_rows(spark, tmp_path):
+    into = snapshots.RunStore(spark, f"file://{tmp_path}")
+    none = spark.createDataFrame([], "k long, v string")
+    into.commit(into.snapshot(), "empty", {"t": into.upsert(into.snapshot(), "t", none, ["k"], buckets=4)})
+    assert into.read("t").columns == ["k", "v"] and into.read("t").count() == 0
+    for run, rows in (("one", spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")), ("two", spark.createDataFrame([(2, 5)], "k int, more int"))):
+        base = into.snapshot()
+        into.commit(base, run, {"t": into.upsert(base, "t", rows, ["k"], keep_known=["v"])})
+    assert sorted((r.k, r.v, r.more) for r in into.read("t").collect()) == [(1, "a", None), (2, "b", 5)]
+    with pytest.raises(ValueError, match="dealt"):
+        into.upsert(into.snapshot(), "t", none, ["v"])
+
+
+def test_features_keep_their_link_and_differ_by_category(spark, make):  # noqa: F811
+    pilot = lambda c, d: ("Pilot", c, d, None, True)
+    rows = make(
+        article(0, vehicles_mentioned=["BYD Seal"], features_extracted=[pilot("adas", "d0"), pilot("ota", "d1"), pilot("adas", "d2")]),
+        article(1, vehicles_mentioned=None, features_extracted=[pilot("adas", "d3")], scrape_date=NOON - timedelta(days=1)),
+    )
+    aliases = spark.createDataFrame(ALIASES, "alias string, canonical string")
+    made = entities.promote_entities(rows, aliases, spark.createDataFrame([], "name_en string, parent_group string"))
+    got = {(r.category, r.description, r.vehicle_model_name, r.first_seen_date) for r in made.features.collect()}
+    assert got == {("adas", "d3", "Seal", NOON - timedelta(days=1)), ("ota", "d1", "Seal", NOON)}  # the older article is written last, and has no vehicle
+    assert {r.id: r.features_promoted for r in made.counts.collect()} == {"a0": 3, "a1": 1}
 
 
 def test_triage_only_rows_keep_what_they_had(spark, make):  # noqa: F811

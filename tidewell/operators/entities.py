@@ -114,7 +114,7 @@ def promote_features(articles: DataFrame, aliases: DataFrame, answers: DataFrame
     by_alias = resolved.join(alias_table(aliases).select(F.col("alias").alias("key"), F.lit(True).alias("listed")), "key", "left")
     shown = F.when(F.col("listed"), F.col("canonical")).otherwise(F.col("name"))
     first = by_alias.groupBy("id").agg(F.min_by(F.struct(shown.alias("shown"), "canonical"), "pos").alias("b")).select("id", F.col("b.shown").alias("brand_name_en"), F.col("b.canonical").alias("canonical"))
-    fresh = articles.select("id", "scrape_date", F.explode(F.filter("features_extracted", lambda f: F.coalesce(f["is_new"], F.lit(False)))).alias("f")).join(first, "id")
+    fresh = articles.select("id", "scrape_date", F.posexplode(F.filter("features_extracted", lambda f: F.coalesce(f["is_new"], F.lit(False)))).alias("pos", "f")).join(first, "id")
     linked: list[Column] = []
     if brands is not None:
         ids = brands.groupBy(F.col("name_en").alias("canonical")).agg(F.min("brand_id").alias("brand_id"))
@@ -123,10 +123,28 @@ def promote_features(articles: DataFrame, aliases: DataFrame, answers: DataFrame
         linked = [F.col("brand_id"), F.col("v.vehicle_id").alias("vehicle_id"), F.col("v.model_name_en").alias("vehicle_model_name")]
     return fresh.select(
         F.col("id").alias("article_id"), "brand_name_en", F.col("f.feature_name").alias("feature_name_en"), F.col("f.category").alias("category"), F.coalesce("f.description", F.lit("")).alias("description"),
-        F.col("f.supplier").alias("supplier"), F.lit("new").alias("launch_type"), F.col("scrape_date").alias("first_seen_date"), *linked,
+        F.col("f.supplier").alias("supplier"), F.lit("new").alias("launch_type"), F.col("scrape_date").alias("first_seen_date"), "pos", *linked,
     )
 
 
+#: What identifies a feature, and what an article that lacks it leaves as it is stored.
+FEATURE_KEY, FEATURE_LINK = ("brand_id", "feature_name_en", "category"), ("vehicle_id", "vehicle_model_name")
+
+
+def merge_features(features: DataFrame) -> DataFrame:
+    """A run's features once for each brand, name and category, as if its articles were written one after another.
+
+    The queue has the newest article first, so the oldest is written last and its values count (of equal dates the larger
+    id, then the later feature of the article); the vehicle is that of the last article that has one. ``first_seen_date``
+    is the earliest.
+    """
+    order = F.struct(F.col("first_seen_date").isNull(), -F.unix_micros("first_seen_date"), "article_id", "pos")
+    values = [c for c in features.columns if c not in (*FEATURE_KEY, *FEATURE_LINK, "first_seen_date", "pos")]
+    linked = F.when(F.col("vehicle_id").isNotNull(), order)
+    one = features.groupBy(*FEATURE_KEY).agg(F.max_by(F.struct(*values), order).alias("f"), F.max_by(F.struct(*FEATURE_LINK), linked).alias("v"), F.min("first_seen_date").alias("first_seen_date"))
+    return one.select(*FEATURE_KEY, *(F.col(f"f.{c}").alias(c) for c in values), *(F.col(f"v.{c}").alias(c) for c in FEATURE_LINK), "first_seen_date")
+
+
 @dataclass
 class Promoted:
     brands: DataFrame
@@ -139,17 +157,16 @@ def promote_entities(articles: DataFrame, aliases: DataFrame, meta: DataFrame, s
     """Brands, then vehicles, then features of a run, as rows to upsert (once for each key), and each article's counts.
 
     An article's counts are of distinct names of brands and of vehicles that resolve, and of new features if a brand does.
-    Of features with one key, the one of the earliest article counts.
+    ``merge_features`` says which of several features with one key counts.
     """
     brands = materialise(with_brand_ids(promote_brands(articles, aliases, meta, answers), stored), "brands")
     known = brands.select("name_en", "brand_id") if stored is None else brands.select("name_en", "brand_id").unionByName(stored.select("name_en", "brand_id"))
     features = materialise(promote_features(articles, aliases, answers, known), "features")
-    once = features.groupBy("brand_id", "feature_name_en").agg(F.min_by(F.struct(*(c for c in features.columns if c not in ("brand_id", "feature_name_en"))), F.struct("first_seen_date", "article_id")).alias("f")).select("brand_id", "feature_name_en", "f.*")
     named = resolve_brands(mentioned_brands(articles), aliases, answers).where("canonical IS NOT NULL").groupBy("id").agg(F.countDistinct("name").alias("brands"))
     moved = mentioned_vehicles(articles, aliases, known).groupBy("id").agg(F.countDistinct("name").alias("vehicles"))
     fresh = features.groupBy(F.col("article_id").alias("id")).agg(F.count("*").alias("features"))
     counts = articles.select("id").join(named, "id", "left").join(moved, "id", "left").join(fresh, "id", "left")
-    return Promoted(brands, promote_vehicles(articles, aliases, known), once, counts.select("id", *(F.coalesce(n, F.lit(0)).alias(f"{n}_promoted") for n in ("brands", "vehicles", "features"))))
+    return Promoted(brands, promote_vehicles(articles, aliases, known), merge_features(features), counts.select("id", *(F.coalesce(n, F.lit(0)).alias(f"{n}_promoted") for n in ("brands", "vehicles", "features"))))
 
 
 def resolver_run(articles: DataFrame, aliases: DataFrame, memo: DataFrame | None = None, model: TextModel = offline_model, calls: int = MODEL_CALLS) -> DataFrame:

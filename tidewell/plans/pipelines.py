@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonx
 from ..functions.text import non_blank
 from ..operators import dedup, entities, models, novelty, runs, signals
-from ..sources import queues, store
+from ..sources import queues, snapshots, store
 from ..tables import materialise
 
 RELEVANT = 4
@@ -126,24 +126,23 @@ def second_phase(
     )
 
 
-#: Tables of a store that the second phase writes, each before the flags of its articles.
-TABLES = ("brands", "vehicles", "features", "signals", "articles")
+def commit_phase2(done: Phase2, before: DataFrame, into: snapshots.RunStore, base: snapshots.Snapshot, run: str, as_of: Column, buckets: int = snapshots.BUCKETS) -> snapshots.Snapshot:
+    """Write what a run changed and make all of it count at once; a run that counts already isn't written again.
 
-
-def commit_phase2(done: Phase2, store_tables: dict[str, DataFrame], root: str, version: int) -> dict[str, str]:
-    """Write new versions of all tables of a run; the articles with their flags last. Returns their paths.
-
-    Entities are merged by their keys and signals by id, so a run that failed half-way and is done again writes the same
-    rows. Readers learn of a version only from the returned paths: a run counts once, when its last table is there.
+    Entities are merged by their keys and signals by id; of the articles (``before`` the run) the changed ones are written.
+    A run that dies on the way leaves the snapshot as it was, the queue too; done again under its name it counts once.
     """
-    merged = {
-        "brands": store.upsert(store_tables["brands"], done.brands, ["name_en"]),
-        "vehicles": store.upsert(store_tables["vehicles"], done.vehicles, ["brand_id", "model_name_en"]),
-        "features": store.upsert(store_tables["features"], done.features, ["brand_id", "feature_name_en"], create_only=["first_seen_date"]),
-        "signals": store.upsert(store_tables["signals"], done.signals, ["id"], create_only=["created_date"]),
-        "articles": done.articles,
+    if (counts := into.find(run)) is not None:
+        return counts
+    write = lambda name, rows, *key, **rules: into.upsert(base, name, rows, key, buckets=buckets, **rules)
+    made = {
+        "brands": write("brands", done.brands, "name_en", as_of=as_of),
+        "vehicles": write("vehicles", done.vehicles, "brand_id", "model_name_en", as_of=as_of),
+        "features": write("features", done.features, *entities.FEATURE_KEY, create_only=["first_seen_date"], keep_known=entities.FEATURE_LINK, as_of=as_of),
+        "signals": write("signals", done.signals, "id", create_only=["created_date"]),
+        "articles": write("articles", snapshots.changed_rows(before, done.articles), "id"),
     }
-    return {name: store.write_version(merged[name], f"{root}/{name}", version) for name in TABLES}
+    return into.commit(base, run, made)
 
 
 def ingest(listings: DataFrame, scraped: DataFrame, articles: DataFrame, per_source: int = queues.PER_SOURCE) -> DataFrame:

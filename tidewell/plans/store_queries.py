@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, jsonx
 from ..operators import entities, web
-from ..sources import queues, store
-from ..tables import table
+from ..sources import queues, snapshots, store
+from ..tables import table, workspace
 from . import pipelines
 from .corpus_queries import _STORED, ARTICLES, stored_signals
 from .entity_queries import article_mentions
@@ -52,6 +52,41 @@ def promoted(spark: SparkSession, sf_dir: str) -> entities.Promoted:
     return entities.promote_entities(rows, aliases(spark, sf_dir), brands(spark, sf_dir))
 
 
+#: When the runs of ``stored_features`` were.
+RUNS = (datetime(2024, 2, 1), datetime(2024, 2, 8))
+
+
+def stored_features(spark: SparkSession, sf_dir: str) -> snapshots.RunStore:
+    """A store after two runs that promote features, over the even and over the odd articles; the second one is done twice.
+
+    Articles name two new features each, of one name and two categories; every third has no vehicle.
+    """
+    rows = with_vehicles(article_mentions(spark, sf_dir)).where("is_new").withColumn("vehicles_mentioned", F.when(F.col("ord") % 3 > 0, F.col("vehicles_mentioned")).otherwise(F.array().cast("array<string>")))
+    feature = lambda category: F.struct(F.concat(F.lit("Feature "), (F.col("ord") % 25).cast("string")).alias("feature_name"), F.lit(category).alias("category"), F.md5("body_en").alias("description"), F.lit(None).cast("string").alias("supplier"), F.lit(True).alias("is_new"))
+    rows = rows.withColumn("features_extracted", F.array(feature("adas"), feature("ota")))
+    known = brands(spark, sf_dir).select("name_en", entities.entity_id(F.col("name_en")).alias("brand_id"))
+    into = snapshots.RunStore(spark, workspace(spark, "runs"))
+    for turn, run in ((0, "first"), (1, "second"), (1, "second")):
+        if into.find(run):
+            continue
+        base, at = into.snapshot(), F.lit(RUNS[turn])
+        found = entities.merge_features(entities.promote_features(rows.where(F.col("ord") % 2 == turn), aliases(spark, sf_dir), None, known))
+        made = into.upsert(base, "features", found, entities.FEATURE_KEY, ["first_seen_date"], entities.FEATURE_LINK, at, buckets=16)
+        into.commit(base, run, {"features": made})
+    return into
+
+
+def features_after_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_features(spark, sf_dir).read("features").select("brand_name_en", "feature_name_en", "category", "article_id", "description", "vehicle_model_name", "first_seen_date", "last_updated")
+
+
+def snapshot_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many features each version of the store has, by the run that wrote them last."""
+    into = stored_features(spark, sf_dir)
+    parts = [into.read("features", into.snapshot(v)).groupBy("last_updated").agg(F.count("*").alias("n_features")).select(F.lit(v).cast("long").alias("version"), "last_updated", "n_features") for v in into.versions()]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def maker_model(prompts):
     """Answers for names of makers: those with an even number are brands."""
     said = []
@@ -120,6 +155,8 @@ QUERIES = {
     "extraction_writeback": extraction_writeback,
     "promote_vehicles": lambda s, d: promoted(s, d).vehicles.select("brand_name_en", "brand_id", "model_name_en", "n_articles"),
     "promote_features_linked": lambda s, d: entities.promote_features(with_vehicles(article_mentions(s, d)), aliases(s, d), None, brands(s, d).select("name_en", entities.entity_id(F.col("name_en")).alias("brand_id"))).select("article_id", "brand_name_en", "brand_id", "vehicle_model_name", "first_seen_date"),
+    "promote_features_stored": features_after_runs,
+    "snapshot_versions": snapshot_versions,
     "promote_entities_counts": lambda s, d: promoted(s, d).counts,
     "resolver_run": resolver_run,
     "write_back_and_retry": retried,
@@ -139,6 +176,10 @@ b AS (SELECT n.*, x.name AS b1, y.name AS b2 FROM n LEFT JOIN pb x ON x.name = f
 k AS (SELECT DISTINCT b1 AS name FROM b WHERE b1 IS NOT NULL UNION SELECT b2 FROM b WHERE b2 IS NOT NULL),
 v AS (SELECT id, 1 AS pos, second AS brand, 'Model ' || model AS name FROM b UNION ALL SELECT id, 2, 'Brand#11', 'City ' || city FROM b),
 kv AS (SELECT v.* FROM v JOIN k ON k.name = v.brand)"""
+_RUNS = f"""{_MENTIONS}, f AS (SELECT v.id, arg_min(v.name, pos) AS model FROM v JOIN pb ON pb.name = v.brand GROUP BY 1),
+nw AS (SELECT coalesce(b1, b2) AS brand, 'Feature ' || (ord % 25)::VARCHAR AS feature, unnest(['adas', 'ota']) AS category, b.ord, b.id, md5(body_en) AS description, CASE WHEN ord % 3 > 0 THEN f.model END AS model, b.scrape_date FROM b LEFT JOIN f ON f.id = b.id WHERE is_new AND coalesce(b1, b2) IS NOT NULL),
+r AS (SELECT brand, feature, category, ord % 2 AS run, arg_min(id, ord) AS id, arg_min(description, ord) AS description, arg_min(model, ord) FILTER (model IS NOT NULL) AS model, min(scrape_date) AS first FROM nw GROUP BY ALL),
+x AS (SELECT * FROM r WHERE run = 0), y AS (SELECT * FROM r WHERE run = 1)"""
 _KEYWORDS = f"list_has_any([true], list_transform({list(web.EV_KEYWORDS)}, lambda k: contains(lower(title_en), k)))"
 
 ORACLE_SQL = {
@@ -149,6 +190,10 @@ SELECT id, CASE WHEN got > 0 THEN substr(body_en, 1, 40) ELSE title_en END AS ti
     "promote_vehicles": f"WITH {_MENTIONS} SELECT brand AS brand_name_en, md5(brand) AS brand_id, name AS model_name_en, count(DISTINCT id) AS n_articles FROM kv GROUP BY 1, 2, 3",
     "promote_features_linked": f"""WITH {_MENTIONS}, f AS (SELECT v.id, arg_min(v.name, pos) AS model FROM v JOIN pb ON pb.name = v.brand GROUP BY 1)
 SELECT b.id AS article_id, coalesce(b1, b2) AS brand_name_en, md5(coalesce(b1, b2)) AS brand_id, f.model AS vehicle_model_name, scrape_date AS first_seen_date FROM b LEFT JOIN f ON f.id = b.id WHERE is_new AND coalesce(b1, b2) IS NOT NULL""",
+    "promote_features_stored": f"""WITH {_RUNS} SELECT brand AS brand_name_en, feature AS feature_name_en, category, coalesce(y.id, x.id) AS article_id, coalesce(y.description, x.description) AS description, coalesce(y.model, x.model) AS vehicle_model_name,
+  coalesce(x.first, y.first) AS first_seen_date, CASE WHEN y.run IS NULL THEN timestamp '{RUNS[0]}' ELSE timestamp '{RUNS[1]}' END AS last_updated FROM x FULL JOIN y USING (brand, feature, category)""",
+    "snapshot_versions": f"""WITH {_RUNS}, nk AS (SELECT brand, feature, category, max(run) AS last FROM r GROUP BY ALL)
+SELECT 1 AS version, timestamp '{RUNS[0]}' AS last_updated, count(*) AS n_features FROM x HAVING count(*) > 0 UNION ALL SELECT 2, CASE last WHEN 0 THEN timestamp '{RUNS[0]}' ELSE timestamp '{RUNS[1]}' END, count(*) FROM nk GROUP BY last""",
     "promote_entities_counts": f"""WITH {_MENTIONS}, c AS (SELECT id, count(DISTINCT brand || '/' || name) AS vehicles FROM kv GROUP BY 1)
 SELECT b.id, (b1 IS NOT NULL)::BIGINT + (b2 IS NOT NULL)::BIGINT AS brands_promoted, coalesce(vehicles, 0) AS vehicles_promoted, (is_new AND coalesce(b1, b2) IS NOT NULL)::BIGINT AS features_promoted FROM b LEFT JOIN c ON c.id = b.id""",
     "resolver_run": """WITH m AS (SELECT doc_id AS ord, 0 AS pos, 'maker ' || (doc_id % 60)::VARCHAR AS key FROM documents UNION ALL

@@ -1,13 +1,12 @@
 """Queries on runs and streams, over the events."""
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import runs
 from ..streaming import incremental
-from ..tables import shared_dir, table
+from ..tables import workspace, table
 from . import pipelines
 from .corpus_queries import ARTICLES, AS_OF
 from .fixtures import articles
@@ -27,7 +26,7 @@ def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _drained(spark: SparkSession, made: DataFrame, name: str) -> DataFrame:
-    root = f"{shared_dir(spark)}/tidewell-stream-{name}-{uuid.uuid4().hex}"
+    root = workspace(spark, f"stream-{name}")
     incremental.drain(made, f"{root}/table", f"{root}/checkpoint")
     return spark.read.schema(made.schema).parquet(f"{root}/table")
 

@@ -1,6 +1,7 @@
-"""Writing the collections: appends with defaults, partial updates and upserts as a join and a new version of the table."""
+"""Writing the collections: appends with defaults, partial updates and upserts as a join."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,25 +23,30 @@ def recent_signals(signals: DataFrame, as_of: Column, days: int) -> DataFrame:
     return signals.where(F.col("created_date") >= as_of - F.make_interval(days=F.lit(days)))
 
 
-def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], create_only: Sequence[str] = (), as_of: Column | None = None) -> DataFrame:
-    """The table after ``new`` is merged into ``old`` on ``key``.
+def upsert(old: DataFrame, new: DataFrame, key: Sequence[str], create_only: Sequence[str] = (), keep_known: Sequence[str] = (), as_of: Column | None = None) -> DataFrame:
+    """The table after ``new`` is merged into ``old`` on ``key``, in which nulls are equal.
 
     A row that matches gets every column that ``new`` has, nulls included, except ``create_only`` ones, which keep an
-    old value; other rows are inserted. Columns that only ``old`` has stay. ``new`` must have a key once. With ``as_of``,
-    ``last_updated`` is set on the rows of ``new``.
+    old value, and ``keep_known`` ones, which keep it where ``new`` has null; other rows are inserted. Columns that only
+    ``old`` has stay. ``new`` must have a key once. With ``as_of``, ``last_updated`` is set on the rows of ``new``.
     """
     if as_of is not None:
         new = new.withColumn("last_updated", as_of)
-    fresh = new.select(*(F.col(k) for k in key), *(F.col(c).alias(f"new_{c}") for c in new.columns if c not in key), F.lit(True).alias("__new"))
-    joined = old.join(fresh, list(key), "full_outer")
+    fresh = new.select(*(F.col(c).alias(f"new_{c}") for c in new.columns), F.lit(True).alias("__new"))
+    kept = old.withColumn("__old", F.lit(True))
+    joined = kept.join(fresh, reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"new_{k}")) for k in key)), "full_outer")
     out = []
     for c in dict.fromkeys([*old.columns, *new.columns]):
-        if c in key or c not in new.columns:
+        if c not in new.columns:
             out.append(F.col(c))
         elif c not in old.columns:
             out.append(F.col(f"new_{c}").alias(c))
+        elif c in key:
+            out.append(F.when(F.col("__old"), F.col(c)).otherwise(F.col(f"new_{c}")).alias(c))
         elif c in create_only:
             out.append(F.coalesce(F.col(c), F.col(f"new_{c}")).alias(c))
+        elif c in keep_known:
+            out.append(F.coalesce(F.col(f"new_{c}"), F.col(c)).alias(c))
         else:
             out.append(F.when(F.col("__new"), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c))
     return joined.select(*out)
@@ -66,10 +72,3 @@ def failed(articles: DataFrame, errors: DataFrame) -> DataFrame:
 
 def phase2_done(articles: DataFrame, ids: DataFrame) -> DataFrame:
     return update(articles, ids.select("id", F.lit(True).alias("phase2_processed")))
-
-
-def write_version(df: DataFrame, root: str, version: int) -> str:
-    """Write a new version beside the old ones, which readers keep until they are told of the new path."""
-    path = f"{root}/version={version}"
-    df.write.mode("overwrite").parquet(path)
-    return path

@@ -29,14 +29,19 @@ def shared_dir(spark: SparkSession) -> str:
 _made: list[str] = []
 
 
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new folder of the shared folder for what a query stores; ``clear`` deletes it."""
+    _made.append(path := f"{shared_dir(spark)}/tidewell-{name}-{uuid.uuid4().hex}")
+    return path
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back, so that a lost executor costs no recomputation.
 
     Results that are returned lazily read such tables: ``clear`` deletes them once the results are written.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidewell-{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    path = workspace(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
