@@ -370,32 +370,93 @@ def test_mixing_meets_its_targets(spark, docs, empty):
     df = spark.createDataFrame(rows, SCHEMA)
     mixed = mixing.mix_sources(df, keep=0.5)
     cells = mixed.groupBy("source", "lang", "topic").agg({"tokens": "sum", "probability": "max"}).toPandas()
-    assert abs((cells["sum(tokens)"] * cells["max(probability)"]).sum() / cells["sum(tokens)"].sum() - 0.5) < 0.01
+    assert abs((cells["sum(tokens)"] * cells["max(probability)"]).sum() / cells["sum(tokens)"].sum() - 0.5) < 1e-6
     assert mixed.columns[: len(df.columns)] == df.columns and mixed.count() == 600
     odd = {r.doc_id: r for r in mixing.mix_sources(docs).collect()}
     assert len(odd) == 15 and odd[4].tokens == 0 and odd[4].probability <= 1
-    assert mixing.mix_sources(empty).count() == 0
+    assert mixing.mix_sources(empty).count() == 0 and mixing.plan_mix(empty).figures() == {"kept": 0.0, "residual": 0.0, "off": 0.0}
 
 
-def test_marginals_are_met(spark):
+def _cells(plan):
+    return plan.cells.where("tokens > 0").toPandas()
+
+
+def _feasible(there, share, total):
+    """Water-filling by bisection: shares of ``total``, none more than is there."""
+    low, high = 0.0, 1e12
+    for _ in range(300):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(min(there[v], mid * share[v]) for v in there) < total else (low, mid)
+    return {v: min(there[v], high * share[v]) for v in there}
+
+
+def _check_optimum(cells, aims):
+    """Marginals as they should be; the logarithms of the probabilities under 1 are sums of a part for each value, and those at 1 are where that sum is 0 or more."""
+    for d, aim in aims.items():
+        got = (cells.tokens * cells.probability).groupby(cells[d]).sum().to_dict()
+        assert all(got[v] == pytest.approx(aim[v], rel=1e-6) for v in aim)
+    free = cells[(cells.probability > 0) & (cells.probability < 1 - 1e-9)]
+    names = [(d, v) for d in aims for v in sorted(cells[d].unique())]
+    table = lambda rows: np.array([[float(r[d] == v) for d, v in names] for _, r in rows.iterrows()])
+    parts, *_ = np.linalg.lstsq(table(free), np.log(free.probability.to_numpy()), rcond=None)
+    assert np.allclose(table(free) @ parts, np.log(free.probability), atol=1e-5)
+
+
+def test_mixing_finds_the_optimum_with_full_targets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("source IS NOT NULL")
-    share = lambda df, d, weight: (lambda t: (t / t.sum()).to_dict())(df.assign(w=weight(df)).groupby(d, dropna=False)["w"].sum())
-    plain = mixing.mix_sources(docs).select("source", "lang", "topic", "tokens", "probability").toPandas()
+    plan = mixing.plan_mix(docs)
+    cells, aims = _cells(plan), {}
+    total = mixing.KEEP * cells.tokens.sum()
     for d, power in mixing.POWERS.items():
-        now, got = share(plain, d, lambda df: df.tokens), share(plain, d, lambda df: df.tokens * df.probability)
-        raised = {v: x**power for v, x in now.items()}
-        aim = {v: x / sum(raised.values()) for v, x in raised.items()}
-        way = min(1, (mixing.LIFT - 1) / max(aim[v] / now[v] - 1 for v in now))
-        assert all(got[v] == pytest.approx(now[v] + way * (aim[v] - now[v]), abs=1e-6) for v in now)
-    names = sorted(n for n in plain.source.unique())
-    wanted = spark.createDataFrame([(names[0], 2.0), (names[1], 6.0)], "source string, share double")
-    given = mixing.mix_sources(docs, targets={"source": wanted}).select("source", "lang", "topic", "tokens", "probability", "sampled").toPandas()
-    got = share(given, "source", lambda df: df.tokens * df.probability)
-    assert got[names[0]] == pytest.approx(0.25, abs=1e-6) and got[names[1]] == pytest.approx(0.75, abs=1e-6)
+        there = cells.tokens.groupby(cells[d]).sum().astype(float).to_dict()
+        raised = {v: x**power for v, x in there.items()}
+        aims[d] = _feasible(there, {v: x / sum(raised.values()) for v, x in raised.items()}, total)
+    assert aims["topic"]["note"] == pytest.approx(cells.tokens[cells.topic == "note"].sum()) and plan.converged  # fewer than its target asks for: all are taken
+    _check_optimum(cells, aims)
+    figures = plan.figures()
+    assert figures["kept"] == pytest.approx(mixing.KEEP) and figures["off"] < 1e-8 and 0.01 < figures["residual"] < 0.1
+    report = {(r.dim, r.value): r for r in plan.report().collect()}
+    assert report["topic", "note"].expected == pytest.approx(aims["topic"]["note"] / total) and report["topic", "note"].wanted > 0.09
+
+
+def test_mixing_can_hold_the_shares_instead(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("source IS NOT NULL")
+    plan = mixing.plan_mix(docs, hold="shares")
+    figures, cells = plan.figures(), _cells(plan)
+    note = {r.value: r for r in plan.report().where("dim = 'topic'").collect()}["note"]
+    assert figures["residual"] < 1e-8 and note.expected == pytest.approx(note.wanted) and 0.1 < figures["kept"] < 0.4
+    assert figures["kept"] * cells.tokens.sum() * note.wanted == pytest.approx(note.tokens)  # as many tokens as that leaves room for
+
+
+def test_given_targets_feasible_or_not(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("source IS NOT NULL")
+    names = sorted(r.source for r in docs.select("source").distinct().collect())
+    wanted = spark.createDataFrame([(names[0], 2.0), (names[1], 6.0), ("no such source", 0.0)], "source string, share double")
+    plan = mixing.plan_mix(docs, keep=0.05, targets={"source": wanted})
+    given = mixing.mix_sources(docs, mix=plan).toPandas()
+    got = (given.tokens * given.probability).groupby(given.source).sum()
+    assert got[names[0]] / got.sum() == pytest.approx(0.25, abs=1e-6) and got[names[1]] / got.sum() == pytest.approx(0.75, abs=1e-6)
     assert not given[~given.source.isin(names[:2])].sampled.any() and given.probability.max() <= 1
     nothing = spark.createDataFrame([(names[0], 1.0), ("no such source", 1.0)], "source string, share double")
-    with pytest.raises(ValueError):
-        mixing.mix_sources(docs, targets={"source": nothing})
+    figures = mixing.plan_mix(docs, targets={"source": nothing}).figures()
+    assert figures["residual"] == pytest.approx(0.5) and figures["kept"] == pytest.approx(mixing.KEEP)
+
+
+def test_targets_that_contradict_each_other_are_reported(spark):
+    """All of one source is in one language: the shares can't both hold, and passes end where neither does."""
+    rows = [(i, "w " * 50, "en" if i % 2 else "fr", "a" if i % 2 else "b") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    share = lambda d, *pairs: spark.createDataFrame(pairs, f"{d} string, share double")
+    plan = mixing.plan_mix(docs, keep=0.4, targets={"source": share("source", ("a", 0.7), ("b", 0.3)), "lang": share("lang", ("en", 0.3), ("fr", 0.7))}, rounds=20)
+    assert plan.rounds <= 20 and plan.figures()["off"] > 0.1 and plan.cells.where("probability > 1 OR probability < 0").count() == 0
+
+
+def test_raking_beyond_one_task_gives_the_same(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    at = lambda: {(r.source, r.lang, r.topic): r.probability for r in mixing.plan_mix(docs).cells.collect()}
+    one = at()
+    monkeypatch.setattr(mixing, "SMALL", 3)
+    assert at() == pytest.approx(one)
 
 
 def _edited(words_, kind, n, at):

@@ -50,24 +50,32 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), "sampled")
 
 
-def _op5_sql(rounds: int = 14, keep: float = 0.7, lift: float = 1.1) -> str:
-    """Raking written out step by step: more passes than it takes until nothing changes."""
-    steps = [f"""
-WITH d AS (SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '\\S+')) AS tokens FROM documents),
-t AS (SELECT *, CASE WHEN tokens < 100 THEN 'note' WHEN tokens < 1000 THEN 'article' ELSE 'longread' END AS topic FROM d),
-c AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM t GROUP BY ALL HAVING sum(tokens) > 0),
-g AS (SELECT sum(tokens) AS total FROM c)"""]
-    dims = {"source": 0.7, "lang": 0.7, "topic": 0.5}
+def _op5_sql(steps: int = 600, keep: float = 0.7) -> str:
+    """The same optimum by another way: a value's factor is the root of a concave line of pieces, which is the largest root of any piece."""
+    dims, parts = {"source": 0.7, "lang": 0.7, "topic": 0.5}, []
     for d, power in dims.items():
-        steps.append(f"s_{d} AS (SELECT {d}, sum(tokens) / sum(sum(tokens)) OVER () AS now, pow(sum(tokens), {power}) / sum(pow(sum(tokens), {power})) OVER () AS aim FROM c GROUP BY 1)")
-        steps.append(f"m_{d} AS (SELECT {d}, now + (aim - now) * least(1, {lift - 1} / nullif((SELECT max(aim / now - 1) FROM s_{d}), 0)) AS share FROM s_{d})")
-    last = "(SELECT *, tokens AS w FROM c)"
-    for i in range(rounds):
-        for d in dims:
-            steps.append(f"r{i}_{d} AS MATERIALIZED (SELECT x.* EXCLUDE (w), w * share * total / sum(w) OVER (PARTITION BY x.{d}) AS w FROM {last} x JOIN m_{d} m ON m.{d} IS NOT DISTINCT FROM x.{d}, g)")
-            last = f"r{i}_{d}"
-    return ",\n".join(steps) + f""",
-p AS (SELECT * EXCLUDE (w), least(1.0, least({keep}, (SELECT min(tokens / w) FROM {last})) * w / tokens) AS p FROM {last})
+        parts.append(f"""a_{d} AS (
+  SELECT {d}, there, share, (SELECT sum(there) * {keep} FROM s_{d}) AS k, sum(there) OVER o - there AS before, sum(share) OVER (ORDER BY there / share DESC, {d} DESC) AS rest FROM s_{d} WINDOW o AS (ORDER BY there / share, {d})
+), m_{d} AS (
+  SELECT {d}, least(there, share * max((k - before) / rest) OVER ()) AS aim FROM a_{d}
+)""")
+        parts.insert(0, f"s_{d} AS (SELECT {d}, sum(tokens) AS there, pow(sum(tokens), {power}) / sum(pow(sum(tokens), {power})) OVER () AS share FROM c GROUP BY 1)")
+    by = "CASE step % 3 WHEN 0 THEN 'a' || coalesce(source, '-') WHEN 1 THEN 'b' || coalesce(lang, '-') ELSE 'c' || topic END"
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '\\S+')) AS tokens FROM documents),
+t AS (SELECT *, CASE WHEN tokens < 100 THEN 'note' WHEN tokens < 1000 THEN 'article' ELSE 'longread' END AS topic FROM d),
+c AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM t GROUP BY ALL HAVING sum(tokens) > 0),
+{", ".join(parts)},
+w AS (
+  SELECT 0 AS step, c.*, x.aim AS aim_s, y.aim AS aim_l, z.aim AS aim_t, {keep}::DOUBLE AS w
+  FROM c JOIN m_source x ON x.source IS NOT DISTINCT FROM c.source JOIN m_lang y ON y.lang IS NOT DISTINCT FROM c.lang JOIN m_topic z ON z.topic = c.topic
+  UNION ALL
+  SELECT step + 1, source, lang, topic, tokens, aim_s, aim_l, aim_t, w * max((aim - before) / rest) OVER (PARTITION BY part) AS w FROM (
+    SELECT *, sum(tokens) OVER (PARTITION BY part ORDER BY w DESC, source, lang, topic) - tokens AS before, sum(tokens * w) OVER (PARTITION BY part ORDER BY w DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+    FROM (SELECT *, {by} AS part, CASE step % 3 WHEN 0 THEN aim_s WHEN 1 THEN aim_l ELSE aim_t END AS aim FROM w WHERE step < {steps})
+  )
+),
+p AS (SELECT source, lang, topic, least(1.0, w) AS p FROM w WHERE step = {steps})
 SELECT doc_id, t.source, t.lang, t.topic, t.tokens, round(coalesce(p, 1), 6) AS probability,
   coalesce(('0x' || substr(md5(doc_id::VARCHAR), 1, 12))::BIGINT / 281474976710656.0, 0) < coalesce(p, 1) AS sampled
 FROM t LEFT JOIN p q ON q.source IS NOT DISTINCT FROM t.source AND q.lang IS NOT DISTINCT FROM t.lang AND q.topic = t.topic
