@@ -601,12 +601,16 @@ def test_large_components_are_compared_by_bucket(spark, monkeypatch):
     plain = run()
     links = {i: sum(_jaccard(texts[i], texts[j]) >= 0.8 for j in texts if j != i) for i in texts}
     assert {r[0]: r[2] for r in plain} == links and sum(links.values()) > 100
-    monkeypatch.setattr(jaccard, "LARGE", 3)
-    assert run() == plain
     monkeypatch.setattr(jaccard, "BLOCK", 4)
     assert run() == plain
 
 
+def test_hot_document_ids_cost_the_language_sample_nothing(spark):
+    rows = [(7, f"the same words again {i % 3}", "en") for i in range(3000)] + [(i, f"mots {i}", "fr") for i in range(100, 140)]
+    sample = langid.sample_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), limit=1000)
+    assert sample.count() == sum(not zlib.crc32(str(i).encode()) % 4 == 2 for i in range(100, 140)) + 3 * (zlib.crc32(b"7") % 4 != 2)
+
+
 def test_jaccard_join_of_two_texts_under_one_id(spark):
     rows = []
     for k in range(12):  # the first of three ids has two texts, each of which links to one of the others

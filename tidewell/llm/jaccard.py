@@ -14,12 +14,10 @@ from ..operators.components import connected_components
 from ..tables import discard, materialise
 from .words import SHINGLE, frugal, mix, shingle_set
 
-#: Members of one verification block. A larger candidate component is dealt into blocks and compared block by block.
+#: Members of one verification block. A larger bucket is dealt into blocks and compared block by block.
 BLOCK = 128
-#: Rows that small components share in one verification group.
+#: Rows that small buckets share in one verification group.
 BIN = 256
-#: Members of a component from which on only members of one bucket are compared.
-LARGE = 8192
 
 
 def choose_bands(threshold: float, recall: float, hashes: int = 100) -> tuple[int, int]:
@@ -104,7 +102,7 @@ def verify_blocks(n: int, threshold: float):
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         rep, print_, other, count = [], [], [], []
-        for (_, turn, i, j), part in pdf.groupby(["component", "turn", "i", "j"], sort=False):
+        for (_, turn, i, j), part in pdf.groupby(["key", "turn", "i", "j"], sort=False):
             part = part.drop_duplicates(["rep", "fp", "text"])
             sets = [shingle_set(t, n) for t in part["text"]]
             same = [xxhash.xxh3_128_digest(s.tobytes()) == f for s, f in zip(sets, part["fp"], strict=True)]  # else another text under this id
@@ -117,12 +115,9 @@ def verify_blocks(n: int, threshold: float):
             both, sizes = _overlaps(sets), np.array([len(s) for s in sets], dtype=np.float64)
             linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
             linked[ids[:, None] == ids[None, :]] = False  # itself, and other texts under its id
-            if turn >= 0:  # a pair of several buckets counts in that of its first common band
-                keys = np.stack(part["bands"].to_numpy())
-                earlier = np.zeros_like(linked)
-                for band in range(turn):
-                    earlier |= keys[:, band, None] == keys[None, :, band]
-                linked &= ~earlier
+            keys = np.stack(part["bands"].to_numpy())
+            for band in range(turn):  # a pair of several buckets counts in that of its first common band
+                linked &= keys[:, band, None] != keys[None, :, band]
             same_block = block[:, None] == block[None, :]
             counted = linked & same_block if i == j else linked & ~same_block
             total = counted @ copies
@@ -156,12 +151,10 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``n_links`` (other documents linked directly, copies counted one by one) and ``kept`` (``id = class_id``).
 
     * Documents with the same n-gram set collapse into one representative before anything is compared.
-    * Representatives that agree in a band fall into one candidate component, found with star edges: a bucket of m
-      members makes m rows. Every text goes once to its component, where all full sets are compared. Components of more
-      than ``BLOCK`` members are compared block by block; only counts and a spanning forest leave a block.
-    * In a component of more than ``LARGE`` members, which chance collisions may have linked up, only members of one
-      bucket are compared: every text goes to the buckets of its bands, and a pair counts in its first common band. So
-      the comparisons are those of pairs that collide, not of all pairs that chains of collisions connect.
+    * Representatives that agree in a band meet in its bucket, where full sets are compared; a pair of several buckets
+      counts in that of its first common band. Of buckets with the same members only the first is kept, so the many bands
+      that two near copies share send their texts once. Buckets of more than ``BLOCK`` members are compared block by
+      block; only counts and a spanning forest leave a block.
     * A text of fewer than n words is one n-gram of all its words. Null, empty and wordless texts have no links and are
       classes of their own. Rows that share an id count as one document with the links of all of them; rows with a
       null id have null results. Other columns are ignored. An empty table gives an empty result.
@@ -172,23 +165,19 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = sets.groupBy("fp").agg(F.min("id").alias("rep"), F.countDistinct("id").alias("copies"), F.first("bands").alias("bands"))
     classes = materialise(classes, "classes")
 
-    members = classes.select("rep", F.explode("bands").alias("key"))
-    buckets = members.groupBy("key").agg(F.min("rep").alias("least"), F.count("*").alias("size")).where("size > 1").select("key", "least")
-    components = connected_components(members.join(buckets, "key"), "rep", "least")
-    sizes = components.groupBy("component").agg(F.count("*").alias("size"))
-    total = components.count()
-
-    sized = components.withColumnRenamed("id", "rep").join(sizes, "component")
-    whole = sized.where(F.col("size") <= LARGE).select("rep", "component", F.lit(-1).alias("turn"), "size")
-    by_band = sized.where(F.col("size") > LARGE).select("rep", "component").join(classes.select("rep", F.posexplode("bands").alias("turn", "key")), "rep")
-    full = by_band.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    by_bucket = by_band.join(full, "key").select("rep", F.col("key").alias("component"), "turn", "size")
-    dealt = whole.unionByName(by_bucket).withColumn("blocks", F.ceil(F.col("size") / BLOCK))
+    members = classes.select("rep", F.posexplode("bands").alias("turn", "key"))
+    who = [F.bit_xor(F.xxhash64("rep", F.lit(salt))).alias(f"who{salt}") for salt in (1, 2)]
+    buckets = members.groupBy("key", "turn").agg(F.count("*").alias("size"), F.min("rep").alias("least"), *who).where("size > 1")
+    first = F.min(F.struct("turn", "key")).alias("bucket")
+    buckets = materialise(buckets.groupBy("size", "least", "who1", "who2").agg(first).select("size", "bucket.*"), "buckets")
+    total = buckets.agg(F.sum("size")).first()[0] or 0
+
+    dealt = members.join(buckets, ["key", "turn"]).withColumn("blocks", F.ceil(F.col("size") / BLOCK))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks")).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("rep", "component", "turn", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "blocks")
+    dealt = dealt.select("rep", "key", "turn", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "blocks")
     bins = max(1, total // BIN)
-    dealt = dealt.withColumn("bin", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(bins))).otherwise(F.xxhash64("component", "turn", "i", "j")))
-    wanted = dealt.join(classes.select("rep", "fp", "copies", "bands"), "rep").withColumn("bands", F.when(F.col("turn") >= 0, F.col("bands")))
+    dealt = dealt.withColumn("bin", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(bins))).otherwise(F.xxhash64("key", "turn", "i", "j")))
+    wanted = dealt.join(classes.select("rep", "fp", "copies", "bands"), "rep")
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")).where("text is not null")
     found = wanted.join(texts, "rep").groupBy("bin").applyInPandas(verify_blocks(n, threshold), "rep long, fp binary, other long, links long")
     found = materialise(found, "links")
