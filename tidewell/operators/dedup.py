@@ -82,7 +82,7 @@ def scored_pairs(articles: DataFrame, threshold: float = THRESHOLD, hours: int =
     The terms are added in a fixed order, so sums at the threshold come out alike.
     """
     brand, vehicle, category = set_scores()
-    prepared = prepare(articles)
+    prepared = materialise(prepare(articles), "prepared")  # both sides of the join and the titles read it
     pairs = hopeful_pairs(prepared, threshold, hours).withColumns({"brand": brand, "vehicle": vehicle, "category": category})
     rest = F.col("brand") * BRANDS + F.col("vehicle") * VEHICLES + F.col("category") * CATEGORIES + CLOSE
     needed = with_titles(pairs.where(rest >= threshold - TITLE - 1e-9), prepared).withColumn("least", (F.lit(threshold) - rest) / TITLE)

@@ -16,19 +16,19 @@ from .fixtures import articles, features
 AS_OF = datetime(2024, 1, 5)
 
 ARTICLES = r"""w AS (
-  SELECT *, list_filter(string_split_regex(lower(text), '[^a-zà-ÿ]+'), lambda x: length(x) >= 12) AS w FROM documents),
+  SELECT *, list_filter(string_split_regex(lower(text), '[^a-zà-ÿ]+'), lambda x: length(x) >= 10) AS w FROM documents),
 a AS (
   SELECT doc_id::VARCHAR AS id, doc_id AS ord, source AS source_name, lang AS language, 'https://example.org/' || source || '/' || (doc_id % 700)::VARCHAR AS source_url,
-    split_part(text, chr(10), 1) AS title_en, text AS body_en,
-    list_sort(list_distinct(list_filter(w, lambda x: length(x) = 12))) AS brands_mentioned, list_sort(list_distinct(list_filter(w, lambda x: length(x) > 12))) AS vehicles_mentioned,
+    substr(regexp_extract(text, '^[^.!?\n]*[.!?]?'), 1, 200) AS title_en, text AS body_en,
+    list_sort(list_distinct(list_filter(w, lambda x: length(x) = 10))) AS brands_mentioned, list_sort(list_distinct(list_filter(w, lambda x: length(x) > 10))) AS vehicles_mentioned,
     timestamp '2024-01-01' + to_minutes((doc_id * 7)::INT) AS scrape_date,
     CASE WHEN doc_id % 7 = 0 THEN NULL ELSE timestamp '2024-01-01' + to_minutes((doc_id * 7 - 60)::INT) END AS publish_date,
-    ['adas', 'ai_assistant', 'infotainment', 'connectivity', 'ota', 'battery_software', 'cockpit_ux'][(n_chars % 7)::INT + 1] AS category,
+    ['adas', 'ai_assistant', 'infotainment', 'connectivity', 'ota', 'battery_software', 'cockpit_ux'][length(regexp_extract(text, '[A-Za-zÀ-ÿ]+')) % 7 + 1] AS category,
     ['news', 'review', 'teardown', 'forum_post', 'opinion', 'regulatory', 'earnings'][(n_chars % 5)::INT + 1] AS content_type,
     (1 + n_chars % 10)::INT AS relevance_score, n_chars % 3 = 0 AS is_new, doc_id % 4 <> 0 AS processed,
     CASE WHEN doc_id % 6 = 0 THEN NULL ELSE doc_id % 5 = 0 END AS phase2_processed,
     CASE WHEN n_chars % 2 = 0 THEN 'impact ' || lang ELSE NULL END AS competitive_signal,
-    coalesce(list_sort(list_distinct(list_filter(w, lambda x: length(x) > 12)))[1], '') AS feature_name
+    coalesce(list_sort(list_distinct(list_filter(w, lambda x: length(x) > 10)))[1], '') AS feature_name
   FROM w)"""
 JACCARD = "coalesce(len(list_intersect({0}, {1})) / nullif(len(list_distinct(list_concat({0}, {1}))), 0), 0)"
 PAIRS = f"""e AS (SELECT *, coalesce(publish_date, scrape_date) AS at FROM a),
@@ -46,7 +46,7 @@ def dedup_set_score_pairs(spark, sf_dir):
 def exact_title_pairs(rows: DataFrame) -> DataFrame:
     """Candidate pairs whose titles are equal, with the title's full weight: the part of the score that SQL can follow."""
     brand, vehicle, category = dedup.set_scores()
-    prepared = dedup.prepare(rows)
+    prepared = materialise(dedup.prepare(rows), "prepared")
     score = F.lit(dedup.TITLE) + brand * dedup.BRANDS + vehicle * dedup.VEHICLES + category * dedup.CATEGORIES + F.lit(dedup.CLOSE)
     pairs = dedup.hopeful_pairs(prepared).withColumn("score", score).where(F.col("score") >= dedup.THRESHOLD - 1e-9)
     same = dedup.with_titles(pairs, prepared).where((F.col("a_title") == F.col("b_title")) & (F.col("a_title") != ""))

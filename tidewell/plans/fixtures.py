@@ -11,16 +11,16 @@ CONTENT_TYPES = ("news", "review", "teardown", "forum_post", "opinion", "regulat
 ARTICLES = """
 SELECT cast(doc_id AS string) AS id, doc_id AS ord, source AS source_name, lang AS language,
   'https://example.org/' || source || '/' || cast(doc_id % 700 AS string) AS source_url,
-  split_part(text, '\\n', 1) AS title_en, text AS body_en,
-  array_sort(array_distinct(filter(w, x -> length(x) = 12))) AS brands_mentioned, array_sort(array_distinct(filter(w, x -> length(x) > 12))) AS vehicles_mentioned,
+  substr(regexp_extract(text, '^[^.!?\\n]*[.!?]?', 0), 1, 200) AS title_en, text AS body_en,
+  array_sort(array_distinct(filter(w, x -> length(x) = 10))) AS brands_mentioned, array_sort(array_distinct(filter(w, x -> length(x) > 10))) AS vehicles_mentioned,
   timestamp'2024-01-01' + make_dt_interval(0, 0, cast(doc_id * 7 AS int), 0) AS scrape_date,
   CASE WHEN doc_id % 7 = 0 THEN NULL ELSE timestamp'2024-01-01' + make_dt_interval(0, 0, cast(doc_id * 7 - 60 AS int), 0) END AS publish_date,
-  element_at(array('adas', 'ai_assistant', 'infotainment', 'connectivity', 'ota', 'battery_software', 'cockpit_ux'), cast(n_chars % 7 AS int) + 1) AS category,
+  element_at(array('adas', 'ai_assistant', 'infotainment', 'connectivity', 'ota', 'battery_software', 'cockpit_ux'), length(regexp_extract(text, '[A-Za-zÀ-ÿ]+', 0)) % 7 + 1) AS category,
   element_at(array('news', 'review', 'teardown', 'forum_post', 'opinion', 'regulatory', 'earnings'), cast(n_chars % 5 AS int) + 1) AS content_type,
   cast(1 + n_chars % 10 AS int) AS relevance_score, n_chars % 3 = 0 AS is_new, doc_id % 4 <> 0 AS processed,
   CASE WHEN doc_id % 6 = 0 THEN NULL ELSE doc_id % 5 = 0 END AS phase2_processed,
   CASE WHEN n_chars % 2 = 0 THEN 'impact ' || lang ELSE NULL END AS competitive_signal
-FROM (SELECT *, filter(split(lower(text), '[^a-zà-ÿ]+'), x -> length(x) >= 12) AS w FROM {documents})
+FROM (SELECT *, filter(split(lower(text), '[^a-zà-ÿ]+'), x -> length(x) >= 10) AS w FROM {documents})
 """
 
 
