@@ -1,5 +1,6 @@
 """Whole runs, done twice and failing half-way; duplicates and novelty against brute force on the tables."""
 
+import random
 from datetime import timedelta
 from difflib import SequenceMatcher
 from types import SimpleNamespace
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell import tables
-from tidewell.operators import dedup, entities, listings, novelty, web
+from tidewell.operators import components, dedup, entities, listings, novelty, web
 from tidewell.plans import fixtures, pipelines
 from tidewell.plans.store_queries import maker_model
 from tidewell.sources import snapshots
@@ -197,6 +198,22 @@ def test_features_keep_their_link_and_differ_by_category(spark, make):  # noqa:
     assert {r.id: r.features_promoted for r in made.counts.collect()} == {"a0": 3, "a1": 1}
 
 
+@pytest.mark.parametrize("batches", [1, 2, 7])
+def test_components_of_batches_are_those_of_all_edges(spark, batches):
+    rng = random.Random(batches)
+    pairs = [(rng.randrange(120), rng.randrange(120)) for _ in range(70)] + [(200 + i, 201 + i) for i in range(12)] + [(5, 5), (None, 3), (300, 300)]
+    rng.shuffle(pairs)
+    edges = lambda part: spark.createDataFrame(part, "a long, b long")
+    state = components.no_components(spark)
+    for k in range(batches):
+        added = components.with_edges(state, edges(pairs[k::batches]))
+        assert added.labels.join(state.labels, "id", "left_semi").count() == 0  # labels are never rewritten
+        moved = {r.component: r.root for r in state.merges.collect()} | {r.component: r.root for r in added.merges.collect()}
+        state = components.Components(state.labels.unionByName(added.labels), spark.createDataFrame(list(moved.items()), "component long, root long"))
+    want = {r.id: r.component for r in components.connected_components(edges(pairs)).collect()}
+    assert {r.id: r.component for r in state.resolved().collect()} == want and len(set(want.values())) > 5
+
+
 def test_triage_only_rows_keep_what_they_had(spark, make):  # noqa: F811
     rows = make(article(0), article(1), article(2))
     answers = spark.createDataFrame(

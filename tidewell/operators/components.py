@@ -1,6 +1,8 @@
-"""Connected components of an edge table, as rounds of joins."""
+"""Connected components of an edge table, as rounds of joins; and of tables of edges that come in batches."""
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..tables import discard, materialise
@@ -27,3 +29,41 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             return now.select("id", "component")
         discard(labels)
         labels = now
+
+
+@dataclass(frozen=True)
+class Components:
+    """Components that batches of edges add to: ``labels`` (``id``, ``component``: as it was when the id came) and ``merges`` (``component``, ``root``: what it is part of now)."""
+
+    labels: DataFrame
+    merges: DataFrame
+
+    def resolved(self) -> DataFrame:
+        """``id`` and ``component``, the smallest id that any edge so far reaches."""
+        now = self.labels.join(self.merges, "component", "left")
+        return now.select("id", F.coalesce("root", "component").alias("component"))
+
+
+def no_components(spark: SparkSession, id_type: str = "long") -> Components:
+    return Components(spark.createDataFrame([], f"id {id_type}, component {id_type}"), spark.createDataFrame([], f"component {id_type}, root {id_type}"))
+
+
+def with_edges(before: Components, edges: DataFrame, a: str = "a", b: str = "b") -> Components:
+    """What a batch of edges adds: rows of ``labels`` for ids that are new, and rows of ``merges`` that are new or changed.
+
+    Known ids stand for their components, so the edges are contracted to those that connect two components or bring a new
+    id, and only they are followed. Labels of old ids are never rewritten, however large the components that an edge joins;
+    merges that led to a component which is now part of another one are led on. Batches in any order give the components
+    of all edges together. Of ``before`` the labels of the batch's ids are enough (``RunStore.matching``).
+    """
+    one = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct()
+    one = materialise(one, "new-edges")
+    ends = one.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    known = materialise(before.labels.join(ends, "id", "left_semi").join(before.merges, "component", "left").select("id", F.coalesce("root", "component").alias("root")), "known")
+    at = lambda side: known.select(F.col("id").alias(side), F.col("root").alias(f"{side}_root"))
+    contracted = one.join(at("a"), "a", "left").join(at("b"), "b", "left").select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b"))
+    found = materialise(connected_components(contracted), "contracted")
+    fresh = ends.join(known, "id", "left_anti").join(found, "id")
+    moved = found.where("id <> component").join(known.select(F.col("root").alias("id")).distinct(), "id", "left_semi").select(F.col("id").alias("component"), F.col("component").alias("root"))
+    led_on = before.merges.join(moved.select(F.col("component").alias("root"), F.col("root").alias("to")), "root").select("component", F.col("to").alias("root"))
+    return Components(materialise(fresh, "new-labels"), materialise(moved.unionByName(led_on), "new-merges"))

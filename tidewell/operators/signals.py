@@ -1,5 +1,7 @@
 """Market signals: six rules over articles and their extracted features."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +21,15 @@ CHIP_KEYWORDS = (
 EXCERPT = 2000
 
 
-def _candidate(kind: str, features: Column, trigger: Column) -> list[Column]:
-    """The columns of a candidate; ``trigger``: what set the rule off, as JSON."""
-    return [F.lit(kind).alias("signal_type"), F.col("id").alias("article_id"), present(F.col("brands_mentioned")).alias("brands_mentioned"), features.cast("array<string>").alias("features_mentioned"), F.to_json(trigger, {"ignoreNullFields": "false"}).alias("trigger_data")]
+def _candidate(kind: str, features: Column, trigger: Column) -> Column:
+    """A candidate of an article as a struct; ``trigger``: what set the rule off, as JSON."""
+    data = F.to_json(trigger, {"ignoreNullFields": "false"})
+    return F.struct(F.lit(kind).alias("signal_type"), features.cast("array<string>").alias("features_mentioned"), data.alias("trigger_data"))
+
+
+def _rows(articles: DataFrame, candidates: Column) -> DataFrame:
+    """The candidates of each article (an array) as rows."""
+    return articles.select(F.col("id").alias("article_id"), present(F.col("brands_mentioned")).alias("brands_mentioned"), F.inline(candidates)).select("signal_type", "article_id", "brands_mentioned", "features_mentioned", "trigger_data")
 
 
 def _new(f: Column) -> Column:
@@ -33,13 +41,78 @@ def _exploded(articles: DataFrame, condition) -> DataFrame:
     return articles.withColumn("f", F.explode(F.filter("features_extracted", condition)))
 
 
+def _of_features(condition: Callable[[Column], Column], build: Callable[[Column], Column]) -> Column:
+    """A candidate for each feature that meets the condition; null for an article without features."""
+    return F.transform(F.filter("features_extracted", condition), build)
+
+
 def _name(f: Column) -> Column:
     return F.coalesce(f["feature_name"], F.lit(""))
 
 
+def _launches() -> Column:
+    trigger = lambda f: F.struct(f["feature_name"].alias("feature_name"), f["category"].alias("category"), f["description"].alias("description"))
+    return _of_features(_new, lambda f: _candidate(SIGNAL_TYPES[0], F.array(_name(f)), trigger(f)))
+
+
+def _integrations() -> Column:
+    """A new assistant feature, or without one AI keywords in the title or body of news and opinion; a candidate at most.
+
+    Either way the candidate mentions all assistant features of the article, new or not.
+    """
+    assistants = F.filter("features_extracted", lambda f: f["category"] == "ai_assistant")
+    text = F.concat_ws(" ", F.coalesce("title_en", F.lit("")), F.coalesce("body_en", F.lit("")))
+    none = F.array().cast("array<string>")
+
+    def of(parts: Column) -> Column:
+        fresh, words = F.filter(parts["assistants"], _new), parts["words"]
+        by_feature, by_word = F.coalesce(F.size(fresh) > 0, F.lit(False)), F.coalesce(F.size(words) > 0, F.lit(False))
+        trigger = F.struct(
+            F.when(by_feature, "new_ai_feature").otherwise("ai_keyword_match").alias("trigger_reason"), F.when(by_feature, none).otherwise(words).alias("matched_keywords"),
+            F.try_element_at(fresh, F.lit(1))["feature_name"].alias("feature_name"),
+        )
+        return F.when(by_feature | by_word, _candidate(SIGNAL_TYPES[2], F.coalesce(F.transform(parts["assistants"], _name), none), trigger))
+
+    parts = F.array(F.struct(assistants.alias("assistants"), F.when(F.col("content_type").isin("news", "opinion"), keywords_in(text, AI_KEYWORDS)).alias("words")))
+    return F.filter(F.transform(parts, of), lambda c: c.isNotNull())
+
+
+def _deployments() -> Column:
+    trigger = lambda f: F.struct(f["feature_name"].alias("feature_name"), f["description"].alias("description"))
+    return _of_features(lambda f: _new(f) & (f["category"] == "ota"), lambda f: _candidate(SIGNAL_TYPES[3], F.array(_name(f)), trigger(f)))
+
+
+def _partnerships() -> Column:
+    """Two brands or more, repeated ones included, and a competitive signal."""
+    one = _candidate(SIGNAL_TYPES[4], F.array(), F.struct("competitive_signal", F.size("brands_mentioned").alias("brand_count")))
+    return F.when((F.size(present(F.col("brands_mentioned"))) >= 2) & non_blank(F.col("competitive_signal")).isNotNull(), F.array(one))
+
+
+def _chips() -> Column:
+    """Driver-assistance features, new or not, whose description has a chip keyword."""
+    words = lambda f: F.coalesce(keywords_in(f["description"], CHIP_KEYWORDS), F.array().cast("array<string>"))
+    trigger = lambda f: F.struct(f["feature_name"].alias("feature_name"), words(f).alias("matched_keywords"), f["description"].alias("description"))
+    return _of_features(lambda f: (f["category"] == "adas") & (F.size(words(f)) > 0), lambda f: _candidate(SIGNAL_TYPES[5], F.array(_name(f)), trigger(f)))
+
+
 def new_feature_launches(articles: DataFrame) -> DataFrame:
-    rows, f = _exploded(articles, _new), F.col("f")
-    return rows.select(*_candidate(SIGNAL_TYPES[0], F.array(_name(f)), F.struct(f["feature_name"].alias("feature_name"), f["category"].alias("category"), f["description"].alias("description"))))
+    return _rows(articles, _launches())
+
+
+def ai_integrations(articles: DataFrame) -> DataFrame:
+    return _rows(articles, _integrations())
+
+
+def ota_deployments(articles: DataFrame) -> DataFrame:
+    return _rows(articles, _deployments())
+
+
+def partnership_changes(articles: DataFrame) -> DataFrame:
+    return _rows(articles, _partnerships())
+
+
+def chip_announcements(articles: DataFrame) -> DataFrame:
+    return _rows(articles, _chips())
 
 
 def trickle_down_matches(articles: DataFrame, features: DataFrame) -> DataFrame:
@@ -53,7 +126,7 @@ def trickle_downs(articles: DataFrame, features: DataFrame) -> DataFrame:
     """A new feature in a category where a brand that the article doesn't name has one already; a row for each of those."""
     f = F.col("f")
     trigger = F.struct(f["feature_name"].alias("new_feature_name"), f["category"].alias("new_feature_category"), F.col("existing_feature").alias("existing_feature_name"), "existing_brand")
-    return trickle_down_matches(articles, features).select(*_candidate(SIGNAL_TYPES[1], F.array(_name(f)), trigger))
+    return _rows(trickle_down_matches(articles, features), F.array(_candidate(SIGNAL_TYPES[1], F.array(_name(f)), trigger)))
 
 
 def trickle_down_counts(articles: DataFrame, features: DataFrame) -> DataFrame:
@@ -66,50 +139,13 @@ def trickle_down_counts(articles: DataFrame, features: DataFrame) -> DataFrame:
     return met.groupBy(F.col("id").alias("article_id")).agg(F.sum("n").alias("n_matches"), F.countDistinct("brand_name_en").alias("n_brands"), F.min("brand_name_en").alias("first_brand"))
 
 
-def ai_integrations(articles: DataFrame) -> DataFrame:
-    """A new assistant feature, or without one AI keywords in the title or body of news and opinion; a row at most.
-
-    Either way the candidate mentions all assistant features of the article, new or not.
-    """
-    assistants = F.filter("features_extracted", lambda f: f["category"] == "ai_assistant")
-    text = F.concat_ws(" ", F.coalesce("title_en", F.lit("")), F.coalesce("body_en", F.lit("")))
-    rows = articles.withColumn("assistants", assistants).withColumn("fresh", F.filter("assistants", _new)).withColumn("words", F.when(F.col("content_type").isin("news", "opinion"), keywords_in(text, AI_KEYWORDS)))
-    by_feature, by_word = F.coalesce(F.size("fresh") > 0, F.lit(False)), F.coalesce(F.size("words") > 0, F.lit(False))
-    none = F.array().cast("array<string>")
-    trigger = F.struct(
-        F.when(by_feature, "new_ai_feature").otherwise("ai_keyword_match").alias("trigger_reason"), F.when(by_feature, none).otherwise(F.col("words")).alias("matched_keywords"),
-        F.try_element_at("fresh", F.lit(1))["feature_name"].alias("feature_name"),
-    )
-    return rows.where(by_feature | by_word).select(*_candidate(SIGNAL_TYPES[2], F.coalesce(F.transform("assistants", _name), none), trigger))
-
-
-def ota_deployments(articles: DataFrame) -> DataFrame:
-    rows, f = _exploded(articles, lambda f: _new(f) & (f["category"] == "ota")), F.col("f")
-    return rows.select(*_candidate(SIGNAL_TYPES[3], F.array(_name(f)), F.struct(f["feature_name"].alias("feature_name"), f["description"].alias("description"))))
-
-
-def partnership_changes(articles: DataFrame) -> DataFrame:
-    """Two brands or more, repeated ones included, and a competitive signal."""
-    rows = articles.where((F.size(present(F.col("brands_mentioned"))) >= 2) & non_blank(F.col("competitive_signal")).isNotNull())
-    return rows.select(*_candidate(SIGNAL_TYPES[4], F.array(), F.struct("competitive_signal", F.size("brands_mentioned").alias("brand_count"))))
-
-
-def chip_announcements(articles: DataFrame) -> DataFrame:
-    """Driver-assistance features, new or not, whose description has a chip keyword."""
-    rows, f = _exploded(articles, lambda f: f["category"] == "adas"), F.col("f")
-    found = rows.withColumn("words", keywords_in(f["description"], CHIP_KEYWORDS)).where(F.size("words") > 0)
-    return found.select(*_candidate(SIGNAL_TYPES[5], F.array(_name(f)), F.struct(f["feature_name"].alias("feature_name"), F.col("words").alias("matched_keywords"), f["description"].alias("description"))))
-
-
 def signal_candidates(articles: DataFrame, features: DataFrame | None) -> DataFrame:
     """All candidates of articles that aren't duplicates; without known features the trickle-down rule rests."""
     own = articles.where(~F.coalesce("is_duplicate", F.lit(False)))
-    out = new_feature_launches(own)
-    if features is not None:
-        out = out.unionByName(trickle_downs(own, features))
-    for rule in (ai_integrations, ota_deployments, partnership_changes, chip_announcements):
-        out = out.unionByName(rule(own))
-    return out
+    none = F.array().cast("array<struct<signal_type:string,features_mentioned:array<string>,trigger_data:string>>")
+    rules = (_launches(), _integrations(), _deployments(), _partnerships(), _chips())
+    out = _rows(own, F.concat(*(F.coalesce(r, none) for r in rules)))  # one pass over the articles for all five
+    return out if features is None else out.unionByName(trickle_downs(own, features))
 
 
 def signals_by_type(candidates: DataFrame) -> DataFrame:

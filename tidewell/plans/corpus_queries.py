@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.sets import jaccard
 from ..operators import dedup, novelty, signals
-from ..operators.components import connected_components
-from ..sources import queues
-from ..tables import materialise
+from ..operators.components import Components, connected_components, no_components, with_edges
+from ..sources import queues, snapshots
+from ..tables import materialise, workspace
 from .comparison_queries import FEATURES
 from .fixtures import articles, features
 
@@ -57,6 +57,22 @@ def dedup_components(spark, sf_dir):
     return connected_components(exact_title_pairs(articles(spark, sf_dir)), "a_ord", "b_ord")
 
 
+def components_in_batches(spark, sf_dir):
+    """The same components from two batches of pairs, each a run on the labels and merges that the ones before stored."""
+    pairs = materialise(exact_title_pairs(articles(spark, sf_dir)), "pairs")
+    into = snapshots.RunStore(spark, workspace(spark, "components"))
+    for run in range(2):
+        base, edges = into.snapshot(), pairs.where(F.pmod(F.col("a_ord") + F.col("b_ord"), F.lit(2)) == run)
+        if base.version:
+            ends = edges.select(F.explode(F.array("a_ord", "b_ord")).alias("id"))
+            before = Components(into.matching(base, "labels", ends), into.read("merges", base))
+        else:
+            before = no_components(spark)
+        added = with_edges(before, edges, "a_ord", "b_ord")
+        into.commit(base, f"batch {run}", {"labels": into.upsert(base, "labels", added.labels, ["id"], buckets=64), "merges": into.upsert(base, "merges", added.merges, ["component"], buckets=16)})
+    return Components(into.read("labels"), into.read("merges")).resolved()
+
+
 def dedup_groups(spark, sf_dir):
     rows = articles(spark, sf_dir)
     groups = dedup.duplicate_groups(rows, exact_title_pairs(rows))
@@ -200,6 +216,7 @@ QUERIES = {
     "jaccard_brands_vehicles": lambda s, d: articles(s, d).select("id", F.round(jaccard(F.col("brands_mentioned"), F.col("vehicles_mentioned")), 6).alias("similarity")),
     "dedup_set_score_pairs": dedup_set_score_pairs,
     "dedup_components": dedup_components,
+    "components_in_batches": components_in_batches,
     "dedup_groups": dedup_groups,
     "dedup_marked": dedup_marked,
     "dedup_full_pairs": dedup_full_pairs,
@@ -240,6 +257,7 @@ SELECT id, source_name FROM b UNION ALL SELECT id, source_name FROM a WHERE proc
     "jaccard_brands_vehicles": f"WITH {ARTICLES} SELECT id, round({JACCARD.format('brands_mentioned', 'vehicles_mentioned')}, 6) AS similarity FROM a",
     "dedup_set_score_pairs": f"WITH {ARTICLES}, {PAIRS} SELECT a, b, round(brand * 0.25 + vehicle * 0.2 + category * 0.15 + 0.1, 6) AS score FROM p",
     "dedup_components": f"WITH RECURSIVE {_EXACT} SELECT id, component FROM c",
+    "components_in_batches": f"WITH RECURSIVE {_EXACT} SELECT id, component FROM c",
     "dedup_groups": f"{_GROUPS} SELECT canonical_id, duplicate_group_id, member_ids, (SELECT count(*) FROM l JOIN c ON c.id = l.a_ord WHERE c.component = k.component) AS n_links FROM k",
     "dedup_marked": f"""{_GROUPS} SELECT a.id, CASE WHEN canonical_id IS NOT NULL THEN a.id <> canonical_id END AS is_duplicate, CASE WHEN a.id <> canonical_id THEN canonical_id END AS canonical_article_id, duplicate_group_id
 FROM a LEFT JOIN c ON c.id = a.ord LEFT JOIN k ON k.component = c.component""",

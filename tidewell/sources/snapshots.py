@@ -83,6 +83,14 @@ class RunStore:
         table = (snapshot or self.snapshot()).tables[name]
         return self._rows(table, table.files.values())
 
+    def matching(self, base: Snapshot, name: str, keys: DataFrame) -> DataFrame:
+        """The rows whose key is in ``keys`` (columns named like the key). Only buckets that have one are read."""
+        table = base.tables[name]
+        keys = keys.select(*(F.col(k).cast(table.schema[k].dataType).alias(k) for k in table.key)).distinct()
+        touched = [r[0] for r in keys.select(_bucket(table.key, table.buckets).alias("b")).distinct().collect()]  # as many as buckets at most
+        rows = self._rows(table, [table.files[b] for b in sorted(touched) if b in table.files])
+        return rows.join(keys, list(table.key), "left_semi")
+
     def upsert(self, base: Snapshot, name: str, new: DataFrame, key: Sequence[str], create_only: Sequence[str] = (), keep_known: Sequence[str] = (), as_of: Column | None = None, buckets: int = BUCKETS) -> Table:
         """What ``name`` is after ``new`` is merged into it, for ``commit``. Only buckets that have a row of ``new`` are read and written.
 
