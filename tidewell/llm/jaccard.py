@@ -14,9 +14,9 @@ from ..operators.components import connected_components
 from ..tables import discard, materialise
 from .words import SHINGLE, frugal, mix, shingle_set
 
-#: Members of one verification block. A larger bucket is dealt into blocks and compared block by block.
+#: Members of one verification block. A larger bucket or component is dealt into blocks and compared block by block.
 BLOCK = 128
-#: Rows that small buckets share in one verification group.
+#: Rows that small buckets and components share in one verification group.
 BIN = 256
 
 
@@ -116,6 +116,8 @@ def verify_blocks(n: int, threshold: float):
             linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
             linked[ids[:, None] == ids[None, :]] = False  # itself, and other texts under its id
             keys = np.stack(part["bands"].to_numpy())
+            if turn < 0:  # a whole component: pairs that agree in a band, as in its buckets
+                linked &= np.logical_or.reduce([keys[:, band, None] == keys[None, :, band] for band in range(keys.shape[1])])
             for band in range(turn):  # a pair of several buckets counts in that of its first common band
                 linked &= keys[:, band, None] != keys[None, :, band]
             same_block = block[:, None] == block[None, :]
@@ -151,10 +153,12 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``n_links`` (other documents linked directly, copies counted one by one) and ``kept`` (``id = class_id``).
 
     * Documents with the same n-gram set collapse into one representative before anything is compared.
-    * Representatives that agree in a band meet in its bucket, where full sets are compared; a pair of several buckets
-      counts in that of its first common band. Of buckets with the same members only the first is kept, so the many bands
-      that two near copies share send their texts once. Buckets of more than ``BLOCK`` members are compared block by
-      block; only counts and a spanning forest leave a block.
+    * Pairs of representatives that agree in a band are compared by their full sets, each once. They meet in the buckets of
+      their bands (a pair of several buckets counts in that of its first common band; of buckets with the same members
+      only the first is kept), or, where that moves fewer rows, in the whole component that the buckets make: near copies
+      of one text share most of their buckets, while chance collisions chain up texts that share few. The links are the
+      same either way. Buckets and components of more than ``BLOCK`` members are compared block by block; only counts and
+      a spanning forest leave a block.
     * A text of fewer than n words is one n-gram of all its words. Null, empty and wordless texts have no links and are
       classes of their own. Rows that share an id count as one document with the links of all of them; rows with a
       null id have null results. Other columns are ignored. An empty table gives an empty result.
@@ -169,10 +173,18 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     who = [F.bit_xor(F.xxhash64("rep", F.lit(salt))).alias(f"who{salt}") for salt in (1, 2)]
     buckets = members.groupBy("key", "turn").agg(F.count("*").alias("size"), F.min("rep").alias("least"), *who).where("size > 1")
     first = F.min(F.struct("turn", "key")).alias("bucket")
-    buckets = materialise(buckets.groupBy("size", "least", "who1", "who2").agg(first).select("size", "bucket.*"), "buckets")
-    total = buckets.agg(F.sum("size")).first()[0] or 0
-
-    dealt = members.join(buckets, ["key", "turn"]).withColumn("blocks", F.ceil(F.col("size") / BLOCK))
+    buckets = materialise(buckets.groupBy("size", "least", "who1", "who2").agg(first).select("size", "least", "bucket.*"), "buckets")
+    member = members.join(buckets, ["key", "turn"]).select("rep", "key", "turn", "size", "least")
+    components = materialise(connected_components(member.select("rep", "least"), "rep", "least"), "components")
+    rows = lambda size: F.ceil(size / BLOCK) * size  # noqa: E731  a member goes to as many pairs of blocks as there are blocks
+    by_bucket = buckets.join(components.withColumnRenamed("id", "least"), "least").groupBy("component").agg(F.sum(rows(F.col("size"))).alias("apart"))
+    way = components.groupBy("component").agg(F.count("*").alias("members")).join(by_bucket, "component").withColumn("whole", rows(F.col("members")) <= F.col("apart"))
+    way = materialise(way, "ways")
+    total = way.agg(F.sum("members")).first()[0] or 0
+
+    whole = components.join(way.where("whole"), "component").select(F.col("id").alias("rep"), F.col("component").alias("key"), F.lit(-1).alias("turn"), F.col("members").alias("size"))
+    apart = components.join(way.where("not whole").select("component"), "component").select(F.col("id").alias("rep"))
+    dealt = whole.unionByName(member.join(apart, "rep").select("rep", "key", "turn", "size")).withColumn("blocks", F.ceil(F.col("size") / BLOCK))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks")).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select("rep", "key", "turn", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "blocks")
     bins = max(1, total // BIN)
