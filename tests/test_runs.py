@@ -34,18 +34,26 @@ def rows(spark):
     return fixtures.articles(spark, SF)
 
 
-def test_pairs_equal_brute_force_on_the_table(rows):
-    got = {(r.a, r.b): r.score for r in dedup.scored_pairs(rows, threshold=0.6).collect()}
-    every, want = sorted(rows.collect(), key=lambda r: r.ord), {}
+@pytest.mark.parametrize("threshold", [0.6, 0.5])
+def test_pairs_equal_brute_force_on_the_table(rows, threshold):
+    got = {(r.a, r.b): r.score for r in dedup.scored_pairs(rows, threshold=threshold).collect()}
+    every, want, alone = sorted(rows.collect(), key=lambda r: r.ord), {}, 0
     for i, x in enumerate(every):
         for y in every[i + 1 :]:
             at = [r.publish_date or r.scrape_date for r in (x, y)]
             if x.source_name == y.source_name or abs(at[0] - at[1]) > timedelta(hours=72):
                 continue
             sets = 0.25 * _jaccard(x.brands_mentioned, y.brands_mentioned) + 0.2 * _jaccard(x.vehicles_mentioned, y.vehicles_mentioned) + 0.15 * (x.category == y.category) + 0.1
-            if sets >= 0.3 - 1e-9 and (score := sets + 0.3 * _ratio(x.title_en, y.title_en)) >= 0.6 - 1e-9 and (set(x.brands_mentioned) & set(y.brands_mentioned) or set(x.vehicles_mentioned) & set(y.vehicles_mentioned)):
+            if sets + 0.3 >= threshold - 1e-9 and (score := sets + 0.3 * _ratio(x.title_en, y.title_en)) >= threshold - 1e-9:
                 want[x.id, y.id] = score
+                alone += not (set(x.brands_mentioned) & set(y.brands_mentioned) or set(x.vehicles_mentioned) & set(y.vehicles_mentioned))
     assert len(want) >= 15 and set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert bool(alone) == (threshold < 0.55)
+
+
+def test_thresholds_that_time_alone_reaches_are_refused(rows):
+    with pytest.raises(ValueError, match="in common"):
+        dedup.scored_pairs(rows, threshold=0.4)
 
 
 def _novelties(batch, recent):

@@ -55,12 +55,19 @@ def hopeful_pairs(prepared: DataFrame, threshold: float = THRESHOLD, hours: int
     keys hold every such pair. Either the vehicles give something: such articles share a vehicle. Or they give nothing:
     then the brands must have a similarity of at least (need - categories) / brands. Two sets that similar share one of
     the first brands of each, in any fixed order of all brands, and a brand's place in that order is that of its hash.
+
+    Up to 0.55, title, closeness and categories are enough by themselves: then articles meet on their categories, too,
+    which many share. Up to 0.4 there is nothing that a pair must share, so such a threshold is refused.
     """
+    if threshold <= TITLE + CLOSE + 1e-9:
+        raise ValueError(f"a pair reaches {threshold} without anything in common but time; take more than {TITLE + CLOSE}")
     need = threshold - TITLE - CLOSE - 1e-9
     least = min(1.0, max(0.0, (need - CATEGORIES) / BRANDS))
     prefix = F.slice(F.array_sort(F.transform("brands", lambda b: F.struct(F.xxhash64(b).alias("h"), b.alias("b")))), F.lit(1), F.size("brands") - F.greatest(F.lit(1), F.ceil(F.size("brands") * F.lit(least) - 1e-9)).cast("int") + 1)
     keys = F.array_union(F.transform("vehicles", lambda v: F.concat(F.lit("v"), v)), F.transform(prefix, lambda b: F.concat(F.lit("b"), b["b"])))
     rows = prepared.drop("tokens").withColumn("met_by", F.when(F.size("brands") > 0, keys).otherwise(F.transform("vehicles", lambda v: F.concat(F.lit("v"), v))))
+    if threshold <= TITLE + CLOSE + CATEGORIES + 1e-9:
+        rows = rows.withColumn("met_by", F.array_union("met_by", F.transform("categories", lambda c: F.concat(F.lit("c"), c))))
     return _met(rows, hours, F.col("met_by"), F.array_min(F.array_intersect("a.met_by", "b.met_by")))
 
 

@@ -33,6 +33,12 @@ def feature_matrix(spark, sf_dir):
 
 
 
+def feature_summaries(spark, sf_dir):
+    """What readers get of each feature of a brand and category."""
+    cells = C.feature_matrix(features(spark, sf_dir).withColumn("supplier", F.when(F.col("ord") % 4 > 0, F.col("supplier"))))
+    return cells.select("brand_name_en", F.col("category").alias("in_category"), F.inline("features"))
+
+
 def price_tier_stats(spark, sf_dir):
     return C.price_tier_stats(vehicles(spark, sf_dir), features(spark, sf_dir)).withColumn("avg_features", F.round("avg_features", 6))
 
@@ -51,6 +57,7 @@ def upsert_merge_first_seen(spark, sf_dir):
 
 
 QUERIES = {
+    "feature_summaries": feature_summaries,
     "scan_features_by_category": lambda s, d: queues.where_equal(features(s, d), category="gear").select("id", "brand_name_en", "feature_name_en"),
     "scan_features_by_brand": lambda s, d: queues.where_equal(features(s, d), brand_name_en="Brand#23").select("id", "category", "feature_name_en"),
     "scan_vehicles_by_brand_segment": lambda s, d: queues.where_equal(vehicles(s, d), brand_name_en="Brand#23", segment=None).select("id", "model_name_en", "segment"),
@@ -68,6 +75,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "feature_summaries": f"WITH {FEATURES} SELECT brand_name_en, category AS in_category, id, feature_name_en, CASE WHEN ord % 4 > 0 THEN coalesce(supplier, '') ELSE '' END AS supplier, first_seen_date FROM f",
     "scan_features_by_category": "SELECT p_partkey::VARCHAR AS id, p_brand AS brand_name_en, p_name AS feature_name_en FROM part WHERE split_part(p_name, ' ', 2) = 'gear'",
     "scan_features_by_brand": "SELECT p_partkey::VARCHAR AS id, split_part(p_name, ' ', 2) AS category, p_name AS feature_name_en FROM part WHERE p_brand = 'Brand#23'",
     "scan_vehicles_by_brand_segment": "SELECT p_partkey::VARCHAR AS id, p_name AS model_name_en, p_type AS segment FROM part WHERE p_brand = 'Brand#23'",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, jsonx
-from ..operators import entities, web
+from ..operators import entities, listings, web
 from ..sources import queues, snapshots, store
 from ..tables import table, workspace
 from . import pipelines
@@ -14,7 +14,7 @@ from .corpus_queries import _STORED, ARTICLES, stored_signals
 from .entity_queries import article_mentions
 from .fixtures import aliases, articles, brands, vehicles
 
-AS_OF = datetime(2024, 1, 5)
+AS_OF, NOTED = datetime(2024, 1, 5), datetime(2024, 1, 20, 12)
 
 
 def outcomes(rows: DataFrame) -> DataFrame:
@@ -131,6 +131,34 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.feed_entries(feeds(spark, sf_dir)).select("url", "title", "publish_date")
 
 
+def brands_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The brands as stored, after a run that renames the groups of some and brings brands of suppliers."""
+    old = brands(spark, sf_dir)
+    renamed = old.where(F.substring("name_en", -1, 1) > "2").select("name_en", F.concat(F.lit("new "), "parent_group").alias("parent_group"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.concat(F.lit("Supplier "), F.col("s_suppkey").cast("string")).alias("name_en"), F.lit(None).cast("string").alias("parent_group"))
+    return store.upsert(old, renamed.unionByName(suppliers), ["name_en"], as_of=F.lit(AS_OF)).select("name_en", "parent_group", "last_updated")
+
+
+def note_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' times as the stamps of notes: month and day, with a clock, minutes ago, today, and none."""
+    form, local = F.col("event_id") % 5, F.from_utc_timestamp("ts", dates.BEIJING)
+    text = (
+        F.when(form == 0, F.concat(F.lit("编辑于 "), F.date_format(local, "MM-dd"))).when(form == 1, F.date_format(local, "yyyy-MM-dd HH:mm:ss")).when(form == 2, F.concat((F.col("event_id") % 70).cast("string"), F.lit(" 分钟前")))
+        .when(form == 3, F.lit("今天 12:00")).otherwise("no date")
+    )
+    return table(spark, sf_dir, "events").select("event_id", dates.note_date(text, F.lit(NOTED)).alias("at"))
+
+
+def news_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of search results for each document, found by one of the words; stories that several words find count under the first."""
+    docs = table(spark, sf_dir, "documents").where("doc_id IS NOT NULL")
+    story = F.concat(F.lit("https://news.example.org/"), (F.col("doc_id") % 300).cast("string"))
+    title = F.concat(F.lit("Story "), F.col("doc_id").cast("string"))
+    html = F.concat(F.lit('<div class="result"><h3><a href="'), story, F.lit('">'), title, F.lit("</a></h3></div>"))
+    pages = docs.select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("url"), F.element_at(F.array(*(F.lit(w) for w in listings.NEWS_WORDS)), (F.col("doc_id") % 5 + 1).cast("int")).alias("word"), html.alias("html"))
+    return listings.discover(pages, "baidu_news", F.lit(AS_OF), word_col="word").select("source_name", "source_url", "title", F.col("ord.turn").cast("long").alias("turn"))
+
+
 def iso_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events' times as ISO strings of four forms, and forms that aren't dates."""
     form = F.col("event_id") % 6
@@ -164,6 +192,11 @@ QUERIES = {
     "scan_vehicles_by_segment": lambda s, d: queues.where_equal(vehicles(s, d), brand_name_en=None, segment="STANDARD").select("id", "brand_name_en", "model_name_en"),
     "scan_one_article": lambda s, d: queues.find_one(articles(s, d), id="33").select("id", "source_name", "relevance_score"),
     "scan_by_source_and_type": lambda s, d: queues.where_equal(articles(s, d), source_name="src1", content_type="news").select("id", "language"),
+    "scan_duplicate_group": lambda s, d: queues.where_equal(articles(s, d).withColumn("duplicate_group_id", F.concat(F.lit("g"), (F.col("ord") % 50).cast("string"))), duplicate_group_id="g7").select("id", "source_name"),
+    "phase2_flags": lambda s, d: store.phase2_done(articles(s, d), articles(s, d).where("ord % 3 = 0")).select("id", "phase2_processed"),
+    "upsert_brands": brands_upserted,
+    "note_date_parse": note_dates,
+    "news_listings": news_listings,
     "feed_entries": feed_entries,
     "iso_date_parse": iso_dates,
     "narrative_validate": narratives_valid,
@@ -206,6 +239,16 @@ SELECT key, CASE WHEN key LIKE 'maker %' AND split_part(key, ' ', 2)::INT % 2 =
     "scan_vehicles_by_segment": "SELECT p_partkey::VARCHAR AS id, p_brand AS brand_name_en, p_name AS model_name_en FROM part WHERE p_type = 'STANDARD'",
     "scan_one_article": f"WITH {ARTICLES} SELECT id, source_name, relevance_score FROM a WHERE id = '33'",
     "scan_by_source_and_type": f"WITH {ARTICLES} SELECT id, language FROM a WHERE source_name = 'src1' AND content_type = 'news'",
+    "scan_duplicate_group": f"WITH {ARTICLES} SELECT id, source_name FROM a WHERE ord % 50 = 7",
+    "phase2_flags": f"WITH {ARTICLES} SELECT id, CASE WHEN ord % 3 = 0 THEN true ELSE phase2_processed END AS phase2_processed FROM a",
+    "upsert_brands": f"""WITH b AS (SELECT DISTINCT p_brand AS name_en, 'group' || right(p_brand, 1) AS parent_group FROM part)
+SELECT name_en, CASE WHEN right(name_en, 1) > '2' THEN 'new ' || parent_group ELSE parent_group END AS parent_group, CASE WHEN right(name_en, 1) > '2' THEN timestamp '{AS_OF}' END AS last_updated FROM b
+UNION ALL SELECT 'Supplier ' || s_suppkey::VARCHAR, NULL, timestamp '{AS_OF}' FROM supplier""",
+    "note_date_parse": f"""WITH e AS (SELECT event_id, ts::TIMESTAMP + INTERVAL 8 HOUR AS t, timestamp '{NOTED}' AS n FROM events),
+y AS (SELECT *, make_timestamp(year(n + INTERVAL 8 HOUR), month(t), day(t), 0, 0, 0) - INTERVAL 8 HOUR AS this, make_timestamp(year(n + INTERVAL 8 HOUR) - 1, month(t), day(t), 0, 0, 0) - INTERVAL 8 HOUR AS last FROM e)
+SELECT event_id, CASE event_id % 5 WHEN 0 THEN CASE WHEN this > n + INTERVAL 1 DAY THEN last ELSE this END WHEN 1 THEN date_trunc('second', t) - INTERVAL 8 HOUR WHEN 2 THEN n - to_minutes((event_id % 70)::INT) WHEN 3 THEN n END AS at FROM y""",
+    "news_listings": """WITH r AS (SELECT doc_id, doc_id % 300 AS story, doc_id % 5 + 1 AS turn FROM documents WHERE doc_id IS NOT NULL)
+SELECT 'baidu_news' AS source_name, 'https://news.example.org/' || story::VARCHAR AS source_url, 'Story ' || arg_min(doc_id, (turn, doc_id))::VARCHAR AS title, min(turn) AS turn FROM r GROUP BY story""",
     "feed_entries": r"""SELECT 'https://example.org/' || doc_id::VARCHAR AS url, regexp_extract(text, '[A-Za-z]+') AS title, timestamp '2024-01-01' + to_hours(doc_id::INT) AS publish_date FROM documents WHERE text IS NOT NULL AND source IS NOT NULL AND lang IS NOT NULL""",
     "iso_date_parse": """SELECT event_id, CASE event_id % 6 WHEN 0 THEN date_trunc('day', ts) WHEN 1 THEN date_trunc('second', ts) WHEN 2 THEN date_trunc('second', ts) - INTERVAL 8 HOUR WHEN 3 THEN date_trunc('day', ts) ELSE timestamp '1999-12-31' END AS at FROM events""",
     "narrative_validate": "SELECT conv_id, turn, turn % 3 = 0 AS valid, CASE WHEN turn % 3 = 0 THEN md5(text) END AS summary_md5 FROM conversations WHERE text IS NOT NULL",
