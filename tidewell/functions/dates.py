@@ -1,10 +1,10 @@
 """Dates: ISO strings, windows, and the stamps of Chinese publishers (Beijing time)."""
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import once
+
 BEIJING = "+08:00"
 # The characters that stand for year, month and day, and the words for spans of time before now.
 YEAR, MONTH, DAY = "年", "月", "日"
@@ -36,11 +36,6 @@ def within_hours(a: Column, b: Column, hours: int) -> Column:
     return F.coalesce(b.between(a - span, a + span), F.lit(False))
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), use), 0)
-
-
 def _tokens(text: Column) -> Column:
     """The text as runs of digits and what stands between them."""
     return F.regexp_extract_all(text, F.lit(r"([0-9]+|[^0-9]+)"), 1)
@@ -90,9 +85,9 @@ def _stamp(text: Column, marks: tuple[str, ...], seconds: bool = False) -> Colum
 
     def find(t: Column) -> Column:
         places = F.filter(F.transform(t, lambda _, i: i), lambda i: _is_date(t, i, marks, first))
-        return _let(F.get(places, 0), lambda i: F.when(i.isNotNull(), read(t, i)))
+        return once(F.get(places, 0), lambda i: F.when(i.isNotNull(), read(t, i)))
 
-    return _let(_tokens(text), find)
+    return once(_tokens(text), find)
 
 
 def _beijing(year: Column, parts: list[Column]) -> Column:
@@ -101,7 +96,7 @@ def _beijing(year: Column, parts: list[Column]) -> Column:
 
 
 def _moment(stamp: Column) -> Column:
-    return _let(stamp, lambda s: _beijing(F.get(s, 0).try_cast("int"), [F.get(s, k) for k in range(1, 6)]))
+    return once(stamp, lambda s: _beijing(F.get(s, 0).try_cast("int"), [F.get(s, k) for k in range(1, 6)]))
 
 
 def absolute_date(text: Column, seconds: bool = False) -> Column:
@@ -131,7 +126,7 @@ def relative_date(text: Column, as_of: Column) -> Column:
             out = F.when(count(t, word).isNotNull(), as_of - span).otherwise(out)
         return out
 
-    return F.coalesce(_let(_tokens(text), before), F.when(F.contains(text, F.lit("昨天")), as_of - F.make_interval(days=F.lit(1))))
+    return F.coalesce(once(_tokens(text), before), F.when(F.contains(text, F.lit("昨天")), as_of - F.make_interval(days=F.lit(1))))
 
 
 def _without_year(stamp: Column, as_of: Column, ahead: int) -> Column:
@@ -143,7 +138,7 @@ def _without_year(stamp: Column, as_of: Column, ahead: int) -> Column:
         this = _beijing(year, parts)
         return F.when(this > as_of + F.make_interval(days=F.lit(ahead)), _beijing(year - 1, parts)).otherwise(this)
 
-    return _let(stamp, of)
+    return once(stamp, of)
 
 
 def month_day(text: Column, as_of: Column) -> Column:
@@ -159,7 +154,7 @@ def dashed_month_day(text: Column, as_of: Column) -> Column:
         at = F.get(F.filter(F.transform(t, lambda _, i: i), lambda i: two(i) & (F.get(t, i + 1) == "-") & two(i + 2)), 0)
         return F.when(at.isNotNull(), F.array(F.get(t, at), F.get(t, at + 2)))
 
-    return _without_year(_let(_tokens(text), find), as_of, 1)
+    return _without_year(once(_tokens(text), find), as_of, 1)
 
 
 def result_date(text: Column, as_of: Column) -> Column:

@@ -1,6 +1,6 @@
 """Strings: blanks, trimming, keywords, and the matching-blocks ratio of two titles."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -8,6 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def non_blank(text: Column) -> Column:
     """Null for an empty string."""
     return F.nullif(text, F.lit(""))
