@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell import tables
+from tidewell.functions import text
 from tidewell.operators import components, dedup, entities, listings, novelty, web
 from tidewell.plans import fixtures, pipelines
 from tidewell.plans.store_queries import maker_model
@@ -51,6 +52,14 @@ def test_pairs_equal_brute_force_on_the_table(rows, threshold):
     assert bool(alone) == (threshold < 0.55)
 
 
+def test_the_bound_of_a_title_is_never_under_its_ratio(spark):
+    rng = random.Random(8)
+    titles = ["".join(rng.choice("abAB éÉüß漢字 x") for _ in range(rng.randint(0, 14))) for _ in range(60)] + ["", "İstanbul ΑΣ", None]
+    pairs = spark.createDataFrame([(rng.choice(titles), rng.choice(titles)) for _ in range(600)], "a string, b string")
+    got = pairs.select("a", "b", text.title_bound(text.letters(F.col("a")), text.letters(F.col("b"))).alias("bound")).collect()
+    assert all(r.bound >= _ratio(r.a, r.b) - 1e-9 for r in got) and sum(r.bound < 0.5 for r in got) > 100
+
+
 def test_thresholds_that_time_alone_reaches_are_refused(rows):
     with pytest.raises(ValueError, match="in common"):
         dedup.scored_pairs(rows, threshold=0.4)

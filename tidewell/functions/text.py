@@ -54,6 +54,23 @@ def _ratio(a: pa.Array, b: pa.Array, least: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
+def letters(title: Column) -> Column:
+    """How often each character of the lower-cased title occurs, as a map; null for a null title and for scripts in which lower case could differ between the JVM and Python."""
+    plain = title.rlike(r"^[\x00-\x7FÀ-ÿ\u3000-\u9FFF]*$")
+
+    def count(chars: Column) -> Column:
+        return F.map_from_entries(F.transform(F.array_distinct(chars), lambda c: F.struct(c, F.size(F.filter(chars, lambda x: x == c)))))
+
+    return F.when(plain, once(F.filter(F.split(F.lower(title), ""), lambda c: c != ""), count))
+
+
+def title_bound(first: Column, second: Column) -> Column:
+    """The most that ``title_similarity`` can be for titles with such ``letters``: by the characters that they share. 1 if unknown."""
+    shared = F.aggregate(F.map_entries(first), F.lit(0), lambda n, e: n + F.least(e["value"], F.coalesce(F.try_element_at(second, e["key"]), F.lit(0))))
+    total = lambda m: F.aggregate(F.map_values(m), F.lit(0), lambda n, v: n + v)
+    return F.coalesce(F.try_divide(shared * 2.0, total(first) + total(second)), F.lit(1.0))
+
+
 def title_similarity(first: Column, second: Column, least: Column | None = None) -> Column:
     """From 0 to 1; 0 if either is missing. It isn't symmetric: the earlier title comes first.
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import resolve_date, within_hours
 from ..functions.sets import feature_categories, jaccard_of_sets, lower_set
-from ..functions.text import title_similarity
+from ..functions.text import letters, title_bound, title_similarity
 from ..tables import materialise
 from .components import connected_components
 
@@ -24,7 +24,7 @@ def prepare(articles: DataFrame) -> DataFrame:
         lower_set(F.col("brands_mentioned")).alias("brands"), lower_set(F.col("vehicles_mentioned")).alias("vehicles"), F.transform(feature_categories(F.col("features_extracted")), F.lower).alias("categories"),
     )
     tagged = F.array_union(F.transform("brands", lambda b: F.concat(F.lit("b"), b)), F.transform("vehicles", lambda v: F.concat(F.lit("v"), v)))
-    return out.where("at IS NOT NULL").withColumn("tokens", tagged).withColumn("categories", F.array_distinct("categories"))
+    return out.where("at IS NOT NULL").withColumn("tokens", tagged).withColumn("categories", F.array_distinct("categories")).withColumn("letters", letters(F.col("title")))
 
 
 def candidate_pairs(prepared: DataFrame, hours: int = WINDOW_HOURS) -> DataFrame:
@@ -38,7 +38,7 @@ def candidate_pairs(prepared: DataFrame, hours: int = WINDOW_HOURS) -> DataFrame
 
 
 def _met(prepared: DataFrame, hours: int, keys: Column, first: Column) -> DataFrame:
-    rows = prepared.drop("title").withColumn("span", F.floor(F.unix_seconds("at") / F.lit(3600 * hours))).withColumn("keys", keys).where(F.size("keys") > 0)
+    rows = prepared.drop("title", "letters").withColumn("span", F.floor(F.unix_seconds("at") / F.lit(3600 * hours))).withColumn("keys", keys).where(F.size("keys") > 0)
     row = F.struct(*(c for c in rows.columns if c not in ("span", "keys")))
     left = rows.select(F.explode("keys").alias("key"), "span", row.alias("a"))
     right = rows.select(F.explode("keys").alias("key"), F.explode(F.array(F.col("span") - 1, F.col("span"), F.col("span") + 1)).alias("span"), row.alias("b"))
@@ -72,10 +72,10 @@ def hopeful_pairs(prepared: DataFrame, threshold: float = THRESHOLD, hours: int
 
 
 def with_titles(pairs: DataFrame, prepared: DataFrame) -> DataFrame:
-    """``pairs`` with ``a_title`` and ``b_title``."""
-    named = prepared.select("ord", "title")
-    out = pairs.join(named.select(F.col("ord").alias("__a"), F.col("title").alias("a_title")), F.col("a.ord") == F.col("__a"))
-    return out.join(named.select(F.col("ord").alias("__b"), F.col("title").alias("b_title")), F.col("b.ord") == F.col("__b")).drop("__a", "__b")
+    """``pairs`` with ``a_title``, ``b_title`` and ``bound``, the most that their similarity can be."""
+    side = lambda x: prepared.select(F.col("ord").alias(f"__{x}"), F.col("title").alias(f"{x}_title"), F.col("letters").alias(f"{x}_letters"))
+    out = pairs.join(side("a"), F.col("a.ord") == F.col("__a")).join(side("b"), F.col("b.ord") == F.col("__b"))
+    return out.withColumn("bound", title_bound(F.col("a_letters"), F.col("b_letters"))).drop("__a", "__b", "a_letters", "b_letters")
 
 
 def set_scores() -> tuple[Column, Column, Column]:
@@ -92,7 +92,7 @@ def scored_pairs(articles: DataFrame, threshold: float = THRESHOLD, hours: int =
     prepared = materialise(prepare(articles), "prepared")  # both sides of the join and the titles read it
     pairs = hopeful_pairs(prepared, threshold, hours).withColumns({"brand": brand, "vehicle": vehicle, "category": category})
     rest = F.col("brand") * BRANDS + F.col("vehicle") * VEHICLES + F.col("category") * CATEGORIES + CLOSE
-    needed = with_titles(pairs.where(rest >= threshold - TITLE - 1e-9), prepared).withColumn("least", (F.lit(threshold) - rest) / TITLE)
+    needed = with_titles(pairs.where(rest >= threshold - TITLE - 1e-9), prepared).withColumn("least", (F.lit(threshold) - rest) / TITLE).where(F.col("bound") >= F.col("least") - 1e-9)
     hopeful = needed.withColumn("title", title_similarity(F.col("a_title"), F.col("b_title"), F.col("least")))
     score = F.lit(TITLE) * F.col("title") + F.lit(BRANDS) * F.col("brand") + F.lit(VEHICLES) * F.col("vehicle") + F.lit(CATEGORIES) * F.col("category") + F.lit(CLOSE)
     return hopeful.withColumn("score", score).where(F.col("score") >= threshold).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.ord").alias("a_ord"), F.col("b.ord").alias("b_ord"), "score", "title")

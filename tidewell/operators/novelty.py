@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.sets import feature_categories, jaccard_of_sets, lower_set, present
-from ..functions.text import title_similarity
+from ..functions.text import letters, title_bound, title_similarity
 from ..tables import materialise
 
 # Weights of title, brands, content and type for articles; of type, brands, features and sources for signals.
@@ -109,8 +109,7 @@ def article_novelty(batch: DataFrame, recent: DataFrame) -> DataFrame:
     best similarity without them.
     """
     size = batch.count()
-    a = prepare_articles(batch).select(F.struct("*").alias("a"))
-    b = prepare_articles(recent).select(F.struct("*").alias("b"))
+    a, b = (prepare_articles(x).withColumn("letters", letters(F.col("title"))).select(F.struct("*").alias(side)) for x, side in ((batch, "a"), (recent, "b")))
     if size <= BATCH:
         met = b.join(F.broadcast(a), _others())
     else:
@@ -118,12 +117,13 @@ def article_novelty(batch: DataFrame, recent: DataFrame) -> DataFrame:
         dealt = a.withColumn("block", F.pmod(F.xxhash64("a.id"), F.lit(blocks)).cast("int"))
         met = b.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(dealt, "block").where(_others()).drop("block")
     brand, content, kind = _set_similarity()
-    rest = met.select(F.col("a.id").alias("id"), F.col("a.title").alias("a_title"), F.col("b.title").alias("b_title"), (brand * ARTICLE_BRANDS + content * ARTICLE_CONTENT + kind * ARTICLE_TYPE).alias("rest"))
+    rest = met.select(F.col("a.id").alias("id"), F.col("a.title").alias("a_title"), F.col("b.title").alias("b_title"), F.col("a.letters").alias("a_letters"), F.col("b.letters").alias("b_letters"), (brand * ARTICLE_BRANDS + content * ARTICLE_CONTENT + kind * ARTICLE_TYPE).alias("rest"))
     floor = materialise(rest.groupBy("id").agg(F.max("rest").alias("floor")), "floor")  # a row for each article of the batch
     left = rest.join(floor, "id").where(F.col("rest") + ARTICLE_TITLE >= F.col("floor") - 1e-9)
     need = (F.col("floor") - F.col("rest")) / ARTICLE_TITLE
+    may = left.where(title_bound(F.col("a_letters"), F.col("b_letters")) >= need - 1e-9)  # before any title goes to Python
     score = F.lit(ARTICLE_TITLE) * title_similarity(F.col("a_title"), F.col("b_title"), need) + F.col("rest")
-    best = left.withColumn("score", score).groupBy("id").agg(F.max("score").alias("greatest"))
+    best = may.withColumn("score", score).groupBy("id").agg(F.max("score").alias("greatest"))
     return batch.select("id").join(best, "id", "left").select("id", novelty(F.col("greatest")).alias("novelty"))
 
 
