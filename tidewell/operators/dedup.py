@@ -48,13 +48,14 @@ def _met(prepared: DataFrame, hours: int, keys: Column, first: Column) -> DataFr
     ).select("a", "b")
 
 
-def hopeful_pairs(prepared: DataFrame, threshold: float = THRESHOLD, hours: int = WINDOW_HOURS) -> DataFrame:
-    """Candidate pairs that can reach ``threshold`` with equal titles, found by keys that fewer articles share than a token.
+def meeting_keys(prepared: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``prepared`` with ``met_by``: keys of which any pair that can reach ``threshold`` with equal titles has one in common.
 
-    Title and closeness give 0.4 at most, so brands, vehicles and categories must give the rest, ``need``. Two pairs of
-    keys hold every such pair. Either the vehicles give something: such articles share a vehicle. Or they give nothing:
-    then the brands must have a similarity of at least (need - categories) / brands. Two sets that similar share one of
-    the first brands of each, in any fixed order of all brands, and a brand's place in that order is that of its hash.
+    Fewer articles share them than a token. Title and closeness give 0.4 at most, so brands, vehicles and categories must
+    give the rest, ``need``. Two kinds of keys hold every such pair. Either the vehicles give something: such articles
+    share a vehicle. Or they give nothing: then the brands must have a similarity of at least (need - categories) / brands.
+    Two sets that similar share one of the first brands of each, in any fixed order of all brands, and a brand's place in
+    that order is that of its hash.
 
     Up to 0.55, title, closeness and categories are enough by themselves: then articles meet on their categories, too,
     which many share. Up to 0.4 there is nothing that a pair must share, so such a threshold is refused.
@@ -68,7 +69,12 @@ def hopeful_pairs(prepared: DataFrame, threshold: float = THRESHOLD, hours: int
     rows = prepared.drop("tokens").withColumn("met_by", F.when(F.size("brands") > 0, keys).otherwise(F.transform("vehicles", lambda v: F.concat(F.lit("v"), v))))
     if threshold <= TITLE + CLOSE + CATEGORIES + 1e-9:
         rows = rows.withColumn("met_by", F.array_union("met_by", F.transform("categories", lambda c: F.concat(F.lit("c"), c))))
-    return _met(rows, hours, F.col("met_by"), F.array_min(F.array_intersect("a.met_by", "b.met_by")))
+    return rows
+
+
+def hopeful_pairs(prepared: DataFrame, threshold: float = THRESHOLD, hours: int = WINDOW_HOURS) -> DataFrame:
+    """Candidate pairs that can reach ``threshold`` with equal titles, found by their ``meeting_keys``."""
+    return _met(meeting_keys(prepared, threshold), hours, F.col("met_by"), F.array_min(F.array_intersect("a.met_by", "b.met_by")))
 
 
 def with_titles(pairs: DataFrame, prepared: DataFrame) -> DataFrame:
@@ -88,11 +94,16 @@ def scored_pairs(articles: DataFrame, threshold: float = THRESHOLD, hours: int =
     Everything but the title is scored first; the title ratio runs only where it can still lift a pair to the threshold.
     The terms are added in a fixed order, so sums at the threshold come out alike.
     """
-    brand, vehicle, category = set_scores()
     prepared = materialise(prepare(articles), "prepared")  # both sides of the join and the titles read it
-    pairs = hopeful_pairs(prepared, threshold, hours).withColumns({"brand": brand, "vehicle": vehicle, "category": category})
+    return score_pairs(hopeful_pairs(prepared, threshold, hours), prepared, threshold)
+
+
+def score_pairs(pairs: DataFrame, titles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Those of ``pairs`` that score at least ``threshold``; ``titles`` has ``ord``, ``title`` and ``letters``."""
+    brand, vehicle, category = set_scores()
+    pairs = pairs.withColumns({"brand": brand, "vehicle": vehicle, "category": category})
     rest = F.col("brand") * BRANDS + F.col("vehicle") * VEHICLES + F.col("category") * CATEGORIES + CLOSE
-    needed = with_titles(pairs.where(rest >= threshold - TITLE - 1e-9), prepared).withColumn("least", (F.lit(threshold) - rest) / TITLE).where(F.col("bound") >= F.col("least") - 1e-9)
+    needed = with_titles(pairs.where(rest >= threshold - TITLE - 1e-9), titles).withColumn("least", (F.lit(threshold) - rest) / TITLE).where(F.col("bound") >= F.col("least") - 1e-9)
     hopeful = needed.withColumn("title", title_similarity(F.col("a_title"), F.col("b_title"), F.col("least")))
     score = F.lit(TITLE) * F.col("title") + F.lit(BRANDS) * F.col("brand") + F.lit(VEHICLES) * F.col("vehicle") + F.lit(CATEGORIES) * F.col("category") + F.lit(CLOSE)
     return hopeful.withColumn("score", score).where(F.col("score") >= threshold).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.ord").alias("a_ord"), F.col("b.ord").alias("b_ord"), "score", "title")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sets import jaccard
-from ..operators import dedup, novelty, signals
+from ..operators import block_index, dedup, novelty, signals
 from ..operators.components import Components, connected_components, no_components, with_edges
 from ..sources import queues, snapshots
 from ..tables import materialise, workspace
@@ -107,6 +107,15 @@ def dedup_two_runs(spark, sf_dir):
     return dedup.mark_duplicates(every, dedup_groups_of(every)).select("id", "is_duplicate", "canonical_article_id", "duplicate_group_id")
 
 
+def dedup_indexed_pairs(spark, sf_dir):
+    """Pairs with equal titles that three runs find, each comparing its third of the articles with the index of all before it."""
+    rows, store = articles(spark, sf_dir), snapshots.RunStore(spark, workspace(spark, "blocks"))
+    index = block_index.BlockIndex(store, buckets=64)
+    for run in range(3):
+        block_index.duplicate_run(index, f"run {run}", rows.where(F.pmod("ord", F.lit(3)) == run), buckets=64)
+    return store.read("pairs").where("title = 1").select("a", "b", "run", F.round("score", 6).alias("score"))
+
+
 def _signal(rule, *fields):
     """The candidates of a rule; of what set it off the named fields, long ones as their MD5."""
 
@@ -222,6 +231,7 @@ QUERIES = {
     "dedup_full_pairs": dedup_full_pairs,
     "dedup_full_groups": dedup_full_groups,
     "dedup_two_runs": dedup_two_runs,
+    "dedup_indexed_pairs": dedup_indexed_pairs,
     "signal_trickle_down": signal_trickle_down,
     "signal_trickle_down_rows": signal_trickle_down_rows,
     **{name: _signal(rule, *RULES[name][3]) for name, rule in _RULE_OF.items()},
@@ -258,6 +268,9 @@ SELECT id, source_name FROM b UNION ALL SELECT id, source_name FROM a WHERE proc
     "dedup_set_score_pairs": f"WITH {ARTICLES}, {PAIRS} SELECT a, b, round(brand * 0.25 + vehicle * 0.2 + category * 0.15 + 0.1, 6) AS score FROM p",
     "dedup_components": f"WITH RECURSIVE {_EXACT} SELECT id, component FROM c",
     "components_in_batches": f"WITH RECURSIVE {_EXACT} SELECT id, component FROM c",
+    "dedup_indexed_pairs": f"""WITH {ARTICLES}, {PAIRS.replace("x.title_en = y.title_en", "lower(x.title_en) = lower(y.title_en)")}
+SELECT a, b, 'run ' || greatest(a_ord % 3, b_ord % 3)::VARCHAR AS run, round(0.3 + brand * 0.25 + vehicle * 0.2 + category * 0.15 + 0.1, 6) AS score FROM p
+WHERE same_title AND 0.3::DOUBLE + 0.25::DOUBLE * brand + 0.2::DOUBLE * vehicle + 0.15::DOUBLE * category + 0.1::DOUBLE >= 0.75::DOUBLE""",
     "dedup_groups": f"{_GROUPS} SELECT canonical_id, duplicate_group_id, member_ids, (SELECT count(*) FROM l JOIN c ON c.id = l.a_ord WHERE c.component = k.component) AS n_links FROM k",
     "dedup_marked": f"""{_GROUPS} SELECT a.id, CASE WHEN canonical_id IS NOT NULL THEN a.id <> canonical_id END AS is_duplicate, CASE WHEN a.id <> canonical_id THEN canonical_id END AS canonical_article_id, duplicate_group_id
 FROM a LEFT JOIN c ON c.id = a.ord LEFT JOIN k ON k.component = c.component""",
