@@ -1,10 +1,13 @@
-"""Queries on runs and streams, over the events."""
+"""Queries on runs and streams, over the events and conversations."""
 
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import runs
+from ..sources import batch_calls, snapshots
 from ..streaming import incremental
 from ..tables import workspace, table
 from . import pipelines
@@ -63,7 +66,21 @@ def batch_progress(spark, sf_dir):
     return runs.batch_progress(table(spark, sf_dir, "events").select(F.col("user_id").alias("batch_id"), state.alias("state")))
 
 
+def batch_answers(spark, sf_dir):
+    """Users' turns as requests, the assistant's next turns as their answers, one in seven a failure; two attempts, an hour each."""
+    turns = table(spark, sf_dir, "conversations").select("*", *(F.lead(c).over(W.partitionBy("conv_id").orderBy("turn")).alias(f"next_{c}") for c in ("role", "text")))
+    asked = turns.where("role = 'user'").withColumn("request_id", F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")))
+    answers = asked.where("next_role = 'assistant' AND next_text IS NOT NULL").select("request_id", (F.length("next_text") % 7 > 0).alias("ok"), F.col("next_text").alias("answer"))
+    store = snapshots.RunStore(spark, workspace(spark, "batch-calls"))
+    calls = batch_calls.BatchCalls(store, batch_calls.FolderService(f"{store.root}/outbox", answers), retries=1, max_age=3600, buckets=64)
+    calls.enqueue("prompts", asked.select("request_id", F.col("text").alias("prompt")), AS_OF)
+    for hour in range(0, 8, 2):
+        calls.tick(f"tick{hour}", AS_OF + timedelta(hours=hour))
+    return calls.requests().select("request_id", "state", "attempts", F.md5("answer").alias("answer_md5"))
+
+
 QUERIES = {
+    "batch_answers": batch_answers,
     "ingest_articles": lambda s, d: ingest_run(s, d).articles.select("id", "source_name", "source_url", "processed"),
     "ingest_health": lambda s, d: ingest_run(s, d).health.select("source_name", "status", "requests_made", "articles_ingested", "error_count", F.get(F.col("errors"), F.lit(0))["url"].alias("first_error"), F.size("errors").alias("n_listed")),
     "batch_progress": batch_progress,
@@ -89,6 +106,10 @@ ORACLE_SQL = {
   arg_min('https://example.org/e/' || lpad(event_id::VARCHAR, 9, '0'), (ts, event_id)) FILTER (event_type = 'error') AS first_error FROM events GROUP BY 1), n AS (SELECT src, count(*) AS n FROM i GROUP BY 1),
 s AS (SELECT 'source' || k::VARCHAR AS src FROM range(10) t(k)), h AS (SELECT s.src, coalesce(asked, 0) AS asked, coalesce(failed, 0) AS failed, coalesce(n, 0) AS n, first_error FROM s LEFT JOIN e ON e.src = s.src LEFT JOIN n ON n.src = s.src)
 SELECT src AS source_name, CASE WHEN failed = 0 THEN 'success' WHEN n > 0 THEN 'partial' ELSE 'failure' END AS status, asked AS requests_made, n AS articles_ingested, failed AS error_count, first_error, least(failed, 100)::INT AS n_listed FROM h""",
+    "batch_answers": """WITH t AS (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+q AS (SELECT conv_id || '/' || turn AS request_id, text, CASE WHEN next_role = 'assistant' THEN next_text END AS answer FROM t WHERE role = 'user')
+SELECT request_id, CASE WHEN text IS NULL THEN 'canceled' WHEN answer IS NULL THEN 'expired' WHEN length(answer) % 7 = 0 THEN 'errored' ELSE 'succeeded' END AS state,
+  CASE WHEN text IS NULL THEN 0 WHEN answer IS NOT NULL AND length(answer) % 7 > 0 THEN 1 ELSE 2 END AS attempts, CASE WHEN text IS NOT NULL AND length(answer) % 7 > 0 THEN md5(answer) END AS answer_md5 FROM q""",
     "batch_progress": """SELECT user_id AS batch_id, count(*) FILTER (event_type = 'click') AS processing, count(*) FILTER (event_type = 'purchase') AS succeeded, count(*) FILTER (event_type NOT IN ('click', 'purchase', 'error', 'signup')) AS canceled,
   count(*) FILTER (event_type = 'signup') AS expired, count(*) FILTER (event_type = 'error') AS errored, count(*) AS total FROM events GROUP BY 1""",
     "run_summary_json": f"WITH {_LOG}, t AS (SELECT count(*) AS sources, sum(articles_ingested)::BIGINT AS articles_ingested, sum(error_count)::BIGINT AS errors, count(*) FILTER (status = 'failure') AS failed_sources FROM g) SELECT to_json(t)::VARCHAR AS summary FROM t",
