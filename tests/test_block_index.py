@@ -58,8 +58,8 @@ def test_the_index_is_joined_where_it_lies(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     lines = plan.splitlines()
     depth = lambda line: re.search(r"[A-Za-z(*]", line).start()
-    scans = [n for n, line in enumerate(lines) if "FileScan" in line and re.search("tidewell_(postings|titles)_", line)]
-    assert len(scans) == 3
+    scans = [n for n, line in enumerate(lines) if "FileScan" in line and re.search("tidewell_(postings|sets|titles)_", line)]
+    assert len(scans) == 5
     for n in scans:
         above, at = [], depth(lines[n])
         for line in reversed(lines[:n]):

@@ -30,7 +30,7 @@ class Added:
 
 
 class BlockIndex:
-    """Postings (``key``, ``span``, ``part``: an article without its title) and titles by ``ord``, as bucketed tables beside a run store.
+    """Postings (``key``, ``span``, ``part``: an article's number, source and time), sets and titles by ``ord``, as bucketed tables beside a run store.
 
     Each run appends its articles as one partition, ``attempt``, with a name of its own, and the store's table ``indexed``
     says which attempts count: what a dead run left is never read. A run joins its batch with the buckets, so the index is
@@ -63,9 +63,13 @@ class BlockIndex:
         return F.floor(F.unix_seconds("at") / F.lit(3600 * self.hours))
 
     def _postings(self, prepared: DataFrame) -> DataFrame:
-        rows = dedup.meeting_keys(prepared, self.threshold).drop("title", "letters").withColumn("span", self._span())
-        row = F.struct(*(c for c in rows.columns if c != "span"))
-        return rows.select(F.explode("met_by").alias("key"), "span", F.pmod(F.xxhash64("ord"), F.lit(self.parts)).cast("int").alias("part"), row.alias("row"))
+        rows = dedup.meeting_keys(prepared, self.threshold).where(F.size("met_by") > 0).select("ord", "source", "at", self._span().alias("span"), "met_by")
+        # Keys by their hash: two that fall together bring pairs that are scored like all others.
+        key = F.explode(F.transform("met_by", lambda k: F.xxhash64(k)))
+        return rows.select(key.alias("key"), "span", F.pmod(F.xxhash64("ord"), F.lit(self.parts)).cast("int").alias("part"), "ord", "source", "at")
+
+    def _sets(self, prepared: DataFrame) -> DataFrame:
+        return prepared.select("ord", self._span().alias("span"), "id", "brands", "vehicles", "categories")
 
     def _titles(self, prepared: DataFrame) -> DataFrame:
         return prepared.select("ord", self._span().alias("span"), "title", "letters")
@@ -91,6 +95,7 @@ class BlockIndex:
         attempt = uuid.uuid4().hex
         if low is not None:
             self._append(self._postings(batch), "postings", ["key", "span", "part"], attempt)
+            self._append(self._sets(batch), "sets", ["ord"], attempt)
             self._append(self._titles(batch), "titles", ["ord"], attempt)
         return Added(attempt, low, high), batch
 
@@ -110,20 +115,21 @@ class BlockIndex:
         The batch's own postings are in the index by then, so one join finds both: a pair within the batch is met from
         both sides and counts from the later one's.
         """
-        here = self._postings(batch)
-        rows = self._read("postings", here, "key, span, part", [added.attempt, *self._attempts(base, added.low, added.high)])
+        here, attempts = self._postings(batch), [added.attempt, *self._attempts(base, added.low, added.high)]
+        rows = self._read("postings", here, "key, span, part", attempts)
         if added.low is not None:
             rows = rows.where(F.col("span").between(added.low - 1, added.high + 1))
-        other = rows.select("key", "span", "part", F.col("row").alias("old"), (F.col("attempt") == added.attempt).alias("own"))
+        other = rows.select("key", "span", "part", *(F.col(c).alias(f"old_{c}") for c in ("ord", "source", "at")), (F.col("attempt") == added.attempt).alias("own"))
         near = F.explode(F.array(F.col("span") - 1, F.col("span"), F.col("span") + 1))
-        asked = here.select("key", near.alias("span"), F.col("row").alias("new")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(self.parts - 1))))
+        asked = here.select("key", near.alias("span"), "ord", "source", "at").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(self.parts - 1))))
         met = other.join(asked, ["key", "span", "part"]).where(
-            F.when(F.col("own"), F.col("old.ord") < F.col("new.ord")).otherwise(F.col("old.ord") != F.col("new.ord"))
-            & ~F.col("old.source").eqNullSafe(F.col("new.source")) & within_hours(F.col("old.at"), F.col("new.at"), self.hours)
-            & (F.array_min(F.array_intersect("old.met_by", "new.met_by")) == F.col("key"))
+            F.when(F.col("own"), F.col("old_ord") < F.col("ord")).otherwise(F.col("old_ord") != F.col("ord")) & ~F.col("old_source").eqNullSafe(F.col("source")) & within_hours(F.col("old_at"), F.col("at"), self.hours)
         )
-        first = F.col("old.ord") < F.col("new.ord")
-        return met.select(F.when(first, F.col("old")).otherwise(F.col("new")).alias("a"), F.when(first, F.col("new")).otherwise(F.col("old")).alias("b"))
+        # A pair is met under each key in common; it counts once, before any set is read.
+        pairs = met.select(F.least("old_ord", "ord").alias("a_ord"), F.greatest("old_ord", "ord").alias("b_ord")).distinct()
+        sets = self._read("sets", self._sets(batch), "ord", attempts)
+        side = lambda x: sets.select(F.col("ord").alias(f"{x}_ord"), F.struct("id", "ord", "brands", "vehicles", "categories").alias(x))
+        return pairs.join(side("a"), "a_ord").join(side("b"), "b_ord").select("a", "b")
 
     def pairs(self, base: Snapshot, added: Added, batch: DataFrame) -> DataFrame:
         """``dedup.scored_pairs`` of the batch with everything before it and within it; titles are read from their buckets."""
