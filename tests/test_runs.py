@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewell import tables
 from tidewell.functions import text
-from tidewell.operators import components, dedup, entities, listings, novelty, web
+from tidewell.operators import components, dedup, entities, listings, novelty, signals, web
 from tidewell.plans import fixtures, pipelines
 from tidewell.plans.store_queries import maker_model
 from tidewell.sources import snapshots
@@ -120,6 +120,17 @@ def test_set_novelty_leaves_out_the_own_group(rows):
     assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+def test_matches_of_a_rule_are_counted_before_they_meet(spark, make):  # noqa: F811
+    feature = lambda name, at, new=True: (name, at, None, None, new)
+    some = make(article(0, features_extracted=[feature("x", "ota"), feature("y", "ota"), feature("z", "adas"), feature("w", "adas", False)]), article(1, features_extracted=[feature("x", "ota")], brands_mentioned=["nio"]))
+    known = spark.createDataFrame([("NIO", "ota", "f"), ("NIO", "ota", "f"), ("NIO", "adas", "f"), ("NIO", "adas", None), ("BYD", "ota", "f"), ("", "ota", "f")], "brand_name_en string, category string, feature_name_en string")
+    got = signals.trickle_down_totals(some, known)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1  # the articles; no match
+    assert {tuple(r) for r in got.collect()} == {("a0", "NIO", "f", 5), ("a0", "NIO", None, 1), ("a1", "BYD", "f", 1)}
+    matches = signals.trickle_down_matches(some, known).groupBy("id", "existing_brand", "existing_feature").agg(F.count("*").alias("n"))
+    assert {tuple(r) for r in matches.collect()} == {tuple(r) for r in got.collect()}
+
+
 def _second_phase(spark, articles, as_of, signals=None):
     known = spark.createDataFrame([("BYD", "adas", "Pilot", None, "1")], "brand_name_en string, category string, feature_name_en string, first_seen_date timestamp, id string")
     aliases, meta = spark.createDataFrame(ALIASES, "alias string, canonical string"), spark.createDataFrame([("BYD", "g"), ("NIO", "g")], "name_en string, parent_group string")
