@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewell import tables
 from tidewell.functions import text
 from tidewell.operators import components, dedup, entities, listings, novelty, signals, web
-from tidewell.plans import fixtures, pipelines
+from tidewell.plans import corpus_queries, fixtures, pipelines
 from tidewell.plans.store_queries import maker_model
 from tidewell.sources import snapshots
 
@@ -76,6 +76,16 @@ def test_no_set_is_shuffled_for_each_of_its_members(spark, rows, pairs):
     assert len(sides) == 2 and all(re.fullmatch("key|met|[xy]_(span|ord|source|at|n_brands|n_vehicles)", c) for side in sides for c in side)
 
 
+def test_two_runs_store_no_texts(spark):
+    n = len(tables._made)
+    corpus_queries.dedup_two_runs(spark, SF)
+    stored = [p for p in tables._made[n:] if "-first-run-" in p or "-second-run-" in p]
+    assert len(stored) == 2
+    for path in stored:
+        got = spark.read.parquet(path)
+        assert "body_en" not in got.columns and got.where("exists(features_extracted, f -> f.description IS NOT NULL)").isEmpty()
+
+
 def test_the_bound_of_a_title_is_never_under_its_ratio(spark):
     rng = random.Random(8)
     titles = ["".join(rng.choice("abAB éÉüß漢字 x") for _ in range(rng.randint(0, 14))) for _ in range(60)] + ["", "İstanbul ΑΣ", None]
