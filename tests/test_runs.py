@@ -141,6 +141,12 @@ def test_matches_of_a_rule_are_counted_before_they_meet(spark, make):  # noqa: F
     assert {tuple(r) for r in matches.collect()} == {tuple(r) for r in got.collect()}
 
 
+def test_set_novelty_sends_no_terms_to_all_tasks(rows):
+    plan = novelty.article_set_novelty(rows, rows)._jdf.queryExecution().executedPlan().toString()
+    joins = re.findall(r"(\w+Join)\w*,? \[(term)#", plan)
+    assert joins == [("SortMergeJoin", "term")] and "array_intersect(a" not in re.search(r"SortMergeJoin \[term#.*", plan)[0]
+
+
 def _second_phase(spark, articles, as_of, signals=None):
     known = spark.createDataFrame([("BYD", "adas", "Pilot", None, "1")], "brand_name_en string, category string, feature_name_en string, first_seen_date timestamp, id string")
     aliases, meta = spark.createDataFrame(ALIASES, "alias string, canonical string"), spark.createDataFrame([("BYD", "g"), ("NIO", "g")], "name_en string, parent_group string")

@@ -80,22 +80,30 @@ def article_set_novelty(articles: DataFrame, recent: DataFrame) -> DataFrame:
     """Novelty of every article by brands, content and type alone.
 
     Articles with equal sets and type count as one, with the smallest and the largest identity. These meet on brands and
-    on content that is no category, each pair under its first common term; a pair that has only categories in common has
-    what ``_by_category`` gives, so that no join is on the few categories that all articles share.
+    on content that is no category; a pair that has only categories in common has
+    what ``_by_category`` gives, so that no join is on the few categories that all articles share. Common terms are counted
+    as they are met: what is joined on them has a form's name and no set, for rows with sets grew with the square of an
+    article's length, and small as they were when compressed, the planner sent them to all tasks.
     """
-    terms = F.array_union(F.transform("brands", lambda b: F.concat(F.lit("b"), b)), F.transform(F.array_except("content", F.array(*(F.lit(c) for c in CATEGORIES))), lambda c: F.concat(F.lit("c"), c)))
+    fixed = F.array(*(F.lit(c) for c in CATEGORIES))
+    terms = F.array_union(F.transform("brands", lambda b: F.concat(F.lit("b"), b)), F.transform(F.array_except("content", fixed), lambda c: F.concat(F.lit("c"), c)))
     sets = ["brands", "content", "kind", "primary"]
     form = F.md5(F.to_json(F.struct(F.array_sort("brands").alias("x"), F.array_sort("content").alias("y"), "kind", "primary")))
     prepared = lambda df: prepare_articles(df).withColumn("who", _who(F.col("group_id"), F.col("id"))).withColumn("form", form)
     a = materialise(prepared(articles).drop("title"), "article-sets")  # read several times
     b = a if recent is articles else materialise(prepared(recent).drop("title"), "article-sets")
-    mine = a.groupBy("form").agg(*(F.first(c).alias(c) for c in sets)).withColumn("terms", terms)
-    theirs = b.groupBy("form").agg(*(F.first(c).alias(c) for c in sets), F.min("who").alias("low"), F.max("who").alias("high")).withColumn("terms", terms)
-    met = mine.select(F.explode("terms").alias("term"), F.struct("*").alias("a")).join(theirs.select(F.explode("terms").alias("term"), F.struct("*").alias("b")), "term")
-    met = met.where(F.array_min(F.array_intersect("a.terms", "b.terms")) == F.col("term"))
-    brand, content, kind = _set_similarity()
-    scored = met.select(F.col("a.form").alias("form"), F.col("b.low").alias("low"), F.col("b.high").alias("high"), (brand * ARTICLE_BRANDS + content * ARTICLE_CONTENT + kind * ARTICLE_TYPE).alias("score"))
-    best = best_other(scored, ["form"], "score", "low", "high").withColumnRenamed("who", "of")
+    # A form's name is its smallest id, which is shorter than its hash. Its terms are shuffled, never sent to all tasks.
+    forms = lambda df: materialise(df.groupBy("form").agg(F.coalesce(F.min("id"), F.col("form")).alias("name"), *(F.first(c).alias(c) for c in sets), F.min("who").alias("low"), F.max("who").alias("high")), "article-forms")
+    mine = forms(a)
+    theirs = mine if b is a else forms(b)
+    met = mine.select("name", F.explode(terms).alias("term")).join(theirs.select(F.col("name").alias("other"), F.explode(terms).alias("term")).hint("merge"), "term").select("name", "other", F.col("term").startswith("b").alias("of_brand"))
+    common = met.repartition("name").groupBy("name", "other").agg(F.count_if("of_brand").alias("brands"), F.count_if(~F.col("of_brand")).alias("content"))
+    sizes = F.struct(F.size("brands").alias("brands"), F.size("content").alias("content"), F.array_intersect("content", fixed).alias("fixed"), "kind", "primary")
+    pairs = common.join(mine.select("name", sizes.alias("a")), "name").join(theirs.select(F.col("name").alias("other"), sizes.alias("b"), "low", "high"), "other")
+    alike = lambda n, both: F.coalesce(F.try_divide(both.cast("double"), (F.col(f"a.{n}") + F.col(f"b.{n}") - both).cast("double")), F.lit(0.0))
+    content = alike("content", F.col("content") + F.size(F.array_intersect("a.fixed", "b.fixed")))
+    score = alike("brands", F.col("brands")) * ARTICLE_BRANDS + content * ARTICLE_CONTENT + _set_similarity()[2] * ARTICLE_TYPE
+    best = best_other(pairs.select("name", "low", "high", score.alias("score")), ["name"], "score", "low", "high").withColumnRenamed("who", "of").join(mine.select("name", "form"), "name")
     by_terms = a.select("id", "form", "who").join(best, "form").select("id", F.when(F.col("of") == F.col("who"), F.col("second")).otherwise(F.col("best")).alias("greatest"))
     every = by_terms.unionByName(_by_category(a, b)).groupBy("id").agg(F.max("greatest").alias("greatest"))
     return articles.select("id").join(every, "id", "left").select("id", novelty(F.col("greatest")).alias("novelty"))
