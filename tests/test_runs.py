@@ -130,6 +130,40 @@ def test_set_novelty_leaves_out_the_own_group(rows):
     assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+SIGNALS = "id string, signal_type string, brands_mentioned array<string>, features_mentioned array<string>, source_article_ids array<string>"
+
+
+@pytest.mark.parametrize("other_recent", [False, True])
+def test_signal_novelty_equals_brute_force(spark, monkeypatch, other_recent):
+    """Brands of all frequencies, common ones asked for by size, ids that come again with other sets, types that are missing."""
+    monkeypatch.setattr(novelty, "COMMON", 4)
+    some, brands = random.Random(7), [f"b{i}" for i in range(50)]
+
+    def signal(name):
+        named = list(dict.fromkeys(some.choices(brands, [1 / (i + 1) for i in range(50)], k=some.choice([1, 2, 3, 5, 8, 20])))) if some.random() < 0.9 else None
+        return name, some.choice(["k1", "k1", "k2", "", None]), named, [f"f{some.randrange(12)}" for _ in range(some.choice([0, 1, 1, 3]))], [f"s{some.randrange(100)}"]
+
+    mine = [signal(f"a{i}") for i in range(100)]
+    mine += [(f"c{i}", *mine[i][1:]) for i in range(15)]
+    theirs = [signal(f"a{i}") for i in range(60)] + [signal(f"b{i}") for i in range(60)] if other_recent else mine
+    alike = lambda x, y: 0.3 * bool(x[1] and x[1] == y[1]) + 0.35 * _jaccard(x[2], y[2]) + 0.2 * _jaccard(x[3], y[3]) + 0.15 * _jaccard(x[4], y[4])
+    want = {x[0]: 1 - min(1, max(alike(x, y) for y in theirs if y[0] != x[0])) for x in mine}
+    a = spark.createDataFrame(mine, SIGNALS)
+    got = {r.id: r.novelty for r in novelty.signal_novelty(a, spark.createDataFrame(theirs, SIGNALS) if other_recent else a).collect()}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_a_brand_that_all_signals_have_makes_no_pairs(spark):
+    """A thousand signals with one brand in common and one of their own: as they have floors, no two of them are compared."""
+    rows = [(f"i{i}", "k", ["all", f"own{i}"], [], [f"s{i}"]) for i in range(1000)]
+    a = spark.createDataFrame(rows, SIGNALS).select("id", F.col("signal_type").alias("kind"), F.col("brands_mentioned").alias("brands"), F.col("features_mentioned").alias("features"), F.col("id").alias("form"))
+    units = novelty._units(a)
+    held = novelty._ordered(units, units.select(F.explode("brands").alias("brand")).groupBy("brand").agg(F.count("*").alias("held")).withColumn("term", F.monotonically_increasing_id()))
+    asked = held.join(novelty._floors(held, held), "unit")
+    assert novelty._rivals(asked, held).where("unit <> other").count() == 0
+    assert [r[0] for r in novelty.signal_novelty(spark.createDataFrame(rows, SIGNALS), spark.createDataFrame(rows, SIGNALS)).select(F.round("novelty", 6)).distinct().collect()] == [pytest.approx(round(1 - 0.3 - 0.35 / 3, 6))]
+
+
 def test_matches_of_a_rule_are_counted_before_they_meet(spark, make):  # noqa: F811
     feature = lambda name, at, new=True: (name, at, None, None, new)
     some = make(article(0, features_extracted=[feature("x", "ota"), feature("y", "ota"), feature("z", "adas"), feature("w", "adas", False)]), article(1, features_extracted=[feature("x", "ota")], brands_mentioned=["nio"]))

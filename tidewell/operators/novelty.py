@@ -135,45 +135,135 @@ def article_novelty(batch: DataFrame, recent: DataFrame) -> DataFrame:
     return batch.select("id").join(best, "id", "left").select("id", novelty(F.col("greatest")).alias("novelty"))
 
 
-def _tag(mark: str):
-    return lambda x: F.concat(F.lit(mark), x)
+def _units(prepared: DataFrame) -> DataFrame:
+    """Signals that are alike in type, brands and features count as one: ``unit`` (its number), with the smallest and the largest id."""
+    sets = [F.first(c).alias(c) for c in ("kind", "brands", "features")]
+    return materialise(prepared.groupBy("form").agg(*sets, F.min("id").alias("low"), F.max("id").alias("high")).withColumn("unit", F.monotonically_increasing_id()), "signal-units")
+
+
+#: Brands that stand side by side in a signal's sorted brands and are looked for together.
+RUNS = (1, 4)
+#: Brands that more units have are asked for by size, too.
+COMMON = 64
+
+
+def _ordered(units: DataFrame, terms: DataFrame) -> DataFrame:
+    """``units`` with ``n``, how many brands they have, and ``terms``, those brands that ``terms`` has a number for, the rarest first; the last ``common`` of them are those that many units have."""
+    known = units.select("unit", F.explode("brands").alias("brand")).join(terms, "brand").groupBy("unit").agg(F.transform(F.array_sort(F.collect_list(F.struct("held", "term"))), lambda t: t["term"]).alias("terms"), F.count_if(F.col("held") > COMMON).alias("common"))
+    return materialise(units.join(known, "unit").select("unit", "form", "kind", "features", F.size("brands").alias("n"), "terms", "common", "low", "high"), "signal-terms")
+
+
+def _floors(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """``unit`` and ``floor``: a similarity that every signal of the unit has at least with a recent one that isn't itself.
+
+    Nothing is compared. For each type and run of brands the two smallest sets that have it are known: with a set of m, a
+    set of n that has the same run of r has at least r / (n + m - r) in common. Two hashes name a run, since a false one
+    would promise too much. Two signals in a unit are as alike as can be.
+    """
+
+    def promises(units: DataFrame) -> DataFrame:
+        def of(run: int, tag: Column, features: float) -> Column:
+            place = F.when(F.size("terms") >= run, F.sequence(F.lit(1), F.size("terms") - run + 1)).otherwise(F.array().cast("array<int>"))
+            name = lambda i: [F.lit(run), tag, F.col("kind"), F.slice("sorted", i, F.lit(run))]
+            return F.transform(place, lambda i: F.struct(F.xxhash64(*name(i)).alias("h"), F.xxhash64(F.lit("2"), *name(i)).alias("h2"), F.lit(run).alias("run"), F.lit(features).alias("more")))
+
+        with_features = F.when(F.size("features") > 0, of(1, F.to_json("features"), SIGNAL_FEATURES)).otherwise(of(1, F.lit(""), 0.0).cast("array<struct<h:bigint,h2:bigint,run:int,more:double>>"))
+        named = F.array_distinct(F.concat(*(of(run, F.lit(""), 0.0) for run in RUNS), with_features))
+        return units.where("kind IS NOT NULL").withColumn("sorted", F.array_sort("terms")).select("unit", "n", "low", "high", F.explode(named).alias("k")).select("unit", "n", "low", "high", "k.*")
+
+    who = F.explode(F.array_distinct(F.transform(F.array("low", "high"), lambda x: F.xxhash64(x))))
+    turn = F.row_number().over(W.partitionBy("h", "h2").orderBy("n", "who"))
+    two = promises(theirs).select("h", "h2", "n", who.alias("who")).withColumn("turn", turn).where("turn <= 2")
+    of = lambda t, c: F.max(F.when(F.col("turn") == t, F.col(c)))
+    held = two.groupBy("h", "h2").agg(of(1, "n").alias("m1"), of(1, "who").alias("who1"), of(2, "n").alias("m2"), of(2, "who").alias("who2")).where("who2 <> who1")
+    other = F.when((F.col("low") == F.col("high")) & (F.xxhash64("low") != F.col("who1")), F.col("m1")).otherwise(F.col("m2"))
+    run = F.col("run").cast("double")
+    floors = promises(mine).join(held, ["h", "h2"]).groupBy("unit").agg(F.max(run / (F.col("n") + other - run) * SIGNAL_BRANDS + F.col("more") + SIGNAL_TYPE).alias("floor"))
+    several = theirs.groupBy("kind").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high").select("kind", F.lit(SIGNAL_TYPE).alias("typed"))
+    same = SIGNAL_BRANDS + F.when(F.size("features") > 0, SIGNAL_FEATURES).otherwise(0.0) + F.when(F.col("kind").isNotNull(), SIGNAL_TYPE).otherwise(0.0)
+    whole = theirs.where("low <> high").select("form", same.alias("whole"))
+    all_of = mine.select("unit", "form", "kind").join(floors, "unit", "left").join(several, "kind", "left").join(whole, "form", "left")
+    return all_of.select("unit", F.coalesce(F.greatest("floor", "typed", "whole"), F.lit(0.0)).alias("floor"))
+
+
+def _rivals(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """``unit`` and ``other``: all pairs with a brand in common that can be more alike than the ``floor`` of ``mine``.
+
+    They meet on their first common brand, the rarest first, and differ in what else they have in common: type and a
+    feature, type, a feature, or nothing. Each leaves so much for the brands to give, ``need``. As far as a set of n can
+    have r brands in common from there on, the other has at most r * (1 + 1 / need) - n of them, so a brand that many
+    have is asked for among small sets only: there sets lie in classes by the size's power of two.
+    """
+    none = F.array().cast("array<struct<group:bigint,base:double>>")
+    group = lambda base, *name: F.struct(F.xxhash64(F.lit(str(base)), *name).alias("group"), F.lit(base).alias("base"))
+    typed = F.col("kind").isNotNull()
+    groups = F.concat(
+        F.array(group(0.0)), F.when(typed, F.array(group(SIGNAL_TYPE, F.col("kind")))).otherwise(none), F.transform("features", lambda f: group(SIGNAL_FEATURES, f)),
+        F.when(typed, F.transform("features", lambda f: group(SIGNAL_TYPE + SIGNAL_FEATURES, F.col("kind"), f))).otherwise(none),
+    )
+    need = lambda floor: F.greatest((floor - F.col("base")) / SIGNAL_BRANDS, F.lit(1e-9))
+    size = lambda n: F.floor(F.log2(n)).cast("int")
+    by_size = lambda of: F.when(F.col("left") <= F.col("common"), of).otherwise(F.array(F.lit(-1)))
+    rows = lambda df: df.withColumn("g", F.explode(groups)).select("*", "g.*").drop("g")
+    key = F.xxhash64("group", "term").alias("key")
+    asked = rows(mine).withColumn("need", need(F.col("floor"))).select("unit", "n", "need", "group", "common", F.size("terms").alias("known"), F.posexplode("terms").alias("at", "term"))
+    asked = asked.select("unit", "n", "need", "common", key, (F.col("known") - F.col("at")).alias("left"))
+    least, most = F.greatest(F.lit(1), F.ceil(F.col("n") * F.col("need") - 1e-9)), F.floor(F.least(F.col("left") * (1 + 1 / F.col("need")) - F.col("n") + 1e-9, F.lit(2.0**30)))
+    asked = asked.where(least <= most).withColumn("class", F.explode(by_size(F.sequence(size(least), size(most))))).drop("common")
+    lowest = mine.agg(F.min("floor")).first()[0]  # what no unit is under
+    kept = rows(theirs).withColumn("lowest", need(F.lit(lowest).cast("double"))).select("unit", "n", "lowest", "group", "common", F.size("terms").alias("known"), F.posexplode("terms").alias("at", "term")).withColumn("left", F.col("known") - F.col("at"))
+    kept = kept.where(F.col("left") >= F.col("n") * F.col("lowest") - 1e-9).select(F.col("unit").alias("other"), F.col("n").alias("m"), key, F.col("left").alias("their_left"), by_size(F.array(size(F.col("n"))))[0].alias("class"))
+    reach = F.least("left", "their_left") * (1 + F.col("need")) > (F.col("n") + F.col("m")) * F.col("need") * (1 + 1e-12)
+    return asked.join(kept, ["key", "class"]).where(reach).select("unit", "other").distinct()
 
 
 def signal_novelty(signals: DataFrame, recent: DataFrame) -> DataFrame:
     """Novelty of every signal by type, brands, features and source articles.
 
-    A pair that shares none of these has similarity 0. Signals with equal brands and features count as one form. Forms
-    meet on brands and features, and a form's types say whether the type is in common too. Pairs with a source in common
-    are compared one by one, and the type alone gives 0.3 if another recent signal has it.
+    A pair that shares none of these has similarity 0. Signals of one type with equal brands and features count as one
+    unit. A unit has a floor that needs no comparison (``_floors``), and sets are read only for pairs with a brand in common
+    that can be above it (``_rivals``), so a brand that a tenth of all signals have makes no pair of each two of them. What
+    features give without brands is compared between sets of features, pairs with a source in common are compared one by
+    one, and the type alone gives 0.3 if another recent signal has it.
     """
 
     def prepared(df: DataFrame) -> DataFrame:
         sets = df.select("id", F.nullif("signal_type", F.lit("")).alias("kind"), *(lower_set(F.col(c)).alias(n) for c, n in (("brands_mentioned", "brands"), ("features_mentioned", "features"), ("source_article_ids", "sources"))))
-        return sets.withColumns({"brands": F.array_sort("brands"), "features": F.array_sort("features")}).withColumn("form", F.md5(F.to_json(F.struct("brands", "features"))))
+        return sets.withColumns({"brands": F.array_sort("brands"), "features": F.array_sort("features")}).withColumn("form", F.md5(F.to_json(F.struct("kind", "brands", "features"))))
 
     a = materialise(prepared(signals), "signal-sets")  # read several times
     b = a if recent is signals else materialise(prepared(recent), "signal-sets")
-    terms = F.array_union(F.transform("brands", _tag("b")), F.transform("features", _tag("f")))
-    forms = lambda df: df.groupBy("form").agg(F.first("brands").alias("brands"), F.first("features").alias("features")).withColumn("terms", terms)
-    met = forms(a).select(F.explode("terms").alias("term"), F.struct("*").alias("a")).join(forms(b).select(F.explode("terms").alias("term"), F.struct("*").alias("b")), "term")
-    met = met.where(F.array_min(F.array_intersect("a.terms", "b.terms")) == F.col("term"))
-    brands, features = (jaccard_of_sets(F.col(f"a.{n}"), F.col(f"b.{n}")) for n in ("brands", "features"))
-    pairs = met.select(F.col("a.form").alias("form"), F.col("b.form").alias("other"), (brands * SIGNAL_BRANDS + features * SIGNAL_FEATURES).alias("score"))
-    held = b.groupBy("form", "kind").agg(F.min("id").alias("low"), F.max("id").alias("high")).withColumnRenamed("form", "other")
-    asked = a.select("form", "kind").distinct()
-    scored = asked.join(pairs, "form").join(held.withColumnRenamed("kind", "their"), "other")
-    same = F.when(F.coalesce(F.col("kind") == F.col("their"), F.lit(False)), SIGNAL_TYPE).otherwise(0.0)
-    scored = scored.select("form", F.coalesce("kind", F.lit("")).alias("kind"), "low", "high", (F.col("score") + same).alias("score"))
-    best = best_other(scored, ["form", "kind"], "score", "low", "high")
-    by_form = a.select("id", "form", F.coalesce("kind", F.lit("")).alias("kind")).join(best, ["form", "kind"]).select("id", F.when(F.col("who") == F.col("id"), F.col("second")).otherwise(F.col("best")).alias("greatest"))
+    kinds = b.where("kind IS NOT NULL").groupBy("kind").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    mine = _units(a)
+    theirs = mine if b is a else _units(b)
+    terms = materialise(theirs.select(F.explode("brands").alias("brand")).groupBy("brand").agg(F.count("*").alias("held")).withColumn("term", F.monotonically_increasing_id()), "brands")
+    asked = _ordered(mine, terms)
+    held = asked if b is a else _ordered(theirs, terms)
+    asked = materialise(asked.join(_floors(asked, held), "unit"), "signal-floors")
+    sets = lambda df, x: df.select(F.struct("kind", "features", "n", "terms", *(["floor"] if x == "a" else [])).alias(x), F.col("unit").alias("unit" if x == "a" else "other"), *(() if x == "a" else ("low", "high")))
+    pairs = _rivals(asked, held).join(sets(asked, "a"), "unit").join(sets(held, "b"), "other")
+    alike = F.when(F.coalesce(F.col("a.kind") == F.col("b.kind"), F.lit(False)), 1.0).otherwise(0.0)
+    both = F.size(F.array_intersect("a.terms", "b.terms")).cast("double")
+    score = both / (F.col("a.n") + F.col("b.n") - both) * SIGNAL_BRANDS + jaccard_of_sets(F.col("a.features"), F.col("b.features")) * SIGNAL_FEATURES + alike * SIGNAL_TYPE
+    above = pairs.select("unit", "low", "high", score.alias("score"), F.col("a.floor").alias("floor")).where("score > floor").drop("floor")
+    best = best_other(above, ["unit"], "score", "low", "high")
+    by_unit = asked.select("unit", "form", "floor").join(best, "unit", "left")
+    not_own = F.when(F.col("who") == F.col("id"), F.col("second")).otherwise(F.col("best"))
+    by_brands = a.select("id", "form").join(by_unit, "form").select("id", F.greatest("floor", not_own).alias("greatest"))
+
+    kind = F.coalesce("kind", F.lit("")).alias("kind")
+    featured = lambda df: df.where(F.size("features") > 0).groupBy(kind, "features").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    met = featured(mine).select("kind", "features", F.explode("features").alias("feature")).join(featured(theirs).select(F.col("kind").alias("their"), F.col("features").alias("other"), "low", "high", F.explode("features").alias("feature")), "feature")
+    same = F.when((F.col("kind") == F.col("their")) & (F.col("kind") != ""), SIGNAL_TYPE).otherwise(0.0)
+    scored = met.select("kind", "features", "low", "high", (jaccard_of_sets(F.col("features"), F.col("other")) * SIGNAL_FEATURES + same).alias("score"))
+    by_features = a.select("id", kind, "features").join(best_other(scored, ["kind", "features"], "score", "low", "high"), ["kind", "features"]).select("id", not_own.alias("greatest"))
 
     shared = a.select(F.explode("sources").alias("source"), F.struct("*").alias("a")).join(b.select(F.explode("sources").alias("source"), F.struct("*").alias("b")), "source")
     shared = shared.where(~F.col("a.id").eqNullSafe(F.col("b.id")) & (F.array_min(F.array_intersect("a.sources", "b.sources")) == F.col("source")))
-    alike = F.when(F.coalesce(F.col("a.kind") == F.col("b.kind"), F.lit(False)), 1.0).otherwise(0.0)
+    brands, features = (jaccard_of_sets(F.col(f"a.{n}"), F.col(f"b.{n}")) for n in ("brands", "features"))
     score = alike * SIGNAL_TYPE + brands * SIGNAL_BRANDS + features * SIGNAL_FEATURES + jaccard_of_sets(F.col("a.sources"), F.col("b.sources")) * SIGNAL_SOURCES
     by_source = shared.select(F.col("a.id").alias("id"), score.alias("greatest"))
 
-    kinds = b.where("kind IS NOT NULL").groupBy("kind").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     by_kind = a.join(kinds, "kind").where(~F.col("id").eqNullSafe(F.col("low")) | ~F.col("id").eqNullSafe(F.col("high"))).select("id", F.lit(SIGNAL_TYPE).alias("greatest"))
-    every = by_form.unionByName(by_source).unionByName(by_kind).groupBy("id").agg(F.max("greatest").alias("greatest"))
+    every = by_brands.unionByName(by_features).unionByName(by_source).unionByName(by_kind).groupBy("id").agg(F.max("greatest").alias("greatest"))
     return signals.select("id").join(every, "id", "left").select("id", novelty(F.col("greatest")).alias("novelty"))
