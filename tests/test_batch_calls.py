@@ -100,3 +100,24 @@ def test_nothing_to_do(spark, tmp_path):
     calls.enqueue("first", _prompts(spark), NOW)
     calls.tick("a", NOW)
     assert not _rows(calls) and not (box / "log").exists()
+
+
+def test_a_folder_holds_each_batch_once_in_few_files(spark, tmp_path):
+    answers = _prompts(spark, ("r1", "p")).selectExpr("request_id", "true AS ok", "'re' AS answer")
+    service = batch_calls.FolderService(f"file://{tmp_path}/outbox", answers)
+    rows = spark.range(400, numPartitions=4).selectExpr("concat('r', id) AS request_id", "concat('p', id) AS prompt", "concat('b', id % 50) AS batch_id")
+    for part in (rows.where("batch_id < 'b3'"), rows, rows):  # some were sent before a run died, all are sent again
+        service.submit(part)
+    sent = spark.read.parquet(f"file://{tmp_path}/outbox")
+    assert sorted(r.request_id for r in sent.collect()) == sorted(f"r{i}" for i in range(400))
+    assert len(list((tmp_path / "outbox").rglob("*.parquet"))) < 25
+    assert [tuple(r) for r in service.results(rows.select("batch_id").distinct()).collect()] == [("b1", "r1", True, "re")]
+
+
+def test_texts_are_written_once(spark, tmp_path):
+    calls, _ = _calls(spark, tmp_path)
+    calls.enqueue("first", _prompts(spark, ("r0", "p"), ("r1", "p")), NOW)
+    calls.tick("a", NOW)
+    calls.tick("b", NOW + timedelta(hours=2))
+    written = lambda name: [p.name for p in (tmp_path / "store" / "data" / name).iterdir()]
+    assert len(written("prompts")) == len(written("answers")) == 1 < len(written("requests"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import runs
 from ..sources import batch_calls, snapshots
 from ..streaming import incremental
-from ..tables import workspace, table
+from ..tables import materialise, workspace, table
 from . import pipelines
 from .corpus_queries import ARTICLES, AS_OF
 from .fixtures import articles
@@ -69,14 +69,14 @@ def batch_progress(spark, sf_dir):
 def batch_answers(spark, sf_dir):
     """Users' turns as requests, the assistant's next turns as their answers, one in seven a failure; two attempts, an hour each."""
     turns = table(spark, sf_dir, "conversations").select("*", *(F.lead(c).over(W.partitionBy("conv_id").orderBy("turn")).alias(f"next_{c}") for c in ("role", "text")))
-    asked = turns.where("role = 'user'").withColumn("request_id", F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")))
+    asked = materialise(turns.where("role = 'user'").withColumn("request_id", F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string"))), "turns")  # every poll reads it
     answers = asked.where("next_role = 'assistant' AND next_text IS NOT NULL").select("request_id", (F.length("next_text") % 7 > 0).alias("ok"), F.col("next_text").alias("answer"))
     store = snapshots.RunStore(spark, workspace(spark, "batch-calls"))
     calls = batch_calls.BatchCalls(store, batch_calls.FolderService(f"{store.root}/outbox", answers), retries=1, max_age=3600, buckets=64)
     calls.enqueue("prompts", asked.select("request_id", F.col("text").alias("prompt")), AS_OF)
     for hour in range(0, 8, 2):
         calls.tick(f"tick{hour}", AS_OF + timedelta(hours=hour))
-    return calls.requests().select("request_id", "state", "attempts", F.md5("answer").alias("answer_md5"))
+    return calls.requests(texts=["answer"]).select("request_id", "state", "attempts", F.md5("answer").alias("answer_md5"))
 
 
 QUERIES = {

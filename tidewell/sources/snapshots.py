@@ -58,6 +58,8 @@ class RunStore:
         jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        #: The runs of manifests that this process has read or written: a manifest never changes.
+        self._runs: dict[int, str] = {}
 
     def versions(self) -> list[int]:
         """All versions that are still listed, oldest first."""
@@ -73,8 +75,12 @@ class RunStore:
         version = (listed[-1] if listed else 0) if version is None else version
         if version == 0:
             return Snapshot(0, None, {})
-        text = self.spark.read.text(self._manifest(version), wholetext=True).first()[0]
-        found = json.loads(text)
+        stream = self._fs.open(self._path(self._manifest(version)))
+        try:
+            found = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+        self._runs[version] = found["run"]
         tables = {n: Table(StructType.fromJson(t["schema"]), tuple(t["key"]), t["buckets"], {int(b): f for b, f in t["files"].items()}) for n, t in found["tables"].items()}
         return Snapshot(version, found["run"], tables)
 
@@ -167,11 +173,12 @@ class RunStore:
     def find(self, run: str) -> Snapshot | None:
         """The version in which a run counts, of those that are listed."""
         listed = self.versions()
-        if not listed:
-            return None
-        rows = self.spark.read.text([self._manifest(v) for v in listed], wholetext=True).select(F.get_json_object("value", "$.run").alias("run"), F.get_json_object("value", "$.version").cast("int").alias("version"))
-        found = rows.where(F.col("run") == run).first()
-        return self.snapshot(found.version) if found else None
+        unread = [self._manifest(v) for v in listed if v not in self._runs]
+        if unread:
+            rows = self.spark.read.text(unread, wholetext=True).select(F.get_json_object("value", "$.version").cast("int"), F.get_json_object("value", "$.run"))
+            self._runs.update(tuple(r) for r in rows.collect())  # a number and a name for each manifest
+        found = [v for v in listed if self._runs[v] == run]
+        return self.snapshot(found[0]) if found else None
 
     def _publish(self, made: Snapshot) -> bool:
         """Write the manifest beside its place and move it there, unless the version is taken. Whole or not at all."""
