@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..functions.sets import feature_categories, jaccard_of_sets, lower_set, present
 from ..functions.text import letters, title_bound, title_similarity
 from ..tables import materialise
+from .nearest import COMMON as COMMON_TERMS
+from .nearest import greatest_alike
 
 # Weights of title, brands, content and type for articles; of type, brands, features and sources for signals.
 ARTICLE_TITLE, ARTICLE_BRANDS, ARTICLE_CONTENT, ARTICLE_TYPE = 0.35, 0.25, 0.25, 0.15
@@ -45,7 +47,7 @@ def _others() -> Column:
 
 def _who(group: Column, own: Column) -> Column:
     """What an article isn't compared with itself as: its duplicate group, or itself."""
-    return F.coalesce(F.concat(F.lit("g"), group), F.concat(F.lit("i"), own))
+    return F.coalesce(F.concat(F.lit("g"), group), F.concat(F.lit("i"), own), F.lit("n"))
 
 
 def best_other(rows: DataFrame, key: Sequence[str], score: str, low: str, high: str) -> DataFrame:
@@ -60,53 +62,46 @@ def best_other(rows: DataFrame, key: Sequence[str], score: str, low: str, high:
     return two.groupBy(*key).agg(of(1, "who").alias("who"), of(1, "score").alias("best"), of(2, "score").alias("second"))
 
 
-def _by_category(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``id`` and ``greatest``: for each article the most that categories in common alone can give.
+def _by_category(asked: DataFrame, recent: DataFrame) -> DataFrame:
+    """``unit`` and ``floor``: for each asked row the most that categories in common alone can give.
 
-    Articles count by their categories and the size of their content only, and there are few of such forms: at most one
+    Rows count by their categories and the size of their content ``b`` only, and there are few of such forms: at most one
     for each set of the fixed categories and each size.
     """
-    forms = lambda df: df.withColumn("kinds", F.array_sort(F.array_intersect("content", F.array(*(F.lit(c) for c in CATEGORIES))))).where(F.size("kinds") > 0).withColumn("n", F.size("content"))
-    mine, theirs = forms(a), forms(b).groupBy("kinds", "n").agg(F.min("who").alias("low"), F.max("who").alias("high"))
-    asked = mine.select("kinds", "n").distinct()
-    met = asked.select("kinds", "n", F.explode("kinds").alias("kind")).join(theirs.select(F.col("kinds").alias("other"), F.col("n").alias("m"), "low", "high", F.explode("kinds").alias("kind")), "kind")
+    forms = lambda df: df.withColumn("kinds", F.array_sort(F.array_intersect("b", F.array(*(F.lit(c) for c in CATEGORIES))))).where(F.size("kinds") > 0).withColumn("n", F.size("b"))
+    mine, theirs = forms(asked), forms(recent).groupBy("kinds", "n").agg(F.min("who").alias("low"), F.max("who").alias("high"))
+    sizes = mine.select("kinds", "n").distinct()
+    met = sizes.select("kinds", "n", F.explode("kinds").alias("kind")).join(theirs.select(F.col("kinds").alias("other"), F.col("n").alias("m"), "low", "high", F.explode("kinds").alias("kind")), "kind")
     both = F.size(F.array_intersect("kinds", "other"))
     scored = met.withColumn("score", both / (F.col("n") + F.col("m") - both) * F.lit(ARTICLE_CONTENT))
     best = best_other(scored, ["kinds", "n"], "score", "low", "high").withColumnRenamed("who", "of")
-    return mine.join(best, ["kinds", "n"]).select("id", F.when(F.col("of") == F.col("who"), F.col("second")).otherwise(F.col("best")).alias("greatest"))
+    return mine.join(best, ["kinds", "n"]).select("unit", F.when(F.col("of") == F.col("who"), F.col("second")).otherwise(F.col("best")).alias("floor"))
 
 
-def article_set_novelty(articles: DataFrame, recent: DataFrame) -> DataFrame:
+def article_set_novelty(articles: DataFrame, recent: DataFrame, common: int = COMMON_TERMS) -> DataFrame:
     """Novelty of every article by brands, content and type alone.
 
-    Articles with equal sets and type count as one, with the smallest and the largest identity. These meet on brands and
-    on content that is no category; a pair that has only categories in common has
-    what ``_by_category`` gives, so that no join is on the few categories that all articles share. Common terms are counted
-    as they are met: what is joined on them has a form's name and no set, for rows with sets grew with the square of an
-    article's length, and small as they were when compressed, the planner sent them to all tasks.
+    Articles with equal sets and type count as one, with the smallest and the largest identity (``nearest``). A pair that
+    has only categories in common has what ``_by_category`` gives, so that nothing is met on the few categories that all
+    articles share.
     """
-    fixed = F.array(*(F.lit(c) for c in CATEGORIES))
-    terms = F.array_union(F.transform("brands", lambda b: F.concat(F.lit("b"), b)), F.transform(F.array_except("content", fixed), lambda c: F.concat(F.lit("c"), c)))
-    sets = ["brands", "content", "kind", "primary"]
-    form = F.md5(F.to_json(F.struct(F.array_sort("brands").alias("x"), F.array_sort("content").alias("y"), "kind", "primary")))
-    prepared = lambda df: prepare_articles(df).withColumn("who", _who(F.col("group_id"), F.col("id"))).withColumn("form", form)
-    a = materialise(prepared(articles).drop("title"), "article-sets")  # read several times
-    b = a if recent is articles else materialise(prepared(recent).drop("title"), "article-sets")
-    # A form's name is its smallest id, which is shorter than its hash. Its terms are shuffled, never sent to all tasks.
-    forms = lambda df: materialise(df.groupBy("form").agg(F.coalesce(F.min("id"), F.col("form")).alias("name"), *(F.first(c).alias(c) for c in sets), F.min("who").alias("low"), F.max("who").alias("high")), "article-forms")
-    mine = forms(a)
-    theirs = mine if b is a else forms(b)
-    met = mine.select("name", F.explode(terms).alias("term")).join(theirs.select(F.col("name").alias("other"), F.explode(terms).alias("term")).hint("merge"), "term").select("name", "other", F.col("term").startswith("b").alias("of_brand"))
-    common = met.repartition("name").groupBy("name", "other").agg(F.count_if("of_brand").alias("brands"), F.count_if(~F.col("of_brand")).alias("content"))
-    sizes = F.struct(F.size("brands").alias("brands"), F.size("content").alias("content"), F.array_intersect("content", fixed).alias("fixed"), "kind", "primary")
-    pairs = common.join(mine.select("name", sizes.alias("a")), "name").join(theirs.select(F.col("name").alias("other"), sizes.alias("b"), "low", "high"), "other")
-    alike = lambda n, both: F.coalesce(F.try_divide(both.cast("double"), (F.col(f"a.{n}") + F.col(f"b.{n}") - both).cast("double")), F.lit(0.0))
-    content = alike("content", F.col("content") + F.size(F.array_intersect("a.fixed", "b.fixed")))
-    score = alike("brands", F.col("brands")) * ARTICLE_BRANDS + content * ARTICLE_CONTENT + _set_similarity()[2] * ARTICLE_TYPE
-    best = best_other(pairs.select("name", "low", "high", score.alias("score")), ["name"], "score", "low", "high").withColumnRenamed("who", "of").join(mine.select("name", "form"), "name")
-    by_terms = a.select("id", "form", "who").join(best, "form").select("id", F.when(F.col("of") == F.col("who"), F.col("second")).otherwise(F.col("best")).alias("greatest"))
-    every = by_terms.unionByName(_by_category(a, b)).groupBy("id").agg(F.max("greatest").alias("greatest"))
-    return articles.select("id").join(every, "id", "left").select("id", novelty(F.col("greatest")).alias("novelty"))
+    tag = F.when(F.col("kind").isNotNull() & F.col("primary").isNotNull(), F.to_json(F.array("kind", "primary")))
+    form = F.md5(F.to_json(F.struct("a", "b", "tag")))
+
+    def prepared(df: DataFrame) -> DataFrame:
+        sets = prepare_articles(df).select("id", _who(F.col("group_id"), F.col("id")).alias("who"), F.array_sort("brands").alias("a"), F.array_sort("content").alias("b"), tag.alias("tag"))
+        return sets.withColumn("form", form)
+
+    a = materialise(prepared(articles), "article-sets")  # read several times
+    b = a if recent is articles else materialise(prepared(recent), "article-sets")
+    parts = (("a", ARTICLE_BRANDS), ("b", ARTICLE_CONTENT), ("tag", ARTICLE_TYPE))
+    found = greatest_alike(a, b, parts, lambda asked: _by_category(asked, b), CATEGORIES, common)
+    return _novelty_of(a, a.select("id", "form", "who").join(found.hint("merge"), ["form", "who"]).select("id", "greatest"))
+
+
+def _novelty_of(rows: DataFrame, greatest: DataFrame) -> DataFrame:
+    best = greatest.groupBy("id").agg(F.max("greatest").alias("greatest"))
+    return rows.select("id").join(best.hint("merge"), "id", "left").select("id", novelty(F.col("greatest")).alias("novelty"))
 
 
 def article_novelty(batch: DataFrame, recent: DataFrame) -> DataFrame:
