@@ -65,3 +65,24 @@ def test_pairs_of_articles_are_not_shuffled(spark):
     rows = [(f"i{i}", None, ["all", f"own{i % 400}"], [f"v{i}"], [("ota",)], "x", None) for i in range(1000)]
     a = spark.createDataFrame(rows, ARTICLES)
     assert _shuffled(spark, lambda: novelty.article_set_novelty(a, a).collect()) < 100_000
+
+
+@pytest.mark.parametrize(("common", "other_recent"), [(6, False), (30, True)])
+def test_signal_novelty_equals_brute_force_whatever_is_common(spark, common, other_recent):
+    rand = random.Random(9)
+    one = lambda name: (name, rand.choice(["k1", "k1", "k2", "", None]), _some(rand, "b", 60, [0, 1, 2, 5, 12]), _some(rand, "f", 15, [0, 1, 1, 3]), [f"s{rand.randrange(60)}"])
+    mine = [one(f"a{i}") for i in range(120)]
+    mine += [(f"c{i}", *mine[i][1:]) for i in range(12)]
+    theirs = mine[:40] + [one(f"b{i}") for i in range(80)] if other_recent else mine
+    alike = lambda x, y: 0.3 * bool(x[1] and x[1] == y[1]) + 0.35 * _jaccard(x[2], y[2]) + 0.2 * _jaccard(x[3], y[3]) + 0.15 * _jaccard(x[4], y[4])
+    want = {x[0]: 1 - min(1, max(alike(x, y) for y in theirs if y[0] != x[0])) for x in mine}
+    a = spark.createDataFrame(mine, SIGNALS)
+    got = {r.id: r.novelty for r in novelty.signal_novelty(a, spark.createDataFrame(theirs, SIGNALS) if other_recent else a, common).collect()}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_pairs_of_signals_are_not_shuffled(spark):
+    """A thousand signals without a type, so that nothing but a brand that all have is in common, make a million pairs."""
+    rows = [(f"i{i}", None, ["all", f"own{i}"], [], [f"s{i}"]) for i in range(1000)]
+    a = spark.createDataFrame(rows, SIGNALS)
+    assert _shuffled(spark, lambda: novelty.signal_novelty(a, a).collect()) < 100_000

@@ -212,53 +212,30 @@ def _rivals(mine: DataFrame, theirs: DataFrame) -> DataFrame:
     return asked.join(kept, ["key", "class"]).where(reach).select("unit", "other").distinct()
 
 
-def signal_novelty(signals: DataFrame, recent: DataFrame) -> DataFrame:
+def signal_novelty(signals: DataFrame, recent: DataFrame, common: int = COMMON_TERMS) -> DataFrame:
     """Novelty of every signal by type, brands, features and source articles.
 
-    A pair that shares none of these has similarity 0. Signals of one type with equal brands and features count as one
-    unit. A unit has a floor that needs no comparison (``_floors``), and sets are read only for pairs with a brand in common
-    that can be above it (``_rivals``), so a brand that a tenth of all signals have makes no pair of each two of them. What
-    features give without brands is compared between sets of features, pairs with a source in common are compared one by
-    one, and the type alone gives 0.3 if another recent signal has it.
+    A pair that shares none of these has similarity 0. Signals of one type with equal brands and features count as one;
+    what these give is looked for in blocks (``nearest``), pairs with a source in common are compared one by one, and the
+    type alone gives 0.3 if another recent signal has it.
     """
 
     def prepared(df: DataFrame) -> DataFrame:
-        sets = df.select("id", F.nullif("signal_type", F.lit("")).alias("kind"), *(lower_set(F.col(c)).alias(n) for c, n in (("brands_mentioned", "brands"), ("features_mentioned", "features"), ("source_article_ids", "sources"))))
-        return sets.withColumns({"brands": F.array_sort("brands"), "features": F.array_sort("features")}).withColumn("form", F.md5(F.to_json(F.struct("kind", "brands", "features"))))
+        sets = df.select("id", F.nullif("signal_type", F.lit("")).alias("tag"), *(lower_set(F.col(c)).alias(n) for c, n in (("brands_mentioned", "a"), ("features_mentioned", "b"), ("source_article_ids", "sources"))))
+        return sets.withColumns({"a": F.array_sort("a"), "b": F.array_sort("b"), "who": _who(F.lit(None).cast("string"), F.col("id"))}).withColumn("form", F.md5(F.to_json(F.struct("tag", "a", "b"))))
 
     a = materialise(prepared(signals), "signal-sets")  # read several times
     b = a if recent is signals else materialise(prepared(recent), "signal-sets")
-    kinds = b.where("kind IS NOT NULL").groupBy("kind").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    mine = _units(a)
-    theirs = mine if b is a else _units(b)
-    terms = materialise(theirs.select(F.explode("brands").alias("brand")).groupBy("brand").agg(F.count("*").alias("held")).withColumn("term", F.monotonically_increasing_id()), "brands")
-    asked = _ordered(mine, terms)
-    held = asked if b is a else _ordered(theirs, terms)
-    asked = materialise(asked.join(_floors(asked, held), "unit"), "signal-floors")
-    sets = lambda df, x: df.select(F.struct("kind", "features", "n", "terms", *(["floor"] if x == "a" else [])).alias(x), F.col("unit").alias("unit" if x == "a" else "other"), *(() if x == "a" else ("low", "high")))
-    pairs = _rivals(asked, held).join(sets(asked, "a"), "unit").join(sets(held, "b"), "other")
-    alike = F.when(F.coalesce(F.col("a.kind") == F.col("b.kind"), F.lit(False)), 1.0).otherwise(0.0)
-    both = F.size(F.array_intersect("a.terms", "b.terms")).cast("double")
-    score = both / (F.col("a.n") + F.col("b.n") - both) * SIGNAL_BRANDS + jaccard_of_sets(F.col("a.features"), F.col("b.features")) * SIGNAL_FEATURES + alike * SIGNAL_TYPE
-    above = pairs.select("unit", "low", "high", score.alias("score"), F.col("a.floor").alias("floor")).where("score > floor").drop("floor")
-    best = best_other(above, ["unit"], "score", "low", "high")
-    by_unit = asked.select("unit", "form", "floor").join(best, "unit", "left")
-    not_own = F.when(F.col("who") == F.col("id"), F.col("second")).otherwise(F.col("best"))
-    by_brands = a.select("id", "form").join(by_unit, "form").select("id", F.greatest("floor", not_own).alias("greatest"))
-
-    kind = F.coalesce("kind", F.lit("")).alias("kind")
-    featured = lambda df: df.where(F.size("features") > 0).groupBy(kind, "features").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    met = featured(mine).select("kind", "features", F.explode("features").alias("feature")).join(featured(theirs).select(F.col("kind").alias("their"), F.col("features").alias("other"), "low", "high", F.explode("features").alias("feature")), "feature")
-    same = F.when((F.col("kind") == F.col("their")) & (F.col("kind") != ""), SIGNAL_TYPE).otherwise(0.0)
-    scored = met.select("kind", "features", "low", "high", (jaccard_of_sets(F.col("features"), F.col("other")) * SIGNAL_FEATURES + same).alias("score"))
-    by_features = a.select("id", kind, "features").join(best_other(scored, ["kind", "features"], "score", "low", "high"), ["kind", "features"]).select("id", not_own.alias("greatest"))
-
-    shared = a.select(F.explode("sources").alias("source"), F.struct("*").alias("a")).join(b.select(F.explode("sources").alias("source"), F.struct("*").alias("b")), "source")
-    shared = shared.where(~F.col("a.id").eqNullSafe(F.col("b.id")) & (F.array_min(F.array_intersect("a.sources", "b.sources")) == F.col("source")))
-    brands, features = (jaccard_of_sets(F.col(f"a.{n}"), F.col(f"b.{n}")) for n in ("brands", "features"))
-    score = alike * SIGNAL_TYPE + brands * SIGNAL_BRANDS + features * SIGNAL_FEATURES + jaccard_of_sets(F.col("a.sources"), F.col("b.sources")) * SIGNAL_SOURCES
-    by_source = shared.select(F.col("a.id").alias("id"), score.alias("greatest"))
-
-    by_kind = a.join(kinds, "kind").where(~F.col("id").eqNullSafe(F.col("low")) | ~F.col("id").eqNullSafe(F.col("high"))).select("id", F.lit(SIGNAL_TYPE).alias("greatest"))
-    every = by_brands.unionByName(by_features).unionByName(by_source).unionByName(by_kind).groupBy("id").agg(F.max("greatest").alias("greatest"))
-    return signals.select("id").join(every, "id", "left").select("id", novelty(F.col("greatest")).alias("novelty"))
+    kinds = b.where("tag IS NOT NULL").groupBy("tag").agg(F.min("who").alias("from"), F.max("who").alias("to"))
+    typed = lambda asked: asked.join(kinds, "tag").where("who <> from OR who <> to").select("unit", F.lit(SIGNAL_TYPE).alias("floor"))
+    parts = (("tag", SIGNAL_TYPE), ("a", SIGNAL_BRANDS), ("b", SIGNAL_FEATURES))
+    found = greatest_alike(a, b, parts, typed, common=common)
+    by_sets = a.select("id", "form", "who").join(found.hint("merge"), ["form", "who"]).select("id", "greatest")
+
+    of = lambda df, side: df.select(F.explode("sources").alias("source"), F.struct("id", "tag", "a", "b", "sources").alias(side))
+    shared = of(a, "x").join(of(b, "y").hint("merge"), "source")
+    shared = shared.where(~F.col("x.id").eqNullSafe(F.col("y.id")) & (F.array_min(F.array_intersect("x.sources", "y.sources")) == F.col("source")))
+    alike = F.when(F.coalesce(F.col("x.tag") == F.col("y.tag"), F.lit(False)), 1.0).otherwise(0.0)
+    brands, features, sources = (jaccard_of_sets(F.col(f"x.{n}"), F.col(f"y.{n}")) for n in ("a", "b", "sources"))
+    score = alike * SIGNAL_TYPE + brands * SIGNAL_BRANDS + features * SIGNAL_FEATURES + sources * SIGNAL_SOURCES
+    return _novelty_of(a, by_sets.unionByName(shared.select(F.col("x.id").alias("id"), score.alias("greatest"))))
