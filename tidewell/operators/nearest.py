@@ -15,7 +15,7 @@ COMMON = 512
 #: Rows in a block, and blocks at least, so that small tables are dealt to several tasks, too.
 BLOCK, BLOCKS = 1 << 16, 4
 #: Meetings that a task holds at once.
-STEP = 1 << 20
+STEP = 1 << 17
 
 #: What a score is the sum of, in this order: the name of a part ("a", "b" or "tag") and its weight.
 Parts = Sequence[tuple[str, float]]
@@ -200,6 +200,7 @@ def _greatest(x: _Rows, y: _Rows, parts: Parts, unasked: int, common: int) -> np
         px, py, both = px[left], py[left], [c[left] for c in both]
         raise_to(px, scores(px, py, [both[k] + masked(k, px, py) for k in (0, 1)]))
 
+    del known, post, order, terms, of, start, count
     for px, py in _by_common_terms(x, y, dict(parts), best, unasked, common):
         left = ~own(px, py)
         px, py = px[left], py[left]
